@@ -9,41 +9,20 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabloom.operators.frames import name
+from tabloom.operators.grids import CELL_RANKS, CELLS, MERGES, SKETCH_K
 from tabloom.session import small_table
 
-SKETCH_K = 800
-SALTS = 32
-
-
-def feature_sketches(long: DataFrame, extra: Sequence[Column] = (), names: Sequence[str] = ()) -> DataFrame:
-    """`(feature, sketch, names...)`: a quantile sketch and sums per feature, merged over salts first
-    so that no task merges the sketches of all map tasks.
-    """
-    salted = long.groupBy("feature", F.pmod(F.xxhash64("value"), F.lit(SALTS)).alias("salt")).agg(
-        F.kll_sketch_agg_double("value", F.lit(SKETCH_K)).alias("sketch"),
-        *[F.sum(c).alias(n) for c, n in zip(extra, names)],
-    )
-    return salted.groupBy("feature").agg(
-        F.kll_merge_agg_double("sketch").alias("sketch"), *[F.sum(n).alias(n) for n in names]
-    )
-
-
-def quantile_edges(sketches: DataFrame, n_buckets: int) -> dict[str, list[float]]:
-    """Strictly increasing inner edges per feature; bucket b holds edges[b-1] < value <= edges[b]."""
-    probs = F.array(*[F.lit(k / n_buckets) for k in range(1, n_buckets)])
-    rows = sketches.select("feature", F.kll_sketch_get_quantile_double("sketch", probs).alias("edges")).collect()
-    return {r["feature"]: sorted(set(r["edges"])) for r in rows}
-
-
 def edges_table(spark, edges: Mapping[str, Sequence[float]]) -> DataFrame:
     return small_table(spark, [(f, list(e)) for f, e in edges.items()], "feature string, edges array<double>")
 
 
 def bucket_of(value: Column, edges: Column, longest: int) -> Column:
-    """Number of edges below `value`, by binary search: a fold over at most log2(longest) steps."""
+    """Number of edges not above `value`, by binary search: a fold over at most log2(longest) steps."""
     steps, step = [], 1
     while step <= max(1, longest):
         steps.insert(0, step)
@@ -51,7 +30,7 @@ def bucket_of(value: Column, edges: Column, longest: int) -> Column:
     return F.aggregate(
         F.array(*[F.lit(s) for s in steps]),
         F.lit(0),
-        lambda at, s: F.when(F.get(edges, at + s - 1) < value, at + s).otherwise(at),
+        lambda at, s: F.when(F.get(edges, at + s - 1) <= value, at + s).otherwise(at),
     )
 
 
@@ -66,20 +45,40 @@ def with_bucket(long: DataFrame, edges: Mapping[str, Sequence[float]]) -> DataFr
     )
 
 
-def balanced_edges(long: DataFrame, rows_per_bucket: int = 250_000, most: int = 1024) -> dict[str, list[float]]:
-    """Edges per feature, as many as its number of rows asks for; none for short features."""
-    probs = F.array(*[F.lit(k / most) for k in range(1, most)])
-    sketches = feature_sketches(long, [F.lit(1)], ["rows"])
-    found = sketches.select(
-        "feature", "rows", F.kll_sketch_get_quantile_double("sketch", probs).alias("edges")
-    ).collect()
+def balanced_edges(long: DataFrame, rows_per_bucket: int = 250_000) -> dict[str, list[float]]:
+    """Edges per feature of rows `(feature, value)`, as many as its number of rows asks for; none for few rows.
+
+    Tasks sketch by feature; a feature's sketches meet in `MERGES` groups first.
+    """
+    first = long.select("feature", "value", (F.spark_partition_id() % MERGES).alias("salt")).groupBy(
+        "feature", "salt"
+    ).agg(F.kll_sketch_agg_double("value", F.lit(SKETCH_K)).alias("s"), F.count("*").alias("n"))
+    merged = first.groupBy("feature").agg(F.kll_merge_agg_double("s").alias("s"), F.sum("n").alias("n"))
     out = {}
-    for r in found:
-        step = max(1, most * rows_per_bucket // max(1, r["rows"]))
-        out[r["feature"]] = sorted(set(r["edges"][step - 1 :: step]))
+    for r in merged.selectExpr("feature", "n", f"kll_sketch_get_quantile_double(s, {CELL_RANKS}) AS q").collect():
+        step = max(1, CELLS * rows_per_bucket // max(1, r["n"]))
+        out[r["feature"]] = sorted(set(r["q"][step:-1:step]))
     return out
 
 
+def bucket_columns(wide: DataFrame, edges: Mapping[str, Sequence[float]]) -> DataFrame:
+    """Replace each column of doubles by the number of its bucket; edges belong to the bucket above them.
+
+    Null stays null. The search runs in the JVM on unboxed doubles.
+    """
+    inf = float("inf")
+    columns = list(edges)
+    split = {c: [-inf, *edges[c], inf] if edges[c] else [-inf, 0.0, inf] for c in columns}
+    done = Bucketizer(
+        inputCols=columns,
+        outputCols=[f"_b_{c}" for c in columns],
+        splitsArray=[split[c] for c in columns],
+        handleInvalid="keep",
+    ).transform(wide)
+    others = [name(c) for c in wide.columns if c not in edges]
+    return done.select(*[F.when(name(c).isNotNull(), name(f"_b_{c}")).alias(c) for c in columns], *others)
+
+
 def running_totals(
     rows: DataFrame, keys: Sequence[str], amount: str, edges: Mapping[str, Sequence[float]]
 ) -> DataFrame:

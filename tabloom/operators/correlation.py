@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tabloom.functions.columns import safe_ratio
 from tabloom.operators.frames import numeric_columns
-from tabloom.operators.moments import centre_and_span, pair_moments
+from tabloom.operators.moments import pair_moments, rough_centre
 from tabloom.session import small_table
 
 # Sums of squares this small against their size are rounding of a constant column.
@@ -23,10 +23,7 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     r is null where one of the two is constant or has no values there.
     """
     columns = list(columns)
-    spans = centre_and_span(df, columns)
-    shift = [spans[c][0] if spans[c][0] is not None else 0.0 for c in columns]
-    varying = [c for c in columns if spans[c][1] is not None and spans[c][1] < spans[c][2]]
-    cells = pair_moments(df, columns, shift).where("i < j")
+    cells = pair_moments(df, columns, rough_centre(df, columns))
     vx = F.col("sxx") - safe_ratio(F.col("sx") * F.col("sx"), F.col("n"))
     vy = F.col("syy") - safe_ratio(F.col("sy") * F.col("sy"), F.col("n"))
     cov = F.col("sxy") - safe_ratio(F.col("sx") * F.col("sy"), F.col("n"))
@@ -34,10 +31,18 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     r = F.when(spread, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), safe_ratio(cov, F.sqrt(vx * vy)))))
     names = F.array(*[F.lit(c) for c in columns])
     named = cells.select(
-        "i", "j", F.get(names, "i").alias("feature_i"), F.get(names, "j").alias("feature_j"), r.alias("r")
+        "i",
+        "j",
+        F.get(names, "i").alias("feature_i"),
+        F.get(names, "j").alias("feature_j"),
+        r.alias("r"),
+        # columns of one value or none, found on the diagonal of this small table
+        F.array_agg(F.when((F.col("i") == F.col("j")) & ~F.coalesce(F.col("lo") < F.col("hi"), F.lit(False)), F.col("i")))
+        .over(Window.partitionBy("grp"))
+        .alias("flat"),
     )
-    both = F.col("feature_i").isin(varying) & F.col("feature_j").isin(varying)
-    return named.withColumn("r", F.when(both, F.col("r")))
+    varies = ~F.array_contains("flat", F.col("i")) & ~F.array_contains("flat", F.col("j"))
+    return named.where("i < j").withColumn("r", F.when(varies, F.col("r"))).drop("flat")
 
 
 @dataclass(frozen=True)

@@ -8,15 +8,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabloom.functions.ks_law import asymptotic_tail, two_sample_tail_column
-from tabloom.operators.buckets import feature_sketches, with_bucket
-from tabloom.operators.frames import melt, numeric_columns
+from tabloom.operators.buckets import bucket_columns
+from tabloom.operators.frames import as_double, name, numeric_columns
+from tabloom.operators.grids import quantile_grids
 from tabloom.session import small_table
 
 ALPHA = 0.05
 MIN_NEW = 5
 SMALL_ROWS = 2_000_000
-ROWS_PER_BUCKET = 250_000
-MAX_BUCKETS = 1024
+STATS = "feature string, n_ref bigint, n_new bigint, d double"
 REPORT = "feature string, ks_statistic double, p_value double, drifted boolean"
 
 
@@ -70,11 +70,12 @@ def report(stats: DataFrame, alpha: float, law: str) -> DataFrame:
 
 
 def two_sides(reference: DataFrame, new: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """`(feature, value, r, q)`: r = 1 on reference values, q = 1 on new ones."""
-    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-    ref = melt(reference, columns).select("feature", "value", one.alias("r"), zero.alias("q"))
-    cur = melt(new, columns).select("feature", "value", zero.alias("r"), one.alias("q"))
-    return ref.unionByName(cur)
+    """Both tables under each other as doubles; `side` is 0 on reference rows, 1 on new ones."""
+
+    def of(df: DataFrame, side: int) -> DataFrame:
+        return df.select(F.lit(side).alias("side"), *[as_double(c).alias(c) for c in columns])
+
+    return of(reference, 0).unionByName(of(new, 1))
 
 
 def ks_statistics(
@@ -82,87 +83,121 @@ def ks_statistics(
 ) -> DataFrame:
     """`(feature, n_ref, n_new, d)`.
 
-    One sketch pass gives the sizes and bucket edges of all features. A run whose features all
-    have at most `small_rows` values is ordered feature by feature, others bucket by bucket.
+    One pass counts the values of all features on both sides. Up to `small_rows` values a feature
+    is ordered as a whole, beyond that bucket by bucket.
     """
     spark = reference.sparkSession
-    long = two_sides(reference, new, columns)
-    sketches = feature_sketches(long, [F.col("r"), F.col("q")], ["n_ref", "n_new"])
-    probs = F.array(*[F.lit(k / MAX_BUCKETS) for k in range(1, MAX_BUCKETS)])
-    rows = sketches.select(
-        "feature", "n_ref", "n_new", F.kll_sketch_get_quantile_double("sketch", probs).alias("edges")
-    ).collect()
-    empty = [c for c in columns if c not in {r["feature"] for r in rows if r["n_ref"] > 0}]
-    tested = [r for r in rows if r["n_new"] >= min_new]
-    if any(r["feature"] in empty for r in tested):
+    both = two_sides(reference, new, columns)
+    on = F.col("side")
+    counts = both.agg(
+        *[F.count_if((on == 0) & name(c).isNotNull()).alias(f"r{i}") for i, c in enumerate(columns)],
+        *[F.count_if((on == 1) & name(c).isNotNull()).alias(f"q{i}") for i, c in enumerate(columns)],
+    ).first()
+    sizes = {c: (counts[f"r{i}"], counts[f"q{i}"]) for i, c in enumerate(columns)}
+    tested = [c for c in columns if sizes[c][1] >= min_new]
+    empty = [c for c in tested if sizes[c][0] == 0]
+    if empty:
         raise ValueError(f"No reference values to compare with: {empty}")
     if not tested:
-        return small_table(spark, [], "feature string, n_ref bigint, n_new bigint, d double")
-    sizes = small_table(
-        spark, [(r["feature"], r["n_ref"], r["n_new"]) for r in tested], "feature string, n_ref bigint, n_new bigint"
-    )
-    longest = max(r["n_ref"] + r["n_new"] for r in tested)
-    if longest <= small_rows:
-        found = _whole_distance(long, sizes)
+        return small_table(spark, [], STATS)
+    both = both.select("side", *[name(c) for c in tested])
+    if max(sum(sizes[c]) for c in tested) <= small_rows:
+        d = _whole_distance(both, tested, sizes)
     else:
-        step = max(1, MAX_BUCKETS * ROWS_PER_BUCKET // longest)
-        edges = {r["feature"]: sorted(set(r["edges"][step - 1 :: step])) for r in tested}
-        found = _bucketed_distance(long, sizes, edges)
-    return found.select("feature", "n_ref", "n_new", "d")
+        d = _bucketed_distance(both, tested, sizes)
+    return d
+
+
+def _value_counts(both: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """`(feature, value, r, q)`: how often each value stands on either side."""
+    long = both.unpivot(["side"], [name(c) for c in columns], "feature", "value").where("value is not null")
+    return long.groupBy("feature", "value").agg(
+        F.count_if(F.col("side") == 0).alias("r"), F.count_if(F.col("side") == 1).alias("q")
+    )
 
 
-def _gap(cum_r: Column, cum_q: Column) -> Column:
-    return F.abs(cum_r / F.col("n_ref") - cum_q / F.col("n_new"))
+def _sizes_table(spark, columns: Sequence[str], sizes: dict[str, tuple[int, int]]) -> DataFrame:
+    return small_table(spark, [(c, *sizes[c]) for c in columns], "feature string, n_ref bigint, n_new bigint")
 
 
-def _whole_distance(long: DataFrame, sizes: DataFrame) -> DataFrame:
-    counts = long.groupBy("feature", "value").agg(F.sum("r").alias("r"), F.sum("q").alias("q"))
+def _whole_distance(both: DataFrame, columns: Sequence[str], sizes: dict[str, tuple[int, int]]) -> DataFrame:
     upto = Window.partitionBy("feature").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    running = counts.select("feature", F.sum("r").over(upto).alias("cr"), F.sum("q").over(upto).alias("cq"))
+    running = _value_counts(both, columns).select("feature", F.sum("r").over(upto).alias("cr"), F.sum("q").over(upto).alias("cq"))
+    gap = F.abs(F.col("cr") / F.col("n_ref") - F.col("cq") / F.col("n_new"))
     return (
-        running.join(F.broadcast(sizes), "feature")
+        running.join(F.broadcast(_sizes_table(both.sparkSession, columns, sizes)), "feature")
         .groupBy("feature", "n_ref", "n_new")
-        .agg(F.max(_gap(F.col("cr"), F.col("cq"))).alias("d"))
+        .agg(F.max(gap).alias("d"))
     )
 
 
-def _bucketed_distance(long: DataFrame, sizes: DataFrame, edges: dict[str, list[float]]) -> DataFrame:
+def _bucketed_distance(both: DataFrame, columns: Sequence[str], sizes: dict[str, tuple[int, int]]) -> DataFrame:
     """Exact distance with most rows only counted.
 
-    The counts per bucket give the gap at every bucket end, and for each bucket a bound that no
-    gap inside it can exceed. Only buckets whose bound beats the best end gap are looked into
-    value by value, with the counts of the buckets before them added.
+    Counts per bucket, a bounded number of rows, give the gap at every bucket end and a bound that no
+    gap inside a bucket can exceed. Only buckets whose bound beats the best end gap are looked into
+    value by value, starting from the counts of the buckets before them.
     """
-    bucketed = with_bucket(long, edges)
-    hist = bucketed.groupBy("feature", "bucket").agg(
-        F.sum("r").alias("r"), F.sum("q").alias("q"), F.min("value").alias("lo"), F.max("value").alias("hi")
+    spark = both.sparkSession
+    edges = {c: g.edges() for c, g in quantile_grids(both, columns).items()}
+    hist = _value_counts(bucket_columns(both, edges), columns).collect()
+    best, starts = {}, []
+    for c in columns:
+        rows = sorted((r["value"], r["r"], r["q"]) for r in hist if r["feature"] == c)
+        best[c], open_ = _end_gaps(rows, *sizes[c])
+        starts += [(c, b, r, q) for b, r, q in open_]
+    wanted = {c: [b for f, b, _, _ in starts if f == c] for c in columns}
+    looked_into = [c for c in columns if wanted[c]]
+    ends = small_table(spark, [(c, *sizes[c], best[c]) for c in columns], STATS)
+    if not looked_into:
+        return ends
+    cells = bucket_columns(
+        both.select("side", *[name(c) for c in looked_into], *[name(c).alias(f"_cell_{c}") for c in looked_into]),
+        {f"_cell_{c}": edges[c] for c in looked_into},
     )
-    upto = Window.partitionBy("feature").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    ends = (
-        hist.join(F.broadcast(sizes), "feature")
-        .withColumn("er", F.sum("r").over(upto))
-        .withColumn("eq", F.sum("q").over(upto))
-        .withColumn("br", F.col("er") - F.col("r"))
-        .withColumn("bq", F.col("eq") - F.col("q"))
-        .withColumn("end_gap", _gap(F.col("er"), F.col("eq")))
-        .withColumn("bound", F.greatest(_gap(F.col("er"), F.col("bq")), _gap(F.col("br"), F.col("eq"))))
-        .withColumn("best", F.max("end_gap").over(Window.partitionBy("feature")))
+    triples = ", ".join(
+        f"'{c}', IF(get({_flags(wanted[c], len(edges[c]) + 1)}, CAST(`_cell_{c}` AS int)), `{c}`, NULL), "
+        f"CAST(`_cell_{c}` AS int)"
+        for c in looked_into
     )
-    open_buckets = ends.where("bound > best and lo < hi").select("feature", "bucket", "br", "bq", "n_ref", "n_new")
     values = (
-        bucketed.join(F.broadcast(open_buckets), ["feature", "bucket"])
-        .groupBy("feature", "bucket", "value", "br", "bq", "n_ref", "n_new")
-        .agg(F.sum("r").alias("r"), F.sum("q").alias("q"))
+        cells.selectExpr("side", f"stack({len(looked_into)}, {triples}) AS (feature, value, bucket)")
+        .where("value is not null")
+        .groupBy("feature", "bucket", "value")
+        .agg(F.count_if(F.col("side") == 0).alias("r"), F.count_if(F.col("side") == 1).alias("q"))
     )
+    offsets = small_table(spark, starts, "feature string, bucket int, br bigint, bq bigint")
     inside = Window.partitionBy("feature", "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    cum_r, cum_q = F.col("br") + F.sum("r").over(inside), F.col("bq") + F.sum("q").over(inside)
-    gaps = values.select("feature", "n_ref", "n_new", _gap(cum_r, cum_q).alias("d"))
-    return (
-        ends.select("feature", "n_ref", "n_new", F.col("end_gap").alias("d"))
-        .unionByName(gaps)
+    gap = F.abs(
+        (F.col("br") + F.col("cr")) / F.col("n_ref") - (F.col("bq") + F.col("cq")) / F.col("n_new")
+    )
+    gaps = (
+        values.withColumn("cr", F.sum("r").over(inside))
+        .withColumn("cq", F.sum("q").over(inside))
+        .join(F.broadcast(offsets), ["feature", "bucket"])
+        .join(F.broadcast(_sizes_table(spark, columns, sizes)), "feature")
         .groupBy("feature", "n_ref", "n_new")
-        .agg(F.max("d").alias("d"))
+        .agg(F.max(gap).alias("d"))
     )
+    return ends.unionByName(gaps).groupBy("feature", "n_ref", "n_new").agg(F.max("d").alias("d"))
+
+
+def _flags(buckets: Sequence[int], size: int) -> str:
+    """SQL of a folded array of booleans, true at the given buckets."""
+    chosen = set(buckets)
+    return "CAST(split('" + ",".join("true" if b in chosen else "false" for b in range(size)) + "', ',') AS array<boolean>)"
+
+
+def _end_gaps(rows: list[tuple[float, int, int]], n: int, m: int) -> tuple[float, list[tuple[int, int, int]]]:
+    """(largest gap at a bucket end, [(bucket, r before, q before)] of the buckets that may hold a larger one)."""
+    r = q = 0
+    best, spans = 0.0, []
+    for bucket, dr, dq in rows:
+        bound = max(abs((r + dr) / n - q / m), abs(r / n - (q + dq) / m))
+        spans.append((bound, int(bucket), r, q))
+        r, q = r + dr, q + dq
+        best = max(best, abs(r / n - q / m))
+    return best, [(b, br, bq) for bound, b, br, bq in spans if bound > best]
 
 
 def drift_summary(rows: DataFrame, alpha: float = ALPHA) -> DataFrame:

@@ -30,10 +30,14 @@ def missing(column: str, dtype: str) -> Column:
     return c.isNull() | F.isnan(c) if dtype in FLOATING else c.isNull()
 
 
+def double_sql(column: str) -> str:
+    quoted = column.replace("`", "``")
+    return f"nanvl(cast(`{quoted}` AS double), CAST(NULL AS double))"
+
+
 def as_double(column: str) -> Column:
     """The column as double with NaN turned into null."""
-    c = name(column).cast("double")
-    return F.when(~F.isnan(c), c)
+    return F.expr(double_sql(column))
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.operators.frames import as_double, name
-from tabloom.operators.moments import centre_and_span, pair_moments
+from tabloom.operators.moments import pair_moments, rough_centre
 
 MAX_ITER = 5000
 TOLERANCE = 1e-10
@@ -51,10 +51,7 @@ def collect_moments(
     complete = df.select(*[as_double(c).alias(c) for c in columns], *([name(group)] if group else [])).dropna(
         subset=columns
     )
-    spans = centre_and_span(complete, columns)
-    if spans[target][0] is None:
-        raise ValueError("no complete rows to fit on")
-    shift = np.array([spans[c][0] for c in columns])
+    shift = rough_centre(complete, columns)
     size = len(columns)
     n: dict[int, float] = {}
     s: dict[int, np.ndarray] = {}
@@ -65,6 +62,8 @@ def collect_moments(
             n[g], s[g], ss[g] = r["n"], np.zeros(size), np.zeros((size, size))
         s[g][i], s[g][j] = r["sx"], r["sy"]
         ss[g][i, j] = ss[g][j, i] = r["sxy"]
+    if not n:
+        raise ValueError("no complete rows to fit on")
     return {g: Moments(tuple(features), target, shift, n[g], s[g], ss[g]) for g in sorted(n)}
 
 

@@ -15,28 +15,36 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.operators.frames import as_double, name
+from tabloom.operators.frames import as_double, double_sql, name
 
 CELLS = ("n", "sx", "sy", "sxx", "syy", "sxy")
+SHIFT_ROWS = 1000
 
 
 def centre_and_span(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float, float]]:
     """(mean, min, max) per column; the mean is the shift that keeps the products accurate."""
-    aggs = []
-    for i, c in enumerate(columns):
-        v = as_double(c)
-        aggs += [F.avg(v).alias(f"m{i}"), F.min(v).alias(f"a{i}"), F.max(v).alias(f"z{i}")]
-    row = df.agg(*aggs).first()
+    wide = df.selectExpr(*[f"{double_sql(c)} AS c{i}" for i, c in enumerate(columns)])
+    row = wide.agg(
+        *[F.expr(f"{fn}(c{i}) AS {a}{i}") for i in range(len(columns)) for fn, a in (("avg", "m"), ("min", "a"), ("max", "z"))]
+    ).first()
     return {c: (row[f"m{i}"], row[f"a{i}"], row[f"z{i}"]) for i, c in enumerate(columns)}
 
 
+def rough_centre(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
+    """Means over the first rows. Any shift near the data keeps the products accurate, so no scan is spent on it."""
+    rows = df.select(*[as_double(c).alias(f"c{i}") for i, c in enumerate(columns)]).head(SHIFT_ROWS)
+    values = np.array([[np.nan if v is None else v for v in r] for r in rows], dtype=float).reshape(-1, len(columns))
+    known = ~np.isnan(values)
+    return np.where(known, values, 0.0).sum(axis=0) / np.maximum(1, known.sum(axis=0))
+
+
 def pair_moments(
     df: DataFrame, columns: Sequence[str], shift: Sequence[float], group: str | None = None
 ) -> DataFrame:
-    """`(grp, i, j, n, sx, sy, sxx, syy, sxy)` for i <= j over rows where both columns have values.
+    """`(grp, i, j, n, sx, sy, sxx, syy, sxy, lo, hi)` for i <= j over rows where both columns have values.
 
-    x and y are columns i and j minus their shift. `grp` is 0 without a group column, which
-    must hold few distinct integers (folds, splits).
+    x and y are columns i and j minus their shift; lo and hi bound column i and stand on rows i = j.
+    `grp` is 0 without a group column, which must hold few distinct integers (folds, splits).
     """
     p = len(columns)
     centre = np.asarray(shift, dtype=float)
@@ -46,12 +54,18 @@ def pair_moments(
 
     def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[int, np.ndarray] = {}
+        bounds: dict[int, np.ndarray] = {}
         for batch in batches:
             groups = batch["grp"].to_numpy()
             values = batch.iloc[:, 1:].to_numpy(dtype=float)
             for g in np.unique(groups):
-                x = values[groups == g] - centre
-                known = ~np.isnan(x)
+                raw = values[groups == g]
+                known = ~np.isnan(raw)
+                ends = np.stack(
+                    [np.where(known, raw, np.inf).min(axis=0), -np.where(known, raw, -np.inf).max(axis=0)]
+                )
+                bounds[int(g)] = np.minimum(bounds[int(g)], ends) if int(g) in bounds else ends
+                x = raw - centre
                 x = np.where(known, x, 0.0)
                 k = known.astype(float)
                 square = x * x
@@ -62,8 +76,15 @@ def pair_moments(
             out = {"grp": np.full(len(upper[0]), g, dtype=np.int32), "i": upper[0].astype(np.int32)}
             out["j"] = upper[1].astype(np.int32)
             out.update({c: block[m][upper] for m, c in enumerate(CELLS)})
+            known = (upper[0] == upper[1]) & (block[0][upper] > 0)
+            out["lo"] = np.where(known, bounds[g][0][upper[0]], np.nan)
+            out["hi"] = np.where(known, -bounds[g][1][upper[0]], np.nan)
             yield pd.DataFrame(out)
 
-    schema = "grp int, i int, j int, " + ", ".join(f"{c} double" for c in CELLS)
+    schema = "grp int, i int, j int, " + ", ".join(f"{c} double" for c in (*CELLS, "lo", "hi"))
     cells = narrow.mapInPandas(blocks, schema)
-    return cells.groupBy("grp", "i", "j").agg(*[F.sum(c).alias(c) for c in CELLS])
+    return cells.groupBy("grp", "i", "j").agg(
+        *[F.sum(c).alias(c) for c in CELLS],
+        F.min(F.expr("nanvl(lo, CAST(NULL AS double))")).alias("lo"),
+        F.max(F.expr("nanvl(hi, CAST(NULL AS double))")).alias("hi"),
+    )

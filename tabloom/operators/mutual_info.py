@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabloom.operators.buckets import feature_sketches, quantile_edges, with_bucket
+from tabloom.operators.buckets import bucket_columns
 from tabloom.operators.frames import as_double, melt
-from tabloom.operators.quantiles import column_spans
+from tabloom.operators.grids import quantile_grids
+from tabloom.operators.moments import centre_and_span
 
 
 def mutual_information(
@@ -41,7 +42,7 @@ def mutual_information(
 
 
 def _width_bins(df: DataFrame, features: list[str], target: str, bins: int) -> DataFrame:
-    spans = column_spans(df, [*features, target])
+    spans = centre_and_span(df, [*features, target])
 
     def cell(c: str):
         _, lo, hi = spans[c]
@@ -55,13 +56,8 @@ def _width_bins(df: DataFrame, features: list[str], target: str, bins: int) -> D
 
 
 def _quantile_bins(df: DataFrame, features: list[str], target: str, bins: int) -> DataFrame:
-    edges = quantile_edges(feature_sketches(melt(df, [*features, target])), bins)
-    y = df.withColumn("y_value", as_double(target)).where("y_value is not null")
-    long = melt(y, features, ["y_value"])
-    x = with_bucket(long, edges).withColumnRenamed("bucket", "bx")
-    y_only = {f: edges.get(target, []) for f in features}
-    return (
-        with_bucket(x.select("feature", "bx", F.col("y_value").alias("value")), y_only)
-        .withColumnRenamed("bucket", "by")
-        .select("feature", "bx", "by")
-    )
+    columns = [*features, target]
+    edges = {c: g.edges(bins) for c, g in quantile_grids(df, columns).items()}
+    cells = bucket_columns(df.select(*[as_double(c).alias(c) for c in columns]), edges)
+    known = cells.where(F.col(target).isNotNull()).withColumnRenamed(target, "by")
+    return melt(known, features, ["by"]).withColumnRenamed("value", "bx")

@@ -7,10 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.operators.frames import as_double, melt
-from tabloom.operators.quantiles import SMALL_ROWS, exact_quantiles
+from tabloom.operators.frames import as_double
+from tabloom.operators.quantiles import SMALL_ROWS, column_quantiles, exact_quantiles
 from tabloom.session import small_table
 
+# Range columns of a profile and their ranks.
+RANGES = {"min": 0.0, "max": 1.0, "p25": 0.25, "p75": 0.75}
+
 
 def feature_order(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return small_table(df.sparkSession, list(enumerate(features)), "position int, feature string")
@@ -49,28 +52,23 @@ def feature_profile(
     A feature the table does not have keeps null range columns.
     """
     present = [f for f in features if f in df.columns]
-    rows = describe_features(feature_order(df, features), dictionary).join(
-        medians.select("feature", "median"), "feature", "left"
+    found = column_quantiles(df, present, list(RANGES.values()), small_rows) if present else {}
+    ranges = small_table(
+        df.sparkSession,
+        [(f, *[float(found[f, p]) if (f, p) in found else None for p in RANGES.values()]) for f in features],
+        "feature string, " + ", ".join(f"{c} double" for c in RANGES),
+    )
+    rows = (
+        describe_features(feature_order(df, features), dictionary)
+        .join(medians.select("feature", "median"), "feature", "left")
+        .join(ranges, "feature")
     )
-    if present:
-        spans = melt(df, present).groupBy("feature").agg(F.min("value").alias("min"), F.max("value").alias("max"))
-        quart = (
-            exact_quantiles(df, present, [0.25, 0.75], small_rows)
-            .groupBy("feature")
-            .agg(
-                F.max(F.when(F.col("prob") == 0.25, F.col("value"))).alias("p25"),
-                F.max(F.when(F.col("prob") == 0.75, F.col("value"))).alias("p75"),
-            )
-        )
-        rows = rows.join(spans, "feature", "left").join(quart, "feature", "left")
-    else:
-        rows = rows.select("*", *[F.lit(None).cast("double").alias(c) for c in ("min", "max", "p25", "p75")])
     return rows.orderBy("position").select(
         "feature",
         "description",
         F.round(F.coalesce("median", F.lit(0.0)), 4).alias("median"),
         F.lit(True).alias("auto_imputed_if_missing"),
-        *[F.round(c, 4).alias(c) for c in ("min", "max", "p25", "p75")],
+        *[F.round(c, 4).alias(c) for c in RANGES],
     )
 
 
@@ -96,18 +94,8 @@ def prediction_summary(log: DataFrame, column: str = "prediction", small_rows: i
         F.min(p).alias("min"),
         F.max(p).alias("max"),
     )
-    quart = exact_quantiles(log, [column], [0.25, 0.5, 0.75], small_rows).agg(
-        *[
-            F.max(F.when(F.col("prob") == q, F.col("value"))).alias(alias)
-            for q, alias in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))
-        ]
-    )
-    # both sides are one row each, so this is a concatenation of columns
-    one = F.lit(1).alias("one")
-    return (
-        stats.select(one, "*")
-        .join(quart.select(one, "*"), "one")
-        .select(
-            "n_predictions", *[F.round(c, 4).alias(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")]
-        )
+    found = column_quantiles(log, [column], [0.25, 0.5, 0.75], small_rows)
+    quartiles = [F.lit(found.get((column, q))).cast("double").alias(a) for a, q in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))]
+    return stats.select("*", *quartiles).select(
+        "n_predictions", *[F.round(c, 4).alias(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")]
     )

@@ -1,131 +1,154 @@
-"""Exact quantiles of columns of any length.
+"""Exact order statistics and quantiles of columns of any length.
 
-Up to `small_rows` values a column goes through Spark's own `percentile`, which keeps
-every distinct value of a group in one task. Longer columns never do: each wanted rank is
-enclosed in a value range, the range is cut by counting into equal-width bins, and only the
-bin that holds the rank is kept. A round is one scan whose result has at most `bins` rows per
-rank; the last one sorts the at most `small_rows` values that are left.
+A sketch scan gives each wanted rank a narrow value range. A second scan then replaces every
+value outside the ranges by one stand-in per gap, which keeps the order, and counts equal values
+before the shuffle: what is left to sort is the about one percent of rows inside the ranges. Ranges
+that still hold more than `small_rows` values are narrowed by further scans first. A rank found
+outside its range (the sketch can be wrong) is searched again, so results are always exact.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabloom.operators.frames import as_double, melt, name
+from tabloom.operators.frames import as_double, name
+from tabloom.operators.grids import CELLS, RANK_ERROR, Grid, quantile_grids
 from tabloom.session import small_table
 
 SMALL_ROWS = 5_000_000
-BINS = 4096
+# Share of the rows a range around a rank holds: twice the rank error and the cells it ends in.
+RANGE_SHARE = 2 * (RANK_ERROR + 1 / CELLS)
 
 
-def column_spans(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[int, float, float]]:
-    """(non-missing count, min, max) of every column from one aggregate."""
-    aggs = []
-    for i, c in enumerate(columns):
-        v = as_double(c)
-        aggs += [F.count(v).alias(f"n{i}"), F.min(v).alias(f"a{i}"), F.max(v).alias(f"z{i}")]
-    row = df.agg(*aggs).first()
-    return {c: (row[f"n{i}"], row[f"a{i}"], row[f"z{i}"]) for i, c in enumerate(columns)}
+@dataclass(frozen=True)
+class Search:
+    column: str
+    rank: int
+    lo: float
+    hi: float
+    inside: float
 
 
-def exact_quantiles(
+def column_quantiles(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], small_rows: int = SMALL_ROWS
-) -> DataFrame:
-    """`(feature, prob, value)`, interpolated linearly between neighbouring ranks.
-
-    A column without any value has no rows.
-    """
-    columns, probs = list(columns), [float(p) for p in probs]
-    if df.count() <= small_rows:
-        wanted = F.array(*[F.lit(p) for p in probs])
-        per = melt(df, columns).groupBy("feature").agg(F.percentile("value", wanted).alias("values"))
-        pairs = F.arrays_zip(wanted.alias("prob"), F.col("values").alias("value"))
-        return per.select("feature", F.inline(pairs).alias("prob", "value"))
-    spans = {c: s for c, s in column_spans(df, columns).items() if s[0] > 0}
-    wanted_ranks = [
-        (c, p, pos, rank)
-        for c, (n, _, _) in spans.items()
-        for p in probs
-        for pos in [p * (n - 1)]
-        for rank in sorted({math.floor(pos), math.ceil(pos)})
-    ]
-    found = order_statistics(df, {(c, r) for c, _, _, r in wanted_ranks}, spans, small_rows)
-    weights = small_table(
-        df.sparkSession,
-        [(c, p, r, max(0.0, 1.0 - abs(pos - r))) for c, p, pos, r in wanted_ranks],
-        "feature string, prob double, rank bigint, weight double",
-    )
-    return (
-        found.join(F.broadcast(weights), ["feature", "rank"])
-        .groupBy("feature", "prob")
-        .agg(F.sum(F.col("value") * F.col("weight")).alias("value"))
-    )
+) -> dict[tuple[str, float], float]:
+    """{(column, prob): value}, interpolated linearly between neighbouring ranks. Columns without values are left out."""
+    grids = quantile_grids(df, columns)
+    positions = {(c, p): p * (g.n - 1) for c, g in grids.items() if g.n for p in map(float, probs)}
+    ranks = {(c, r) for (c, _), pos in positions.items() for r in (math.floor(pos), math.ceil(pos))}
+    values = order_values(df, ranks, grids, small_rows)
+    out = {}
+    for (c, p), pos in positions.items():
+        low, high = values[c, math.floor(pos)], values[c, math.ceil(pos)]
+        share = pos - math.floor(pos)
+        out[c, p] = low if share == 0 else low * (1 - share) + high * share
+    return out
 
 
-def order_statistics(
-    df: DataFrame,
-    ranks: set[tuple[str, int]],
-    spans: dict[str, tuple[int, float, float]] | None = None,
-    small_rows: int = SMALL_ROWS,
+def exact_quantiles(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], small_rows: int = SMALL_ROWS
 ) -> DataFrame:
-    """`(feature, rank, value)` for 0-based ranks, by narrowing value ranges."""
-    spark = df.sparkSession
-    columns = sorted({c for c, _ in ranks})
-    spans = spans or column_spans(df, columns)
-    schema = "feature string, rank bigint, lo double, hi double, below bigint"
-    # (lo, hi, values below lo, values inside)
-    ranges = {(c, r): (spans[c][1], spans[c][2], 0, spans[c][0]) for c, r in ranks}
-    while True:
-        wide = {k: v for k, v in ranges.items() if v[3] > small_rows and v[0] < v[1]}
-        if not wide:
-            break
-        table = small_table(spark, [(*k, v[0], v[1], v[2]) for k, v in wide.items()], schema)
-        for row in _narrow(_inside(df, table)).collect():
-            ranges[row["feature"], row["rank"]] = (row["lo"], row["hi"], row["below"], row["inside"])
-    table = small_table(spark, [(*k, v[0], v[1], v[2]) for k, v in ranges.items()], schema)
-    known = table.where("lo = hi").select("feature", "rank", F.col("lo").alias("value"))
+    """`(feature, prob, value)`."""
+    found = column_quantiles(df, columns, probs, small_rows)
+    rows = [(c, p, float(v)) for (c, p), v in found.items()]
+    return small_table(df.sparkSession, rows, "feature string, prob double, value double")
+
+
+def order_values(
+    df: DataFrame, ranks: set[tuple[str, int]], grids: Mapping[str, Grid], small_rows: int = SMALL_ROWS
+) -> dict[tuple[str, int], float]:
+    """{(column, rank): value} for 0-based ranks among the non-missing values."""
+    found: dict[tuple[str, int], float] = {}
+    open_: list[Search] = []
+    for c, r in ranks:
+        g = grids[c]
+        if r <= 0 or g.lo == g.hi:
+            found[c, r] = g.lo
+        elif r >= g.n - 1:
+            found[c, r] = g.hi
+        else:
+            lo, hi = g.around(r)
+            open_.append(Search(c, r, lo, hi, RANGE_SHARE * g.n))
+    while open_:
+        open_ = [_narrowed(df, grids, s) if s.inside > small_rows else s for s in open_]
+        if any(s.inside > small_rows and s.lo < s.hi for s in open_):
+            continue
+        picked = _pick(df, open_)
+        missed = []
+        for s in open_:
+            value = picked[s.column, s.rank]
+            if s.lo <= value <= s.hi:
+                found[s.column, s.rank] = value
+            else:
+                g = grids[s.column]
+                missed.append(replace(s, lo=g.lo, hi=g.hi, inside=g.n))
+        open_ = missed
+    return found
+
+
+def _narrowed(df: DataFrame, grids: Mapping[str, Grid], s: Search) -> Search:
+    """One scan over the values in the range: exact counts below and inside, and a grid to cut with."""
+    v = as_double(s.column)
+    inside = df.select(F.when(v.between(s.lo, s.hi), v).alias("v"))
+    below = df.agg(F.count_if(v < s.lo)).first()[0]
+    g = quantile_grids(inside, ["v"])["v"]
+    at = s.rank - below
+    whole = grids[s.column]
+    if not 0 <= at < g.n:
+        return replace(s, lo=whole.lo, hi=whole.hi, inside=whole.n)
+    if at == 0 or at == g.n - 1 or g.lo == g.hi:
+        edge = g.lo if at == 0 else g.hi
+        return replace(s, lo=edge, hi=edge, inside=1)
+    lo, hi = g.around(at)
+    # a range of one repeated value counts as one entry once equal values are merged
+    return replace(s, lo=lo, hi=hi, inside=1 if lo == hi else RANGE_SHARE * g.n)
+
+
+def _merged(spans: list[tuple[float, float]]) -> list[tuple[float, float]]:
+    out: list[tuple[float, float]] = []
+    for lo, hi in sorted(spans):
+        if out and lo <= out[-1][1]:
+            out[-1] = (out[-1][0], max(hi, out[-1][1]))
+        else:
+            out.append((lo, hi))
+    return out
+
+
+def _snapped(v: Column, spans: list[tuple[float, float]]) -> Column:
+    """`v` inside the spans, else a stand-in of the gap it lies in; order is kept."""
+    expr = F.when(v.isNull(), F.lit(None).cast("double"))
+    before = None
+    for lo, hi in spans:
+        gap = float("-inf") if before is None else before / 2 + lo / 2
+        expr = expr.when(v < lo, F.lit(gap)).when(v <= hi, v)
+        before = hi
+    return expr.otherwise(F.lit(float("inf")))
+
+
+def _pick(df: DataFrame, searches: list[Search]) -> dict[tuple[str, int], float]:
+    columns = sorted({s.column for s in searches})
+    spans = {c: _merged([(s.lo, s.hi) for s in searches if s.column == c]) for c in columns}
+    wide = df.select(*[_snapped(as_double(c), spans[c]).alias(c) for c in columns])
     counts = (
-        _inside(df, table.where("lo < hi")).groupBy("feature", "rank", "below", "value").agg(F.count("*").alias("n"))
-    )
-    upto = Window.partitionBy("feature", "rank").orderBy("value")
-    picked = (
-        counts.withColumn("upto", F.col("below") + F.sum("n").over(upto))
-        .where(F.col("upto") > F.col("rank"))
-        .groupBy("feature", "rank")
-        .agg(F.min("value").alias("value"))
-    )
-    return known.unionByName(picked)
-
-
-def _inside(df: DataFrame, ranges: DataFrame) -> DataFrame:
-    """The values of each searched column that lie in its range; one row per wanted rank."""
-    columns = [r["feature"] for r in ranges.select("feature").distinct().collect()]
-    if not columns:
-        columns = df.columns[:1]
-    return (
-        melt(df, columns)
-        .join(F.broadcast(ranges), "feature")
-        .where(F.col("value").between(F.col("lo"), F.col("hi")))
+        wide.unpivot([], [name(c) for c in columns], "feature", "value")
+        .where("value is not null")
+        .groupBy("feature", "value")
+        .agg(F.count("*").alias("n"))
     )
-
-
-def _narrow(inside: DataFrame) -> DataFrame:
-    """Cut each range in equal-width bins and keep the bin that holds the rank."""
-    share = F.col("value") / 2 - F.col("lo") / 2
-    width = F.col("hi") / 2 - F.col("lo") / 2
-    bin_ = F.least(F.floor(share / width * BINS), F.lit(BINS - 1))
-    hist = (
-        inside.withColumn("bin", bin_)
-        .groupBy("feature", "rank", "below", "bin")
-        .agg(F.count("*").alias("inside"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+    upto = Window.partitionBy("feature").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    wanted = small_table(
+        df.sparkSession, [(s.column, s.rank) for s in searches], "feature string, rank bigint"
     )
-    upto = F.col("below") + F.sum("inside").over(Window.partitionBy("feature", "rank").orderBy("bin"))
-    return (
-        hist.withColumn("upto", upto)
-        .where((F.col("upto") > F.col("rank")) & (F.col("upto") - F.col("inside") <= F.col("rank")))
-        .select("feature", "rank", "lo", "hi", (F.col("upto") - F.col("inside")).alias("below"), "inside")
+    rows = (
+        counts.withColumn("upto", F.sum("n").over(upto))
+        .join(F.broadcast(wanted), "feature")
+        .where((F.col("upto") > F.col("rank")) & (F.col("upto") - F.col("n") <= F.col("rank")))
+        .select("feature", "rank", "value")
+        .collect()
     )
+    return {(r["feature"], r["rank"]): r["value"] for r in rows}

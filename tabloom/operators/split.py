@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from tabloom.functions.columns import below_fraction, digest_number, key_digest
 from tabloom.operators.frames import name
-from tabloom.operators.quantiles import SMALL_ROWS, order_statistics
+from tabloom.operators.grids import quantile_grids
+from tabloom.operators.quantiles import SMALL_ROWS, order_values
 
 
 def row_digest(keys: Sequence[str], seed: int) -> Column:
@@ -37,11 +38,11 @@ def with_exact_split(
     # 52 bits of the digest are exact in a double
     number = F.shiftright(digest_number(row_digest(keys, seed)), 8).cast("double")
     numbered = df.select(number.alias("digest"))
-    n = numbered.count()
-    k = math.ceil(n * test_fraction)
+    grids = quantile_grids(numbered, ["digest"])
+    k = math.ceil(grids["digest"].n * test_fraction)
     if k == 0:
         return df.withColumn("split", F.lit("train"))
-    cut = order_statistics(numbered, {("digest", k - 1)}, None, small_rows).first()["value"]
+    cut = order_values(numbered, {("digest", k - 1)}, grids, small_rows)["digest", k - 1]
     return df.withColumn("split", F.when(number <= F.lit(cut), "test").otherwise("train"))
 
 

@@ -37,8 +37,12 @@ def reduction_sweep(
     spark = train.sparkSession
     order = list(order) if order is not None else ranked_features(fitted, spark)
     if fitted.family == "linear":
-        fit_side = collect_moments(train, order, target)[0]
-        test_side = collect_moments(test, order, target)[0]
+        columns = [*order, target]
+        both = train.select(*columns, F.lit(0).alias("_side")).unionByName(
+            test.select(*columns, F.lit(1).alias("_side"))
+        )
+        sides = collect_moments(both, order, target, "_side")
+        fit_side, test_side = sides[0], sides[1]
         rows = []
         for k in counts:
             top = order[:k]

@@ -233,18 +233,21 @@ def load_model(spark: SparkSession, path: str) -> FittedModel:
 
 def fit_family(df: DataFrame, features: Sequence[str], target: str, family: str, params: dict, seed: int = 42):
     if family == "linear":
-        return _linear(total(collect_moments(df, features, target)), params)
+        return _linear(collect_moments(df, features, target)[0], params)
     return fit_trees(df, features, target, family, params, seed)
 
 
 def fit_winner(
     train: DataFrame, features: Sequence[str], target: str, trial: Trial, cv_rmse: float, n_trials: int, seed: int = 42
 ) -> FittedModel:
-    model = fit_family(train, features, target, trial.family, dict(trial.params), seed)
-    n = len(features)
-    return FittedModel(
-        trial.family, dict(trial.params), tuple(features), model, cv_rmse, n_trials, train.count(), n
-    )
+    """The trial's model on the whole training split."""
+    params = dict(trial.params)
+    if trial.family == "linear":
+        moments = collect_moments(train, features, target)[0]
+        model, rows = _linear(moments, params), int(moments.n)
+    else:
+        model, rows = fit_trees(train, features, target, trial.family, params, seed), train.count()
+    return FittedModel(trial.family, params, tuple(features), model, cv_rmse, n_trials, rows, len(features))
 
 
 def refit(fitted: FittedModel, train: DataFrame, features: Sequence[str], target: str, seed: int = 42) -> FittedModel:
