@@ -1,7 +1,7 @@
 """Tail probabilities of the Kolmogorov-Smirnov distance.
 
 `asymptotic_tail` is the limit series as a column expression. `two_sample_tail` takes sample
-sizes into account: an exact path count for small samples (Hodges 1958), else the law of the
+sizes into account: an exact count of merging paths for small samples (Hodges 1958), else the law of the
 one-sample distance at the effective size, from Durbin's matrix (Marsaglia, Tsang and Wang 2003)
 for small sizes and the Pelz-Good expansion (1976) for others. It runs on one row per feature.
 """
@@ -44,35 +44,35 @@ def asymptotic_tail(d: Column, n: Column, m: Column) -> Column:
 
 
 def path_count_tail(n: int, m: int, d: float) -> float:
-    """P(D >= d) from the share of lattice paths that stay strictly inside the band."""
-    m, n = min(n, m), max(n, m)
+    """P(D >= d): one minus the chance that a random merging of both samples never leaves the band.
+
+    `stay[i + 1]` is the chance that after t values i are from the first sample and no gap so far has
+    reached d. Whole numbers decide what is inside, chances keep every number in range.
+    """
+    n, m = int(n), int(m)
     g = math.gcd(n, m)
     nn, mm = n // g, m // g
     h = round(d * nn * m)
-    if h == 0:
+    if h <= 0:
         return 1.0
-    log_scale = 0.0
-    lo, hi = 0, min(n, -(-h // mm) - 1)
-    row = np.ones(hi - lo + 1)
-    for i in range(1, m + 1):
-        new_lo = max(0, (i * nn - h) // mm + 1)
-        new_hi = min(n, -(-(i * nn + h) // mm) - 1)
-        base = np.zeros(new_hi - new_lo + 1)
-        a, b = max(lo, new_lo), min(hi, new_hi)
-        if a <= b:
-            base[a - new_lo : b - new_lo + 1] = row[a - lo : b - lo + 1]
-        row = np.cumsum(base)
-        top = row[-1]
-        if top == 0.0:
+    both = nn + mm
+    stay = np.zeros(n + 2)
+    stay[1] = 1.0
+    lo = hi = 0
+    for t in range(1, n + m + 1):
+        # |i / n - (t - i) / m| < d, times the least common multiple
+        new_lo = max(0, t - m, (t * nn - h) // both + 1)
+        new_hi = min(n, t, -(-(t * nn + h) // both) - 1)
+        if new_lo > new_hi:
             return 1.0
-        row /= top
-        log_scale += math.log(top)
+        i = np.arange(new_lo, new_hi + 1)
+        from_first = stay[new_lo : new_hi + 1] * (n - i + 1)
+        from_second = stay[new_lo + 1 : new_hi + 2] * (m - t + i + 1)
+        stay[lo + 1 : new_lo + 1] = 0.0
+        stay[new_hi + 2 : hi + 2] = 0.0
+        stay[new_lo + 1 : new_hi + 2] = (from_first + from_second) / (n + m - t + 1)
         lo, hi = new_lo, new_hi
-    if hi < n:
-        return 1.0
-    log_paths = math.lgamma(n + m + 1) - math.lgamma(n + 1) - math.lgamma(m + 1)
-    inside = math.exp(log_scale + math.log(row[-1]) - log_paths) if row[-1] > 0 else 0.0
-    return min(1.0, max(0.0, 1.0 - inside))
+    return min(1.0, max(0.0, 1.0 - float(stay[n + 1])))
 
 
 def matrix_cdf(n: int, d: float) -> float:
