@@ -71,7 +71,7 @@ def _corr_matrix(spark, sf):
 
 
 def _corr_prune(spark, sf):
-    return rounded(correlated_features(lines(spark, sf), FEATURES, THRESHOLD).select("feature", "with_feature", "r"))
+    return rounded(correlated_features(correlation_pairs(lines(spark, sf), FEATURES), THRESHOLD).select("feature", "with_feature", "r"))
 
 
 def _scaler_apply(spark, sf):
@@ -80,14 +80,13 @@ def _scaler_apply(spark, sf):
 
 
 def _plan_fit(spark, sf):
-    """Fitted plan applied to all rows, summed up per output column."""
+    """Fitted plan applied to all rows, summed up per feature."""
     df = lines(spark, sf)
     plan = fit_features(df, CONFIG, ignore=TEXT)
     out = plan.transform(df)
-    return rounded(
-        melt(out, out.columns).groupBy("feature").agg(
-            F.count("*").alias("n"), F.avg("value").alias("mean"), F.stddev_pop("value").alias("sd")
-        ), 4)
+    return melt(out, plan.features).groupBy("feature").agg(
+        F.count("*").alias("n"), (F.round(F.avg("value"), 6) + 0.0).alias("mean"),
+        F.round(F.stddev_pop("value"), 6).alias("sd"))
 
 
 def _plan_apply(spark, sf):
@@ -239,6 +238,18 @@ ORACLE = {
     ) + " FROM f) SELECT l_orderkey, l_linenumber, " + ", ".join(
         f"round({c}, 6) AS {c}" if c == "p_size" else f"round(({c} - m_{c}) / s_{c}, 6) AS {c}" for c in FEATURES
     ) + " FROM f, s",
+    "feature_plan_fit": f"""WITH {LINE_SQL},
+        b AS (SELECT *, CASE WHEN p_size > 5 THEN p_size ELSE 6 END AS pb FROM f),
+        c AS (SELECT *, CASE WHEN pb < 45 THEN pb ELSE 40 END AS size_bin FROM b),
+        l AS (SELECT DISTINCT CASE WHEN l_linenumber = 1 THEN 2 WHEN l_linenumber >= 5 THEN 4 ELSE l_linenumber END AS v
+              FROM lineitem)
+        SELECT 'size_bin' AS feature, count(*) AS n, round(avg(size_bin), 6) AS mean, round(stddev_pop(size_bin), 6) AS sd
+        FROM c
+        UNION ALL SELECT name, (SELECT count(*) FROM f), CAST(0 AS DOUBLE), CAST(1 AS DOUBLE) FROM (
+          SELECT unnest(['l_quantity', 'l_discount', 'l_tax', 'p_retailprice']) AS name
+          UNION ALL SELECT 'gross' FROM f HAVING greatest(abs(corr(l_quantity, gross)), abs(corr(l_discount, gross)),
+            abs(corr(l_tax, gross)), abs(corr(p_retailprice, gross))) <= 0.8
+          UNION ALL SELECT 'line_' || CAST(v AS VARCHAR) FROM l WHERE v <> 2)""",
     "feature_plan_apply": f"""WITH {LINE_SQL},
         s AS (SELECT avg(l_quantity) AS mq, stddev_pop(l_quantity) AS sq, avg(l_discount) AS md,
                      stddev_pop(l_discount) AS sd FROM f),

@@ -22,8 +22,11 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     r is null where one of the two is constant or has no values there.
     """
-    columns = list(columns)
-    cells = pair_moments(df, columns, rough_centre(df, columns))
+    return correlations(pair_moments(df, columns, rough_centre(df, columns)), columns)
+
+
+def correlations(cells: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The same from cells of `pair_moments`, one group only."""
     vx = F.col("sxx") - safe_ratio(F.col("sx") * F.col("sx"), F.col("n"))
     vy = F.col("syy") - safe_ratio(F.col("sy") * F.col("sy"), F.col("n"))
     cov = F.col("sxy") - safe_ratio(F.col("sx") * F.col("sy"), F.col("n"))
@@ -57,12 +60,12 @@ class Prune:
         return df.drop(*self.correlated, *self.listed)
 
 
-def correlated_features(df: DataFrame, columns: Sequence[str], threshold: float) -> DataFrame:
-    """`(feature, with_feature, r)` of the features to drop: those whose |r| with any earlier column
+def correlated_features(pairs: DataFrame, threshold: float) -> DataFrame:
+    """`(j, feature, with_feature, r)` of the features to drop: those whose |r| with any earlier column
     exceeds the threshold, dropped ones included; the first such column is named.
     """
     first = Window.partitionBy("j").orderBy("i")
-    hits = correlation_pairs(df, columns).where(F.abs("r") > threshold)
+    hits = pairs.where(F.abs("r") > threshold)
     return (
         hits.withColumn("nth", F.row_number().over(first))
         .where("nth = 1")
@@ -80,7 +83,11 @@ def fit_prune(
     columns = [c for c in numeric_columns(df) if c not in protected and c != target]
     if len(columns) < 2:
         return Prune(threshold, (), tuple(listed))
-    found = correlated_features(df, columns, threshold).orderBy("j").collect()
+    return prune_of(correlation_pairs(df, columns), threshold, listed)
+
+
+def prune_of(pairs: DataFrame, threshold: float, listed: Sequence[str] = ()) -> Prune:
+    found = correlated_features(pairs, threshold).orderBy("j").collect()
     return Prune(threshold, tuple(r["feature"] for r in found), tuple(listed))
 
 

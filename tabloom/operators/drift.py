@@ -53,8 +53,10 @@ def ks_drift(
         return small_table(spark, [], REPORT)
     stats = ks_statistics(reference, new, columns, min_new, small_rows)
     order = F.array_position(F.array(*[F.lit(c) for c in columns]), F.col("feature"))
+    # the exact law of small samples is the slow part, so features are spread for it
+    spread = stats.repartition(len(columns), "feature") if law == "auto" else stats
     # one row per feature: a single small partition needs no range sampling to be sorted
-    rows = report(stats.coalesce(1), alpha, law).sortWithinPartitions(order)
+    rows = report(spread, alpha, law).repartition(1).sortWithinPartitions(order)
     return rows.select("feature", "ks_statistic", "p_value", "drifted")
 
 

@@ -38,6 +38,16 @@ def rough_centre(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
     return np.where(known, values, 0.0).sum(axis=0) / np.maximum(1, known.sum(axis=0))
 
 
+def collect_cells(df: DataFrame, columns: Sequence[str], group: str | None = None) -> tuple[DataFrame, np.ndarray]:
+    """(the cells of `pair_moments` as a small local table, the shift): p * (p + 1) / 2 rows per group, read once
+    and then used for several fits.
+    """
+    shift = rough_centre(df, columns)
+    cells = pair_moments(df, columns, shift, group)
+    rows = [tuple(r) for r in cells.collect()]
+    return df.sparkSession.createDataFrame(rows, cells.schema), shift
+
+
 def pair_moments(
     df: DataFrame, columns: Sequence[str], shift: Sequence[float], group: str | None = None
 ) -> DataFrame:

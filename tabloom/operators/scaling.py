@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.operators.frames import as_double, name
+from tabloom.operators.frames import melt, name
 from tabloom.session import small_table
 
 
@@ -34,14 +35,25 @@ class Scaler:
 
 
 def scale_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """`(feature, mean, sd)`; a constant column gets deviation 1. One aggregate, then one row per column."""
-    aggs = []
-    for c in columns:
-        v = as_double(c)
-        # min = max marks a constant column whatever rounding the deviation shows
-        sd = F.when(F.min(v) == F.max(v), F.lit(1.0)).otherwise(F.stddev_pop(v))
-        aggs.append(F.struct(F.lit(c).alias("feature"), F.avg(v).alias("mean"), sd.alias("sd")))
-    return df.agg(F.array(*aggs).alias("stats")).select(F.inline("stats"))
+    """`(feature, mean, sd)`; a constant column gets deviation 1."""
+    # min = max marks a constant column whatever rounding the deviation shows
+    sd = F.when(F.min("value") == F.max("value"), F.lit(1.0)).otherwise(F.stddev_pop("value"))
+    return melt(df, columns).groupBy("feature").agg(F.avg("value").alias("mean"), sd.alias("sd"))
+
+
+def scaler_of(cells: DataFrame, columns: Sequence[str], shift: Sequence[float], skip: Sequence[str] = ()) -> Scaler:
+    """The scaler from cells of `pair_moments` instead of another scan."""
+    diagonal = {r["i"]: r for r in cells.where("i = j").collect()}
+    fitted = []
+    for i, c in enumerate(columns):
+        if c in skip:
+            continue
+        r = diagonal[i]
+        mean = r["sx"] / r["n"] if r["n"] else 0.0
+        variance = max(0.0, r["sxx"] / r["n"] - mean * mean) if r["n"] else 0.0
+        flat = r["lo"] == r["hi"] or variance == 0.0
+        fitted.append((c, r["hi"] if r["n"] and flat else shift[i] + mean, 1.0 if flat else math.sqrt(variance)))
+    return Scaler(tuple(c for c, _, _ in fitted), tuple(float(m) for _, m, _ in fitted), tuple(s for _, _, s in fitted))
 
 
 def fit_scaler(df: DataFrame, skip: Sequence[str] = ()) -> Scaler:
@@ -49,6 +61,5 @@ def fit_scaler(df: DataFrame, skip: Sequence[str] = ()) -> Scaler:
     if not columns:
         return Scaler((), (), ())
     stats = {r["feature"]: r for r in scale_stats(df, columns).collect()}
-    return Scaler(
-        tuple(columns), tuple(stats[c]["mean"] for c in columns), tuple(stats[c]["sd"] for c in columns)
-    )
+    known = {c: (stats[c]["mean"], stats[c]["sd"]) if c in stats else (0.0, 1.0) for c in columns}
+    return Scaler(tuple(columns), tuple(known[c][0] for c in columns), tuple(known[c][1] for c in columns))

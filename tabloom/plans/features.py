@@ -7,12 +7,14 @@ from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tabloom.operators.binning import Bins, apply_bins, fit_categories, one_hot
-from tabloom.operators.correlation import Prune, fit_prune
-from tabloom.operators.frames import name
+from tabloom.operators.correlation import Prune, correlations, prune_of
+from tabloom.operators.frames import name, numeric_columns
+from tabloom.operators.moments import collect_cells
 from tabloom.operators.powerlaw import BoxCox, fit_boxcox
-from tabloom.operators.scaling import Scaler, fit_scaler
+from tabloom.operators.scaling import Scaler, scaler_of
 
 # Columns the bins produce and the prefix of the one-hot columns.
 ELEMENT_BIN = "num_elements_simplified"
@@ -130,13 +132,13 @@ def fit_features(df: DataFrame, config: FeatureConfig, ignore: Sequence[str] = (
     raw = binned.drop(*config.drop_raw)
     boxcox = fit_boxcox(raw, config.target, config.transformed_target)
     with_target = boxcox.apply(raw)
-    prune = fit_prune(
-        with_target,
-        config.transformed_target,
-        config.correlation_threshold,
-        config.protected,
-        [c for c in config.drop_listed if c in with_target.columns],
-    )
-    kept = prune.apply(with_target).drop(config.transformed_target)
-    scaler = fit_scaler(kept, config.skip_scaling)
-    return FeaturePlan(config, categories, boxcox, prune, scaler, tuple(kept.columns))
+    # one scan of second moments serves the pruning and the scales
+    columns = [c for c in numeric_columns(with_target) if c != config.transformed_target]
+    cells, shift = collect_cells(with_target, columns)
+    free = [c for c in columns if c not in config.protected]
+    pairs = correlations(cells, columns).where(F.col("feature_i").isin(free) & F.col("feature_j").isin(free))
+    listed = [c for c in config.drop_listed if c in with_target.columns]
+    prune = prune_of(pairs, config.correlation_threshold, listed)
+    kept = prune.apply(with_target).drop(config.transformed_target).columns
+    scaler = scaler_of(cells, columns, shift, [c for c in columns if c in config.skip_scaling or c not in kept])
+    return FeaturePlan(config, categories, boxcox, prune, scaler, tuple(kept))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import logging
 from collections.abc import Mapping
 from pathlib import Path
 
@@ -27,6 +28,8 @@ from tabloom.plans.search import (
 from tabloom.session import small_table
 from tabloom.sources.tables import read_csv, read_optional_csv, uri, write_small, write_table
 
+log = logging.getLogger(__name__)
+
 DIGEST = "_row_digest"
 
 
@@ -54,8 +57,13 @@ def ingest(spark: SparkSession, cfg: Mapping) -> tuple[DataFrame, DataFrame, Dat
     remote = cfg.get("storage", {}).get("backend") == "s3"
     path = uri(cfg, data["s3_raw_train_key"]) if remote else data["raw_train_path"]
     df = read_csv(spark, path)
-    validate(df, data.get("required_columns", REQUIRED_COLUMNS), data.get("min_columns", MIN_COLUMNS))
-    record = manifest(df, path, combined_digest(file_digests(spark, path)))
+    # the manifest counts the nulls, so the checks need not
+    validate(df, data.get("required_columns", REQUIRED_COLUMNS), data.get("min_columns", MIN_COLUMNS), null_counts=False)
+    counted = manifest(df, path, combined_digest(file_digests(spark, path)))
+    row = counted.first()
+    if row["missing_values"]:
+        log.warning("Null values in columns: %s", row["missing_values"])
+    record = spark.createDataFrame([tuple(row)], counted.schema)
     return df, record, read_optional_csv(spark, data.get("raw_metadata_path"))
 
 
