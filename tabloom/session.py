@@ -6,7 +6,10 @@ import tempfile
 import uuid
 from collections.abc import Iterable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def get_session(app: str = "tabloom", master: str | None = None, **conf: object) -> SparkSession:
@@ -54,5 +57,12 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 
 def small_table(spark: SparkSession, rows: Iterable[tuple], schema: str) -> DataFrame:
-    """A parameter table of driver-held values (per feature, per trial), never of data rows."""
-    return spark.createDataFrame(list(rows), schema)
+    """A parameter table of driver-held values (per feature, per trial), never of data rows.
+
+    Handed over as Arrow it becomes a local relation of known size, with no job behind it.
+    """
+    types = T.DataType.fromDDL(schema)
+    fields = to_arrow_schema(types)
+    columns = list(zip(*rows)) or [()] * len(fields)
+    arrays = [pa.array(list(c), type=f.type) for c, f in zip(columns, fields)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=fields), types)

@@ -59,10 +59,12 @@ def split_corrupt(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]
     return good, parsed.where("r._bad is not null").select("value")
 
 
-def map_keys(log: DataFrame, features: str = "features") -> list[str]:
-    """The distinct feature names in a log, sorted; they become columns."""
-    names = log.select(F.explode(F.map_keys(features)).alias("k")).distinct()
-    return sorted(r["k"] for r in names.collect())
+def map_keys(log: DataFrame, features: str = "features", max_columns: int = 10_000) -> list[str]:
+    """The distinct feature names in a log, sorted. They become columns, so more than `max_columns` are refused."""
+    names = log.select(F.explode(F.map_keys(features)).alias("k")).distinct().limit(max_columns + 1).collect()
+    if len(names) > max_columns:
+        raise ValueError(f"the log names more than {max_columns} features")
+    return sorted(r["k"] for r in names)
 
 
 def flatten(log: DataFrame, names: Sequence[str] | None = None, features: str = "features") -> DataFrame:
