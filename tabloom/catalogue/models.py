@@ -38,8 +38,8 @@ from tabloom.session import small_table
 
 PAIR = ["l_quantity", "p_retailprice"]
 ALPHA = 5000.0
-FORMULA = LinearModel(("l_quantity", "p_size", "gross"), (120.0, 35.0, 0.5), 38000.0)
-FORMULA_SQL = "(38000.0 + l_quantity * 120.0 + p_size * 35.0 + gross * 0.5)"
+FORMULA = LinearModel(("l_quantity", "p_size", "gross"), (120.37, 35.91, 0.4567), 38000.0)
+FORMULA_SQL = "(38000.0 + l_quantity * 120.37 + p_size * 35.91 + gross * 0.4567)"
 ORDER_MODEL = LinearModel(tuple(ORDER_FEATURES), (1500.0, -80.0, 310.0, 9000.0), 150000.0)
 DRAWS = 10
 RIDGE_ALPHAS = [1.0, 1000.0, 100000.0, 10000000.0]
@@ -67,6 +67,10 @@ def _ols(spark, sf):
     return _coefficients(spark, fit_linear(m, "ridge", 0.0))
 
 
+def _ols_pair(spark, sf):
+    return _coefficients(spark, fit_linear(collect_moments(lines(spark, sf), PAIR, TARGET)[0], "ridge", 0.0))
+
+
 def _folded(spark, sf):
     return with_fold(lines(spark, sf), LINES)
 
@@ -193,6 +197,7 @@ QUERIES = {
     "ridge_fit": _ridge,
     "elasticnet_fit": _elastic,
     "ols_fit": _ols,
+    "ols_pair_fit": _ols_pair,
     "linear_search": _linear_search,
     "mixed_search": _mixed_search,
     "best_trial": lambda s, sf: rounded(best_trial(_trial_rows(s, sf))),
@@ -250,6 +255,10 @@ ORACLE = {
         SELECT 'l_quantity' AS term, round(w1, 6) AS coefficient FROM r
         UNION ALL SELECT 'p_retailprice', round(w2, 6) FROM r
         UNION ALL SELECT '(intercept)', round(my - w1 * m1 - w2 * m2, 6) FROM r""",
+    "ols_pair_fit": f"""WITH {LINE_SQL}, r AS ({_ridge_sql('f', '0')})
+        SELECT 'l_quantity' AS term, round(w1, 6) AS coefficient FROM r
+        UNION ALL SELECT 'p_retailprice', round(w2, 6) FROM r
+        UNION ALL SELECT '(intercept)', round(my - w1 * m1 - w2 * m2, 6) FROM r""",
     "elasticnet_fit": f"""WITH {LINE_SQL}, c AS (SELECT covar_pop(l_quantity, gross) AS xy, var_pop(l_quantity) AS xx,
           avg(l_quantity) AS mx, avg(gross) AS my FROM f),
         w AS (SELECT *, sign(xy) * greatest(abs(xy) - 3.0 * 0.4, 0) / (xx + 3.0 * 0.6) AS w FROM c)

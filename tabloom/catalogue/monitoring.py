@@ -8,7 +8,7 @@ from tabloom.catalogue.data import FEATURES, LINE_SQL, events, lines, rounded
 from tabloom.catalogue.serving import EXPECTED, MODEL, _log, _requests
 from tabloom.operators.drift import drift_summary, ks_drift, ranked
 from tabloom.operators.profile import medians_dict, training_medians
-from tabloom.session import shared_dir
+from tabloom.session import materialise, shared_dir
 from tabloom.sources.prediction_log import SCHEMA, flatten
 from tabloom.streaming.alarms import error_alarm, latency_alarm
 from tabloom.streaming.scorer import append_json, captured, scored_log
@@ -75,7 +75,8 @@ def _stream_summary(spark, sf):
 
 def _stream_drift(spark, sf):
     """Each closed day of events against all events."""
-    reference = events(spark, sf).groupBy(F.lit("value").alias("feature"), "value").agg(F.count("*").alias("n"))
+    totals = events(spark, sf).groupBy(F.lit("value").alias("feature"), "value").agg(F.count("*").alias("n"))
+    reference = materialise(totals, "reference")
     counts = value_counts(_event_stream(spark, sf), "ts", ["value"], "1 day")
     path = shared_dir(spark, "drift")
     drift_stream(counts, reference, path, shared_dir(spark, "drift-state"), law="asymptotic").awaitTermination()
@@ -84,7 +85,7 @@ def _stream_drift(spark, sf):
 
 
 def _alarm_p99(spark, sf):
-    summary = window_summary(_counts_table(spark, sf, "1 hour"), {"p99": 0.99})
+    summary = materialise(window_summary(_counts_table(spark, sf, "1 hour"), {"p99": 0.99}), "latency")
     out = latency_alarm(summary, 25.0, 3, 3600)
     return rounded(out.select(_at("window_start"), "n", "p99", "breach", "alarm"))
 

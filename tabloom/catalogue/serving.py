@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabloom.catalogue.data import events, rounded
+from tabloom.catalogue.data import events, rounded, table
 from tabloom.operators.linear import LinearModel
 from tabloom.operators.profile import medians_dict, training_medians
 from tabloom.operators.scoring import score_batch, score_requests, score_strict
 from tabloom.session import shared_dir
 from tabloom.sources.codec import decode_requests, encode_responses
 from tabloom.sources.prediction_log import append_log, flatten, log_records, read_log, split_corrupt
+from tabloom.sources.tables import read_csv, write_csv
 
 MODEL = LinearModel(("k", "value", "bonus"), (0.5, 2.0, -1.0), 3.0)
 EXPECTED = list(MODEL.features)
@@ -131,8 +132,20 @@ def _log_text(spark, sf):
     path = shared_dir(spark, "log-text")
     text.write.text(path)
     good, bad = split_corrupt(spark, path)
-    return good.agg(F.count("*").alias("n_good"), F.round(F.sum("prediction"), 4).alias("total")).join(
-        bad.agg(F.count("*").alias("n_bad")), how="cross")
+    both = good.select(F.lit(True).alias("ok"), "prediction").unionByName(
+        bad.select(F.lit(False).alias("ok"), F.lit(None).cast("double").alias("prediction")))
+    return both.agg(F.count_if("ok").alias("n_good"), F.round(F.sum("prediction"), 4).alias("total"),
+                    F.count_if(~F.col("ok")).alias("n_bad"))
+
+
+def _csv_round_trip(spark, sf):
+    """Line items written as CSV and read back with their schema."""
+    items = table(spark, sf, "lineitem").select("l_orderkey", "l_returnflag", "l_quantity", "l_extendedprice")
+    path = shared_dir(spark, "csv")
+    write_csv(items, path)
+    back = read_csv(spark, path, items.schema)
+    return back.groupBy("l_returnflag").agg(
+        F.count("*").alias("n"), F.sum("l_orderkey").alias("keys"), F.round(F.sum("l_extendedprice"), 2).alias("price"))
 
 
 QUERIES = {
@@ -146,6 +159,7 @@ QUERIES = {
     "log_flatten": _log_flatten,
     "log_flatten_overwrite": _log_overwrite,
     "log_corrupt_lines": _log_text,
+    "csv_round_trip": _csv_round_trip,
 }
 
 _K = "CAST(json_extract(props, '$.k') AS DOUBLE)"
@@ -191,6 +205,8 @@ ORACLE = {
     "log_flatten_overwrite": """SELECT CAST(event_id AS VARCHAR) AS request_id,
         round(CASE WHEN event_type = 'view' THEN value ELSE value + 1 END, 6) AS prediction,
         CASE WHEN event_type <> 'view' THEN value END AS k FROM events""",
+    "csv_round_trip": """SELECT l_returnflag, count(*) AS n, CAST(sum(l_orderkey) AS BIGINT) AS keys,
+        round(sum(l_extendedprice), 2) AS price FROM lineitem GROUP BY 1""",
     "log_corrupt_lines": """SELECT count(*) FILTER (WHERE event_type NOT IN ('error', 'signup')) AS n_good,
         round(sum(value) FILTER (WHERE event_type NOT IN ('error', 'signup')), 4) AS total,
         count(*) FILTER (WHERE event_type = 'error') AS n_bad FROM events""",

@@ -12,7 +12,7 @@ PERIOD_SECONDS = 60
 
 
 def alarm_states(metrics: DataFrame, breach: Column, run: int, period_seconds: int = PERIOD_SECONDS) -> DataFrame:
-    """Add `breach` and `alarm` to rows with a `window_start`.
+    """Add `breach` and `alarm` to rows with a `window_start`, best from a kept table: they are read twice.
 
     The alarm is on where the window and the run - 1 periods right before it all breach; a period
     without data does not. Every breach votes for the windows it can be part of the run of, so the

@@ -84,6 +84,8 @@ def drift_stream(
 ) -> StreamingQuery:
     """Test every closed window against the reference as it leaves the state.
 
+    Every micro-batch reads `reference_counts`, so it should be a kept table.
+
     Each micro-batch writes its own folder, so a repeated batch replaces what it wrote before.
     """
 
