@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabloom.llm import common, decontaminate, simhash, token_files, url_rules
+from tabloom.llm import common, decontaminate, simhash, substring_index, suffix_levels, token_files, url_rules
 
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 
@@ -31,6 +31,14 @@ def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op3_suffix_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_levels.report(table(spark, sf_dir, "documents"))
+
+
+def op5_substring_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_index.report(table(spark, sf_dir, "documents"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -39,7 +47,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_url_rules, op7_decontaminate, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op1_token_files, op2_url_rules, op3_suffix_levels, op5_substring_index, op7_decontaminate, op10_simhash)}
 
 ORACLE = {
     "op2_url_rules": """

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabloom.operators.frames import name
@@ -56,19 +56,21 @@ def crc_fold(column: str) -> Column:
 
 
 def numbered(docs: DataFrame, id_column: str, text: str, parts: int) -> DataFrame:
-    """Rows (did, copy, text) dealt by did: did is the id, null as the smallest long, copy numbers rows of one id.
+    """Rows (did, copy, id, text, row) dealt by did: did is the id, null as the smallest long, copy numbers rows of one did.
 
-    Rows of one id are told apart by the order of their texts, so repeated rows stay separate documents.
+    Rows of one id are told apart by the order of their texts, so repeated rows stay separate documents. `row` is a struct of
+    all columns, whatever their names, with the text left out: it is null there only if the text is.
     """
-    from pyspark.sql import Window
-
+    rest = F.struct(*[
+        F.when(name(c).isNotNull(), F.lit("")).alias(c) if c == text else name(c).alias(c) for c in docs.columns
+    ])
     least = F.lit(-(2**63)).cast("long")
     own = docs.select(
-        F.coalesce(name(id_column).cast("long"), least).alias("did"),
-        name(id_column).isNull().alias("no_id"),
-        F.coalesce(name(text), F.lit("")).alias("text"),
+        F.coalesce(name(id_column).cast("long"), least).alias("did"), name(id_column).cast("long").alias("id"),
+        F.coalesce(name(text), F.lit("")).alias("text"), rest.alias("row"),
     ).repartition(parts, "did")
-    return own.withColumn("copy", F.row_number().over(Window.partitionBy("did").orderBy(~F.col("no_id"), "text")) - 1)
+    order = Window.partitionBy("did").orderBy(F.col("id").isNotNull(), "text")
+    return own.withColumn("copy", F.row_number().over(order) - 1)
 
 
 def text_slices(column: pa.Array, limit: int = SLICE) -> Iterator[tuple[int, int]]:

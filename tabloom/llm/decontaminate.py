@@ -152,7 +152,7 @@ def drop_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFram
     return mark(docs, benchmark, **options).where(F.size("hit_spans") == 0).select(*[name(c) for c in docs.columns])
 
 
-@F.udf(T.StringType())
+@F.udf(returnType=T.StringType(), useArrow=False)
 def _without(text: str | None, spans: list) -> str | None:
     if text is None or not spans:
         return text
