@@ -1,17 +1,49 @@
-"""The corpus pipeline: stages over the documents table, each written as Parquet and read again by the next."""
+"""The corpus pipeline: stages over the documents table, each written as Parquet and read again by the next.
+
+Toxic documents go, one document of each near-duplicate group stays, repeated passages are cut out, documents that hold benchmark
+passages go, and what is left is packed into batches. All stages but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tabloom.llm import catalogue, common, decontaminate, length_buckets, simhash, suffix_levels, toxicity
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = toxicity.fit(docs, catalogue.table(spark, sf_dir, "labels"))
+    return toxicity.keep_clean(docs, model)
+
+
+def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.keep_one(docs)
+
+
+def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    cut = suffix_levels.remove_repeats(docs)
+    return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else cut
+
+
+def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.drop_documents(docs, catalogue.table(spark, sf_dir, "benchmark"))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return length_buckets.report(docs, catalogue.byte_bpe())
 
-from tabloom.llm import common
 
-STAGES: list = []
+STAGES = [
+    ("toxicity", toxicity_stage), ("simhash", simhash_stage), ("suffix_levels", suffix_stage), ("decontaminate", benchmark_stage),
+    ("packing", packing_stage),
+]
+#: Fitted trees, fingerprints and token ids are beyond SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = catalogue.table(spark, sf_dir, "documents")
     for k, (label, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         docs = common.written(docs, label) if k + 1 < len(STAGES) else docs

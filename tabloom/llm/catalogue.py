@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tabloom.llm import common, decontaminate, simhash, substring_index, suffix_levels, token_files, url_rules
+from tabloom.llm import (
+    common, decontaminate, language_profiles, length_buckets, quality_ratio, simhash, substring_index, suffix_levels, token_files, toxicity, url_rules,
+)
 
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 
@@ -35,19 +36,38 @@ def op3_suffix_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_levels.report(table(spark, sf_dir, "documents"))
 
 
+def op4_quality_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_ratio.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_substring_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_index.report(table(spark, sf_dir, "documents"))
 
 
+def op6_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return length_buckets.report(table(spark, sf_dir, "documents"), byte_bpe())
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_language_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_profiles.report(table(spark, sf_dir, "documents"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_files, op2_url_rules, op3_suffix_levels, op5_substring_index, op7_decontaminate, op10_simhash)}
+QUERIES = {f.__name__: f for f in (
+    op1_token_files, op2_url_rules, op3_suffix_levels, op4_quality_ratio, op5_substring_index, op6_length_buckets, op7_decontaminate, op8_toxicity,
+    op9_language_profiles, op10_simhash,
+)}
 
 ORACLE = {
     "op2_url_rules": """

@@ -14,7 +14,7 @@ from itertools import accumulate, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabloom.llm import common
@@ -230,18 +230,37 @@ def links(prints: DataFrame, distance: int = 3) -> DataFrame:
     return groups.repartition(parts, "key").mapInArrow(_links(distance), "a long, b long").distinct()
 
 
-def near_duplicates(
-    docs: DataFrame, id_column: str = "doc_id", text: str = "text", words_per_shingle: int = 3, distance: int = 3,
-) -> DataFrame:
-    """Rows (id, fp, fingerprint as 16 hex digits, component_id), one per row of `docs`."""
-    prints = common.written(
-        fingerprints(docs.select(name(id_column).alias("id"), name(text).alias("text")), "text", words_per_shingle), "fingerprints",
-    )
+def _members(docs: DataFrame, id_column: str, text: str, words_per_shingle: int, distance: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (id, look, fp) per document, look being a hash of the text; and rows (fp, root, component_id) per fingerprint."""
+    own = docs.select(name(id_column).alias("id"), F.xxhash64(name(text)).alias("look"), name(text).alias("text"))
+    prints = common.written(fingerprints(own, "text", words_per_shingle), "fingerprints")
     least = prints.groupBy("fp").agg(F.min("id").alias("least"))
     roots = components(links(least, distance))
     joined = least.join(roots, F.col("fp") == F.col("node"), "left").withColumn("root", F.coalesce("root", "fp")).select("fp", "least", "root")
     ids = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    member = joined.select("fp", "root").join(ids, "root").select("fp", "component_id")
-    return prints.join(member, "fp").select(
+    return prints, joined.select("fp", "root").join(ids, "root")
+
+
+def near_duplicates(
+    docs: DataFrame, id_column: str = "doc_id", text: str = "text", words_per_shingle: int = 3, distance: int = 3,
+) -> DataFrame:
+    """Rows (id, fp, fingerprint as 16 hex digits, component_id), one per row of `docs`."""
+    prints, members = _members(docs, id_column, text, words_per_shingle, distance)
+    return prints.join(members, "fp").select(
         F.col("id").alias(id_column), "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id",
     )
+
+
+def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text", words_per_shingle: int = 3, distance: int = 3) -> DataFrame:
+    """One row of `docs` for each component: the least non-null id (a null id only if there is no other), then by text."""
+    prints, members = _members(docs, id_column, text, words_per_shingle, distance)
+    order = F.struct(F.col("id").isNull().alias("no_id"), "id", "look")
+    first = common.written(prints.join(members, "fp").groupBy("root").agg(F.min(order).alias("o")).select("o.no_id", "o.id", "o.look"), "kept")
+    same = (F.col("own_id") == F.coalesce("id", F.lit(0))) & (F.col("own_null") == F.col("no_id")) & (F.col("own_look") == F.col("look"))
+    own = docs.select(
+        F.struct(*[name(c) for c in docs.columns]).alias("row"), F.coalesce(name(id_column).cast("long"), F.lit(0)).alias("own_id"),
+        name(id_column).isNull().alias("own_null"), F.xxhash64(name(text)).alias("own_look"),
+    )
+    kept = own.join(first, same, "left_semi")
+    once = Window.partitionBy("own_id", "own_null", "own_look").orderBy("own_look")
+    return kept.withColumn("n", F.row_number().over(once)).where("n = 1").select(*[F.col("row")[c].alias(c) for c in docs.columns])
