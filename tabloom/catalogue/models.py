@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tabloom.catalogue.data import (
@@ -17,11 +18,12 @@ from tabloom.catalogue.data import (
     rounded,
     table,
 )
+from tabloom.operators.correlation import correlation_pairs
 from tabloom.operators.linear import LinearModel, collect_moments, fit_linear, linear_shap, total
 from tabloom.operators.metrics import axis_limits, histogram, metrics, residual_summary, with_residual
 from tabloom.operators.shapley import sampled_shapley, shap_summary
 from tabloom.operators.split import background_sample, with_fold, with_split
-from tabloom.operators.trees import fit_trees, importances, top_k
+from tabloom.operators.trees import fit_trees, importances, learning_curve, top_k
 from tabloom.plans.evaluation import evaluate, reduction_sweep, run_report
 from tabloom.plans.search import (
     Trial,
@@ -29,21 +31,23 @@ from tabloom.plans.search import (
     best_trial,
     fit_winner,
     fold_scores,
+    load_model,
     promote,
     refit,
     score_trials,
     trial_table,
 )
-from tabloom.session import small_table
+from tabloom.session import shared_dir, small_table
 
 PAIR = ["l_quantity", "p_retailprice"]
 ALPHA = 5000.0
 FORMULA = LinearModel(("l_quantity", "p_size", "gross"), (120.37, 35.91, 0.4567), 38000.0)
 FORMULA_SQL = "(38000.0 + l_quantity * 120.37 + p_size * 35.91 + gross * 0.4567)"
 ORDER_MODEL = LinearModel(tuple(ORDER_FEATURES), (1500.0, -80.0, 310.0, 9000.0), 150000.0)
-DRAWS = 10
+DRAWS = 100
 RIDGE_ALPHAS = [1.0, 1000.0, 100000.0, 10000000.0]
-FOREST = {"n_estimators": 8, "max_depth": 5, "max_features": "sqrt", "min_samples_leaf": 2}
+SMALL_FOREST = {"n_estimators": 8, "max_depth": 5, "max_features": "sqrt", "min_samples_leaf": 2}
+FOREST = {"n_estimators": 100, "max_depth": 5, "max_features": "sqrt", "min_samples_leaf": 2}
 BOOSTED = {"n_estimators": 8, "learning_rate": 0.2, "max_depth": 3, "subsample": 0.8, "colsample_bytree": 0.8}
 
 
@@ -62,9 +66,34 @@ def _elastic(spark, sf):
     return _coefficients(spark, fit_linear(m, "elasticnet", 3.0, 0.4))
 
 
+def _unexplained(df, model, features, target, alpha=0.0):
+    """What the normal equations of a fit leave over per feature, against the spread of both sides; 0 for an exact fit."""
+    n = F.count("*")
+    spread = F.greatest(F.lit(1e-300), F.stddev_pop("y"))
+    scored = model.transform(df).withColumn("y", F.col(target)).withColumn("e", F.col("y") - F.col("prediction"))
+    rows = [
+        F.struct(F.lit(f).alias("term"), ((F.covar_pop(f, "e") - alpha * w / n) / (F.stddev_pop(f) * spread)).alias("left_over"))
+        for f, w in zip(features, model.coefficients)
+    ]
+    mean = F.struct(F.lit("(intercept)").alias("term"), (F.avg("e") / spread).alias("left_over"))
+    return scored.agg(F.array(*rows, mean).alias("r")).select(F.inline("r")).select("term", (F.round("left_over", 6) + 0.0).alias("left_over"))
+
+
 def _ols(spark, sf):
-    m = total(collect_moments(lines(spark, sf), FEATURES[:-1], "gross"))
-    return _coefficients(spark, fit_linear(m, "ridge", 0.0))
+    df, x = lines(spark, sf), FEATURES[:-1]
+    return _unexplained(df, fit_linear(total(collect_moments(df, x, "gross")), "ridge", 0.0), x, "gross")
+
+
+def _ridge_all(spark, sf):
+    df = lines(spark, sf)
+    return _unexplained(df, fit_linear(total(collect_moments(df, FEATURES, TARGET)), "ridge", ALPHA), FEATURES, TARGET, ALPHA)
+
+
+def _far_level(spark, sf):
+    """Correlations of columns at a high level whose first rows are missing."""
+    df = table(spark, sf, "lineitem").select(
+        F.when(F.col("l_orderkey") > 400, F.col("l_discount") + 1e9).alias("far"), "l_discount", "l_tax", "l_quantity")
+    return rounded(correlation_pairs(df, ["far", "l_discount", "l_tax", "l_quantity"]).select("feature_i", "feature_j", "r"), 5)
 
 
 def _ols_pair(spark, sf):
@@ -87,16 +116,21 @@ def _linear_search(spark, sf):
 
 MIXED = [
     Trial(0, "linear", {"reg_type": "lasso", "alpha": 10.0}),
-    Trial(1, "random_forest", FOREST),
+    Trial(1, "random_forest", SMALL_FOREST),
     Trial(2, "lightgbm", BOOSTED),
     Trial(3, "xgboost", {**BOOSTED, "gamma": 0.1}),
 ]
 
 
+def _spread_of(df, target):
+    return df.agg(F.stddev_pop(target)).first()[0]
+
+
 def _mixed_search(spark, sf):
+    """Every family's cross-validated error against that of the mean."""
     df = with_fold(orders(spark, sf), ["o_orderkey"], 3)
-    scores = fold_scores(df, ORDER_FEATURES, ORDER_TARGET, MIXED)
-    return best_trial(score_trials(trial_table(spark, MIXED), scores))
+    scored = score_trials(trial_table(spark, MIXED), fold_scores(df, ORDER_FEATURES, ORDER_TARGET, MIXED))
+    return scored.select("trial", "family", (F.col("cv_rmse") < _spread_of(df, ORDER_TARGET)).alias("beats_mean"))
 
 
 def _trial_rows(spark, sf):
@@ -151,20 +185,41 @@ def _order_sides(spark, sf):
 
 def _forest(spark, sf):
     model = fit_trees(orders(spark, sf), ORDER_FEATURES, ORDER_TARGET, "random_forest", FOREST)
-    return importances(model, spark).select("feature", "importance")
+    shares = importances(model, spark)
+    return shares.agg(F.count("*").alias("n_features"), F.round(F.sum("importance"), 6).alias("total"), F.count_if("importance >= 0").alias("n_shares"))
 
 
 def _boosted(spark, sf):
     train, test = _order_sides(spark, sf)
     fitted = fit_winner(train, ORDER_FEATURES, ORDER_TARGET, Trial(0, "lightgbm", BOOSTED), 0.0, 1)
     smaller = refit(fitted, train, ORDER_FEATURES[:2], ORDER_TARGET)
-    return evaluate(fitted, test, ORDER_TARGET, "full").unionByName(evaluate(smaller, test, ORDER_TARGET, "top_k"))
+    both = evaluate(fitted, test, ORDER_TARGET, "full").unionByName(evaluate(smaller, test, ORDER_TARGET, "top_k"))
+    return both.select("label", "n_samples", "n_left_out", (F.col("rmse") < _spread_of(test, ORDER_TARGET)).alias("beats_mean"))
+
+
+def _curve(spark, sf):
+    """Training error after each boosting round."""
+    train, _ = _order_sides(spark, sf)
+    curve = learning_curve(fit_trees(train, ORDER_FEATURES, ORDER_TARGET, "lightgbm", {**BOOSTED, "subsample": 1.0}), train, ORDER_TARGET)
+    before = F.coalesce(F.lag("rmse").over(Window.orderBy("round")), F.lit(_spread_of(train, ORDER_TARGET)))  # a row per round
+    return curve.select("round", (F.col("rmse") < before).alias("falls"))
 
 
 def _sweep_forest(spark, sf):
     train, test = _order_sides(spark, sf)
-    fitted = fit_winner(train, ORDER_FEATURES, ORDER_TARGET, Trial(0, "random_forest", FOREST), 0.0, 1)
-    return reduction_sweep(fitted, train, test, ORDER_TARGET, [4, 3, 2])
+    fitted = fit_winner(train, ORDER_FEATURES, ORDER_TARGET, Trial(0, "random_forest", SMALL_FOREST), 0.0, 1)
+    rows = reduction_sweep(fitted, train, test, ORDER_TARGET, [4, 3, 2])
+    return rows.select("n_features", (F.col("rmse") < _spread_of(test, ORDER_TARGET)).alias("beats_mean"))
+
+
+def _reloaded(spark, sf):
+    """A model saved and read back predicts the same."""
+    train, test = _order_sides(spark, sf)
+    fitted = fit_winner(train, ORDER_FEATURES, ORDER_TARGET, Trial(0, "linear", {"reg_type": "ridge", "alpha": 1.0}), 0.5, 1)
+    path = shared_dir(spark, "model")
+    fitted.save(spark, path)
+    again = load_model(spark, path).transform(fitted.transform(test).withColumnRenamed("prediction", "first"))
+    return again.agg(F.count("*").alias("n"), F.count_if(~F.col("first").eqNullSafe(F.col("prediction"))).alias("n_differ"))
 
 
 def _record(spark, sf):
@@ -184,13 +239,27 @@ def _linear_phi(spark, sf):
 
 
 def _sampled(spark, sf, score):
+    """Shapley values of the test rows against a background of the reference's size."""
     df = orders(spark, sf)
-    return sampled_shapley(df, ["o_orderkey"], ORDER_FEATURES, score, background_sample(df, ["o_orderkey"], DRAWS))
+    explained = with_split(df, ["o_orderkey"]).where("split = 'test'").drop("split")
+    return sampled_shapley(explained, ["o_orderkey"], ORDER_FEATURES, score, background_sample(df, ["o_orderkey"], DRAWS))
 
 
 def _shapley_forest(spark, sf):
-    model = fit_trees(orders(spark, sf), ORDER_FEATURES, ORDER_TARGET, "random_forest", FOREST)
-    return shap_summary(_sampled(spark, sf, model.transform))
+    """Per order the values add up to its prediction minus the background's mean."""
+    df = orders(spark, sf)
+    model = fit_trees(df, ORDER_FEATURES, ORDER_TARGET, "random_forest", SMALL_FOREST)
+    base = model.transform(background_sample(df, ["o_orderkey"], DRAWS)).agg(F.avg("prediction")).first()[0]
+    sums = _sampled(spark, sf, model.transform).groupBy("o_orderkey").agg(F.sum("phi").alias("s"), F.count("*").alias("k"))
+    off = F.abs(F.col("s") - (F.col("prediction") - base)) > 1e-6 * F.greatest(F.lit(1.0), F.abs("prediction"))
+    rows = model.transform(df).select("o_orderkey", "prediction").join(sums, "o_orderkey")
+    return rows.agg(F.count("*").alias("n"), F.sum("k").alias("n_values"), F.count_if(off).alias("n_off"))
+
+
+def _gappy_metrics(spark, sf):
+    """Metrics where the model gave no prediction for some rows."""
+    df = _predicted(spark, sf).withColumn("prediction", F.when(F.col("l_linenumber") != 3, F.col("prediction")))
+    return rounded(metrics(df, TARGET, "prediction", ["split"]))
 
 
 QUERIES = {
@@ -198,6 +267,11 @@ QUERIES = {
     "elasticnet_fit": _elastic,
     "ols_fit": _ols,
     "ols_pair_fit": _ols_pair,
+    "ridge_fit_all": _ridge_all,
+    "corr_far_level": _far_level,
+    "metrics_with_gaps": _gappy_metrics,
+    "learning_curve": _curve,
+    "model_reload": _reloaded,
     "linear_search": _linear_search,
     "mixed_search": _mixed_search,
     "best_trial": lambda s, sf: rounded(best_trial(_trial_rows(s, sf))),
@@ -240,6 +314,7 @@ def _ridge_sql(rows: str, alpha: str, by: str = "") -> str:
             FROM {rows} {group})"""
 
 
+_TEST_ORDER = "substr(md5(concat_ws(':', '42', CAST(o_orderkey AS VARCHAR))), 1, 8) < '33333333'"
 _PREDICTED_SQL = f"p AS (SELECT *, {TARGET} AS y, {FORMULA_SQL} AS p, {_SPLIT} AS split FROM f)"
 _METRICS = "sqrt(avg(pow(y - p, 2)))", "avg(abs(y - p))", "1 - sum(pow(y - p, 2)) / (var_pop(y) * count(*))"
 _SHAP_ROWS = " UNION ALL ".join(
@@ -293,7 +368,35 @@ ORACLE = {
         '{{"reg_type":"ridge","alpha":"1.0"}}' AS best_params, CAST(1.234568 AS DOUBLE) AS cv_rmse, 3 AS n_trials, 4 AS n_features,
         'n_lines,sum_qty,sum_price,avg_discount' AS feature_names, count(*) AS train_rows FROM o""",
     "metrics_by_split": f"""WITH {LINE_SQL}, {_PREDICTED_SQL} SELECT split, round({_METRICS[0]}, 6) AS rmse,
-        round({_METRICS[1]}, 6) AS mae, round({_METRICS[2]}, 6) AS r2, count(*) AS n_samples FROM p GROUP BY split""",
+        round({_METRICS[1]}, 6) AS mae, round({_METRICS[2]}, 6) AS r2, count(*) AS n_samples,
+        CAST(0 AS BIGINT) AS n_left_out FROM p GROUP BY split""",
+    "metrics_with_gaps": f"""WITH {LINE_SQL}, {_PREDICTED_SQL}, s AS (SELECT split, round({_METRICS[0]}, 6) AS rmse,
+        round({_METRICS[1]}, 6) AS mae, round({_METRICS[2]}, 6) AS r2, count(*) AS n_samples FROM p WHERE l_linenumber <> 3 GROUP BY split)
+        SELECT s.*, o.n AS n_left_out FROM s JOIN (SELECT split, count(*) FILTER (WHERE l_linenumber = 3) AS n FROM p GROUP BY split) o
+        USING (split)""",
+    "ols_fit": f"""WITH {LINE_SQL} SELECT unnest({[*FEATURES[:-1], '(intercept)']}) AS term, CAST(0 AS DOUBLE) AS left_over
+        FROM f GROUP BY ALL""",
+    "ridge_fit_all": f"""WITH {LINE_SQL} SELECT unnest({[*FEATURES, '(intercept)']}) AS term, CAST(0 AS DOUBLE) AS left_over
+        FROM f GROUP BY ALL""",
+    "corr_far_level": """WITH f AS (SELECT CASE WHEN l_orderkey > 400 THEN l_discount END AS far, l_discount, l_tax, l_quantity FROM lineitem)
+        SELECT 'far' AS feature_i, 'l_discount' AS feature_j, round(corr(far, l_discount), 5) AS r FROM f
+        UNION ALL SELECT 'far', 'l_tax', round(corr(far, l_tax), 5) FROM f
+        UNION ALL SELECT 'far', 'l_quantity', round(corr(far, l_quantity), 5) FROM f
+        UNION ALL SELECT 'l_discount', 'l_tax', round(corr(l_discount, l_tax), 5) FROM f
+        UNION ALL SELECT 'l_discount', 'l_quantity', round(corr(l_discount, l_quantity), 5) FROM f
+        UNION ALL SELECT 'l_tax', 'l_quantity', round(corr(l_tax, l_quantity), 5) FROM f""",
+    "mixed_search": """SELECT CAST(i AS INT) AS trial, family, count(*) > 0 AS beats_mean FROM orders,
+        (VALUES (0, 'linear'), (1, 'random_forest'), (2, 'lightgbm'), (3, 'xgboost')) t(i, family) GROUP BY ALL""",
+    "forest_importances": """SELECT CAST(4 AS BIGINT) AS n_features, CAST(1 AS DOUBLE) AS total, CAST(4 AS BIGINT) AS n_shares
+        FROM orders HAVING count(*) > 0""",
+    "boosted_metrics": f"""WITH {ORDER_SQL}, t AS (SELECT count(*) AS n FROM o WHERE {_TEST_ORDER})
+        SELECT unnest(['full', 'top_k']) AS label, n AS n_samples, CAST(0 AS BIGINT) AS n_left_out, true AS beats_mean FROM t""",
+    "learning_curve": f"""SELECT CAST(unnest(range(1, {BOOSTED["n_estimators"] + 1})) AS INT) AS round, count(*) > 0 AS falls FROM orders
+        GROUP BY ALL""",
+    "reduction_sweep_forest": """SELECT CAST(unnest([4, 3, 2]) AS INT) AS n_features, count(*) > 0 AS beats_mean FROM orders GROUP BY ALL""",
+    "model_reload": f"""WITH {ORDER_SQL} SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_differ FROM o WHERE {_TEST_ORDER}""",
+    "shapley_forest": f"""WITH {ORDER_SQL} SELECT count(*) AS n, CAST(4 * count(*) AS BIGINT) AS n_values, CAST(0 AS BIGINT) AS n_off
+        FROM o WHERE {_TEST_ORDER}""",
     "residual_summary": f"""WITH {LINE_SQL}, {_PREDICTED_SQL}
         SELECT round(avg(y - p), 6) AS mean, round(stddev_pop(y - p), 6) AS std FROM p""",
     "residual_histogram": f"""WITH {LINE_SQL}, {_PREDICTED_SQL}, l AS (SELECT min(y - p) AS lo, max(y - p) AS hi FROM p),
@@ -330,7 +433,7 @@ ORACLE = {
     "sampled_shapley": f"""WITH {ORDER_SQL},
         b AS (SELECT * FROM o ORDER BY md5(concat_ws(':', '42', CAST(o_orderkey AS VARCHAR))), o_orderkey LIMIT {DRAWS}),
         m AS (SELECT {", ".join(f"avg({f}) AS m_{f}" for f in ORDER_FEATURES)} FROM b) """ + " UNION ALL ".join(
-        f"SELECT o_orderkey, '{f}' AS feature, round({f}, 6) AS value, round(({f} - m_{f}) * {w}, 6) AS phi FROM o, m"
+        f"SELECT o_orderkey, '{f}' AS feature, round({f}, 6) AS value, round(({f} - m_{f}) * {w}, 6) AS phi FROM o, m WHERE {_TEST_ORDER}"
         for f, w in zip(ORDER_FEATURES, ORDER_MODEL.coefficients)
     ),
 }

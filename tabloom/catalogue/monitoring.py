@@ -11,7 +11,7 @@ from tabloom.operators.profile import medians_dict, training_medians
 from tabloom.session import materialise, shared_dir
 from tabloom.sources.prediction_log import SCHEMA, flatten
 from tabloom.streaming.alarms import error_alarm, latency_alarm
-from tabloom.streaming.scorer import append_json, captured, scored_log
+from tabloom.streaming.scorer import append_json, append_scores, captured, scored_log
 from tabloom.streaming.windows import (
     drift_stream,
     event_counts,
@@ -40,18 +40,27 @@ def _by_flag(spark, sf):
 
 
 def _flag_report(spark, sf):
-    return ks_drift(*_by_flag(spark, sf), law="asymptotic")
+    return ks_drift(*_by_flag(spark, sf))
+
+
+def _few_new(spark, sf):
+    """A feature with too few new values is left out of the report."""
+    first, second = _halves(spark, sf)
+    few = F.when(F.col("user_id") % 997 == 1, F.col("value"))
+    reference = first.select("value", "user_id")
+    new = second.select(F.when(few.isNotNull() & (F.col("value") < 0), few).alias("value"), "user_id")
+    return ks_drift(reference, new)
 
 
 def _self_check(spark, sf):
     df = events(spark, sf).select("value", "user_id")
-    return ks_drift(df, df, law="asymptotic")
+    return ks_drift(df, df)
 
 
 def _log_drift(spark, sf):
     """The prediction log against the raw events; only shared numeric columns are tested."""
     reference = events(spark, sf).select("value", F.get_json_object("props", "$.k").cast("double").alias("k"))
-    return ks_drift(reference, flatten(_log(spark, sf), EXPECTED), law="asymptotic")
+    return ks_drift(reference, flatten(_log(spark, sf), EXPECTED))
 
 
 def _event_stream(spark, sf):
@@ -79,7 +88,7 @@ def _stream_drift(spark, sf):
     reference = materialise(totals, "reference")
     counts = value_counts(_event_stream(spark, sf), "ts", ["value"], "1 day")
     path = shared_dir(spark, "drift")
-    drift_stream(counts, reference, path, shared_dir(spark, "drift-state"), law="asymptotic").awaitTermination()
+    drift_stream(counts, reference, path, shared_dir(spark, "drift-state")).awaitTermination()
     schema = "window_start timestamp, feature string, n_new bigint, ks_statistic double, p_value double, drifted boolean"
     return spark.read.schema(schema).parquet(path).withColumn("window_start", _at("window_start")).drop("batch_id")
 
@@ -109,25 +118,39 @@ def _stream_scorer(spark, sf):
     return rounded(flatten(log, EXPECTED).select("request_id", "model_type", "n_features", "prediction", *EXPECTED))
 
 
+def _stream_rejects(spark, sf):
+    """Requests of a stream that cannot be scored, kept with their reason."""
+    medians = medians_dict(training_medians(events(spark, sf), ["value"]))
+    source, bad = shared_dir(spark, "requests"), shared_dir(spark, "rejects")
+    _requests(spark, sf).write.json(source)
+    schema = "timestamp timestamp, request_id string, event_type string, features map<string,double>"
+    append_scores(
+        read_stream(spark, source, schema, "json"), EXPECTED, medians, MODEL.transform, shared_dir(spark, "scored"), bad,
+        shared_dir(spark, "scored-state"), "linear",
+    ).awaitTermination()
+    return spark.read.schema("request_id string, event_type string, reason string").json(bad).select("request_id", "event_type", "reason")
+
+
 def _capture(spark, sf):
     stream = captured(_event_stream(spark, sf), "event_id", 40.0).select("event_id", "value")
     return run_to_table(stream, shared_dir(spark, "capture"), shared_dir(spark, "capture-state"))
 
 
 QUERIES = {
-    "ks_drift": lambda s, sf: ks_drift(*_halves(s, sf), law="asymptotic"),
-    "ks_drift_finite": lambda s, sf: ks_drift(*_halves(s, sf)),
+    "ks_drift": lambda s, sf: ks_drift(*_halves(s, sf)),
     "drift_by_flag": _flag_report,
     "drift_report": lambda s, sf: drift_summary(_flag_report(s, sf)).withColumn(
         "drifted_features", F.array_join("drifted_features", ",")),
-    "drift_ranked": lambda s, sf: ranked(_flag_report(s, sf)).limit(3),
+    "drift_ranked": lambda s, sf: ranked(_flag_report(s, sf)),
     "drift_self": _self_check,
+    "drift_few_new": _few_new,
     "drift_over_log": _log_drift,
     "stream_summary": _stream_summary,
     "stream_drift": _stream_drift,
     "alarm_p99": _alarm_p99,
     "alarm_errors": _alarm_errors,
     "stream_scorer": _stream_scorer,
+    "stream_rejects": _stream_rejects,
     "capture_sample": _capture,
 }
 
@@ -177,10 +200,12 @@ ORACLE = {
     "drift_report": f"""{_FLAG_KS} SELECT CAST({ALPHA} AS DOUBLE) AS significance_level, bool_or(drifted) AS drift_detected,
         count(*) FILTER (WHERE drifted) AS n_features_drifted, count(*) AS n_features,
         coalesce(string_agg(feature, ',' ORDER BY feature) FILTER (WHERE drifted), '') AS drifted_features FROM k""",
-    "drift_ranked": f"{_FLAG_KS} SELECT {_REPORT} FROM k ORDER BY p_value, feature LIMIT 3",
+    "drift_ranked": f"{_FLAG_KS} SELECT {_REPORT} FROM k",
     "drift_self": """SELECT 'value' AS feature, CAST(0 AS DOUBLE) AS ks_statistic, CAST(1 AS DOUBLE) AS p_value, false AS drifted
         FROM events HAVING count(*) >= 5
         UNION ALL SELECT 'user_id', 0.0, 1.0, false FROM events HAVING count(*) >= 5""",
+    "drift_few_new": f"""WITH v AS (SELECT 'user_id' AS feature, CAST(ts >= TIMESTAMP '{HALF}' AS INT) AS side,
+          CAST(user_id AS DOUBLE) AS value FROM events), k AS ({_ks('v')}) SELECT {_REPORT} FROM k""",
     "drift_over_log": f"""WITH m AS (SELECT quantile_cont(value, 0.5) AS med FROM events),
         v AS (SELECT 'value' AS feature, 0 AS side, value FROM events UNION ALL SELECT 'k', 0, {_K} FROM events
           UNION ALL SELECT 'value', 1, CASE WHEN event_type = 'error' THEN med ELSE value END FROM events, m
@@ -215,6 +240,9 @@ ORACLE = {
                      CAST(user_id AS DOUBLE) AS bonus FROM events, m WHERE event_type IN ('purchase', 'click', 'error'))
         SELECT CAST(event_id AS VARCHAR) AS request_id, 'linear' AS model_type, 3 AS n_features,
                round(3.0 + k * 0.5 + value * 2.0 - bonus, 6) AS prediction, k, round(value, 6) AS value, bonus FROM v""",
+    "stream_rejects": """SELECT CAST(event_id AS VARCHAR) AS request_id, event_type,
+        'no value and no median for feature ''bonus''' AS reason
+        FROM events WHERE event_type NOT IN ('purchase', 'click', 'error')""",
     "capture_sample": """SELECT event_id, value FROM events
         WHERE substr(md5(concat_ws(':', '0', CAST(event_id AS VARCHAR))), 1, 8) < '66666666'""",
 }

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tabloom.catalogue.data import FEATURES, LINE_SQL, LINES, TARGET, events, lines, rounded, table
 from tabloom.functions.columns import boxcox, feature_label
 from tabloom.operators.frames import melt, numeric_columns
+from tabloom.operators.powerlaw import fit_boxcox
 from tabloom.operators.profile import (
     describe_features,
     example_row,
@@ -90,8 +91,28 @@ def _skew(spark, sf):
     return rounded(df.agg(skewness(x).alias("before"), skewness(boxcox(x, LAMBDA)).alias("after")))
 
 
+def _refused(spark, sf):
+    """What the checks say of tables that break them."""
+    df = table(spark, sf, "lineitem")
+    cases = {
+        "columns": lambda: validate(df, required=("l_orderkey", "l_weight"), min_columns=1),
+        "width": lambda: validate(df.select("l_orderkey", "l_tax"), required=("l_orderkey",), min_columns=3),
+        "rows": lambda: validate(df.where("l_quantity < 0"), required=("l_orderkey",), min_columns=1),
+        "boxcox": lambda: fit_boxcox(df.select((F.col("l_discount") - 1).alias("d")), "d", "d_bc"),
+    }
+    rows = []
+    for case, check in cases.items():
+        try:
+            check()
+            rows.append((case, None))
+        except ValueError as error:
+            rows.append((case, str(error)))
+    return small_table(spark, rows, "check string, message string")
+
+
 QUERIES = {
     "null_profile": _null_profile,
+    "refused_tables": _refused,
     "manifest": _manifest,
     "file_digests": lambda s, sf: file_digests(s, f"{sf}/lineitem.parquet").select("length", "sha256"),
     "row_fingerprint": lambda s, sf: row_fingerprint(table(s, sf, "lineitem")),
@@ -123,7 +144,20 @@ _MEDIANS_SQL = "m AS (" + _per_feature(
     FEATURES[:-1], "SELECT '{f}' AS feature, quantile_cont({f}, 0.5) AS median FROM t"
 ) + ")"
 
+_LINE_COLUMNS = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
+    "l_linestatus", "l_shipdate",
+)
+
 ORACLE = {
+    "refused_tables": """SELECT unnest(['columns', 'width', 'rows', 'boxcox']) AS check, unnest([
+        'the training table lacks [''l_weight'']', '2 columns where 3 are the least: is the table cut short?',
+        'the training table has no rows',
+        'Box-Cox requires strictly positive values; column ''d'' has zero or negative ones.']) AS message
+        FROM (SELECT count(*) FROM lineitem)""",
+    "row_fingerprint": f"""SELECT count(*) AS row_count, CAST(sum(CAST(CAST('0x' || substr(md5(concat_ws('|',
+        {", ".join(f"coalesce(CAST({c} AS VARCHAR), chr(92) || 'N')" for c in _LINE_COLUMNS)})), 1, 15) AS BIGINT) AS DECIMAL(38, 0)))
+        AS VARCHAR) AS fingerprint FROM lineitem""",
     "null_profile": f"WITH {GAPPY_SQL} " + " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, count(*) - count({c}) AS n_null, "
         f"{'false' if c in _TEXT else 'true'} AS is_numeric FROM g" for c in _COLUMNS

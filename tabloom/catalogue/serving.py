@@ -15,23 +15,28 @@ from tabloom.sources.tables import read_csv, write_csv
 
 MODEL = LinearModel(("k", "value", "bonus"), (0.5, 2.0, -1.0), 3.0)
 EXPECTED = list(MODEL.features)
-BODY_SHAPES = 5
+BODY_SHAPES = 10
 
 
 def _bodies(spark, sf):
-    """Every event as a request body, in turn as each accepted shape and one that is not."""
+    """Every event as a request body, in turn as each accepted shape and each malformed one."""
     e = events(spark, sf)
-    inner = F.substring("props", 2, 100)
-    value = F.format_string('{"value": %s, %s', F.col("value").cast("string"), inner)
+    number, user = F.col("value").cast("string"), F.col("user_id").cast("string")
+    value = F.concat(F.lit('{"value": '), number, F.lit(", "), F.expr("substring(props, 2)"))
     shape = F.col("event_id") % BODY_SHAPES
     body = (
         F.when(shape == 0, F.concat(F.lit('{"features": '), value, F.lit("}")))
         .when(shape == 1, F.concat(F.lit('{"instances": ['), F.col("props"), F.lit(", "), value, F.lit("]}")))
         .when(shape == 2, F.col("props"))
-        .when(shape == 3, F.concat(F.lit("value,user\n"), F.col("value").cast("string"), F.lit(","), F.col("user_id").cast("string"), F.lit("\n1.5,\n")))
-        .otherwise(F.col("props"))
+        .when(shape == 3, F.concat(F.lit("value,user\n"), number, F.lit(","), user, F.lit("\n1.5,\n")))
+        .when(shape == 4, F.col("props"))
+        .when(shape == 5, F.concat(F.lit('{"features": {"user": "u'), user, F.lit('"}}')))
+        .when(shape == 6, F.concat(F.lit("value,user\n1.5,"), user, F.lit(",7\n")))
+        .when(shape == 7, F.concat(F.lit('"value","user, of page"\n"'), number, F.lit('",'), user, F.lit("\n")))
+        .when(shape == 8, F.concat(F.lit("user,user\n1,"), user, F.lit("\n")))
+        .otherwise(F.concat(F.lit("value,user\nlow,"), user, F.lit("\n")))
     )
-    kind = F.when(shape < 3, "application/json").when(shape == 3, "text/csv").otherwise("text/plain")
+    kind = F.when(shape.isin(0, 1, 2, 5), "application/json").when(shape == 4, "text/plain").otherwise("text/csv")
     return e.select(F.col("event_id").alias("req_id"), kind.alias("content_type"), body.alias("body"))
 
 
@@ -166,21 +171,30 @@ _K = "CAST(json_extract(props, '$.k') AS DOUBLE)"
 _BONUS = "CASE WHEN event_type IN ('purchase', 'click', 'error') THEN CAST(user_id AS DOUBLE) END"
 
 ORACLE = {
-    "decode_requests": f"""WITH e AS (SELECT event_id AS req_id, event_id % 5 AS s, value, {_K} AS k, user_id FROM events)
+    "decode_requests": f"""WITH e AS (SELECT event_id AS req_id, event_id % 10 AS s, value, {_K} AS k, user_id FROM events)
         SELECT req_id, 0 AS pos, 'value' AS name, value AS given FROM e WHERE s = 0
         UNION ALL SELECT req_id, 0, 'k', k FROM e WHERE s IN (0, 1, 2)
         UNION ALL SELECT req_id, 1, 'value', value FROM e WHERE s = 1
         UNION ALL SELECT req_id, 1, 'k', k FROM e WHERE s = 1
-        UNION ALL SELECT req_id, 0, 'value', value FROM e WHERE s = 3
+        UNION ALL SELECT req_id, 0, 'value', value FROM e WHERE s IN (3, 7)
         UNION ALL SELECT req_id, 0, 'user', CAST(user_id AS DOUBLE) FROM e WHERE s = 3
+        UNION ALL SELECT req_id, 0, 'user, of page', CAST(user_id AS DOUBLE) FROM e WHERE s = 7
         UNION ALL SELECT req_id, 1, 'value', 1.5 FROM e WHERE s = 3
         UNION ALL SELECT req_id, 1, 'user', NULL FROM e WHERE s = 3""",
-    "decode_rejects": """SELECT event_id AS req_id, 'text/plain' AS content_type, props AS body,
-        'Unsupported content type: text/plain' AS reason FROM events WHERE event_id % 5 = 4""",
+    "decode_rejects": """SELECT event_id AS req_id,
+        CASE event_id % 10 WHEN 4 THEN 'text/plain' WHEN 5 THEN 'application/json' ELSE 'text/csv' END AS content_type,
+        CASE event_id % 10 WHEN 4 THEN props WHEN 5 THEN '{"features": {"user": "u' || user_id || '"}}'
+             WHEN 6 THEN 'value,user' || chr(10) || '1.5,' || user_id || ',7' || chr(10)
+             WHEN 8 THEN 'user,user' || chr(10) || '1,' || user_id || chr(10)
+             ELSE 'value,user' || chr(10) || 'low,' || user_id || chr(10) END AS body,
+        CASE event_id % 10 WHEN 4 THEN 'content type not served: text/plain' WHEN 5 THEN 'features are no map of numbers'
+             WHEN 6 THEN 'a line has another number of cells than the header' WHEN 8 THEN 'a column name is repeated'
+             ELSE 'a cell is no number' END AS reason
+        FROM events WHERE event_id % 10 IN (4, 5, 6, 8, 9)""",
     "encode_responses": """SELECT event_id AS req_id,
         CASE event_type WHEN 'click' THEN 'text/csv' WHEN 'error' THEN 'rejected' ELSE 'application/json' END AS content_type,
         CASE event_type WHEN 'click' THEN CAST(value AS VARCHAR) || chr(10) || CAST(value * 2 AS VARCHAR)
-             WHEN 'error' THEN 'Unsupported accept type: text/html'
+             WHEN 'error' THEN 'accept type not served: text/html'
              ELSE '{"predictions":[' || CAST(value AS VARCHAR) || ',' || CAST(value * 2 AS VARCHAR) || ']}' END AS body
         FROM events""",
     "impute_score": f"""WITH m AS (SELECT quantile_cont(value, 0.5) AS med FROM events)
@@ -190,7 +204,7 @@ ORACLE = {
                CASE WHEN event_type = 'error' THEN 'value' ELSE '' END AS imputed_features
         FROM events, m WHERE event_type IN ('purchase', 'click', 'error')""",
     "score_rejects": """SELECT CAST(event_id AS VARCHAR) AS request_id, event_type,
-        'Feature ''bonus'' is missing and no training median is available.' AS reason
+        'no value and no median for feature ''bonus''' AS reason
         FROM events WHERE event_type NOT IN ('purchase', 'click', 'error')""",
     "score_batch": f"""SELECT CAST(event_id AS VARCHAR) AS request_id, round(3.0 + {_K} * 0.5
         + CASE WHEN event_type <> 'error' THEN value END * 2.0 - {_BONUS}, 6) AS prediction, 3 AS n_features FROM events""",

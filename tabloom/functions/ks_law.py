@@ -1,30 +1,10 @@
-"""Tail probabilities of the Kolmogorov-Smirnov distance.
-
-`asymptotic_tail` is the limit series as a column expression. `two_sample_tail` takes sample
-sizes into account: an exact count of merging paths for small samples (Hodges 1958), else the law of the
-one-sample distance at the effective size, from Durbin's matrix (Marsaglia, Tsang and Wang 2003)
-for small sizes and the Pelz-Good expansion (1976) for others. It runs on one row per feature.
-"""
+"""Tail probability of the Kolmogorov-Smirnov distance, as the limit series in column expressions."""
 
 from __future__ import annotations
 
-import math
-import sys
-
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-# Tasks get these functions with the plan, so executors need no installed copy of the package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-# Sample size up to which paths are counted, and effective size up to which
-# the matrix form is used.
-EXACT_LIMIT = 10_000
-MATRIX_LIMIT = 140
 SERIES_TERMS = 100
 # Below this scaled distance the tail is 1 to more places than a double shows.
 FLAT_BELOW = 0.2
@@ -41,123 +21,3 @@ def asymptotic_tail(d: Column, n: Column, m: Column) -> Column:
 
     series = F.aggregate(F.sequence(F.lit(1), F.lit(SERIES_TERMS)), F.lit(0.0), add)
     return F.when(x < FLAT_BELOW, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), series)))
-
-
-def path_count_tail(n: int, m: int, d: float) -> float:
-    """P(D >= d): one minus the chance that a random merging of both samples never leaves the band.
-
-    `stay[i + 1]` is the chance that after t values i are from the first sample and no gap so far has
-    reached d. Whole numbers decide what is inside, chances keep every number in range.
-    """
-    n, m = int(n), int(m)
-    g = math.gcd(n, m)
-    nn, mm = n // g, m // g
-    h = round(d * nn * m)
-    if h <= 0:
-        return 1.0
-    both = nn + mm
-    stay = np.zeros(n + 2)
-    stay[1] = 1.0
-    lo = hi = 0
-    for t in range(1, n + m + 1):
-        # |i / n - (t - i) / m| < d, times the least common multiple
-        new_lo = max(0, t - m, (t * nn - h) // both + 1)
-        new_hi = min(n, t, -(-(t * nn + h) // both) - 1)
-        if new_lo > new_hi:
-            return 1.0
-        i = np.arange(new_lo, new_hi + 1)
-        from_first = stay[new_lo : new_hi + 1] * (n - i + 1)
-        from_second = stay[new_lo + 1 : new_hi + 2] * (m - t + i + 1)
-        stay[lo + 1 : new_lo + 1] = 0.0
-        stay[new_hi + 2 : hi + 2] = 0.0
-        stay[new_lo + 1 : new_hi + 2] = (from_first + from_second) / (n + m - t + 1)
-        lo, hi = new_lo, new_hi
-    return min(1.0, max(0.0, 1.0 - float(stay[n + 1])))
-
-
-def matrix_cdf(n: int, d: float) -> float:
-    """P(D_n < d) as an entry of the n-th power of a (2k - 1)-square matrix."""
-    if d <= 0:
-        return 0.0
-    if d >= 1:
-        return 1.0
-    k = int(n * d) + 1
-    m = 2 * k - 1
-    h = k - n * d
-    order = np.arange(m)
-    gap = order[:, None] - order[None, :] + 1
-    a = np.where(gap < 0, 0.0, 1.0)
-    a[:, 0] -= h ** (order + 1.0)
-    a[-1, :] -= h ** (m - order.astype(float))
-    a[-1, 0] += max(0.0, 2 * h - 1) ** m
-    log_fact = np.array([math.lgamma(g + 1) for g in range(m + 1)])
-    a *= np.exp(-log_fact[np.clip(gap, 0, m)])
-    power, base, log_power, log_base = np.eye(m), a, 0.0, 0.0
-    left = n
-    while left:
-        if left & 1:
-            power = power @ base
-            log_power += log_base
-            top = np.abs(power).max()
-            power /= top
-            log_power += math.log(top)
-        base = base @ base
-        log_base *= 2
-        top = np.abs(base).max()
-        base /= top
-        log_base += math.log(top)
-        left >>= 1
-    s = power[k - 1, k - 1]
-    if s <= 0:
-        return 0.0
-    return min(1.0, math.exp(math.log(s) + log_power + math.lgamma(n + 1) - n * math.log(n)))
-
-
-def expansion_cdf(n: float, d: float) -> float:
-    """P(D_n < d) as the limit law plus its terms in n^-1/2, n^-1 and n^-3/2."""
-    z = math.sqrt(n) * d
-    if z * z >= 18.0:
-        return 1.0
-    if z < 0.1:
-        return 0.0
-    z2 = z * z
-    k = np.arange(-25, 26)
-    half = (math.pi * (k + 0.5)) ** 2
-    whole = (math.pi * k) ** 2
-    e_half, e_whole = np.exp(-half / (2 * z2)), np.exp(-whole / (2 * z2))
-    root = math.sqrt(math.pi / 2)
-    k0 = root / z * e_half.sum()
-    k1 = root / (6 * z**4) * ((half - z2) * e_half).sum()
-    k2 = root / (72 * z**7) * (
-        (6 * z**6 + 2 * z**4 + (2 * z**4 - 5 * z2) * half + (1 - 2 * z2) * half**2) * e_half
-    ).sum() - root / (36 * z**3) * (whole * e_whole).sum()
-    k3 = (
-        root
-        / (6480 * z**10)
-        * (
-            (
-                (5 - 30 * z2) * half**3
-                + (-60 * z2 + 212 * z**4) * half**2
-                + (135 * z**4 - 96 * z**6) * half
-                - 30 * z**6
-                - 90 * z**8
-            )
-            * e_half
-        ).sum()
-        + root / (108 * z**6) * ((-(whole**2) + 3 * whole * z2) * e_whole).sum()
-    )
-    return min(1.0, max(0.0, k0 + k1 / math.sqrt(n) + k2 / n + k3 / n**1.5))
-
-
-def two_sample_tail(n: int, m: int, d: float) -> float:
-    if max(n, m) <= EXACT_LIMIT:
-        return path_count_tail(n, m, d)
-    size = round(n * m / (n + m))
-    cdf = matrix_cdf(size, d) if size <= MATRIX_LIMIT else expansion_cdf(size, d)
-    return 1.0 - cdf
-
-
-@F.pandas_udf(T.DoubleType())
-def two_sample_tail_column(n: pd.Series, m: pd.Series, d: pd.Series) -> pd.Series:
-    """One value per feature (or feature and window), never per data row."""
-    return pd.Series([two_sample_tail(int(a), int(b), float(c)) for a, b, c in zip(n, m, d)], dtype="float64")

@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 
 from tabloom.functions.columns import safe_ratio
 from tabloom.operators.frames import numeric_columns
-from tabloom.operators.moments import pair_moments, rough_centre
+from tabloom.operators.moments import pair_moments
 from tabloom.session import small_table
 
-# Sums of squares this small against their size are rounding of a constant column.
-NO_SPREAD = 1e-12
+# A deviation this small against the mean is rounding of a constant column.
+NO_SPREAD = 1e-15
 
 
 def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -22,30 +22,20 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     r is null where one of the two is constant or has no values there.
     """
-    return correlations(pair_moments(df, columns, rough_centre(df, columns)), columns)
+    return correlations(pair_moments(df, columns), columns)
 
 
 def correlations(cells: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The same from cells of `pair_moments`, one group only."""
-    vx = F.col("sxx") - safe_ratio(F.col("sx") * F.col("sx"), F.col("n"))
-    vy = F.col("syy") - safe_ratio(F.col("sy") * F.col("sy"), F.col("n"))
-    cov = F.col("sxy") - safe_ratio(F.col("sx") * F.col("sy"), F.col("n"))
-    spread = (vx > F.col("sxx") * NO_SPREAD) & (vy > F.col("syy") * NO_SPREAD)
+    vx, vy, cov = F.col("cxx"), F.col("cyy"), F.col("cxy")
+    spread = (vx > F.col("n") * F.pow(F.col("mx") * NO_SPREAD, 2)) & (vy > F.col("n") * F.pow(F.col("my") * NO_SPREAD, 2))
     r = F.when(spread, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), safe_ratio(cov, F.sqrt(vx * vy)))))
     names = F.array(*[F.lit(c) for c in columns])
-    named = cells.select(
-        "i",
-        "j",
-        F.get(names, "i").alias("feature_i"),
-        F.get(names, "j").alias("feature_j"),
-        r.alias("r"),
-        # columns of one value or none, found on the diagonal of this small table
-        F.array_agg(F.when((F.col("i") == F.col("j")) & ~F.coalesce(F.col("lo") < F.col("hi"), F.lit(False)), F.col("i")))
-        .over(Window.partitionBy("grp"))
-        .alias("flat"),
-    )
-    varies = ~F.array_contains("flat", F.col("i")) & ~F.array_contains("flat", F.col("j"))
-    return named.where("i < j").withColumn("r", F.when(varies, F.col("r"))).drop("flat")
+    # columns of one value or none stand on the diagonal
+    flat = cells.where("i = j").where(~F.coalesce(F.col("lo") < F.col("hi"), F.lit(False))).select(F.col("i").alias("flat"))
+    named = cells.where("i < j").select("i", "j", F.get(names, "i").alias("feature_i"), F.get(names, "j").alias("feature_j"), r.alias("r"))
+    marked = named.join(flat, (F.col("flat") == F.col("i")) | (F.col("flat") == F.col("j")), "left")
+    return marked.groupBy("i", "j", "feature_i", "feature_j").agg(F.when(F.count("flat") == 0, F.first("r")).alias("r"))
 
 
 @dataclass(frozen=True)

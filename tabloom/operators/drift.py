@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabloom.functions.ks_law import asymptotic_tail, two_sample_tail_column
+from tabloom.functions.ks_law import asymptotic_tail
 from tabloom.operators.buckets import bucket_columns
 from tabloom.operators.frames import as_double, name, numeric_columns
 from tabloom.operators.grids import quantile_grids
@@ -15,7 +15,6 @@ from tabloom.session import small_table
 
 ALPHA = 0.05
 MIN_NEW = 5
-SMALL_ROWS = 2_000_000
 STATS = "feature string, n_ref bigint, n_new bigint, d double"
 REPORT = "feature string, ks_statistic double, p_value double, drifted boolean"
 
@@ -26,22 +25,12 @@ def comparable_columns(reference: DataFrame, new: DataFrame) -> list[str]:
     return [c for c in numeric_columns(reference) if c in have]
 
 
-def tail(d: Column, n: Column, m: Column, law: str) -> Column:
-    if law == "asymptotic":
-        return asymptotic_tail(d, n, m)
-    if law == "auto":
-        return two_sample_tail_column(n, m, d)
-    raise ValueError(f"unknown law '{law}'")
-
-
 def ks_drift(
     reference: DataFrame,
     new: DataFrame,
     columns: Sequence[str] | None = None,
     alpha: float = ALPHA,
     min_new: int = MIN_NEW,
-    law: str = "auto",
-    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """`(feature, ks_statistic, p_value, drifted)` in reference order.
 
@@ -51,19 +40,17 @@ def ks_drift(
     columns = comparable_columns(reference, new) if columns is None else list(columns)
     if not columns:
         return small_table(spark, [], REPORT)
-    stats = ks_statistics(reference, new, columns, min_new, small_rows)
+    stats = ks_statistics(reference, new, columns, min_new)
     order = F.array_position(F.array(*[F.lit(c) for c in columns]), F.col("feature"))
-    # the exact law of small samples is the slow part, so features are spread for it
-    spread = stats.repartition(len(columns), "feature") if law == "auto" else stats
     # one row per feature: a single small partition needs no range sampling to be sorted
-    rows = report(spread, alpha, law).repartition(1).sortWithinPartitions(order)
+    rows = report(stats, alpha).repartition(1).sortWithinPartitions(order)
     return rows.select("feature", "ks_statistic", "p_value", "drifted")
 
 
-def report(stats: DataFrame, alpha: float, law: str) -> DataFrame:
+def report(stats: DataFrame, alpha: float) -> DataFrame:
     """Add the p-value, the flag and the rounding to rows `(..., n_ref, n_new, d)`."""
     return (
-        stats.withColumn("p", tail(F.col("d"), F.col("n_ref"), F.col("n_new"), law))
+        stats.withColumn("p", asymptotic_tail(F.col("d"), F.col("n_ref"), F.col("n_new")))
         .withColumn("ks_statistic", F.round("d", 6))
         .withColumn("p_value", F.round("p", 6))
         .withColumn("drifted", F.col("p") < alpha)
@@ -80,34 +67,27 @@ def two_sides(reference: DataFrame, new: DataFrame, columns: Sequence[str]) -> D
     return of(reference, 0).unionByName(of(new, 1))
 
 
-def ks_statistics(
-    reference: DataFrame, new: DataFrame, columns: Sequence[str], min_new: int = MIN_NEW, small_rows: int = SMALL_ROWS
-) -> DataFrame:
-    """`(feature, n_ref, n_new, d)`.
+def ks_statistics(reference: DataFrame, new: DataFrame, columns: Sequence[str], min_new: int = MIN_NEW) -> DataFrame:
+    """`(feature, n_ref, n_new, d)`, exact, with most rows only counted; the same three scans at every size.
 
-    One pass counts the values of all features on both sides. Up to `small_rows` values a feature
-    is ordered as a whole, beyond that bucket by bucket.
+    Sketched edges cut each feature in buckets. Counts per bucket, a bounded number of rows, give both sides' sizes, the gap at
+    every bucket end and a bound that no gap inside a bucket can exceed. Only buckets whose bound beats the best end gap are looked
+    into value by value, starting from the counts of the buckets before them.
     """
     spark = reference.sparkSession
     both = two_sides(reference, new, columns)
-    on = F.col("side")
-    counts = both.agg(
-        *[F.count_if((on == 0) & name(c).isNotNull()).alias(f"r{i}") for i, c in enumerate(columns)],
-        *[F.count_if((on == 1) & name(c).isNotNull()).alias(f"q{i}") for i, c in enumerate(columns)],
-    ).first()
-    sizes = {c: (counts[f"r{i}"], counts[f"q{i}"]) for i, c in enumerate(columns)}
+    edges = {c: g.edges() for c, g in quantile_grids(both, columns).items()}
+    hist: dict[str, list[tuple[float, int, int]]] = {c: [] for c in columns}
+    for r in _value_counts(bucket_columns(both, edges), columns).collect():
+        hist[r["feature"]].append((r["value"], r["r"], r["q"]))
+    sizes = {c: (sum(h[1] for h in rows), sum(h[2] for h in rows)) for c, rows in hist.items()}
     tested = [c for c in columns if sizes[c][1] >= min_new]
     empty = [c for c in tested if sizes[c][0] == 0]
     if empty:
         raise ValueError(f"No reference values to compare with: {empty}")
     if not tested:
         return small_table(spark, [], STATS)
-    both = both.select("side", *[name(c) for c in tested])
-    if max(sum(sizes[c]) for c in tested) <= small_rows:
-        d = _whole_distance(both, tested, sizes)
-    else:
-        d = _bucketed_distance(both, tested, sizes)
-    return d
+    return _distance(both.select("side", *[name(c) for c in tested]), tested, sizes, edges, hist)
 
 
 def _value_counts(both: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -122,33 +102,19 @@ def _sizes_table(spark, columns: Sequence[str], sizes: dict[str, tuple[int, int]
     return small_table(spark, [(c, *sizes[c]) for c in columns], "feature string, n_ref bigint, n_new bigint")
 
 
-def _whole_distance(both: DataFrame, columns: Sequence[str], sizes: dict[str, tuple[int, int]]) -> DataFrame:
-    upto = Window.partitionBy("feature").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    running = _value_counts(both, columns).select("feature", F.sum("r").over(upto).alias("cr"), F.sum("q").over(upto).alias("cq"))
-    gap = F.abs(F.col("cr") / F.col("n_ref") - F.col("cq") / F.col("n_new"))
-    return (
-        running.join(F.broadcast(_sizes_table(both.sparkSession, columns, sizes)), "feature")
-        .groupBy("feature", "n_ref", "n_new")
-        .agg(F.max(gap).alias("d"))
-    )
-
-
-def _bucketed_distance(both: DataFrame, columns: Sequence[str], sizes: dict[str, tuple[int, int]]) -> DataFrame:
-    """Exact distance with most rows only counted.
-
-    Counts per bucket, a bounded number of rows, give the gap at every bucket end and a bound that no
-    gap inside a bucket can exceed. Only buckets whose bound beats the best end gap are looked into
-    value by value, starting from the counts of the buckets before them.
-    """
+def _distance(
+    both: DataFrame,
+    columns: Sequence[str],
+    sizes: dict[str, tuple[int, int]],
+    edges: dict[str, list[float]],
+    hist: dict[str, list[tuple[float, int, int]]],
+) -> DataFrame:
     spark = both.sparkSession
-    edges = {c: g.edges() for c, g in quantile_grids(both, columns).items()}
-    hist = _value_counts(bucket_columns(both, edges), columns).collect()
-    best, starts = {}, []
+    best, starts, wanted = {}, [], {}
     for c in columns:
-        rows = sorted((r["value"], r["r"], r["q"]) for r in hist if r["feature"] == c)
-        best[c], open_ = _end_gaps(rows, *sizes[c])
+        best[c], open_ = _end_gaps(sorted(hist[c]), *sizes[c])
         starts += [(c, b, r, q) for b, r, q in open_]
-    wanted = {c: [b for f, b, _, _ in starts if f == c] for c in columns}
+        wanted[c] = [b for b, _, _ in open_]
     looked_into = [c for c in columns if wanted[c]]
     ends = small_table(spark, [(c, *sizes[c], best[c]) for c in columns], STATS)
     if not looked_into:

@@ -60,4 +60,4 @@ def melt(df: DataFrame, columns: Sequence[str], ids: Sequence[str] = ()) -> Data
 def require(df: DataFrame, columns: Sequence[str]) -> None:
     absent = sorted(set(columns) - set(df.columns))
     if absent:
-        raise ValueError(f"Input is missing required features: {absent}")
+        raise ValueError(f"features not in the input: {absent}")

@@ -6,6 +6,7 @@ p numbers. Held-out errors also follow from the moments, so a search of any leng
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -14,10 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.operators.frames import as_double, name
-from tabloom.operators.moments import pair_moments, rough_centre
+from tabloom.operators.moments import pair_moments
 
 MAX_ITER = 5000
 TOLERANCE = 1e-10
+#: Columns whose squared number of moments the driver holds; wider tables are refused.
+WIDEST = 3000
 
 
 @dataclass(frozen=True)
@@ -51,20 +54,28 @@ def collect_moments(
     complete = df.select(*[as_double(c).alias(c) for c in columns], *([name(group)] if group else [])).dropna(
         subset=columns
     )
-    shift = rough_centre(complete, columns)
     size = len(columns)
+    if size > WIDEST:
+        raise ValueError(f"{size} columns: moments of more than {WIDEST} do not fit the driver")
     n: dict[int, float] = {}
-    s: dict[int, np.ndarray] = {}
-    ss: dict[int, np.ndarray] = {}
-    for r in pair_moments(complete, columns, shift, group).collect():
+    mean: dict[int, np.ndarray] = {}
+    cov: dict[int, np.ndarray] = {}
+    for r in pair_moments(complete, columns, group).collect():
         g, i, j = r["grp"], r["i"], r["j"]
         if g not in n:
-            n[g], s[g], ss[g] = r["n"], np.zeros(size), np.zeros((size, size))
-        s[g][i], s[g][j] = r["sx"], r["sy"]
-        ss[g][i, j] = ss[g][j, i] = r["sxy"]
+            n[g], mean[g], cov[g] = r["n"], np.zeros(size), np.zeros((size, size))
+        mean[g][i], mean[g][j] = r["mx"], r["my"]
+        cov[g][i, j] = cov[g][j, i] = r["cxy"]
     if not n:
         raise ValueError("no complete rows to fit on")
-    return {g: Moments(tuple(features), target, shift, n[g], s[g], ss[g]) for g in sorted(n)}
+    first = mean[min(n)]
+    rows = sum(n.values())
+    shift = first + sum(n[g] * (mean[g] - first) for g in sorted(n)) / rows
+    out = {}
+    for g in sorted(n):
+        d = mean[g] - shift
+        out[g] = Moments(tuple(features), target, shift, n[g], n[g] * d, cov[g] + n[g] * np.outer(d, d))
+    return out
 
 
 def total(parts: Mapping[int, Moments]) -> Moments:
@@ -135,7 +146,8 @@ def _descend(gram: np.ndarray, xy: np.ndarray, l1: float, l2: float) -> np.ndarr
             largest = max(largest, abs(new - w[j]) * scale[j])
             w[j] = new
         if largest <= TOLERANCE * max(1e-300, float(np.max(np.abs(w) * scale))):
-            break
+            return w
+    warnings.warn(f"coordinate descent did not settle in {MAX_ITER} rounds", RuntimeWarning, stacklevel=2)
     return w
 
 

@@ -12,7 +12,7 @@ from tabloom.operators.frames import as_double
 
 
 def _r2(y: Column, p: Column) -> Column:
-    """1 - SSE / SST; on constant y 1 for a perfect fit, else 0."""
+    """1 - SSE / SST over rows with both values; on constant y 1 for a perfect fit, else 0."""
     sse = F.sum((y - p) * (y - p))
     sst = F.var_pop(y) * F.count(y)
     flat = F.min(y) == F.max(y)
@@ -20,14 +20,17 @@ def _r2(y: Column, p: Column) -> Column:
 
 
 def metrics(df: DataFrame, actual: str, predicted: str, by: Sequence[str] = ()) -> DataFrame:
-    """rmse, mae, r2 and n_samples, all from one aggregate, per group of `by`."""
+    """rmse, mae, r2 and n_samples over rows with both values, and n_left_out of the others, per group of `by`."""
     y, p = as_double(actual), as_double(predicted)
+    both = y.isNotNull() & p.isNotNull()
+    y, p = F.when(both, y), F.when(both, p)
     err = y - p
     return df.groupBy(*by).agg(
         F.sqrt(F.avg(err * err)).alias("rmse"),
         F.avg(F.abs(err)).alias("mae"),
         _r2(y, p).alias("r2"),
-        F.count("*").alias("n_samples"),
+        F.count_if(both).alias("n_samples"),
+        F.count_if(~both).alias("n_left_out"),
     )
 
 

@@ -107,8 +107,10 @@ def fit_boxcox(df: DataFrame, source: str, output: str, tolerance: float = 1e-9)
             grid = [lo + i * step for i in range(POINTS)]
             scores = _variances(z, grid)
             best = scores.index(min(scores))
-            if 0 < best < POINTS - 1 or abs(grid[best]) > FARTHEST:
+            if 0 < best < POINTS - 1:
                 break
+            if abs(grid[best]) > FARTHEST:
+                raise ValueError(f"no exponent within {FARTHEST} maximises the likelihood of column '{source}'.")
             lo, hi = (lo - (hi - lo), lo + step) if best == 0 else (hi - step, hi + (hi - lo))
         at = grid[best]
         lo, hi = at - step, at + step
@@ -120,7 +122,7 @@ def fit_boxcox(df: DataFrame, source: str, output: str, tolerance: float = 1e-9)
                 to = (lo + hi) / 2
             moved, at = abs(to - at), to
             if moved < tolerance:
-                break
-        return BoxCox(source, output, at)
+                return BoxCox(source, output, at)
+        raise ValueError(f"the exponent of column '{source}' did not settle in {ROUNDS} steps.")
     finally:
         z.unpersist()

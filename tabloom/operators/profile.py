@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.operators.frames import as_double
-from tabloom.operators.quantiles import SMALL_ROWS, column_quantiles, exact_quantiles
+from tabloom.operators.quantiles import ORDER_ROWS, column_quantiles, exact_quantiles
 from tabloom.session import small_table
 
 # Range columns of a profile and their ranks.
@@ -19,9 +19,9 @@ def feature_order(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return small_table(df.sparkSession, list(enumerate(features)), "position int, feature string")
 
 
-def training_medians(df: DataFrame, features: Sequence[str], small_rows: int = SMALL_ROWS) -> DataFrame:
+def training_medians(df: DataFrame, features: Sequence[str], order_rows: int = ORDER_ROWS) -> DataFrame:
     """`(feature, median)`; kept with the model for imputation."""
-    return exact_quantiles(df, features, [0.5], small_rows).select("feature", F.col("value").alias("median"))
+    return exact_quantiles(df, features, [0.5], order_rows).select("feature", F.col("value").alias("median"))
 
 
 def medians_dict(medians: DataFrame) -> dict[str, float]:
@@ -45,14 +45,14 @@ def feature_profile(
     features: Sequence[str],
     medians: DataFrame,
     dictionary: DataFrame,
-    small_rows: int = SMALL_ROWS,
+    order_rows: int = ORDER_ROWS,
 ) -> DataFrame:
     """Per feature: description, stored median (0.0 if unknown), range and quartiles, all to 4 places.
 
     A feature the table does not have keeps null range columns.
     """
     present = [f for f in features if f in df.columns]
-    found = column_quantiles(df, present, list(RANGES.values()), small_rows) if present else {}
+    found = column_quantiles(df, present, list(RANGES.values()), order_rows) if present else {}
     ranges = small_table(
         df.sparkSession,
         [(f, *[float(found[f, p]) if (f, p) in found else None for p in RANGES.values()]) for f in features],
@@ -84,17 +84,17 @@ def skewness(c: Column) -> Column:
     return F.skewness(c)
 
 
-def prediction_summary(log: DataFrame, column: str = "prediction", small_rows: int = SMALL_ROWS) -> DataFrame:
+def prediction_summary(log: DataFrame, column: str = "prediction", order_rows: int = ORDER_ROWS) -> DataFrame:
     """One row: number of logged predictions and their distribution to 4 places (sample deviation)."""
     p = as_double(column)
     stats = log.agg(
-        F.count("*").alias("n_predictions"),
+        F.count(p).alias("n_predictions"),
         F.avg(p).alias("mean"),
         F.stddev_samp(p).alias("std"),
         F.min(p).alias("min"),
         F.max(p).alias("max"),
     )
-    found = column_quantiles(log, [column], [0.25, 0.5, 0.75], small_rows)
+    found = column_quantiles(log, [column], [0.25, 0.5, 0.75], order_rows)
     quartiles = [F.lit(found.get((column, q))).cast("double").alias(a) for a, q in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))]
     return stats.select("*", *quartiles).select(
         "n_predictions", *[F.round(c, 4).alias(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")]

@@ -2,9 +2,10 @@
 
 A sketch scan gives each wanted rank a narrow value range. A second scan then replaces every
 value outside the ranges by one stand-in per gap, which keeps the order, and counts equal values
-before the shuffle: what is left to sort is the about one percent of rows inside the ranges. Ranges
-that still hold more than `small_rows` values are narrowed by further scans first. A rank found
-outside its range (the sketch can be wrong) is searched again, so results are always exact.
+before the shuffle: what is left to sort is the about one percent of rows inside the ranges. While ranges
+hold more than `order_rows` values, all of them are narrowed together, two scans a round whatever the number of columns and
+ranks; each round leaves about a hundredth. A rank found outside its range (the sketch can be wrong) is searched again, so
+results are always exact.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from tabloom.operators.frames import as_double, name
 from tabloom.operators.grids import CELLS, RANK_ERROR, Grid, quantile_grids
 from tabloom.session import small_table
 
-SMALL_ROWS = 5_000_000
+ORDER_ROWS = 5_000_000
 # Share of the rows a range around a rank holds: twice the rank error and the cells it ends in.
 RANGE_SHARE = 2 * (RANK_ERROR + 1 / CELLS)
 
@@ -35,13 +36,13 @@ class Search:
 
 
 def column_quantiles(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], small_rows: int = SMALL_ROWS
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], order_rows: int = ORDER_ROWS
 ) -> dict[tuple[str, float], float]:
     """{(column, prob): value}, interpolated linearly between neighbouring ranks. Columns without values are left out."""
     grids = quantile_grids(df, columns)
     positions = {(c, p): p * (g.n - 1) for c, g in grids.items() if g.n for p in map(float, probs)}
     ranks = {(c, r) for (c, _), pos in positions.items() for r in (math.floor(pos), math.ceil(pos))}
-    values = order_values(df, ranks, grids, small_rows)
+    values = order_values(df, ranks, grids, order_rows)
     out = {}
     for (c, p), pos in positions.items():
         low, high = values[c, math.floor(pos)], values[c, math.ceil(pos)]
@@ -51,16 +52,16 @@ def column_quantiles(
 
 
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], small_rows: int = SMALL_ROWS
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], order_rows: int = ORDER_ROWS
 ) -> DataFrame:
     """`(feature, prob, value)`."""
-    found = column_quantiles(df, columns, probs, small_rows)
+    found = column_quantiles(df, columns, probs, order_rows)
     rows = [(c, p, float(v)) for (c, p), v in found.items()]
     return small_table(df.sparkSession, rows, "feature string, prob double, value double")
 
 
 def order_values(
-    df: DataFrame, ranks: set[tuple[str, int]], grids: Mapping[str, Grid], small_rows: int = SMALL_ROWS
+    df: DataFrame, ranks: set[tuple[str, int]], grids: Mapping[str, Grid], order_rows: int = ORDER_ROWS
 ) -> dict[tuple[str, int], float]:
     """{(column, rank): value} for 0-based ranks among the non-missing values."""
     found: dict[tuple[str, int], float] = {}
@@ -75,8 +76,9 @@ def order_values(
             lo, hi = g.around(r)
             open_.append(Search(c, r, lo, hi, RANGE_SHARE * g.n))
     while open_:
-        open_ = [_narrowed(df, grids, s) if s.inside > small_rows else s for s in open_]
-        if any(s.inside > small_rows and s.lo < s.hi for s in open_):
+        wide = [s for s in open_ if s.inside > order_rows and s.lo < s.hi]
+        if wide:
+            open_ = [s for s in open_ if s not in wide] + _narrowed(df, grids, wide)
             continue
         picked = _pick(df, open_)
         missed = []
@@ -91,14 +93,18 @@ def order_values(
     return found
 
 
-def _narrowed(df: DataFrame, grids: Mapping[str, Grid], s: Search) -> Search:
-    """One scan over the values in the range: exact counts below and inside, and a grid to cut with."""
-    v = as_double(s.column)
-    inside = df.select(F.when(v.between(s.lo, s.hi), v).alias("v"))
-    below = df.agg(F.count_if(v < s.lo)).first()[0]
-    g = quantile_grids(inside, ["v"])["v"]
+def _narrowed(df: DataFrame, grids: Mapping[str, Grid], searches: Sequence[Search]) -> list[Search]:
+    """Two scans for all searches: a grid of the values inside each range to cut with, and exact counts below each range."""
+    ranges = sorted({(s.column, s.lo, s.hi) for s in searches})
+    at = {r: f"v{i}" for i, r in enumerate(ranges)}
+    inside = df.select(*[F.when(as_double(c).between(lo, hi), as_double(c)).alias(v) for (c, lo, hi), v in at.items()])
+    cells = quantile_grids(inside, list(at.values()))
+    below = df.agg(*[F.count_if(as_double(c) < lo).alias(v) for (c, lo, _), v in at.items()]).first()
+    return [_cut(s, cells[at[s.column, s.lo, s.hi]], below[at[s.column, s.lo, s.hi]], grids[s.column]) for s in searches]
+
+
+def _cut(s: Search, g: Grid, below: int, whole: Grid) -> Search:
     at = s.rank - below
-    whole = grids[s.column]
     if not 0 <= at < g.n:
         return replace(s, lo=whole.lo, hi=whole.hi, inside=whole.n)
     if at == 0 or at == g.n - 1 or g.lo == g.hi:

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.operators.frames import melt, name
+from tabloom.operators.frames import double_sql, name
 from tabloom.session import small_table
 
 
@@ -35,13 +35,20 @@ class Scaler:
 
 
 def scale_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """`(feature, mean, sd)`; a constant column gets deviation 1."""
-    # min = max marks a constant column whatever rounding the deviation shows
-    sd = F.when(F.min("value") == F.max("value"), F.lit(1.0)).otherwise(F.stddev_pop("value"))
-    return melt(df, columns).groupBy("feature").agg(F.avg("value").alias("mean"), sd.alias("sd"))
+    """`(feature, mean, sd)` from one wide aggregate; a constant column gets deviation 1, one without values is left out."""
+    wide = df.selectExpr(*[f"{double_sql(c)} AS c{i}" for i, c in enumerate(columns)])
+    stats = wide.agg(*[
+        F.struct(
+            F.lit(c).alias("feature"), F.avg(f"c{i}").alias("mean"),
+            # min = max marks a constant column whatever rounding the deviation shows
+            F.when(F.min(f"c{i}") == F.max(f"c{i}"), F.lit(1.0)).otherwise(F.stddev_pop(f"c{i}")).alias("sd"),
+        ).alias(f"s{i}")
+        for i, c in enumerate(columns)
+    ])
+    return stats.select(F.inline(F.array(*[f"s{i}" for i in range(len(columns))]))).where("mean IS NOT NULL")
 
 
-def scaler_of(cells: DataFrame, columns: Sequence[str], shift: Sequence[float], skip: Sequence[str] = ()) -> Scaler:
+def scaler_of(cells: DataFrame, columns: Sequence[str], skip: Sequence[str] = ()) -> Scaler:
     """The scaler from cells of `pair_moments` instead of another scan."""
     diagonal = {r["i"]: r for r in cells.where("i = j").collect()}
     fitted = []
@@ -49,10 +56,9 @@ def scaler_of(cells: DataFrame, columns: Sequence[str], shift: Sequence[float],
         if c in skip:
             continue
         r = diagonal[i]
-        mean = r["sx"] / r["n"] if r["n"] else 0.0
-        variance = max(0.0, r["sxx"] / r["n"] - mean * mean) if r["n"] else 0.0
+        variance = max(0.0, r["cxx"]) / r["n"] if r["n"] else 0.0
         flat = r["lo"] == r["hi"] or variance == 0.0
-        fitted.append((c, r["hi"] if r["n"] and flat else shift[i] + mean, 1.0 if flat else math.sqrt(variance)))
+        fitted.append((c, r["hi"] if r["n"] and flat else r["mx"] if r["n"] else 0.0, 1.0 if flat else math.sqrt(variance)))
     return Scaler(tuple(c for c, _, _ in fitted), tuple(float(m) for _, m, _ in fitted), tuple(s for _, _, s in fitted))
 
 

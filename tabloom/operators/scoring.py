@@ -53,7 +53,7 @@ def score_requests(
     rejects = ready.where(F.size("unfillable") > 0).select(
         *requests.columns,
         F.concat(
-            F.lit("Feature '"), F.get("unfillable", F.lit(0)), F.lit("' is missing and no training median is available.")
+            F.lit("no value and no median for feature '"), F.get("unfillable", F.lit(0)), F.lit("'")
         ).alias("reason"),
     )
     scored = score(ready.where(F.size("unfillable") == 0).drop("unfillable"))
@@ -81,7 +81,7 @@ def score_batch(
     """
     absent = absent_everywhere(requests, expected, features)
     if absent:
-        raise ValueError(f"Input is missing required features: {absent}")
+        raise ValueError(f"features that no row gives: {absent}")
     wide = requests.select("*", *[F.col(features)[f].alias(f) for f in expected])
     return with_record(score(wide), expected, model_type)
 

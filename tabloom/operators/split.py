@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tabloom.functions.columns import below_fraction, digest_number, key_digest
 from tabloom.operators.frames import name
 from tabloom.operators.grids import quantile_grids
-from tabloom.operators.quantiles import SMALL_ROWS, order_values
+from tabloom.operators.quantiles import ORDER_ROWS, order_values
 
 
 def row_digest(keys: Sequence[str], seed: int) -> Column:
@@ -29,7 +29,7 @@ def with_split(df: DataFrame, keys: Sequence[str], test_fraction: float = 0.2, s
 
 
 def with_exact_split(
-    df: DataFrame, keys: Sequence[str], test_fraction: float = 0.2, seed: int = 42, small_rows: int = SMALL_ROWS
+    df: DataFrame, keys: Sequence[str], test_fraction: float = 0.2, seed: int = 42, order_rows: int = ORDER_ROWS
 ) -> DataFrame:
     """As `with_split`, with exactly ceil(fraction * n) test rows when keys are unique.
 
@@ -42,8 +42,13 @@ def with_exact_split(
     k = math.ceil(grids["digest"].n * test_fraction)
     if k == 0:
         return df.withColumn("split", F.lit("train"))
-    cut = order_values(numbered, {("digest", k - 1)}, grids, small_rows)["digest", k - 1]
-    return df.withColumn("split", F.when(number <= F.lit(cut), "test").otherwise("train"))
+    cut = order_values(numbered, {("digest", k - 1)}, grids, order_rows)["digest", k - 1]
+    # digests that share the cut's leading bits are few; among them the whole digest decides
+    whole = row_digest(keys, seed)
+    before = numbered.where(F.col("digest") < cut).count()
+    last = df.select(whole.alias("d"), number.alias("n")).where(F.col("n") == cut).orderBy("d").limit(k - before).agg(F.max("d")).first()[0]
+    test = (number < F.lit(cut)) | ((number == F.lit(cut)) & (whole <= F.lit(last)))
+    return df.withColumn("split", F.when(test, "test").otherwise("train"))
 
 
 def with_stratified_split(

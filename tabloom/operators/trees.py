@@ -10,12 +10,23 @@ from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabloom.operators.frames import as_double, name
 from tabloom.operators.linear import LinearModel
 from tabloom.session import small_table
 
 BOOSTED = ("lightgbm", "xgboost")
 
 
+DEEPEST = 30  # fixed by MLlib
+
+
+def _depth(params: dict) -> int:
+    depth = int(params["max_depth"])
+    if not 0 <= depth <= DEEPEST:
+        raise ValueError(f"max_depth {depth} is outside 0 to {DEEPEST}")
+    return depth
+
+
 def tree_estimator(family: str, params: dict, target: str, prediction: str = "prediction", seed: int = 42):
     """The MLlib learner nearest to a family's parameters.
 
@@ -25,7 +36,7 @@ def tree_estimator(family: str, params: dict, target: str, prediction: str = "pr
     if family == "random_forest":
         return RandomForestRegressor(
             numTrees=int(params["n_estimators"]),
-            maxDepth=min(30, int(params["max_depth"])),
+            maxDepth=_depth(params),
             featureSubsetStrategy=params.get("max_features", "sqrt"),
             minInstancesPerNode=int(params.get("min_samples_leaf", 1)),
             maxMemoryInMB=512,
@@ -35,7 +46,7 @@ def tree_estimator(family: str, params: dict, target: str, prediction: str = "pr
         return GBTRegressor(
             maxIter=int(params["n_estimators"]),
             stepSize=float(params["learning_rate"]),
-            maxDepth=min(30, int(params["max_depth"])),
+            maxDepth=_depth(params),
             subsamplingRate=float(params.get("subsample", 1.0)),
             featureSubsetStrategy=str(float(params.get("colsample_bytree", 1.0))),
             minInfoGain=float(params.get("gamma", 0.0)),
@@ -50,8 +61,26 @@ def assembler(features: Sequence[str]) -> VectorAssembler:
 
 
 def fit_trees(df: DataFrame, features: Sequence[str], target: str, family: str, params: dict, seed: int = 42):
+    """Fit on the rows without missing values, as the linear models are."""
     stages = [assembler(features), tree_estimator(family, params, target, seed=seed)]
-    return Pipeline(stages=stages).fit(df)
+    return Pipeline(stages=stages).fit(complete_rows(df, features, target))
+
+
+def complete_rows(df: DataFrame, features: Sequence[str], target: str, *others: str) -> DataFrame:
+    """The columns of a fit as doubles, rows without a missing value only: one rule for every family."""
+    columns = [*features, target]
+    return df.select(*[as_double(c).alias(c) for c in columns], *[name(c) for c in others]).dropna(subset=columns)
+
+
+def learning_curve(model: PipelineModel, df: DataFrame, target: str) -> DataFrame:
+    """`(round, rmse)` of a boosted model after each of its rounds, on the complete rows of `df`."""
+    boosted = model.stages[-1]
+    if not hasattr(boosted, "evaluateEachIteration"):
+        raise AttributeError(f"a model of type {type(boosted).__name__} is not fitted in rounds")
+    features = model.stages[0].getInputCols()
+    ready = model.stages[0].transform(complete_rows(df, features, target))
+    errors = boosted.evaluateEachIteration(ready, "squared")
+    return small_table(df.sparkSession, [(i + 1, e ** 0.5) for i, e in enumerate(errors)], "round int, rmse double")
 
 
 def importances(model, spark) -> DataFrame:

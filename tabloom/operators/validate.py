@@ -36,11 +36,11 @@ def validate(
     """Raise `ValueError` on a broken table; return the null counts above zero, which only warn."""
     absent = sorted(set(required) - set(df.columns))
     if absent:
-        raise ValueError(f"Training data missing required columns: {absent}")
+        raise ValueError(f"the training table lacks {absent}")
     if len(df.columns) < min_columns:
-        raise ValueError(f"Expected at least {min_columns} columns, got {len(df.columns)}; truncated table?")
+        raise ValueError(f"{len(df.columns)} columns where {min_columns} are the least: is the table cut short?")
     if df.isEmpty():
-        raise ValueError("Training table is empty.")
+        raise ValueError("the training table has no rows")
     text = non_numeric_columns(df)
     if text:
         log.warning("Non-numeric columns: %s", text)
@@ -52,8 +52,8 @@ def validate(
     return nulls
 
 
-def manifest(df: DataFrame, source_path: str, sha256: str | None = None) -> DataFrame:
-    """One row: path, row and column count, digest and the null counts above zero."""
+def manifest(df: DataFrame, source_path: str, fingerprint: str | None = None) -> DataFrame:
+    """One row: path, row and column count, fingerprint of the rows and the null counts above zero."""
     counts = F.map_from_arrays(
         F.array(*[F.lit(c) for c in df.columns]),
         F.array(*[F.count_if(missing(c, t)) for c, t in df.dtypes]),
@@ -62,7 +62,7 @@ def manifest(df: DataFrame, source_path: str, sha256: str | None = None) -> Data
         F.lit(source_path).alias("source_path"),
         "row_count",
         F.lit(len(df.columns)).cast("bigint").alias("column_count"),
-        F.lit(sha256).cast("string").alias("sha256"),
+        F.lit(fingerprint).cast("string").alias("fingerprint"),
         F.map_filter("nulls", lambda _, n: n > 0).alias("missing_values"),
     )
 
@@ -76,9 +76,8 @@ def file_digests(spark: SparkSession, path: str) -> DataFrame:
 def row_fingerprint(df: DataFrame) -> DataFrame:
     """`(row_count, fingerprint)`: equal for equal sets of rows, whatever their order or files.
 
-    Row hashes are added as 38-digit decimals, so equal rows do not cancel out.
+    60 bits of each row's MD5 are added as 38-digit decimals, so equal rows do not cancel out.
     """
-    row = F.xxhash64(*[name(c) for c in df.columns]).cast("decimal(38,0)")
-    return df.agg(
-        F.count("*").alias("row_count"), F.sum(row).cast("string").alias("fingerprint")
-    )
+    cells = [F.coalesce(name(c).cast("string"), F.lit("\\N")) for c in df.columns]
+    row = F.conv(F.substring(F.md5(F.concat_ws("|", *cells).cast("binary")), 1, 15), 16, 10).cast("decimal(38,0)")
+    return df.agg(F.count("*").alias("row_count"), F.sum(row).cast("string").alias("fingerprint"))

@@ -14,7 +14,6 @@ def windowed_drift(
     window_counts: DataFrame,
     alpha: float = ALPHA,
     min_new: int = MIN_NEW,
-    law: str = "auto",
 ) -> DataFrame:
     """`(window_start, feature, n_new, ks_statistic, p_value, drifted)`.
 
@@ -53,6 +52,6 @@ def windowed_drift(
         .groupBy("window_start", "feature", "n_ref", "n_new")
         .agg(F.max(F.greatest(at_value, just_before)).alias("d"))
     )
-    return report(stats, alpha, law).select(
+    return report(stats, alpha).select(
         "window_start", "feature", "n_new", "ks_statistic", "p_value", "drifted"
     )

@@ -6,10 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from tabloom.operators.linear import collect_moments, fit_linear
 from tabloom.operators.metrics import metrics
-from tabloom.operators.trees import importances
+from tabloom.operators.trees import complete_rows, importances
 from tabloom.plans.search import FittedModel, fit_family
 from tabloom.session import small_table
 
@@ -54,9 +55,13 @@ def reduction_sweep(
             rows.append((int(k), (max(0.0, model.squared_error(held_out)) / held_out.n) ** 0.5))
         return small_table(spark, rows, SWEEP_SCHEMA)
     scored = test
-    for k in counts:
-        model = fit_family(train, order[:k], target, fitted.family, fitted.params, seed)
-        scored = model.transform(scored).withColumnRenamed("prediction", f"p{k}").drop("features")
+    kept = complete_rows(train, order, target).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for k in counts:
+            model = fit_family(kept, order[:k], target, fitted.family, fitted.params, seed)
+            scored = model.transform(scored).withColumnRenamed("prediction", f"p{k}").drop("features")
+    finally:
+        kept.unpersist()
     errors = F.array(
         *[
             F.struct(
@@ -79,5 +84,5 @@ def run_report(full: DataFrame, top: DataFrame) -> DataFrame:
 
 
 def evaluate(fitted: FittedModel, df: DataFrame, target: str, label: str = "test") -> DataFrame:
-    """One row: label, rmse, mae, r2, n_samples."""
+    """One row: label, rmse, mae, r2, n_samples, n_left_out."""
     return metrics(fitted.transform(df), target, "prediction").select(F.lit(label).alias("label"), "*")

@@ -134,11 +134,11 @@ def fit_features(df: DataFrame, config: FeatureConfig, ignore: Sequence[str] = (
     with_target = boxcox.apply(raw)
     # one scan of second moments serves the pruning and the scales
     columns = [c for c in numeric_columns(with_target) if c != config.transformed_target]
-    cells, shift = collect_cells(with_target, columns)
+    cells = collect_cells(with_target, columns)
     free = [c for c in columns if c not in config.protected]
     pairs = correlations(cells, columns).where(F.col("feature_i").isin(free) & F.col("feature_j").isin(free))
     listed = [c for c in config.drop_listed if c in with_target.columns]
     prune = prune_of(pairs, config.correlation_threshold, listed)
     kept = prune.apply(with_target).drop(config.transformed_target).columns
-    scaler = scaler_of(cells, columns, shift, [c for c in columns if c in config.skip_scaling or c not in kept])
+    scaler = scaler_of(cells, columns, [c for c in columns if c in config.skip_scaling or c not in kept])
     return FeaturePlan(config, categories, boxcox, prune, scaler, tuple(kept))

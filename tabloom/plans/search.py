@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import logging
 import math
 import random
 from collections.abc import Mapping, Sequence
@@ -16,12 +17,15 @@ from pyspark.storagelevel import StorageLevel
 
 from tabloom.operators.frames import name
 from tabloom.operators.linear import LinearModel, collect_moments, fit_linear, total
-from tabloom.operators.trees import assembler, fit_trees, tree_estimator
+from tabloom.operators.trees import assembler, complete_rows, fit_trees, tree_estimator
 from tabloom.session import small_table
 
+log = logging.getLogger(__name__)
+
 FAMILIES = ("linear", "lightgbm", "xgboost", "random_forest")
 
-# The search space. (low, high) ranges; "log" draws on a log scale, "int" whole numbers.
+# The search space, without the parameters that the learners here do not have (leaf limit of boosting, minimum
+# split size). (low, high) ranges; "log" draws on a log scale, "int" whole numbers.
 BOOSTED_SPACE = {
     "n_estimators": ("int", 200, 1000),
     "learning_rate": ("log", 1e-3, 0.3),
@@ -30,13 +34,12 @@ BOOSTED_SPACE = {
     "colsample_bytree": ("float", 0.5, 1.0),
 }
 SPACES = {
-    "lightgbm": {**BOOSTED_SPACE, "num_leaves": ("int", 10, 200)},
+    "lightgbm": BOOSTED_SPACE,
     "xgboost": {**BOOSTED_SPACE, "gamma": ("float", 0.0, 5.0)},
     "random_forest": {
         "n_estimators": ("int", 100, 500),
         "max_depth": ("int", 5, 30),
         "max_features": ("choice", "sqrt", "log2"),
-        "min_samples_split": ("int", 2, 10),
         "min_samples_leaf": ("int", 1, 4),
     },
 }
@@ -99,28 +102,40 @@ def _linear_scores(df, features, target, fold, trials) -> list[tuple[int, int, f
 
 
 def _tree_scores(df, features, target, fold, trials, seed, parallelism) -> list[tuple[int, int, float]]:
-    """Per fold: fit the trials side by side, then score the held-out rows with all of them in one pass."""
-    ready = assembler(features).transform(df.select(*features, target, fold)).select("features", target, fold)
+    """Per fold: fit the trials side by side, then score the held-out rows with all of them in one pass.
+
+    A trial whose fit fails gets no error in any fold; the reason is logged.
+    """
+    ready = assembler(features).transform(complete_rows(df, features, target, fold)).select("features", target, fold)
     ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
-    rows = []
+    rows: list[tuple[int, int, float]] = []
+    failed: set[int] = set()
     try:
         folds = sorted(r[0] for r in ready.select(fold).distinct().collect())
         for f in folds:
             train = ready.where(name(fold) != f)
 
             def fit(t: Trial):
-                return tree_estimator(t.family, dict(t.params), target, f"p{t.number}", seed).fit(train)
-
-            with ThreadPool(min(parallelism, len(trials))) as pool:
-                models = pool.map(fit, trials)
+                try:
+                    return tree_estimator(t.family, dict(t.params), target, f"p{t.number}", seed).fit(train)
+                except Exception as error:  # whatever a learner refuses ends its trial only
+                    log.warning("trial %d failed: %s", t.number, error)
+                    failed.add(t.number)
+
+            left = [t for t in trials if t.number not in failed]
+            if not left:
+                break
+            with ThreadPool(min(parallelism, len(left))) as pool:
+                models = pool.map(fit, left)
+            done = [(t, m) for t, m in zip(left, models) if m is not None]
             held_out = ready.where(name(fold) == f)
-            for m in models:
+            for _, m in done:
                 held_out = m.transform(held_out)
-            errors = [F.avg(F.pow(name(target) - name(f"p{t.number}"), 2)) for t in trials]
-            rows += [(t.number, f, e) for t, e in zip(trials, held_out.agg(*errors).first())]
+            errors = [F.avg(F.pow(name(target) - name(f"p{t.number}"), 2)) for t, _ in done]
+            rows += [(t.number, f, e) for (t, _), e in zip(done, held_out.agg(*errors).first())] if done else []
     finally:
         ready.unpersist()
-    return rows
+    return [r for r in rows if r[0] not in failed]
 
 
 def fold_scores(
@@ -246,7 +261,11 @@ def fit_winner(
         moments = collect_moments(train, features, target)[0]
         model, rows = _linear(moments, params), int(moments.n)
     else:
-        model, rows = fit_trees(train, features, target, trial.family, params, seed), train.count()
+        kept = complete_rows(train, features, target).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            model, rows = fit_trees(kept, features, target, trial.family, params, seed), kept.count()
+        finally:
+            kept.unpersist()
     return FittedModel(trial.family, params, tuple(features), model, cv_rmse, n_trials, rows, len(features))
 
 

@@ -15,7 +15,6 @@ from tabloom.operators.split import with_exact_split, with_fold
 from tabloom.operators.validate import (
     MIN_COLUMNS,
     REQUIRED_COLUMNS,
-    file_digests,
     manifest,
     row_fingerprint,
     validate,
@@ -38,7 +37,6 @@ from tabloom.sources.tables import read_csv, read_optional_csv, uri, write_small
 log = logging.getLogger(__name__)
 
 DIGEST = "_row_digest"
-LONGEST_FILE = 1 << 30
 
 
 def load_config(path: str) -> dict:
@@ -51,19 +49,6 @@ def load_config(path: str) -> dict:
     return json.loads(text)
 
 
-def source_digest(spark: SparkSession, df: DataFrame, path: str) -> str:
-    """One file's own digest, a sum of digests for several files, or the sum of row hashes where a
-    file is too long to be read as one value.
-    """
-    longest = spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0]
-    if longest is not None and longest > LONGEST_FILE:
-        return row_fingerprint(df).first()["fingerprint"]
-    rows = file_digests(spark, path).agg(
-        F.count("*").alias("n"), F.min("sha256").alias("one"), F.sum(F.xxhash64("sha256").cast("decimal(38,0)")).alias("all")
-    ).first()
-    return rows["one"] if rows["n"] == 1 else str(rows["all"])
-
-
 def ingest(spark: SparkSession, cfg: Mapping) -> tuple[DataFrame, DataFrame, DataFrame | None]:
     """(validated table, manifest, metadata table or None)."""
     data = cfg["data"]
@@ -72,7 +57,7 @@ def ingest(spark: SparkSession, cfg: Mapping) -> tuple[DataFrame, DataFrame, Dat
     df = read_csv(spark, path)
     # the manifest counts the nulls, so the checks need not
     validate(df, data.get("required_columns", REQUIRED_COLUMNS), data.get("min_columns", MIN_COLUMNS), null_counts=False)
-    counted = manifest(df, path, source_digest(spark, df, path))
+    counted = manifest(df, path, row_fingerprint(df).first()["fingerprint"])
     row = counted.first()
     if row["missing_values"]:
         log.warning("Null values in columns: %s", row["missing_values"])

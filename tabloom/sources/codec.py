@@ -11,41 +11,68 @@ JSON, CSV, ANY = "application/json", "text/csv", "*/*"
 VALUES = "map<string,double>"
 
 
-def _json_rows(body: Column) -> Column:
-    """A body as an array of maps: its "features", else its "instances", else the body itself."""
-    keys = F.json_object_keys(body)
-    whole = F.from_json(body, VALUES)
-    single = F.from_json(F.get_json_object(body, "$.features"), VALUES)
-    many = F.from_json(F.get_json_object(body, "$.instances"), f"array<{VALUES}>")
-    return (
-        F.when(F.array_contains(keys, "features"), F.array(single))
-        .when(F.array_contains(keys, "instances"), many)
-        .when(keys.isNotNull(), F.array(whole))
+def _json_rows(body: Column) -> tuple[Column, Column]:
+    """(rows, reason) of a body parsed once: its "features", else its "instances", else the body itself, as maps of numbers."""
+    whole = F.try_parse_json(body)
+
+    def part(path: str, kind: str) -> Column:
+        return F.try_variant_get(whole, path, kind)
+
+    def numbers(path: str) -> Column:
+        """The map at `path`; null where it is no map or a value is neither a number nor missing."""
+        values, texts = part(path, VALUES), part(path, "map<string,string>")
+        wrong = F.exists(F.map_keys(texts), lambda k: texts[k].isNotNull() & values[k].isNull())
+        return F.when(~wrong, values)
+
+    is_object = F.schema_of_variant(whole).startswith("OBJECT")
+    many, many_texts = part("$.instances", f"array<{VALUES}>"), part("$.instances", "array<map<string,string>>")
+    wrong = F.exists(
+        F.zip_with(many, many_texts, lambda v, t: v.isNull() | F.exists(F.map_keys(t), lambda k: t[k].isNotNull() & v[k].isNull())), lambda x: x,
     )
+    rows = (
+        F.when(~is_object, None)
+        .when(part("$.features", "variant").isNotNull(), F.when(numbers("$.features").isNotNull(), F.array(numbers("$.features"))))
+        .when(part("$.instances", "variant").isNotNull(), F.when(~wrong, many))
+        .otherwise(F.when(numbers("$").isNotNull(), F.array(numbers("$"))))
+    )
+    reason = F.when(F.coalesce(is_object, F.lit(False)), F.lit("features are no map of numbers")).otherwise(F.lit("body is no JSON object"))
+    return rows, reason
 
 
-def _csv_rows(body: Column) -> Column:
-    """Header and data lines as an array of maps; an empty cell is a null value."""
-    lines = F.filter(F.split(F.replace(body, F.lit("\r"), F.lit("")), "\n"), lambda line: F.trim(line) != "")
-    header = F.transform(F.split(F.get(lines, F.lit(0)), ","), lambda c: F.trim(c))
+def _cells(line: Column) -> Column:
+    """Cells of a line; commas inside quotes do not part, doubled quotes stand for one."""
+    parts = F.transform(F.split(line, r',(?=(?:[^"]*"[^"]*")*[^"]*$)'), lambda c: F.trim(c))
+    quoted = r'^"(.*)"$'
+    return F.transform(parts, lambda c: F.when(c.rlike(quoted), F.replace(F.regexp_extract(c, quoted, 1), F.lit('""'), F.lit('"'))).otherwise(c))
 
-    def cells(line: Column) -> Column:
-        values = F.transform(F.split(line, ","), lambda c: F.trim(c).try_cast("double"))
-        return F.map_from_arrays(header, values)
 
-    return F.transform(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))), cells)
+def _csv_rows(body: Column) -> tuple[Column, Column]:
+    """(rows, reason) of a header and data lines; an empty cell is a null value."""
+    lines = F.filter(F.split(F.replace(body, F.lit("\r"), F.lit("")), "\n"), lambda line: F.trim(line) != "")
+    header = _cells(F.get(lines, F.lit(0)))
+    data = F.transform(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))), _cells)
+    reason = (
+        F.when(F.size(lines) < 2, F.lit("no data lines"))
+        .when(F.size(F.array_distinct(header)) < F.size(header), F.lit("a column name is repeated"))
+        .when(F.exists(data, lambda cells: F.size(cells) != F.size(header)), F.lit("a line has another number of cells than the header"))
+        .when(F.exists(F.flatten(data), lambda c: (c != "") & c.try_cast("double").isNull()), F.lit("a cell is no number"))
+    )
+    good = F.transform(data, lambda cells: F.map_from_arrays(header, F.transform(cells, lambda c: c.try_cast("double"))))
+    return F.when(reason.isNull() & lines.isNotNull(), good), F.coalesce(reason, F.lit("no data lines"))
 
 
 def decode_requests(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """`(req_id, content_type, body)` to (`(req_id, pos, features)`, rejects with a `reason`)."""
-    rows = F.when(F.col("content_type") == JSON, _json_rows(F.col("body"))).when(
-        F.col("content_type") == CSV, _csv_rows(F.col("body"))
-    )
-    parsed = requests.withColumn("rows", rows)
+    """`(req_id, content_type, body)` to (`(req_id, pos, features)`, rejects with a `reason`).
+
+    A body that is not wholly readable is rejected: nothing malformed aborts the job or passes as a missing value.
+    """
+    json_rows, json_reason = _json_rows(F.col("body"))
+    csv_rows, csv_reason = _csv_rows(F.col("body"))
+    is_json, is_csv = F.col("content_type") == JSON, F.col("content_type") == CSV
+    parsed = requests.withColumn("rows", F.when(is_json, json_rows).when(is_csv, csv_rows))
     good = parsed.where("rows is not null").select("req_id", F.posexplode("rows").alias("pos", "features"))
-    known = F.col("content_type").isin(JSON, CSV)
-    reason = F.when(known, F.lit("Malformed body")).otherwise(
-        F.concat(F.lit("Unsupported content type: "), F.coalesce("content_type", F.lit("none")))
+    reason = F.when(is_json, json_reason).when(is_csv, csv_reason).otherwise(
+        F.concat(F.lit("content type not served: "), F.coalesce("content_type", F.lit("none")))
     )
     rejects = parsed.where("rows is null").select("req_id", "content_type", "body", reason.alias("reason"))
     return good, rejects
@@ -66,7 +93,7 @@ def encode_responses(predictions: DataFrame) -> tuple[DataFrame, DataFrame]:
     good = grouped.select("req_id", F.when(as_json, F.lit(JSON)).otherwise(F.lit(CSV)).alias("content_type"), body.alias("body"))
     rejects = (
         predictions.where(~F.coalesce(as_json | as_csv, F.lit(False)))
-        .select("req_id", F.concat(F.lit("Unsupported accept type: "), F.coalesce("accept", F.lit("none"))).alias("reason"))
+        .select("req_id", F.concat(F.lit("accept type not served: "), F.coalesce("accept", F.lit("none"))).alias("reason"))
         .distinct()
     )
     return good, rejects

@@ -14,6 +14,7 @@ SCHEMA = (
     "prediction double, features map<string,double>"
 )
 RECORDS_PER_FILE = 400_000
+TASKS_PER_DAY = 8
 
 
 def log_records(scored: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -30,10 +31,17 @@ def log_records(scored: DataFrame, features: Sequence[str]) -> DataFrame:
     )
 
 
-def append_log(records: DataFrame, path: str, max_records: int = RECORDS_PER_FILE) -> None:
-    """Append to the log, split by day; a file rolls over after `max_records` lines."""
+def append_log(
+    records: DataFrame, path: str, max_records: int = RECORDS_PER_FILE, tasks_per_day: int = TASKS_PER_DAY
+) -> None:
+    """Append to the log, split by day; a file rolls over after `max_records` lines.
+
+    The records of a day go to at most `tasks_per_day` tasks, so a call leaves few files a day however many tasks made them.
+    """
+    salt = F.pmod(F.xxhash64("request_id", "prediction"), F.lit(tasks_per_day))
     (
         records.select(*FIELDS, F.to_date("timestamp").alias("date"))
+        .repartition("date", salt)
         .write.mode("append")
         .partitionBy("date")
         .option("maxRecordsPerFile", max_records)
@@ -42,8 +50,8 @@ def append_log(records: DataFrame, path: str, max_records: int = RECORDS_PER_FIL
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    """Log rows; blank lines are skipped."""
-    return spark.read.schema(SCHEMA).json(path)
+    """Log rows; blank lines and lines that are no record are left out, `split_corrupt` lists the latter."""
+    return split_corrupt(spark, path)[0]
 
 
 def split_corrupt(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

@@ -39,6 +39,32 @@ def append_json(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery
     )
 
 
+def append_scores(
+    requests: DataFrame,
+    expected: Sequence[str],
+    medians: Mapping[str, float],
+    score: Score,
+    path: str,
+    rejects_path: str,
+    checkpoint: str,
+    model_type: str = "unknown",
+) -> StreamingQuery:
+    """Score a request stream: records to `path`, requests that cannot be scored to `rejects_path` with their reason.
+
+    Each micro-batch writes its own folders, so a repeated batch replaces what it wrote before.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            records, rejects = scored_log(batch, expected, medians, score, model_type)
+            for rows, folder in ((records, path), (rejects, rejects_path)):
+                rows.write.mode("overwrite").json(f"{folder}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
+
+    return requests.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def captured(df: DataFrame, key: str = "request_id", percentage: float = 100.0) -> DataFrame:
     """The share of payloads to keep, chosen by request id."""
     return percent_sample(df, key, percentage)

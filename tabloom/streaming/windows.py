@@ -80,7 +80,6 @@ def drift_stream(
     checkpoint: str,
     alpha: float = ALPHA,
     min_new: int = MIN_NEW,
-    law: str = "auto",
 ) -> StreamingQuery:
     """Test every closed window against the reference as it leaves the state.
 
@@ -93,7 +92,7 @@ def drift_stream(
         batch.persist()
         try:
             if not batch.isEmpty():
-                rows = windowed_drift(reference_counts, batch, alpha, min_new, law)
+                rows = windowed_drift(reference_counts, batch, alpha, min_new)
                 rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
         finally:
             batch.unpersist()

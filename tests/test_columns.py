@@ -29,11 +29,11 @@ def frame(spark, n=400, seed=1):
 
 def test_validation_errors_come_in_order(spark):
     df = spark.createDataFrame([(1.0, 2)], "a double, number_of_elements int")
-    with pytest.raises(ValueError, match="missing required columns"):
+    with pytest.raises(ValueError, match="lacks"):
         validate(df)
-    with pytest.raises(ValueError, match="at least 80 columns"):
+    with pytest.raises(ValueError, match="80 are the least"):
         validate(df, required=["a"])
-    with pytest.raises(ValueError, match="empty"):
+    with pytest.raises(ValueError, match="no rows"):
         validate(df.where("a > 5"), required=["a"], min_columns=2)
     assert validate(df, required=["a"], min_columns=2) == {}
 
@@ -62,8 +62,8 @@ def test_row_fingerprint_ignores_order_but_not_copies(spark):
     assert twice["row_count"] == 200 and twice["fingerprint"] not in ("0", a["fingerprint"])
 
 
-@pytest.mark.parametrize("small_rows", [5_000_000, 40])
-def test_quantiles_are_exact(spark, small_rows):
+@pytest.mark.parametrize("order_rows", [5_000_000, 40])
+def test_quantiles_are_exact(spark, order_rows):
     rng = np.random.default_rng(0)
     n = 20_000
     heavy = np.where(rng.random(n) < 0.4, 7.0, rng.normal(size=n) * 1e6)  # one value is a large share
@@ -73,7 +73,7 @@ def test_quantiles_are_exact(spark, small_rows):
         list(zip(heavy.tolist(), tail.tolist(), gaps, [3.5] * n)), "heavy double, tail double, gaps double, flat double"
     ).repartition(4)
     probs = [0.0, 0.25, 0.5, 0.99, 1.0]
-    got = {(r["feature"], r["prob"]): r["value"] for r in exact_quantiles(df, df.columns, probs, small_rows).collect()}
+    got = {(r["feature"], r["prob"]): r["value"] for r in exact_quantiles(df, df.columns, probs, order_rows).collect()}
     data = {"heavy": heavy, "tail": tail, "gaps": np.array([g for g in gaps if g is not None]), "flat": np.full(n, 3.5)}
     for c, values in data.items():
         for p in probs:
