@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabloom.llm import common
-from tabloom.llm.token_files import Encoder
+from tabloom.llm.token_files import encoder
 from tabloom.operators.frames import name
 
 MOST, BUCKETS, BUDGET = 2048, 8, 16_384
@@ -49,15 +49,12 @@ def optimal_bounds(histogram: dict[int, int], buckets: int) -> list[int]:
 
 def token_counts(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows (id, n_tokens): tokens of the whole text and an end id."""
-    encoders: list[Encoder] = []
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not encoders:
-            encoders.append(Encoder(tokenizer))
+        own = encoder(tokenizer)
         for batch in batches:
             column, counts = common.plain_text(batch.column(1)), []
             for a, b in common.text_slices(column):
-                counts += [len(x) // encoders[0].dtype.itemsize + 1 for x in encoders[0].encode(column.slice(a, b - a).to_pylist())]
+                counts += [len(x) // own.dtype.itemsize + 1 for x in own.encode(column.slice(a, b - a).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64())], names=["id", "n_tokens"])
 
     return docs.select(name(id_column).cast("long").alias("id"), name(text)).mapInArrow(run, "id long, n_tokens long")

@@ -10,8 +10,12 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,16 +27,18 @@ from tabloom.llm import common
 from tabloom.operators.frames import name
 
 NO_ID = -(2**63)
-#: Words whose ids a worker remembers; the memory is emptied when it is full.
-REMEMBERED = 300_000
+#: Words whose ids a worker remembers; later new words are encoded again each time.
+REMEMBERED = 600_000
 _LONG_GAP = re.compile(r"\s{3}")
+_ONE_WORD = re.compile(r" ?\S+").fullmatch
+_MARKS = frozenset(",.;:!?")
 
 
 class Encoder:
     """Ids of texts by a tokenizer file, as flat bytes.
 
-    With a byte-level tokenizer that splits words before a space, a text is cut at its single spaces and every distinct word is
-    given to the tokenizer once. Texts with longer gaps are encoded as a whole.
+    With a byte-level tokenizer that splits words before a space, a text is cut at single spaces and line ends and every distinct
+    word is given to the tokenizer once. Texts with longer gaps are encoded as a whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -46,41 +52,87 @@ class Encoder:
             r"ByteLevel\(add_prefix_space=False.*use_regex=True", str(self.tokenizer.pre_tokenizer)
         ) is not None
         self.known: dict[str, bytes] = {}
+        line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.line_end = line_end if self.by_word and len(line_end) == 1 else []
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        code = "H" if self.dtype.itemsize == 2 else "I"
+        flat = [array(code, e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        if sys.byteorder == "big":
+            for ids in flat:
+                ids.byteswap()
+        return [ids.tobytes() for ids in flat]
 
     def _whole(self, text: str) -> bool:
         tail = text[-2:]
         return (
-            not self.by_word or _LONG_GAP.search(text) is not None or (len(tail) == 2 and tail.isspace())
+            not self.by_word or "\0" in text or _LONG_GAP.search(text) is not None or (len(tail) == 2 and tail.isspace())
             or any(a in text for a in self.added)
         )
 
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Words without inner gaps are encoded as the lines of one text: a line end is a token of its own between words."""
+        if not self.line_end:
+            return self._encode(words)
+        at = [i for i, w in enumerate(words) if _ONE_WORD(w)]
+        out = [b""] * len(words)
+        for first in range(0, len(at), 4096):
+            some = at[first : first + 4096]
+            ids = np.array(self.tokenizer.encode_batch_fast(["\n".join([words[i] for i in some])], add_special_tokens=False)[0].ids, self.dtype)
+            ends = np.flatnonzero(ids == self.line_end[0]) * self.dtype.itemsize
+            flat, low = ids.tobytes(), 0
+            for i, high in zip(some, [*ends.tolist(), len(flat)]):
+                out[i], low = flat[low:high], high + self.dtype.itemsize
+        rest = [i for i, w in enumerate(words) if not _ONE_WORD(w)]
+        for i, ids in zip(rest, self._encode([words[i] for i in rest])):
+            out[i] = ids
+        return out
+
+    def _learn(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of new words; one sign after a letter is a token of its own, so `word,` needs `word` and `,` only."""
+        known = self.known
+        ended = {w: w[:-1] for w in words if len(w) > 1 and w[-1] in _MARKS and w[-2].isalpha()}
+        order = [w for w in {*(w for w in words if w not in ended), *ended.values(), *_MARKS} if w not in known]
+        fresh = dict(zip(order, self._encode_words(order)))
+        for w, stem in ended.items():
+            fresh[w] = (fresh[stem] if stem in fresh else known[stem]) + (fresh[w[-1]] if w[-1] in fresh else known[w[-1]])
+        if len(known) < REMEMBERED:
+            known.update(fresh)
+        return fresh
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        whole = [i for i, t in enumerate(texts) if self._whole(t)]
         out: list = [None] * len(texts)
+        whole = [i for i, t in enumerate(texts) if self._whole(t)]
         for i, ids in zip(whole, self._encode([texts[i] for i in whole])):
             out[i] = ids
-        split = [(i, t.replace(" ", "\0 ").split("\0") if "\0" not in t else re.split("(?= )", t)) for i, t in enumerate(texts) if out[i] is None]
-        new = list({w for _, words in split for w in words} - self.known.keys())
-        self.known.update(zip(new, self._encode(new)))
-        ids_of = self.known.__getitem__
-        for i, words in split:
-            out[i] = b"".join(map(ids_of, words))
+        split = [i for i, ids in enumerate(out) if ids is None]
+        words = [texts[i].replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") for i in split]
+        flat = list(chain.from_iterable(words))
+        ids = list(map(self.known.get, flat))
+        new = [i for i, x in enumerate(ids) if x is None]
+        if new:
+            fresh = self._learn({flat[i] for i in new})
+            for i in new:
+                ids[i] = fresh[flat[i]]
+        at = 0
+        for i, w in zip(split, words):
+            out[i] = b"".join(ids[at : at + len(w)])
+            at += len(w)
         return out
 
 
+@lru_cache(2)
+def encoder(path: str) -> Encoder:
+    """One encoder per worker and file, with its remembered words, for all tasks of the worker."""
+    return Encoder(path)
+
+
 def _filesystem(folder: str) -> tuple[pafs.FileSystem, str]:
     """The file system of a folder that all tasks reach, by its URI; a plain path is a shared mount."""
     return pafs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (pafs.LocalFileSystem(), folder)
 
 
 def _writer(folder: str, path: str, end_id: int):
-    encoders: list[Encoder] = []
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """One shard per partition, renamed into place when complete: a repeated task writes the same bytes again."""
         from pyspark import TaskContext
@@ -88,10 +140,8 @@ def _writer(folder: str, path: str, end_id: int):
         first = next((b for b in batches if b.num_rows), None)
         if first is None:
             return
-        if not encoders:
-            encoders.append(Encoder(path))
-        encoder = encoders[0]
-        closing = np.array([end_id], encoder.dtype).tobytes()
+        own = encoder(path)
+        closing = np.array([end_id], own.dtype).tobytes()
         system, root = _filesystem(folder)
         context = TaskContext.get()
         shard = context.partitionId()
@@ -103,10 +153,10 @@ def _writer(folder: str, path: str, end_id: int):
                 column = common.plain_text(batch.column(1))
                 ids.append(batch.column(0).to_numpy(zero_copy_only=False))
                 for a, b in common.text_slices(column):
-                    for tokens in encoder.encode(column.slice(a, b - a).to_pylist()):
+                    for tokens in own.encode(column.slice(a, b - a).to_pylist()):
                         out.write(tokens + closing)
                         offsets.append(at)
-                        at += len(tokens) // encoder.dtype.itemsize + 1
+                        at += len(tokens) // own.dtype.itemsize + 1
         index = np.empty((len(offsets) + 1, 2), "<i8")
         index[:-1, 0], index[:-1, 1], index[-1] = np.concatenate(ids), offsets, (len(offsets), at)
         with system.open_output_stream(f"{part}.idx") as out:
@@ -114,7 +164,7 @@ def _writer(folder: str, path: str, end_id: int):
         for kind in ("bin", "idx"):
             system.move(f"{part}.{kind}", f"{place}.{kind}")
         yield pa.RecordBatch.from_arrays(
-            [pa.array([shard]), pa.array([encoder.dtype.itemsize], pa.int32()), pa.array([len(offsets)]), pa.array([at])],
+            [pa.array([shard]), pa.array([own.dtype.itemsize], pa.int32()), pa.array([len(offsets)]), pa.array([at])],
             names=["shard", "width", "n_docs", "n_ids"],
         )
     return run
