@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabloom.operators.frames import name
+from tabloom.session import shared_dir
 
 WHITE = bytes([0x20, *range(0x09, 0x0E)])
 #: Bytes of text worked on at a time; bounds the arrays of a task.
@@ -36,10 +36,7 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 def working_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder below spark.checkpoint.dir, which all executors reach."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return shared_dir(spark, label)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
@@ -55,6 +52,17 @@ def crc_fold(column: str) -> Column:
     return F.pmod(F.crc32(F.coalesce(name(column).cast("string"), F.lit("")).cast("binary")), F.lit(3)).cast("int")
 
 
+def nested(docs: DataFrame, text: str) -> DataFrame:
+    """Rows (row, own_text): all columns as one struct, whatever their names, beside the text that is worked on."""
+    return docs.select(F.struct(*[name(c) for c in docs.columns]).alias("row"), name(text).alias("own_text"))
+
+
+def unnested(df: DataFrame, docs: DataFrame, *results: Column, names: tuple[str, ...] = (), without: tuple[str, ...] = ()) -> DataFrame:
+    """The columns of `docs` out of the struct and the results after them; a column named like a result gives way to it."""
+    kept = [c for c in docs.columns if c not in names and c not in without]
+    return df.select(*[F.col("row")[c].alias(c) for c in kept], *[r.alias(n) for r, n in zip(results, names)])
+
+
 def numbered(docs: DataFrame, id_column: str, text: str, parts: int) -> DataFrame:
     """Rows (did, copy, id, text, row) dealt by did: did is the id, null as the smallest long, copy numbers rows of one did.
 

@@ -20,6 +20,7 @@ from tabloom.operators.frames import name
 
 #: Bytes of benchmark text whose windows are broadcast at a time; a larger benchmark takes several scans.
 BROADCAST_BYTES = 16 << 20
+FOUND = ("n_words", "hit_spans", "items")
 SPAN = T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("last", T.LongType())]))
 
 
@@ -106,22 +107,22 @@ def mark(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str =
     tests = benchmark.select(name(item).cast("string").alias("item"), name(item_text).alias("words"))
     total = tests.agg(F.sum(F.octet_length("words"))).first()[0] or 0
     slices = -(-total // BROADCAST_BYTES) or 1
-    out = docs.select("*", F.lit(0).cast("long").alias("__n"), F.array().cast(SPAN).alias("__spans"), F.array().cast("array<string>").alias("__items"))
+    out = common.nested(docs, text).select(
+        "*", F.lit(0).cast("long").alias("n"), F.array().cast(SPAN).alias("spans"), F.array().cast("array<string>").alias("items"),
+    )
     for k in range(slices):
         some = tests if slices == 1 else tests.where(F.pmod(F.xxhash64("item", "words"), F.lit(slices)) == k)
         window_set = spark.sparkContext.broadcast(WindowSet([tuple(r) for r in some.collect()], width))
-        out = out.mapInArrow(_marker(window_set, text), out.schema)
+        out = out.mapInArrow(_marker(window_set), out.schema)
         if k + 1 < slices:
             out = common.written(out, "decontaminate")
-    return out.select(
-        *[name(c) for c in docs.columns], F.col("__n").alias("n_words"), F.col("__spans").alias("hit_spans"), F.col("__items").alias("items"),
-    )
+    return common.unnested(out, docs, F.col("n"), F.col("spans"), F.col("items"), names=FOUND)
 
 
-def _marker(window_set, text: str):
+def _marker(window_set):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column = common.plain_text(batch.column(batch.schema.names.index(text)))
+            column = common.plain_text(batch.column(1))
             numbers, spans, items = [], [], []
             for a, b in common.text_slices(column):
                 offsets = common.text_offsets(column)[a : b + 1]
@@ -132,13 +133,13 @@ def _marker(window_set, text: str):
                 items += i
             arrays = dict(zip(batch.schema.names, batch.columns))
             if batch.num_rows:
-                before_s, before_i = arrays["__spans"].to_pylist(), arrays["__items"].to_pylist()
+                before_s, before_i = arrays["spans"].to_pylist(), arrays["items"].to_pylist()
                 spans = [merged(s + [(x["first"], x["last"]) for x in o]) if o else s for s, o in zip(spans, before_s)]
                 items = [sorted({*i, *o}) if o else sorted(i) for i, o in zip(items, before_i)]
             spans_type = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
-            arrays["__n"] = pa.array(np.concatenate(numbers) if numbers else [], pa.int64())
-            arrays["__spans"] = pa.array([[{"first": a, "last": b} for a, b in s] for s in spans], spans_type)
-            arrays["__items"] = pa.array(items, pa.list_(pa.string()))
+            arrays["n"] = pa.array(np.concatenate(numbers) if numbers else [], pa.int64())
+            arrays["spans"] = pa.array([[{"first": a, "last": b} for a, b in s] for s in spans], spans_type)
+            arrays["items"] = pa.array(items, pa.list_(pa.string()))
             yield pa.RecordBatch.from_arrays(list(arrays.values()), names=list(arrays))
     return run
 
@@ -149,7 +150,11 @@ def hit_words() -> Column:
 
 def drop_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """`docs` without those that hold an occurrence of a benchmark window."""
-    return mark(docs, benchmark, **options).where(F.size("hit_spans") == 0).select(*[name(c) for c in docs.columns])
+    return common.unnested(_marked(docs, benchmark, **options).where(F.size("hit_spans") == 0), docs)
+
+
+def _marked(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
+    return mark(common.nested(docs, text), benchmark, text="own_text", **options)
 
 
 @F.udf(returnType=T.StringType(), useArrow=False)
@@ -168,8 +173,9 @@ def _without(text: str | None, spans: list) -> str | None:
 
 def drop_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """`docs` with every hit run of words, from its first to its last byte, cut out of the text."""
-    cut = mark(docs, benchmark, text=text, **options).withColumn(text, _without(name(text), F.col("hit_spans")))
-    return cut.select(*[name(c) for c in docs.columns])
+    marked = _marked(docs, benchmark, text=text, **options)
+    cut = _without(F.col("own_text"), F.col("hit_spans"))
+    return marked.select(*[cut.alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def report(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id") -> DataFrame:

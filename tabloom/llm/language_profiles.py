@@ -120,7 +120,7 @@ def identify(docs: DataFrame, profile: tuple[list[str], np.ndarray], text: str =
     langs, vectors = profile
     norms = np.linalg.norm(vectors, axis=1, keepdims=True)
     unit = docs.sparkSession.sparkContext.broadcast((vectors / np.where(norms > 0, norms, 1)).T.copy())
-    kept = [c for c in docs.columns if c != text]
+    kept = [c for c in docs.columns if c not in (text, "lang_pred", "score")]
     schema = docs.select(*[name(c) for c in kept], F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

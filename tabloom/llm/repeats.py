@@ -217,9 +217,7 @@ def _send(unit: Unit, buckets: int, across: bool, hot):
         for batch in batches:
             dids, copies = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             asked = batch.column(3)
-            first_of: dict[bytes, int] = {}
-            sent: list[tuple] = []
-            done: list[tuple] = []
+            held: list[tuple] = []
             lists = asked.offsets.to_numpy()
             wanted = asked.values.to_numpy(zero_copy_only=False)
             for a, b, data, offsets in slices(batch, 2):
@@ -247,15 +245,22 @@ def _send(unit: Unit, buckets: int, across: bool, hot):
                         texts = [b" ".join(flat[x:y].split()) for x, y in zip(left[start].tolist(), right[end - 1].tolist())]
                     else:
                         texts = [flat[x:y] for x, y in zip(start.tolist(), end.tolist())]
-                    for text, d, c, s, n, x, alone in zip(texts, did.tolist(), copy.tolist(), begin.tolist(), count.tolist(), h.tolist(), single.tolist()):
-                        before = first_of.get(text)
-                        if before is None:
-                            first_of[text] = d
-                        if before is None or (across and before == d):
-                            key = int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little") if alone else x
-                            sent.append((key, d, c, s, n, text))
-                        else:
-                            done.append((d, c, s, s + n + unit.length - 1))
+                    keys = h.tolist()
+                    for i in np.flatnonzero(single).tolist():
+                        keys[i] = int.from_bytes(hashlib.blake2b(texts[i], digest_size=8).digest(), "little")
+                    held += zip(did.tolist(), copy.tolist(), begin.tolist(), count.tolist(), keys, texts)
+            held.sort(key=lambda f: f[:3])  # the order in which documents count as earlier
+            first_of: dict[bytes, int] = {}
+            sent: list[tuple] = []
+            done: list[tuple] = []
+            for d, c, s, n, key, text in held:
+                before = first_of.get(text)
+                if before is None:
+                    first_of[text] = d
+                if before is None or (across and before == d):
+                    sent.append((key, d, c, s, n, text))
+                else:
+                    done.append((d, c, s, s + n + unit.length - 1))
             found = []
             if sent:
                 key, did, copy, start, count = (np.array([r[i] for r in sent], np.uint64 if i == 0 else np.int64) for i in range(5))

@@ -50,7 +50,7 @@ def fingerprint(text: str | None, words_per_shingle: int) -> int:
 
 def fingerprints(docs: DataFrame, text: str = "text", words_per_shingle: int = 3) -> DataFrame:
     """All columns of `docs` but the text, and `fp`, the fingerprint as a signed long."""
-    kept = [c for c in docs.columns if c != text]
+    kept = [c for c in docs.columns if c not in (text, "fp")]
     schema = docs.select(*[name(c) for c in kept], F.lit(0).cast("long").alias("fp")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -117,14 +117,13 @@ class Model:
 
     def score(self, docs: DataFrame, text: str = "text") -> DataFrame:
         """All columns of `docs` but the text, and `score`."""
-        kept = [name(c) for c in docs.columns if c != text]
+        own = common.nested(docs, text)
         if self.trees is None:
-            return docs.select(*kept, F.lit(0.0).alias("score"))
+            return common.unnested(own, docs, F.lit(0.0), names=("score",), without=(text,))
         lexicon = docs.sparkSession.sparkContext.broadcast(self.lexicon)
-        own = with_features(docs, lexicon, text)
-        raw = _raw(self.trees, own)
-        calibrated = self.calibration.transform(raw)
-        return calibrated.select(*kept, F.round(F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("calibrated"))), 6).alias("score"))
+        calibrated = self.calibration.transform(_raw(self.trees, with_features(own, lexicon, "own_text")))
+        score = F.round(F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("calibrated"))), 6)
+        return common.unnested(calibrated, docs, score, names=("score",), without=(text,))
 
 
 def _raw(trees, own: DataFrame) -> DataFrame:
@@ -171,8 +170,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str
 
 def keep_clean(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """`docs` without the documents that the model rejects."""
-    own = docs.select(F.struct(*[name(c) for c in docs.columns]).alias("row"), name(text).alias("own_text"))
-    return model.score(own, "own_text").where(F.col("score") < THRESHOLD).select(*[F.col("row")[c].alias(c) for c in docs.columns])
+    return common.unnested(model.score(common.nested(docs, text), "own_text").where(F.col("score") < THRESHOLD), docs)
 
 
 def report(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
