@@ -2,45 +2,75 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabloom.operators.buckets import balanced_edges, running_totals
+from tabloom.operators.buckets import balanced_edges, running_totals, with_bucket
 from tabloom.operators.drift import ALPHA, MIN_NEW, report
+from tabloom.session import materialise, small_table
 
 
-def windowed_drift(
-    reference_counts: DataFrame,
-    window_counts: DataFrame,
-    alpha: float = ALPHA,
-    min_new: int = MIN_NEW,
+@dataclass(frozen=True)
+class RankedReference:
+    """Reference values with the number of values up to each, `(feature, bucket, value, n, upto)`; `starts` has a row per feature
+    and bucket: `(feature, bucket, earlier, n_ref)`.
+    """
+
+    ranks: DataFrame
+    starts: DataFrame
+    edges: Mapping[str, Sequence[float]]
+
+
+def rank_reference(reference_counts: DataFrame, keep: bool = True) -> RankedReference:
+    """Rank `(feature, value, n)` once, for any number of windows and micro-batches; kept as a table unless told otherwise."""
+    edges = balanced_edges(reference_counts.select("feature", "value"))
+    ranks = with_bucket(running_totals(reference_counts, ["feature"], "n", edges), edges).select(
+        "feature", "bucket", "value", "n", "upto", "total"
+    )
+    ranks = materialise(ranks, "ranks") if keep else ranks
+    grid = small_table(
+        reference_counts.sparkSession, [(f, b) for f, e in edges.items() for b in range(len(e) + 1)], "feature string, bucket int"
+    )
+    ends = ranks.groupBy("feature", "bucket").agg(F.max("upto").alias("end"), F.max("total").alias("n_ref"))
+    before = Window.partitionBy("feature").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = grid.join(ends, ["feature", "bucket"], "left").select(
+        "feature", "bucket", F.coalesce(F.max("end").over(before), F.lit(0)).alias("earlier"),
+        F.max("n_ref").over(Window.partitionBy("feature")).alias("n_ref"),
+    )
+    return RankedReference(ranks, materialise(starts, "starts") if keep else starts, edges)
+
+
+def drift_of_windows(
+    reference: RankedReference, window_counts: DataFrame, alpha: float = ALPHA, min_new: int = MIN_NEW
 ) -> DataFrame:
-    """`(window_start, feature, n_new, ks_statistic, p_value, drifted)`.
+    """`(window_start, feature, n_new, ks_statistic, p_value, drifted)` of `(window_start, feature, value, n)`.
 
-    Inputs are `(feature, value, n)` and `(window_start, feature, value, n)`. Between two new
-    values the new distribution is flat and the reference one only rises, so the largest gap lies
-    at a new value or just before one. Each distinct new value is ranked in the reference once,
-    for all windows together; the reference is not repeated per window.
+    Between two new values the new distribution is flat and the reference one only rises, so the largest gap lies at a new value or
+    just before one. Each distinct new value finds its rank among the reference values of its bucket; other buckets are not read.
     """
-    marks = window_counts.select("feature", "value").distinct()
-    steps = (
-        reference_counts.select("feature", "value", "n", F.lit(False).alias("mark"))
-        .unionByName(marks.select("feature", "value", F.lit(0).cast("bigint").alias("n"), F.lit(True).alias("mark")))
-        .groupBy("feature", "value")
-        .agg(F.sum("n").alias("at"), F.bool_or("mark").alias("mark"))
-    )
-    edges = balanced_edges(
-        reference_counts.select("feature", "value").unionByName(window_counts.select("feature", "value"))
+    marks = with_bucket(window_counts.select("feature", "value").distinct(), reference.edges)
+    touched = marks.select("feature", "bucket").distinct()
+    held = reference.ranks.join(touched, ["feature", "bucket"], "left_semi").select(
+        "feature", "bucket", "value", F.struct("value", "n", "upto").alias("known"), F.lit(False).alias("mark")
     )
+    asked = marks.select("feature", "bucket", "value", F.lit(None).cast(held.schema["known"].dataType).alias("known"), F.lit(True).alias("mark"))
+    upto_here = Window.partitionBy("feature", "bucket").orderBy("value", "mark").rowsBetween(Window.unboundedPreceding, 0)
+    last = F.col("last")
     ranks = (
-        running_totals(steps, ["feature"], "at", edges)
+        held.unionByName(asked)
+        .withColumn("last", F.last("known", ignorenulls=True).over(upto_here))
         .where("mark")
+        .join(reference.starts, ["feature", "bucket"])
         .select(
-            "feature", "value", F.col("total").alias("n_ref"), "upto", (F.col("upto") - F.col("at")).alias("before")
+            "feature", "value", "n_ref", F.coalesce(last["upto"], "earlier").alias("upto"),
+            F.when(last["value"] == F.col("value"), last["upto"] - last["n"]).otherwise(F.coalesce(last["upto"], "earlier")).alias("before"),
         )
     )
     new = (
-        running_totals(window_counts, ["window_start", "feature"], "n", edges)
+        running_totals(window_counts, ["window_start", "feature"], "n", reference.edges)
         .withColumnRenamed("upto", "cum")
         .withColumnRenamed("total", "n_new")
     )
@@ -52,6 +82,11 @@ def windowed_drift(
         .groupBy("window_start", "feature", "n_ref", "n_new")
         .agg(F.max(F.greatest(at_value, just_before)).alias("d"))
     )
-    return report(stats, alpha).select(
-        "window_start", "feature", "n_new", "ks_statistic", "p_value", "drifted"
-    )
+    return report(stats, alpha).select("window_start", "feature", "n_new", "ks_statistic", "p_value", "drifted")
+
+
+def windowed_drift(
+    reference_counts: DataFrame, window_counts: DataFrame, alpha: float = ALPHA, min_new: int = MIN_NEW
+) -> DataFrame:
+    """`drift_of_windows` against `(feature, value, n)`, ranked for this call."""
+    return drift_of_windows(rank_reference(reference_counts), window_counts, alpha, min_new)

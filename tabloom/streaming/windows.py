@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tabloom.operators.buckets import balanced_edges, weighted_summary
 from tabloom.operators.drift import ALPHA, MIN_NEW
 from tabloom.operators.frames import as_double, name
-from tabloom.operators.windowed_drift import windowed_drift
+from tabloom.operators.windowed_drift import drift_of_windows, rank_reference
 
 DELAY = "1 hour"
 COUNTS = "window_start timestamp, feature string, value double, n bigint"
@@ -83,16 +83,17 @@ def drift_stream(
 ) -> StreamingQuery:
     """Test every closed window against the reference as it leaves the state.
 
-    Every micro-batch reads `reference_counts`, so it should be a kept table.
-
+    The reference is ranked once, before the first micro-batch; a micro-batch reads the kept ranks of the buckets it touches.
     Each micro-batch writes its own folder, so a repeated batch replaces what it wrote before.
     """
 
+    ranked = rank_reference(reference_counts)
+
     def test(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
             if not batch.isEmpty():
-                rows = windowed_drift(reference_counts, batch, alpha, min_new)
+                rows = drift_of_windows(ranked, batch, alpha, min_new)
                 rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
         finally:
             batch.unpersist()
@@ -110,9 +111,13 @@ def on_closed(counts: DataFrame, action: Callable[[DataFrame, int], None], check
     )
 
 
-def read_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", pattern: str | None = None) -> DataFrame:
-    """A folder of files as a stream; `pattern` picks file names."""
+def read_stream(
+    spark: SparkSession, path: str, schema, fmt: str = "parquet", pattern: str | None = None, files_per_batch: int | None = None
+) -> DataFrame:
+    """A folder of files as a stream; `pattern` picks file names, `files_per_batch` bounds a micro-batch."""
     reader = spark.readStream.schema(schema).format(fmt)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     return reader.load(path)

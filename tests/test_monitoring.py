@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from tabloom.operators.drift import drift_summary, ks_drift, ks_statistics, ranked
 from tabloom.operators.linear import LinearModel
 from tabloom.operators.scoring import score_batch, score_requests, score_strict
-from tabloom.operators.windowed_drift import windowed_drift
+from tabloom.operators.windowed_drift import rank_reference, windowed_drift
 from tabloom.sources.codec import decode_requests, encode_responses
 from tabloom.sources.prediction_log import append_log, flatten, log_records, read_log
+from tabloom.streaming import windows
 from tabloom.streaming.alarms import alarm_states
-from tabloom.streaming.scorer import append_json, scored_log
+from tabloom.streaming.scorer import append_json, append_scores, scored_log
 from tabloom.streaming.windows import read_stream, run_to_table, value_counts, window_summary
 
 T0 = dt.datetime(2024, 1, 1)
@@ -219,6 +220,34 @@ def test_closed_windows_survive_a_restart(spark, tmp_path):
     assert (s["n"], s["p50"]) == (60, np.quantile(values, 0.5))
 
 
+def test_reference_is_ranked_once_for_all_batches(spark, tmp_path, monkeypatch):
+    source, out = tmp_path / "in", tmp_path / "out"
+    for part in ((0, 240), (240, 480), (480, 720)):
+        events(spark, part, source, ".")
+    calls = []
+    monkeypatch.setattr(windows, "rank_reference", lambda counts: calls.append(1) or rank_reference(counts))
+    reference = spark.createDataFrame([("value", float(v), 10) for v in range(5)], "feature string, value double, n bigint")
+    stream = read_stream(spark, str(source), "ts timestamp, value double, id string", files_per_batch=1)
+    counts = value_counts(stream, "ts", ["value"], "1 hour", "10 minutes")
+    windows.drift_stream(counts, reference, str(out), str(tmp_path / "state")).awaitTermination()
+    rows = spark.read.parquet(str(out)).collect()
+    assert len(calls) == 1 and len(list(out.glob("batch_id=*"))) > 1
+    assert len({r["window_start"] for r in rows}) == len(rows) == 11
+    assert all(r["ks_statistic"] == round(distance(np.repeat(np.arange(5.0), 10), np.arange(60) % 7.0), 6) or r["n_new"] == 60 for r in rows)
+
+
+def test_scorer_keeps_its_rejects(spark, tmp_path):
+    source = str(tmp_path / "in")
+    requests(spark).withColumn("timestamp", F.lit(T0)).write.json(source)
+    stream = read_stream(spark, source, "timestamp timestamp, request_id string, features map<string,double>", "json")
+    append_scores(
+        stream, ["a", "b"], {"a": 4.0}, MODEL.transform, str(tmp_path / "log"), str(tmp_path / "bad"), str(tmp_path / "state"), "linear",
+    ).awaitTermination()
+    assert spark.read.json(str(tmp_path / "log")).count() == 3
+    bad = spark.read.json(str(tmp_path / "bad")).collect()
+    assert [r["request_id"] for r in bad] == ["r3"] and "'b'" in bad[0]["reason"]
+
+
 def test_streamed_scores_reach_the_log(spark, tmp_path):
     source = str(tmp_path / "in")
     requests(spark).withColumn("timestamp", F.lit(T0)).write.json(source)
