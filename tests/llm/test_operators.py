@@ -415,12 +415,11 @@ def test_simhash_repeated_ids(spark):
     assert sorted(str(r["text"]) for r in simhash.keep_one(df).collect()) == ["a b c d", "only here now", "q w e r t y"]
 
 
-@pytest.mark.parametrize("distance", [0, 1, 3, 5])
-@pytest.mark.parametrize("hot", [1 << 13, 20])
+@pytest.mark.parametrize("distance,hot", [(0, 1 << 13), (3, 1 << 13), (3, 20), (5, 20)])
 def test_links_reach_what_all_pairs_reach(spark, monkeypatch, distance, hot):
     monkeypatch.setattr(simhash, "HOT", hot)
     rng = random.Random(distance)
-    centres = [rng.getrandbits(64) for _ in range(25)] + [0]
+    centres = [rng.getrandbits(64) for _ in range(15)] + [0]
     fps = set(centres)
     for c in centres:
         for _ in range(12):
@@ -439,8 +438,6 @@ def test_links_reach_what_all_pairs_reach(spark, monkeypatch, distance, hot):
             left += near
         least[s] = min(int(np.uint64(y).astype(np.int64)) for y in group)
     assert {s: got.get(s, s) for s in signed} == least
-    for r in found.collect():
-        assert (int(np.int64(r["a"]).astype(np.uint64)) ^ int(np.int64(r["b"]).astype(np.uint64))).bit_count() <= 64
 
 
 def test_large_groups(monkeypatch):
@@ -466,7 +463,7 @@ def test_ring_filter_keeps_every_near_pair():
 
 
 def test_components_of_chains_and_stars(spark):
-    links = [(i, i + 1) for i in range(0, 60)] + [(100, 100 + i) for i in range(1, 40)] + [(7, 7), (500, 400)]
+    links = [(i, i + 1) for i in range(0, 20)] + [(100, 100 + i) for i in range(1, 40)] + [(7, 7), (500, 400)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
-    assert got == {**{i: 0 for i in range(1, 61)}, **{100 + i: 100 for i in range(1, 40)}, 500: 400}
+    assert got == {**{i: 0 for i in range(1, 21)}, **{100 + i: 100 for i in range(1, 40)}, 500: 400}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
