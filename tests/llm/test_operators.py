@@ -359,7 +359,7 @@ def test_toxicity_edges(spark, docs, rows, empty):
     for text in (b"", b"\xff\xfe", b"a", b"You IDIOT!!! i*d1ot you", b"x" * 100_000):
         values = toxicity.features(text, lexicon)
         assert len(values) == len(toxicity.FEATURES) and all(np.isfinite(values))
-    assert toxicity.features(b"you idiot", lexicon)[8] > 0 and toxicity.words_of(b"1d10t id!ot")[1] == 1
+    assert toxicity.features(b"you idiot", lexicon)[8] > 0 and toxicity.words_of(b"1d10t id!ot")[1] == 2
     labels = spark.createDataFrame([(i, int(i % 2)) for i in range(600)], "doc_id long, toxic int").union(spark.createDataFrame([(1, 0), (None, 1), (2, None)], "doc_id long, toxic int"))
     train = labels.select("doc_id", F.when(F.col("toxic") == 1, "stupid clown talk here").otherwise("plain talk over here").alias("text")).where("doc_id IS NOT NULL")
     model = toxicity.fit(train, labels)
