@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabloom.operators.frames import name
@@ -15,6 +15,8 @@ from tabloom.session import shared_dir
 WHITE = bytes([0x20, *range(0x09, 0x0E)])
 #: Bytes of text worked on at a time; bounds the arrays of a task.
 SLICE = 1 << 20
+#: Characters by which texts of one id are dealt to ranges; the sample behind the ranges holds no more of a text.
+PREFIX = 256
 
 _WORD = np.ones(256, dtype=bool)
 _WORD[list(WHITE)] = False
@@ -63,12 +65,15 @@ def unnested(df: DataFrame, docs: DataFrame, *results: Column, names: tuple[str,
     return df.select(*[F.col("row")[c].alias(c) for c in kept], *[r.alias(n) for r, n in zip(results, names)])
 
 
-def numbered(docs: DataFrame, id_column: str, text: str, parts: int) -> DataFrame:
-    """Rows (did, copy, id, text, row) dealt by did: did is the id, null as the smallest long, copy numbers rows of one did.
+def numbered(docs: DataFrame, id_column: str, text: str, parts: int) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Rows (did, copy, again, id, text, row), the same rows dealt for joins, and the columns that such joins need.
 
-    Rows of one id are told apart by the order of their texts, so repeated rows stay separate documents. `row` is a struct of
-    all columns, whatever their names, with the text left out: it is null there only if the text is.
+    did is the id, null as the smallest long. Where ids repeat, copy tells the texts of one did apart and rises with them; `again`
+    marks all rows but one of those with equal did and text. `row` is a struct of all columns, whatever their names, with the text
+    left out: it is null there only if the text is. Texts are named by digest, so that rows of one id need not meet in one task;
+    only texts of repeated ids are ordered, one of each, and those of one id that agree in PREFIX characters by one task.
     """
+    spark = docs.sparkSession
     rest = F.struct(*[
         F.when(name(c).isNotNull(), F.lit("")).alias(c) if c == text else name(c).alias(c) for c in docs.columns
     ])
@@ -76,9 +81,24 @@ def numbered(docs: DataFrame, id_column: str, text: str, parts: int) -> DataFram
     own = docs.select(
         F.coalesce(name(id_column).cast("long"), least).alias("did"), name(id_column).cast("long").alias("id"),
         F.coalesce(name(text), F.lit("")).alias("text"), rest.alias("row"),
-    ).repartition(parts, "did")
-    order = Window.partitionBy("did").orderBy(F.col("id").isNotNull(), "text")
-    return own.withColumn("copy", F.row_number().over(order) - 1)
+    )
+    repeated = written(own.groupBy("did").count().where("count > 1").select("did"), "repeated")
+    if repeated.isEmpty():
+        single = {"copy": F.lit(0).cast("long"), "again": F.lit(False)}
+        return own.withColumns(single), own.repartition(parts, "did").withColumns(single), ["did"]
+    known = F.col("id").isNotNull()
+    digest = F.unhex(F.sha2(F.concat(known.cast("string"), "text").cast("binary"), 256))
+    own = written(own.withColumns({"digest": digest, "place": F.monotonically_increasing_id()}), "rows")
+    texts = (
+        own.join(repeated, "did", "left_semi").groupBy("did", known.alias("known"), "digest")
+        .agg(F.min("place").alias("lead"), F.first("text").alias("text"))
+        .repartitionByRange(parts, "did", "known", F.substring("text", 1, PREFIX)).sortWithinPartitions("did", "known", "text")
+    )
+    copies = written(texts.select("did", "digest", "lead", F.monotonically_increasing_id().alias("copy")), "copies")
+    named = own.join(copies, ["did", "digest"], "left").select(
+        "did", F.coalesce("copy", F.lit(0)).alias("copy"), F.coalesce(F.col("place") != F.col("lead"), F.lit(False)).alias("again"), "id", "text", "row",
+    )
+    return named, named, ["did", "copy"]
 
 
 def text_slices(column: pa.Array, limit: int = SLICE) -> Iterator[tuple[int, int]]:

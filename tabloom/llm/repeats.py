@@ -9,7 +9,8 @@ where an exact matcher (a family of suffix arrays, or an FM-index) compares them
     3  repeated windows as item ranges per document                                    -> texts without them
 
 An anchor that a large share of all documents has is split: each of its windows travels by its own hash. Documents are named
-(did, copy) as in `common.numbered`; texts are dealt by did once, for steps 2 and 3 together.
+(did, copy) as in `common.numbered`, and lists of anchors and of ranges belong to one document; where ids are unique, texts are dealt
+once, for steps 2 and 3 together. Rows that repeat id and text do not travel: they are asked about once and share the answer.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ LOW40 = np.uint64((1 << 40) - 1)
 HOT_SHARE = 100
 HOT_LEAST = 2000
 BLOB = "bucket int, blob binary"
-SPAN = "did long, copy int, first long, last long"
+SPAN = "did long, copy long, first long, last long"
 
 
 @dataclass(frozen=True)
@@ -56,6 +57,9 @@ class Unit:
         starts, ends = common.runs(common.NOT_WHITE[data], offsets)
         return common.word_hashes(data, starts, ends), np.searchsorted(starts, offsets), starts, ends
 
+    def size(self, text: bytes) -> int:
+        return len(text.split()) if self.words else len(text)
+
 
 BYTE_HASH = common.mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -141,6 +145,11 @@ def by_bucket(bucket: np.ndarray, *arrays: np.ndarray) -> Iterator[tuple]:
         yield int(ranked[a]), *[x[order[a:b]] for x in arrays]
 
 
+def of_document(did: np.ndarray, copy: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of a document, for what needs no company there."""
+    return (common.mix(did.astype(np.uint64) ^ common.mix(copy.astype(np.uint64))) % np.uint64(buckets)).astype(np.int32)
+
+
 def rows(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(v) for v in columns.values()], names=list(columns))
 
@@ -150,23 +159,29 @@ def blobs(found: list[tuple[int, bytes]]) -> pa.RecordBatch:
 
 
 def _ask(unit: Unit, buckets: int, across: bool):
-    """Step 1: entries (hash, did, anchor, times) by bucket; an anchor already known as repeated sends one entry."""
+    """Step 1: entries (hash, did, copy, anchor, times) by bucket; an anchor already known as repeated sends one entry."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            dids = batch.column(0).to_numpy(zero_copy_only=False)
+            dids, copies = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            copies = copies.astype(np.min_scalar_type(copies.max(initial=0)))  # mostly zeros
             hashes, owners, places = [], [], []
-            for a, _, data, offsets in slices(batch, 1):
+            for a, _, data, offsets in slices(batch, 2):
                 items, cuts, _, _ = unit.items(data, offsets)
                 for at, _, _, h in pieces(items, cuts, unit):
                     doc = np.searchsorted(cuts, at, side="right") - 1
                     hashes.append(h)
-                    owners.append(dids[a + doc])
+                    owners.append((a + doc).astype(np.int32))
                     places.append(at - cuts[doc])
             if not hashes:
                 continue
-            h, did, at = np.concatenate(hashes), np.concatenate(owners), np.concatenate(places)
-            order = np.lexsort((did, h))
-            h, did, at = h[order], did[order], at[order]
+            h, owner, at = np.concatenate(hashes), np.concatenate(owners), np.concatenate(places)
+            del hashes, owners, places
+            order = np.lexsort((dids[owner], h))
+            h = h[order]
+            owner = owner[order]
+            at = at[order]
+            del order
+            did = dids[owner]
             new = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.zeros(0, int)
             size = np.diff(np.r_[new, len(h)])
             last = new + size - 1
@@ -177,37 +192,46 @@ def _ask(unit: Unit, buckets: int, across: bool):
             times[new] = np.where(known, size, 1)
             sent = ~member | leads
             bucket = ((h >> np.uint64(40)) % np.uint64(buckets)).astype(np.int32)
-            found = [(b, pack("ask", *x)) for b, *x in by_bucket(bucket[sent], (h & LOW40)[sent], did[sent], at[sent], times[sent])]
+            asks = (h & LOW40)[sent], did[sent], copies[owner[sent]], at[sent], times[sent]
+            found = [(b, pack("ask", *x)) for b, *x in by_bucket(bucket[sent], *asks)]
+            del h, times, bucket, asks
             if member.any():
-                found += [(b, pack("known", *x)) for b, *x in by_bucket((did[member] % buckets).astype(np.int32), did[member], at[member])]
+                did, copy, at = did[member], copies[owner[member]], at[member]
+                found += [(b, pack("known", *x)) for b, *x in by_bucket(of_document(did, copy, buckets), did, copy, at)]
             yield blobs(found)
     return run
 
 
 def _answer(across: bool, hot: int):
-    """Step 1, per bucket: rows (hot, did, at): anchors that occur elsewhere too, and the hashes of hot ones."""
+    """Step 1, per bucket: rows (hot, did, copy, at): anchors that occur elsewhere too, and the hashes of hot ones."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked = []
         for batch in batches:
             for blob in batch.column(1):
                 kind, *arrays = unpack(blob.as_buffer())
                 if kind == "known":
-                    yield rows(hot=np.zeros(len(arrays[0]), bool), did=arrays[0], at=arrays[1])
+                    yield rows(hot=np.zeros(len(arrays[0]), bool), did=arrays[0], copy=arrays[1].astype(np.int64), at=arrays[2])
                 else:
                     asked.append(arrays)
         if not asked:
             return
-        h, did, at, times = (np.concatenate(x) for x in zip(*asked))
+        h, did, copy, at, times = (np.concatenate(x) for x in zip(*asked))
+        del asked, batch, arrays
         order = np.lexsort((did, h))
-        h, did, at, times = h[order], did[order], at[order], times[order]
+        h = h[order]
+        did = did[order]
+        copy = copy[order]
+        at = at[order]
+        times = times[order]
         new = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
         size = np.diff(np.r_[new, len(h)])
         total = np.add.reduceat(times, new)
         again = (did[new] < did[new + size - 1]) | (np.maximum.reduceat(times, new) > 1) if across else total > 1
         told = np.repeat(again, size) & (times == 1)
-        yield rows(hot=np.zeros(int(told.sum()), bool), did=did[told], at=at[told])
+        yield rows(hot=np.zeros(int(told.sum()), bool), did=did[told], copy=copy[told].astype(np.int64), at=at[told])
         many = h[new[total >= hot]].astype(np.int64)
-        yield rows(hot=np.ones(len(many), bool), did=many, at=np.zeros(len(many), np.int64))
+        none = np.zeros(len(many), np.int64)
+        yield rows(hot=np.ones(len(many), bool), did=many, copy=none, at=none)
     return run
 
 
@@ -270,7 +294,7 @@ def _send(unit: Unit, buckets: int, across: bool, hot):
                     found.append((bucket, pack("match", key[own], did[own], copy[own], start[own], count[own], [len(t) for t in texts], b"".join(texts))))
             if done:
                 columns = np.array(done, np.int64)
-                found += [(b, pack("done", x)) for b, x in by_bucket((columns[:, 0] % buckets).astype(np.int32), columns)]
+                found += [(b, pack("done", x)) for b, x in by_bucket(of_document(columns[:, 0], columns[:, 1], buckets), columns)]
             if found:
                 yield blobs(found)
     return run
@@ -285,7 +309,7 @@ def _match(unit: Unit, across: bool, matcher: Callable):
                 kind, *arrays = unpack(blob.as_buffer())
                 if kind == "done":
                     x = arrays[0]
-                    yield rows(did=x[:, 0], copy=x[:, 1].astype(np.int32), first=x[:, 2], last=x[:, 3])
+                    yield rows(did=x[:, 0], copy=x[:, 1], first=x[:, 2], last=x[:, 3])
                 else:
                     sent.append(arrays)
         if not sent:
@@ -318,35 +342,36 @@ def _match(unit: Unit, across: bool, matcher: Callable):
                     f.append(start[i] + x)
                     e.append(start[i] + y - 1 + unit.length)
         yield rows(
-            did=np.r_[did[whole], np.array(d, np.int64)], copy=np.r_[copy[whole], np.array(c, np.int64)].astype(np.int32),
+            did=np.r_[did[whole], np.array(d, np.int64)], copy=np.r_[copy[whole], np.array(c, np.int64)],
             first=np.r_[start[whole], np.array(f, np.int64)], last=np.r_[start[whole] + count[whole] - 1 + unit.length, np.array(e, np.int64)],
         )
     return run
 
 
 def spans(docs: DataFrame, unit: Unit, across: bool, matcher: Callable, id_column: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """The numbered documents, and rows (did, ranges): item ranges (copy, first, last) covered by repeated windows.
+    """The numbered documents, and rows (did, copy if ids repeat, ranges): item ranges (first, last) covered by repeated windows.
 
     across: a window counts as repeated only if a smaller did has it; else any earlier place does.
     """
     spark = docs.sparkSession
     parts = common.shuffle_partitions(spark)
     shards = 2 * parts
-    plain = docs.select(F.coalesce(name(id_column).cast("long"), F.lit(NO_ID)).alias("did"), F.coalesce(name(text), F.lit("")).alias("text"))
+    own, numbered, keys = common.numbered(docs, id_column, text, parts)
     hot_from = max(HOT_LEAST, docs.count() // HOT_SHARE)
     answers = common.written(
-        plain.mapInArrow(_ask(unit, parts, across), BLOB).repartitionById(parts, F.col("bucket"))
-        .mapInArrow(_answer(across, hot_from), "hot boolean, did long, at long"), "anchors",
+        own.where("NOT again").select("did", "copy", "text").mapInArrow(_ask(unit, parts, across), BLOB).repartitionById(parts, F.col("bucket"))
+        .mapInArrow(_answer(across, hot_from), "hot boolean, did long, copy long, at long"), "anchors",
     )
     hot = spark.sparkContext.broadcast(np.array(sorted(r["did"] for r in answers.where("hot").select("did").collect()), np.uint64))
-    asked = answers.where("NOT hot").groupBy("did").agg(F.collect_list("at").alias("asked"))
-    numbered = common.numbered(docs, id_column, text, parts)
+    asked = answers.where("NOT hot").groupBy(*keys).agg(F.collect_list("at").alias("asked"))
     found = (
-        numbered.join(asked, "did").select("did", F.col("copy").cast("int").alias("copy"), "text", "asked")
+        # the id is read so that texts are dealt once, for this join and the one in `cut`
+        numbered.where("NOT again").join(asked, keys).select("did", "copy", "text", "asked", "id")
         .mapInArrow(_send(unit, shards, across, hot), BLOB).repartitionById(shards, F.col("bucket"))
         .mapInArrow(_match(unit, across, matcher), SPAN)
     )
-    return numbered, found.groupBy("did").agg(F.collect_list(F.struct("copy", "first", "last")).alias("ranges"))
+    whole = F.lit(False) if across else F.col("again")  # all windows of a text that an earlier row has
+    return numbered.withColumn("whole", whole), found.groupBy(*keys).agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
 
 
 def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -359,22 +384,23 @@ def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def cut(numbered: DataFrame, ranges: DataFrame, finish: Callable, schema: str) -> DataFrame:
-    """`finish(text, merged ranges)` gives the values of `schema` after did for each document."""
-    joined = numbered.join(ranges, "did", "left")
-    rest = [c for c in numbered.columns if c not in ("did", "copy", "text")]
-    joined = joined.select("did", "copy", "text", "ranges", *rest)
+def cut(numbered: DataFrame, ranges: DataFrame, unit: Unit, finish: Callable, schema: str) -> DataFrame:
+    """`finish(text, merged ranges)` gives the values of `schema` after the other columns for each document."""
+    joined = numbered.join(ranges, [c for c in ranges.columns if c != "ranges"], "left")
+    rest = [c for c in numbered.columns if c not in ("did", "copy", "whole", "text")]
+    joined = joined.select("whole", "text", "ranges", *rest)
     out = T.StructType([*joined.select(*rest).schema.fields, *T.StructType.fromDDL(schema).fields])
     arrow = to_arrow_schema(T.StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = []
-            texts = batch.column(2).cast(pa.binary()).to_pylist()
-            for copy, text, ranges in zip(batch.column(1).to_pylist(), texts, batch.column(3).to_pylist()):
-                own = merged([(r["first"], r["last"]) for r in ranges or () if r["copy"] == copy])
+            texts = batch.column(1).cast(pa.binary()).to_pylist()
+            for whole, text, ranges in zip(batch.column(0).to_pylist(), texts, batch.column(2).to_pylist()):
+                size = unit.size(text) if whole else 0
+                own = [(0, size)] if size >= unit.length else [] if whole else merged([(r["first"], r["last"]) for r in ranges or ()])
                 values.append(finish(text, own))
             new = [pa.array(x, f.type) for x, f in zip(zip(*values), arrow)] if values else [pa.array([], f.type) for f in arrow]
-            yield pa.RecordBatch.from_arrays([*(batch.column(4 + i) for i in range(len(rest))), *new], names=[*rest, *(f.name for f in arrow)])
+            yield pa.RecordBatch.from_arrays([*(batch.column(3 + i) for i in range(len(rest))), *new], names=[*rest, *(f.name for f in arrow)])
 
     return joined.mapInArrow(run, out)

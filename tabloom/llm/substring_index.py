@@ -127,15 +127,16 @@ def _words_left(text: bytes, ranges: list[tuple[int, int]]) -> tuple:
 
 def report(docs: DataFrame, id_column: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """Rows (id, n_words, n_removed, kept_sha256) of every document."""
-    numbered, ranges = repeats.spans(docs, Unit(length, min(GRAM, length), True), True, match_index, id_column, text)
-    return repeats.cut(
-        numbered.select("did", "copy", "text", F.col("id").alias(id_column)), ranges, _digest, "n_words long, n_removed long, kept_sha256 string",
-    )
+    unit = Unit(length, min(GRAM, length), True)
+    numbered, ranges = repeats.spans(docs, unit, True, match_index, id_column, text)
+    schema = "n_words long, n_removed long, kept_sha256 string"
+    return repeats.cut(numbered.select("did", "copy", "whole", "text", F.col("id").alias(id_column)), ranges, unit, _digest, schema)
 
 
 def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """`docs` with the words of repeated windows taken out; such a text becomes its kept words, joined by spaces."""
-    numbered, ranges = repeats.spans(docs, Unit(length, min(GRAM, length), True), True, match_index, id_column, text)
-    left = repeats.cut(numbered.select("did", "copy", "text", "row"), ranges, _words_left, "kept string")
+    unit = Unit(length, min(GRAM, length), True)
+    numbered, ranges = repeats.spans(docs, unit, True, match_index, id_column, text)
+    left = repeats.cut(numbered.select("did", "copy", "whole", "text", "row"), ranges, unit, _words_left, "kept string")
     row = F.col("row")
     return left.select(*[F.when(row[c].isNotNull(), F.col("kept")).alias(c) if c == text else row[c].alias(c) for c in docs.columns])

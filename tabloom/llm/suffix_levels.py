@@ -82,9 +82,10 @@ def without(text: bytes, ranges: list[tuple[int, int]]) -> bytes:
 
 def report(docs: DataFrame, id_column: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """Rows (id, n_bytes, n_removed, n_spans, kept_sha256) of every document."""
-    numbered, ranges = repeats.spans(docs, Unit(length, min(GRAM, length), False), False, match_levels, id_column, text)
+    unit = Unit(length, min(GRAM, length), False)
+    numbered, ranges = repeats.spans(docs, unit, False, match_levels, id_column, text)
     schema = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return repeats.cut(numbered.select("did", "copy", "text", F.col("id").alias(id_column)), ranges, _digest, schema)
+    return repeats.cut(numbered.select("did", "copy", "whole", "text", F.col("id").alias(id_column)), ranges, unit, _digest, schema)
 
 
 def _text_left(text: bytes, ranges: list[tuple[int, int]]) -> tuple:
@@ -93,7 +94,8 @@ def _text_left(text: bytes, ranges: list[tuple[int, int]]) -> tuple:
 
 def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """`docs` with repeated bytes cut out of the text; a character that loses a byte goes as a whole, a null stays null."""
-    numbered, ranges = repeats.spans(docs, Unit(length, min(GRAM, length), False), False, match_levels, id_column, text)
-    left = repeats.cut(numbered.select("did", "copy", "text", "row"), ranges, _text_left, "kept string")
+    unit = Unit(length, min(GRAM, length), False)
+    numbered, ranges = repeats.spans(docs, unit, False, match_levels, id_column, text)
+    left = repeats.cut(numbered.select("did", "copy", "whole", "text", "row"), ranges, unit, _text_left, "kept string")
     columns = [F.when(F.col("row")[c].isNotNull(), F.col("kept")).alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns]
     return left.select(*columns)

@@ -170,6 +170,36 @@ def test_repeats_of_one_id(spark):
     assert sorted((r["doc_id"], r["n_removed"]) for r in substring_index.report(words).collect()) == [(4, 0), (4, 0), (9, n)]
 
 
+def test_rows_of_a_common_id_stay_separate(spark):
+    rng = random.Random(6)
+
+    def text(n):
+        return " ".join("".join(rng.choice("abcdefé") for _ in range(rng.randint(2, 6))) for _ in range(n))
+
+    passage, same = text(30), text(40)
+    rows = [(None, f"{text(12)} {passage} {text(12)}") for _ in range(60)] + [(None, same), (None, same), (7, same), (7, f"{same} b"), (7, f"{same} a")]
+    rows += [(7, f"{same} a"), (-(2**63), same), (9, text(50)), (9, None), (9, None), (None, None), (3, f"{passage} {text(20)}")]
+    rng.shuffle(rows)
+    twins = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    least = -(2**63)
+    ordered = sorted(rows, key=lambda r: (least if r[0] is None else r[0], r[0] is not None, r[1] or ""))
+    key = lambda r: tuple((x is not None, x) for x in r)
+    assert sorted((tuple(r) for r in suffix_levels.report(twins).collect()), key=key) == sorted(brute.op3(ordered), key=key)
+    want = [(None if d == least and not k else d, *r) for (k, _), (d, *r) in zip(
+        [(d is not None, t) for d, t in ordered], brute.op5([(least if d is None else d, t) for d, t in ordered]))]
+    assert sorted((tuple(r) for r in substring_index.report(twins).collect()), key=key) == sorted(want, key=key)
+    for module, unit, across, matcher in (
+        (suffix_levels, repeats.Unit(100, 32, False), False, suffix_levels.match_levels), (substring_index, repeats.Unit(13, 5, True), True, substring_index.match_index),
+    ):
+        assert sorted(str(r["text"] is None) for r in module.remove_repeats(twins).collect()) == sorted(str(t is None) for _, t in rows)
+        numbered, ranges = repeats.spans(twins, unit, across, matcher)
+        keys = [c for c in ranges.columns if c != "ranges"]
+        held = ranges.select(F.size("ranges").alias("n")).agg(F.sum("n"), F.max("n")).first()
+        carried = numbered.join(ranges, keys).agg(F.sum(F.size("ranges"))).first()[0]
+        assert held[0] and held[1] <= 12 and carried <= 2 * held[0]  # a list belongs to one text: no list holds all rows of an id
+        assert "Window" not in numbered._jdf.queryExecution().toString()
+
+
 def test_hot_anchors_are_split(spark, docs, rows, monkeypatch):
     monkeypatch.setattr(repeats, "HOT_LEAST", 2)
     monkeypatch.setattr(repeats, "HOT_SHARE", 10**6)
