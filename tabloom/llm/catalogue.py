@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tabloom.llm import (
-    common, decontaminate, language_profiles, length_buckets, quality_ratio, simhash, substring_index, suffix_levels, token_files, toxicity, url_rules,
+    common, conversation_trie, decontaminate, language_profiles, length_buckets, quality_ratio, simhash, substring_index, suffix_levels, token_files, toxicity, url_rules,
 )
 
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
@@ -64,9 +64,13 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.report(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_files, op2_url_rules, op3_suffix_levels, op4_quality_ratio, op5_substring_index, op6_length_buckets, op7_decontaminate, op8_toxicity,
-    op9_language_profiles, op10_simhash,
+    op9_language_profiles, op10_simhash, op13_conversation_trie,
 )}
 
 ORACLE = {
@@ -86,5 +90,38 @@ SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM (
          row_number() OVER (PARTITION BY c.page_id ORDER BY length(r.rule_host || r.rule_path) DESC NULLS LAST) AS k
   FROM c LEFT JOIN r ON (c.host = r.rule_host OR ends_with(c.host, '.' || r.rule_host)) AND starts_with(c.path, r.rule_path)
 ) WHERE k = 1
+""",
+    "op13_conversation_trie": """
+WITH turns AS (
+  SELECT conv_id AS c, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS own
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY 1
+), hashed AS (
+  SELECT c, own, c - c % 100 AS lead, xor(4294967295, list_reduce(
+    list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+    lambda crc, byte: list_reduce(
+      CAST([1, 2, 3, 4, 5, 6, 7, 8] AS BIGINT[]),
+      lambda v, i: CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, xor(crc, byte)),
+    CAST(4294967295 AS BIGINT))) % 6 AS h FROM turns
+), rebuilt AS (
+  SELECT a.c, list_concat(coalesce(b.own, [])[1:a.h], a.own[a.h + 1:]) AS seq FROM hashed a LEFT JOIN turns b ON a.lead = b.c
+), members AS (
+  SELECT c, len(seq) AS n, unnest(range(0, len(seq) + 1)) AS d, seq FROM rebuilt
+), prefixes AS (
+  SELECT c, n, d, seq[1:d] AS p, CASE WHEN d > 0 THEN seq[1:d - 1] END AS up FROM members
+), nodes AS (
+  SELECT p, d, any_value(up) AS up, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * coalesce(length(any_value(p[d].t)), 0) AS own_saved,
+         sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE n = d), '')) AS ends_sha256
+  FROM prefixes GROUP BY p, d
+), below AS (
+  SELECT up AS p, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1
+), counted AS (
+  SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN below USING (p)
+), above AS (
+  SELECT p[1:k] AS top, own_saved, n_children = 0 AS leaf FROM (SELECT *, unnest(range(0, d + 1)) AS k FROM counted)
+), sums AS (
+  SELECT top AS p, CAST(count(*) FILTER (WHERE leaf) AS BIGINT) AS n_leaves, CAST(sum(own_saved) AS BIGINT) AS saved_tokens FROM above GROUP BY 1
+)
+SELECT a.conv_id, CAST(a.d AS BIGINT) AS depth, b.conv_id AS parent_conv_id, a.n_convs, a.n_children, n_leaves, saved_tokens, a.ends_sha256
+FROM counted a JOIN sums USING (p) LEFT JOIN nodes b ON a.d > 0 AND a.up = b.p
 """,
 }
