@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,6 +19,7 @@ SLICE = 1 << 20
 #: Characters by which texts of one id are dealt to ranges; the sample behind the ranges holds no more of a text.
 PREFIX = 256
 
+_GAP = re.compile(rb"[\x20\x09-\x0D]")
 _WORD = np.ones(256, dtype=bool)
 _WORD[list(WHITE)] = False
 NOT_WHITE = _WORD
@@ -130,6 +132,18 @@ def text_bytes(column: pa.Array) -> np.ndarray:
     return np.frombuffer(data, dtype=np.uint8) if data is not None and data.size else np.zeros(0, dtype=np.uint8)
 
 
+def word_blocks(text: bytes | memoryview, limit: int = SLICE) -> Iterator[list[bytes]]:
+    """The words of a text between white space, from about `limit` bytes of it at a time."""
+    first, size = 0, len(text)
+    while first < size:
+        last = first + limit
+        if last < size:
+            gap = _GAP.search(text, last)
+            last = gap.start() if gap else size
+        yield bytes(text[first:last]).split()
+        first = last
+
+
 def runs(member: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the maximal runs of true cells; none goes over a position in `cuts`."""
     n = len(member)
