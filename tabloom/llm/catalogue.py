@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tabloom.llm import (
-    common, conversation_trie, decontaminate, language_profiles, length_buckets, periodic_runs, quality_ratio, simhash, substring_index, suffix_levels, token_files, toxicity, url_rules,
+    common, conversation_trie, decontaminate, language_profiles, lattice_lm, length_buckets, periodic_runs, quality_ratio, simhash, substring_index, suffix_levels, token_files, toxicity, url_rules,
 )
 
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
@@ -21,6 +21,12 @@ def byte_bpe() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_bpe() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = common.working_folder(spark, "tokens")
     token_files.write_tokens(table(spark, sf_dir, "documents"), folder, byte_bpe())
@@ -64,6 +70,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op11_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_lm.score(table(spark, sf_dir, "documents"), piece_bpe(), group="lang")
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.report(table(spark, sf_dir, "documents"))
 
@@ -74,7 +84,7 @@ def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_token_files, op2_url_rules, op3_suffix_levels, op4_quality_ratio, op5_substring_index, op6_length_buckets, op7_decontaminate, op8_toxicity,
-    op9_language_profiles, op10_simhash, op12_periodic_runs, op13_conversation_trie,
+    op9_language_profiles, op10_simhash, op11_lattice_lm, op12_periodic_runs, op13_conversation_trie,
 )}
 
 ORACLE = {
