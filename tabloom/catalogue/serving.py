@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tabloom.catalogue.data import events, rounded, table
@@ -15,17 +16,26 @@ from tabloom.sources.tables import read_csv, write_csv
 
 MODEL = LinearModel(("k", "value", "bonus"), (0.5, 2.0, -1.0), 3.0)
 EXPECTED = list(MODEL.features)
-BODY_SHAPES = 10
+BODY_SHAPES = 16
+#: One body in so many has this many quoted cells.
+WIDE_EVERY, WIDE_CELLS = 50_000, 20_000
 
 
 def _bodies(spark, sf):
-    """Every event as a request body, in turn as each accepted shape and each malformed one."""
+    """Every event as a request body, in turn as each accepted shape and each malformed one; a few are very wide."""
     e = events(spark, sf)
     number, user = F.col("value").cast("string"), F.col("user_id").cast("string")
     value = F.concat(F.lit('{"value": '), number, F.lit(", "), F.expr("substring(props, 2)"))
-    shape = F.col("event_id") % BODY_SHAPES
+    wide = F.col("event_id") % WIDE_EVERY == 17
+    cells = F.sequence(F.lit(1), F.lit(WIDE_CELLS))
+    shape = F.when(wide, -1).otherwise(F.col("event_id") % BODY_SHAPES)
+
+    def quoted(before: str) -> Column:
+        return F.array_join(F.transform(cells, lambda i: F.concat(F.lit(f'"{before}'), i.cast("string"), F.lit('"'))), ",")
+
     body = (
-        F.when(shape == 0, F.concat(F.lit('{"features": '), value, F.lit("}")))
+        F.when(shape == -1, F.concat(quoted("c"), F.lit("\n"), quoted("")))
+        .when(shape == 0, F.concat(F.lit('{"features": '), value, F.lit("}")))
         .when(shape == 1, F.concat(F.lit('{"instances": ['), F.col("props"), F.lit(", "), value, F.lit("]}")))
         .when(shape == 2, F.col("props"))
         .when(shape == 3, F.concat(F.lit("value,user\n"), number, F.lit(","), user, F.lit("\n1.5,\n")))
@@ -34,9 +44,15 @@ def _bodies(spark, sf):
         .when(shape == 6, F.concat(F.lit("value,user\n1.5,"), user, F.lit(",7\n")))
         .when(shape == 7, F.concat(F.lit('"value","user, of page"\n"'), number, F.lit('",'), user, F.lit("\n")))
         .when(shape == 8, F.concat(F.lit("user,user\n1,"), user, F.lit("\n")))
-        .otherwise(F.concat(F.lit("value,user\nlow,"), user, F.lit("\n")))
+        .when(shape == 9, F.concat(F.lit("value,user\nlow,"), user, F.lit("\n")))
+        .when(shape == 10, F.concat(F.lit("value,user\nNaN,"), user, F.lit("\n")))
+        .when(shape == 11, F.concat(F.lit("value,user\n2d,"), user, F.lit("\n")))
+        .when(shape == 12, F.concat(F.lit('{"features": {"user": "'), user, F.lit('"}}')))
+        .when(shape == 13, F.concat(F.lit('{"user": true, "value": '), number, F.lit("}")))
+        .when(shape == 14, F.concat(F.lit('"value\nof ""page""",user\r\n"1.5",'), user))
+        .otherwise(F.concat(F.lit('"value,user\n1.5,'), user, F.lit("\n")))
     )
-    kind = F.when(shape.isin(0, 1, 2, 5), "application/json").when(shape == 4, "text/plain").otherwise("text/csv")
+    kind = F.when(shape.isin(0, 1, 2, 5, 12, 13), "application/json").when(shape == 4, "text/plain").otherwise("text/csv")
     return e.select(F.col("event_id").alias("req_id"), kind.alias("content_type"), body.alias("body"))
 
 
@@ -171,26 +187,35 @@ _K = "CAST(json_extract(props, '$.k') AS DOUBLE)"
 _BONUS = "CASE WHEN event_type IN ('purchase', 'click', 'error') THEN CAST(user_id AS DOUBLE) END"
 
 ORACLE = {
-    "decode_requests": f"""WITH e AS (SELECT event_id AS req_id, event_id % 10 AS s, value, {_K} AS k, user_id FROM events)
+    "decode_requests": f"""WITH e AS (SELECT event_id AS req_id, CASE WHEN event_id % 50000 = 17 THEN -1 ELSE event_id % 16 END AS s,
+                                       value, {_K} AS k, user_id FROM events)
         SELECT req_id, 0 AS pos, 'value' AS name, value AS given FROM e WHERE s = 0
         UNION ALL SELECT req_id, 0, 'k', k FROM e WHERE s IN (0, 1, 2)
         UNION ALL SELECT req_id, 1, 'value', value FROM e WHERE s = 1
         UNION ALL SELECT req_id, 1, 'k', k FROM e WHERE s = 1
         UNION ALL SELECT req_id, 0, 'value', value FROM e WHERE s IN (3, 7)
-        UNION ALL SELECT req_id, 0, 'user', CAST(user_id AS DOUBLE) FROM e WHERE s = 3
+        UNION ALL SELECT req_id, 0, 'user', CAST(user_id AS DOUBLE) FROM e WHERE s IN (3, 10, 14)
         UNION ALL SELECT req_id, 0, 'user, of page', CAST(user_id AS DOUBLE) FROM e WHERE s = 7
         UNION ALL SELECT req_id, 1, 'value', 1.5 FROM e WHERE s = 3
-        UNION ALL SELECT req_id, 1, 'user', NULL FROM e WHERE s = 3""",
-    "decode_rejects": """SELECT event_id AS req_id,
-        CASE event_id % 10 WHEN 4 THEN 'text/plain' WHEN 5 THEN 'application/json' ELSE 'text/csv' END AS content_type,
-        CASE event_id % 10 WHEN 4 THEN props WHEN 5 THEN '{"features": {"user": "u' || user_id || '"}}'
+        UNION ALL SELECT req_id, 1, 'user', NULL FROM e WHERE s = 3
+        UNION ALL SELECT req_id, 0, 'value', NULL FROM e WHERE s = 10
+        UNION ALL SELECT req_id, 0, 'value' || chr(10) || 'of "page"', 1.5 FROM e WHERE s = 14
+        UNION ALL SELECT req_id, 0, 'c' || i, CAST(i AS DOUBLE) FROM e, (SELECT unnest(range(1, 20001)) AS i) WHERE s = -1""",
+    "decode_rejects": """WITH e AS (SELECT *, CASE WHEN event_id % 50000 = 17 THEN -1 ELSE event_id % 16 END AS s FROM events)
+        SELECT event_id AS req_id,
+        CASE WHEN s = 4 THEN 'text/plain' WHEN s IN (5, 12, 13) THEN 'application/json' ELSE 'text/csv' END AS content_type,
+        CASE s WHEN 4 THEN props WHEN 5 THEN '{"features": {"user": "u' || user_id || '"}}'
              WHEN 6 THEN 'value,user' || chr(10) || '1.5,' || user_id || ',7' || chr(10)
              WHEN 8 THEN 'user,user' || chr(10) || '1,' || user_id || chr(10)
-             ELSE 'value,user' || chr(10) || 'low,' || user_id || chr(10) END AS body,
-        CASE event_id % 10 WHEN 4 THEN 'content type not served: text/plain' WHEN 5 THEN 'features are no map of numbers'
-             WHEN 6 THEN 'a line has another number of cells than the header' WHEN 8 THEN 'a column name is repeated'
-             ELSE 'a cell is no number' END AS reason
-        FROM events WHERE event_id % 10 IN (4, 5, 6, 8, 9)""",
+             WHEN 9 THEN 'value,user' || chr(10) || 'low,' || user_id || chr(10)
+             WHEN 11 THEN 'value,user' || chr(10) || '2d,' || user_id || chr(10)
+             WHEN 12 THEN '{"features": {"user": "' || user_id || '"}}'
+             WHEN 13 THEN '{"user": true, "value": ' || value || '}'
+             ELSE '"value,user' || chr(10) || '1.5,' || user_id || chr(10) END AS body,
+        CASE s WHEN 4 THEN 'content type not served: text/plain' WHEN 6 THEN 'a line has another number of cells than the header'
+             WHEN 8 THEN 'a column name is repeated' WHEN 9 THEN 'a cell is no number' WHEN 11 THEN 'a cell is no number'
+             WHEN 15 THEN 'a quote is not closed' ELSE 'features are no map of numbers' END AS reason
+        FROM e WHERE s IN (4, 5, 6, 8, 9, 11, 12, 13, 15)""",
     "encode_responses": """SELECT event_id AS req_id,
         CASE event_type WHEN 'click' THEN 'text/csv' WHEN 'error' THEN 'rejected' ELSE 'application/json' END AS content_type,
         CASE event_type WHEN 'click' THEN CAST(value AS VARCHAR) || chr(10) || CAST(value * 2 AS VARCHAR)

@@ -12,6 +12,11 @@ from tabloom.operators.frames import require
 Score = Callable[[DataFrame], DataFrame]
 
 
+def given_value(given: Column, feature: str) -> Column:
+    """A feature's value in a map; NaN is missing, as it is at every source."""
+    return F.nanvl(given[feature], F.lit(None).cast("double"))
+
+
 def impute(
     requests: DataFrame, expected: Sequence[str], medians: Mapping[str, float], features: str = "features"
 ) -> DataFrame:
@@ -23,12 +28,12 @@ def impute(
     given = F.col(features)
 
     def value(f: str) -> Column:
-        return F.coalesce(given[f], F.lit(medians.get(f)).cast("double"))
+        return F.coalesce(given_value(given, f), F.lit(medians.get(f)).cast("double"))
 
     def named(names: Sequence[str]) -> Column:
         if not names:
             return F.array().cast("array<string>")
-        return F.array_compact(F.array(*[F.when(given[f].isNull(), F.lit(f)) for f in names]))
+        return F.array_compact(F.array(*[F.when(given_value(given, f).isNull(), F.lit(f)) for f in names]))
 
     filled = [f for f in expected if f in medians]
     hopeless = [f for f in expected if f not in medians]
@@ -68,7 +73,7 @@ def score_strict(df: DataFrame, expected: Sequence[str], score: Score, model_typ
 
 def absent_everywhere(requests: DataFrame, expected: Sequence[str], features: str = "features") -> list[str]:
     """Expected features that no row of a batch of maps gives."""
-    seen = requests.agg(*[F.bool_or(F.col(features)[f].isNotNull()).alias(f"s{i}") for i, f in enumerate(expected)])
+    seen = requests.agg(*[F.bool_or(given_value(F.col(features), f).isNotNull()).alias(f"s{i}") for i, f in enumerate(expected)])
     row = seen.first()
     return sorted(f for i, f in enumerate(expected) if not row[f"s{i}"])
 
@@ -82,7 +87,7 @@ def score_batch(
     absent = absent_everywhere(requests, expected, features)
     if absent:
         raise ValueError(f"features that no row gives: {absent}")
-    wide = requests.select("*", *[F.col(features)[f].alias(f) for f in expected])
+    wide = requests.select("*", *[given_value(F.col(features), f).alias(f) for f in expected])
     return with_record(score(wide), expected, model_type)
 
 

@@ -2,79 +2,135 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Accepted content types.
 JSON, CSV, ANY = "application/json", "text/csv", "*/*"
 
-VALUES = "map<string,double>"
+ANYTHING = "map<string,variant>"
+# Java patterns that scan a text once, without nesting.
+NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+NUMERIC_VARIANT = r"^(BIGINT|DOUBLE|FLOAT|DECIMAL\([0-9,]+\)|VOID)$"
+# Cells that stand for a missing number.
+NO_VALUE = ("", "NaN", "nan", "NA", "N/A", "null", "NULL", "None")
+CELL_END, LINE_END = "\u001f", "\u001e"
 
 
-def _json_rows(body: Column) -> tuple[Column, Column]:
-    """(rows, reason) of a body parsed once: its "features", else its "instances", else the body itself, as maps of numbers."""
-    whole = F.try_parse_json(body)
+def _finite(value: Column) -> Column:
+    return value.isNotNull() & (F.abs(value) < float("inf"))
 
-    def part(path: str, kind: str) -> Column:
-        return F.try_variant_get(whole, path, kind)
 
-    def numbers(path: str) -> Column:
-        """The map at `path`; null where it is no map or a value is neither a number nor missing."""
-        values, texts = part(path, VALUES), part(path, "map<string,string>")
-        wrong = F.exists(F.map_keys(texts), lambda k: texts[k].isNotNull() & values[k].isNull())
-        return F.when(~wrong, values)
+def _number(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "double")
 
-    is_object = F.schema_of_variant(whole).startswith("OBJECT")
-    many, many_texts = part("$.instances", f"array<{VALUES}>"), part("$.instances", "array<map<string,string>>")
-    wrong = F.exists(
-        F.zip_with(many, many_texts, lambda v, t: v.isNull() | F.exists(F.map_keys(t), lambda k: t[k].isNotNull() & v[k].isNull())), lambda x: x,
-    )
-    rows = (
-        F.when(~is_object, None)
-        .when(part("$.features", "variant").isNotNull(), F.when(numbers("$.features").isNotNull(), F.array(numbers("$.features"))))
-        .when(part("$.instances", "variant").isNotNull(), F.when(~wrong, many))
-        .otherwise(F.when(numbers("$").isNotNull(), F.array(numbers("$"))))
-    )
-    reason = F.when(F.coalesce(is_object, F.lit(False)), F.lit("features are no map of numbers")).otherwise(F.lit("body is no JSON object"))
-    return rows, reason
-
-
-def _cells(line: Column) -> Column:
-    """Cells of a line; commas inside quotes do not part, doubled quotes stand for one."""
-    parts = F.transform(F.split(line, r',(?=(?:[^"]*"[^"]*")*[^"]*$)'), lambda c: F.trim(c))
-    quoted = r'^"(.*)"$'
-    return F.transform(parts, lambda c: F.when(c.rlike(quoted), F.replace(F.regexp_extract(c, quoted, 1), F.lit('""'), F.lit('"'))).otherwise(c))
-
-
-def _csv_rows(body: Column) -> tuple[Column, Column]:
-    """(rows, reason) of a header and data lines; an empty cell is a null value."""
-    lines = F.filter(F.split(F.replace(body, F.lit("\r"), F.lit("")), "\n"), lambda line: F.trim(line) != "")
-    header = _cells(F.get(lines, F.lit(0)))
-    data = F.transform(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(0))), _cells)
-    reason = (
-        F.when(F.size(lines) < 2, F.lit("no data lines"))
-        .when(F.size(F.array_distinct(header)) < F.size(header), F.lit("a column name is repeated"))
-        .when(F.exists(data, lambda cells: F.size(cells) != F.size(header)), F.lit("a line has another number of cells than the header"))
-        .when(F.exists(F.flatten(data), lambda c: (c != "") & c.try_cast("double").isNull()), F.lit("a cell is no number"))
-    )
-    good = F.transform(data, lambda cells: F.map_from_arrays(header, F.transform(cells, lambda c: c.try_cast("double"))))
-    return F.when(reason.isNull() & lines.isNotNull(), good), F.coalesce(reason, F.lit("no data lines"))
+
+def _json_rows(body: Column) -> Column:
+    """(rows, reason) of a body parsed once: its "features", else its "instances", else the body itself, as maps of numbers.
+
+    A value is a JSON number or null; strings and booleans are no numbers, and neither is one beyond the range of doubles.
+    """
+    def rows(top: Column) -> Column:
+        one, many = F.element_at(top, "features"), F.element_at(top, "instances")
+        given = (
+            F.when(one.isNotNull(), F.array(F.try_variant_get(one, "$", ANYTHING)))
+            .when(many.isNotNull(), F.try_variant_get(many, "$", f"array<{ANYTHING}>"))
+            .otherwise(F.array(top))
+        )
+        return _bound(given, checked)
+
+    def checked(maps: Column) -> Column:
+        def wrong(v: Column) -> Column:
+            kind = F.schema_of_variant(v)
+            return ~kind.rlike(NUMERIC_VARIANT) | ((kind != "VOID") & ~_finite(_number(v)))
+
+        bad = maps.isNull() | F.exists(maps, lambda m: m.isNull() | F.exists(F.map_values(m), wrong))
+        values = F.transform(maps, lambda m: F.transform_values(m, lambda _, v: _number(v)))
+        return _result(F.when(~bad, values), F.when(bad, F.lit("features are no map of numbers")))
+
+    top = F.try_variant_get(F.try_parse_json(body), "$", ANYTHING)
+    return _bound(top, lambda t: F.when(t.isNull(), _result(F.lit(None), F.lit("body is no JSON object"))).otherwise(rows(t)))
+
+
+def _result(rows: Column, reason: Column) -> Column:
+    return F.struct(rows.cast("array<map<string,double>>").alias("rows"), reason.cast("string").alias("reason"))
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with the value worked out once a row."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _csv_rows(body: Column) -> Column:
+    """(rows, reason) of a header and data lines, in one pass over the body.
+
+    Split at quotes, every second part is quoted: commas and line ends separate in the other parts only, and an empty part between
+    two quoted ones is a doubled quote, which stands for one.
+    """
+    def separated(parts: Column) -> Column:
+        last = F.size(parts) - 1
+
+        def outside(p: Column, i: Column) -> Column:
+            return (i % 2 == 0) & ~((p == "") & (i > 0) & (i < last))
+
+        def part(p: Column, i: Column) -> Column:
+            plain = F.translate(p, ",\n\r", CELL_END + LINE_END)
+            return F.when(i % 2 == 1, p).when(outside(p, i), plain).otherwise('"')
+
+        def stray(p: Column, i: Column) -> Column:
+            before = F.ltrim(F.reverse(p))
+            after = F.ltrim(p)
+            opens = (i == last) | (before == "") | F.substring(before, 1, 1).isin(",", "\n")
+            closes = (i == 0) | (after == "") | F.substring(after, 1, 1).isin(",", "\n", "\r")
+            return outside(p, i) & ~(opens & closes)
+
+        text = F.array_join(F.transform(parts, part), "")
+        ill = (
+            F.when(body.contains(CELL_END) | body.contains(LINE_END), F.lit("a control character"))
+            .when(F.size(parts) % 2 == 0, F.lit("a quote is not closed"))
+            .when(F.exists(F.transform(parts, stray), lambda x: x), F.lit("a quote inside a cell"))
+        )
+        return F.when(ill.isNotNull(), _result(F.lit(None), ill)).otherwise(_bound(F.split(text, LINE_END), lines))
+
+    def lines(all_lines: Column) -> Column:
+        filled = F.filter(all_lines, lambda line: F.trim(line) != "")
+        return _bound(F.transform(filled, lambda line: F.transform(F.split(line, CELL_END), lambda c: F.trim(c))), table)
+
+    def table(cells: Column) -> Column:
+        header, data = F.get(cells, F.lit(0)), F.slice(cells, 2, F.greatest(F.size(cells) - 1, F.lit(0)))
+
+        def wrong(c: Column) -> Column:
+            return ~c.isin(*NO_VALUE) & ~(c.rlike(NUMBER) & _finite(c.try_cast("double")))
+
+        reason = (
+            F.when(F.size(cells) < 2, F.lit("no data lines"))
+            .when(F.size(F.array_distinct(header)) < F.size(header), F.lit("a column name is repeated"))
+            .when(F.exists(data, lambda row: F.size(row) != F.size(header)), F.lit("a line has another number of cells than the header"))
+            .when(F.exists(data, lambda row: F.exists(row, wrong)), F.lit("a cell is no number"))
+        )
+        good = F.transform(
+            data, lambda row: F.map_from_arrays(header, F.transform(row, lambda c: F.when(~c.isin(*NO_VALUE), c.try_cast("double"))))
+        )
+        return _bound(reason, lambda r: _result(F.when(r.isNull(), good), r))
+
+    return F.when(body.isNull(), _result(F.lit(None), F.lit("no data lines"))).otherwise(_bound(F.split(body, '"'), separated))
 
 
 def decode_requests(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
     """`(req_id, content_type, body)` to (`(req_id, pos, features)`, rejects with a `reason`).
 
-    A body that is not wholly readable is rejected: nothing malformed aborts the job or passes as a missing value.
+    A body that is not wholly readable is rejected: nothing malformed aborts the job or passes as a missing value. NaN and empty
+    cells are missing, and so null. A body is parsed once in each of the two results.
     """
-    json_rows, json_reason = _json_rows(F.col("body"))
-    csv_rows, csv_reason = _csv_rows(F.col("body"))
-    is_json, is_csv = F.col("content_type") == JSON, F.col("content_type") == CSV
-    parsed = requests.withColumn("rows", F.when(is_json, json_rows).when(is_csv, csv_rows))
-    good = parsed.where("rows is not null").select("req_id", F.posexplode("rows").alias("pos", "features"))
-    reason = F.when(is_json, json_reason).when(is_csv, csv_reason).otherwise(
-        F.concat(F.lit("content type not served: "), F.coalesce("content_type", F.lit("none")))
-    )
-    rejects = parsed.where("rows is null").select("req_id", "content_type", "body", reason.alias("reason"))
+    kind, body = F.col("content_type"), F.col("body")
+    other = F.concat(F.lit("content type not served: "), F.coalesce(kind, F.lit("none")))
+    read = F.when(kind == JSON, _json_rows(body)).when(kind == CSV, _csv_rows(body)).otherwise(_result(F.lit(None), other))
+    # generated rows keep the two fields from being worked out apart
+    parsed = requests.select("req_id", "content_type", "body", F.explode(F.array(read)).alias("read"))
+    good = parsed.select("req_id", F.posexplode("read.rows").alias("pos", "features"))
+    rejects = parsed.where("read.reason IS NOT NULL").select("req_id", "content_type", "body", F.col("read.reason").alias("reason"))
     return good, rejects
 
 

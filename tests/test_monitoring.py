@@ -160,6 +160,40 @@ def test_malformed_bodies_are_rejected(spark):
     assert reasons[11] != reasons[12] != reasons[13]
 
 
+def test_bodies_that_no_parser_survives_by_luck(spark):
+    """Very many cells, quotes, levels and digits; quoted line ends; words that look like numbers."""
+    n, j, c = 20_000, "application/json", "text/csv"
+    rows = [
+        (1, c, ",".join(f'"c{i}"' for i in range(n)) + "\n" + ",".join(f'"{i}"' for i in range(n))), (2, c, '"' + '""' * n + '"\n1'),
+        (3, c, '"a\nx","b""q",c\r\n"1"," -2.5 ",.5e1\r\n,NaN,nan'), (4, c, "a\n" + "5\n" * n), (5, c, '"a"\n""\n1'),
+        (6, j, '{"a": 123456789012345678901234567890, "b": 1.10, "c": null}'), (7, j, "{}"),
+        *[(10 + i, c, b) for i, b in enumerate([
+            "a,b\n1,2d", "a,b\n1,Infinity", "a,b\n1,0x1", "a,b\n1,1e999", 'a,b\n"1,2', 'a,b\n1"2",3', 'a,b\n"1"x,3', "a\x1f\n1", "a,b\n1,1_000", "a\n1 2"])],
+        *[(30 + i, j, b) for i, b in enumerate([
+            '{"a": "5"}', '{"a": true}', '{"a": 1e999}', "[" * n, '{"a": ' * n, '{"a": ' + "9" * n + "}", '{"a": NaN}', '{"features": null}',
+            '{"instances": [{"a": 1}, null]}', '{"instances": {"a": 1}}', '{"features": [1]}', '{"instances": [{"a": "2"}]}'])],
+    ]
+    good, bad = decode_requests(spark.createDataFrame(rows, "req_id int, content_type string, body string"))
+    got = {}
+    for r in good.collect():
+        got.setdefault(r["req_id"], []).append(r["features"])
+    assert got[1] == [{f"c{i}": float(i) for i in range(n)}] and got[2] == [{'"' * n: 1.0}]
+    assert got[3] == [{"a\nx": 1.0, 'b"q': -2.5, "c": 5.0}, {"a\nx": None, 'b"q': None, "c": None}] and got[4] == [{"a": 5.0}] * n
+    assert got[5] == [{"a": 1.0}] and got[6] == [{"a": 123456789012345678901234567890.0, "b": 1.1, "c": None}] and got[7] == [{}]
+    reasons = {r["req_id"]: r["reason"] for r in bad.collect()}
+    assert set(reasons) == {r[0] for r in rows if r[0] >= 10} and set(got) == {r[0] for r in rows if r[0] < 10}
+    assert reasons[10] == reasons[11] == "a cell is no number" and reasons[14] == "a quote is not closed" and reasons[15] == "a quote inside a cell"
+
+
+def test_nan_is_missing_when_scoring(spark):
+    df = spark.createDataFrame([("r", {"a": float("nan"), "b": 2.0})], "request_id string, features map<string,double>")
+    scored, rejects = score_requests(df, ["a", "b"], {"a": 4.0}, MODEL.transform)
+    row = scored.first()
+    assert row["a"] == 4.0 and row["imputed_features"] == ["a"] and rejects.count() == 0
+    scored, rejects = score_requests(df, ["a", "b"], {}, MODEL.transform)
+    assert scored.count() == 0 and "'a'" in rejects.first()["reason"]
+
+
 def test_response_bodies(spark):
     rows = [(1, 1, "*/*", 2.5), (1, 0, "*/*", 1.0), (2, 0, "text/csv", 3.0), (2, 1, "text/csv", 4.25), (3, 0, "image/png", 1.0)]
     good, bad = encode_responses(spark.createDataFrame(rows, "req_id int, pos int, accept string, prediction double"))
