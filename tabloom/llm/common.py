@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -132,18 +133,30 @@ def text_bytes(column: pa.Array) -> np.ndarray:
     return np.frombuffer(data, dtype=np.uint8) if data is not None and data.size else np.zeros(0, dtype=np.uint8)
 
 
-def word_blocks(text: bytes | memoryview, limit: int = SLICE) -> Iterator[list[bytes]]:
-    """The words of a text between white space, from about `limit` bytes of it at a time."""
+def word_blocks(text: bytes | memoryview, limit: int = SLICE, lower: bool = False) -> Iterator[list[bytes]]:
+    """The words of a text between white space, from about `limit` bytes of it at a time; `lower` turns A-Z to a-z."""
     first, size = 0, len(text)
     while first < size:
         last = first + limit
         if last < size:
             gap = _GAP.search(text, last)
             last = gap.start() if gap else size
-        yield bytes(text[first:last]).split()
+        part = bytes(text[first:last])
+        yield (part.lower() if lower else part).split()
         first = last
 
 
+def numbered_words(texts: pa.Array, lower: bool = False) -> tuple[list[bytes], list[np.ndarray]]:
+    """The distinct words of a slice of texts by first place, and per text the numbers of its words."""
+    numbers: dict[bytes, int] = defaultdict()
+    numbers.default_factory = numbers.__len__
+    out = []
+    for text in texts.cast(pa.large_binary()):
+        parts = [np.fromiter(map(numbers.__getitem__, b), np.int32, len(b)) for b in word_blocks(text.as_buffer(), lower=lower)]
+        out.append(parts[0] if len(parts) == 1 else np.concatenate([np.zeros(0, np.int32), *parts]))
+    return list(numbers), out
+
+
 def runs(member: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the maximal runs of true cells; none goes over a position in `cuts`."""
     n = len(member)

@@ -19,7 +19,7 @@ one too, are one group; columns other than those named are not read. Texts are c
 from __future__ import annotations
 
 import math
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from hashlib import sha256
@@ -41,11 +41,11 @@ ROUNDS = 3
 DISCOUNT = 0.75
 #: Expected pieces that the file's weights count for beside those of the corpus.
 PRIOR = 10.0
-#: Words a task counts before it hands them on.
-COUNTED = 300_000
 #: Bytes of words laid out as one lattice; longer words are walked piece by piece, and taught in stretches of this size.
 BLOCK, LONG = 1 << 15, 1024
 KEY = 32
+#: Bytes of a word up to which learning multiplies probabilities; scores are summed as logs throughout.
+PLAIN = 24
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SPREAD = np.uint64(0xD6E8FEB86659FD93)
 _SLOT_BITS = 18
@@ -151,17 +151,29 @@ def forward(weights: np.ndarray) -> np.ndarray:
 
 def expected(arcs: np.ndarray, logs: np.ndarray, size: int) -> np.ndarray:
     """Expected uses of each piece over all segmentations of the words of `arcs`."""
+    n, m, widest = arcs.shape
+    row, place, length = np.nonzero(arcs >= 0)
+    uses = arcs[row, place, length]
+    if m <= PLAIN:  # masses of short words stay within the range of doubles
+        weights = np.where(arcs >= 0, np.exp(logs)[arcs], 0.0)
+        a, b = np.zeros((n, m + 1)), np.zeros((n, m + 1))
+        a[:, 0] = b[:, m] = 1.0
+        for i in range(m):
+            k = min(i + 1, widest)
+            a[:, i + 1] = np.einsum("nk,nk->n", a[:, i + 1 - k : i + 1][:, ::-1], weights[:, i, :k])
+        for i in range(m - 1, -1, -1):
+            k = min(m - i, widest)
+            b[:, i] = np.einsum("nk,nk->n", b[:, i + 1 : i + 1 + k], weights[:, np.arange(i, i + k), np.arange(k)])
+        return np.bincount(uses, a[row, place - length] * weights[row, place, length] * b[row, place + 1] / a[row, m], minlength=size)
     weights = np.where(arcs >= 0, logs[arcs], -np.inf)
-    n, m, widest = weights.shape
     a = forward(weights)
     b = np.full((n, m + 1), -np.inf)
     b[:, m] = 0.0
     for i in range(m - 1, -1, -1):
         k = min(m - i, widest)
         b[:, i] = _log_sum(b[:, i + 1 : i + 1 + k] + weights[:, np.arange(i, i + k), np.arange(k)])
-    row, place, length = np.nonzero(arcs >= 0)
     mass = a[row, place - length] + weights[row, place, length] + b[row, place + 1] - a[row, m]
-    return np.bincount(arcs[row, place, length], np.exp(mass), minlength=size)
+    return np.bincount(uses, np.exp(mass), minlength=size)
 
 
 def walked(word: bytes, number: dict[bytes, int], logs: np.ndarray, longest: int) -> np.ndarray:
@@ -237,40 +249,19 @@ def _fold(id_column: str, folds: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(name(id_column).cast("string"), F.lit("")).cast("binary")), F.lit(folds)).cast("int")
 
 
-def _words(text: pa.Scalar) -> Iterator[list[bytes]]:
-    for block in common.word_blocks(text.as_buffer()):
-        yield [w.lower() for w in block]
-
-
-def _texts(column: pa.Array) -> Iterator[tuple[int, pa.Scalar]]:
-    texts = common.plain_text(column)
-    for a, b in common.text_slices(texts):
-        yield from enumerate(texts.slice(a, b - a).cast(pa.large_binary()), a)
-
-
 def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(group or -1, text) to (word, group, n): words counted while they fit, then handed on."""
-    counts: dict[int, Counter] = defaultdict(Counter)
-
-    def flush() -> Iterator[pa.RecordBatch]:
-        for group, own in counts.items():
-            words, n = list(own), list(own.values())
-            for a in range(0, len(words), 20_000):
-                part = words[a : a + 20_000]
+    """(group or -1, text) to (word, group, n), a row per distinct word of a slice of texts; Spark adds them up before the shuffle."""
+    for batch in batches:
+        groups, texts = batch.column(0).to_numpy(), common.plain_text(batch.column(1))
+        for a, b in common.text_slices(texts):
+            words, numbers = common.numbered_words(texts.slice(a, b - a), lower=True)
+            column = pa.array(words, pa.binary())
+            for g in np.unique(groups[a:b]).tolist():
+                n = np.bincount(np.concatenate([numbers[k] for k in np.flatnonzero(groups[a:b] == g).tolist()]), minlength=len(words))
+                at = np.flatnonzero(n)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(part, pa.binary()), pa.array([group] * len(part), pa.int32()), pa.array(n[a : a + 20_000], pa.int64())],
-                    names=["word", "group", "n"],
+                    [column.take(pa.array(at)), pa.array(np.full(len(at), g, np.int32)), pa.array(n[at])], names=["word", "group", "n"],
                 )
-        counts.clear()
-
-    for batch in batches:
-        groups = batch.column(0).to_pylist()
-        for k, text in _texts(batch.column(1)):
-            for block in _words(text):
-                counts[groups[k]].update(block)
-            if sum(map(len, counts.values())) > COUNTED:
-                yield from flush()
-    yield from flush()
 
 
 def _count_columns(groups: int) -> list[str]:
@@ -366,26 +357,23 @@ def _score_texts(hot, groups: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, known, base, logs = hot.value
         for batch in batches:
-            rows, rest_keys, rest_n, cuts = [], [], [], [0]
-            for _, text in _texts(batch.column(1)):
-                counts: Counter = Counter()
-                for block in _words(text):
-                    counts.update(block)
-                keys = [w if len(w) <= KEY else key_of(w) for w in counts]
-                n = np.fromiter(counts.values(), np.int64, len(keys))
-                at = np.fromiter(map(place.get, keys, repeat(-1)), np.int64, len(keys))
+            texts = common.plain_text(batch.column(1))
+            for a, b in common.text_slices(texts):
+                words, numbers = common.numbered_words(texts.slice(a, b - a), lower=True)
+                keys = [w if len(w) <= KEY else key_of(w) for w in words]
+                hot_row = np.fromiter(map(place.get, keys, repeat(-1)), np.int64, len(keys))
+                sizes = np.array([len(x) for x in numbers])
+                text, word = np.repeat(np.arange(b - a), sizes), np.concatenate(numbers)
+                at = hot_row[word]
                 there = at >= 0
-                at, weight = at[there], n[there]
-                rest_keys += [keys[k] for k in np.flatnonzero(~there).tolist()]
-                rest_n.append(n[~there])
-                cuts.append(len(rest_keys))
-                rows.append((int(n.sum()) + 1, int(weight @ known[at]), float(weight @ base[at]), *(weight @ logs[at]).tolist()))
-            if rows:
-                n_tokens, n_known, base_hot, *sums = zip(*rows)
-                pairs = pa.StructArray.from_arrays([pa.array(rest_keys, pa.binary()), pa.array(np.concatenate(rest_n))], names=["key", "n"])
-                rest = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pairs)
+                owner, at = text[there], at[there]
+                sums = [np.bincount(owner, column[at], minlength=b - a).astype(float) for column in (known, base, *logs)]
+                pairs, n = np.unique(text[~there] * max(1, len(words)) + word[~there], return_counts=True)
+                cuts = np.searchsorted(pairs, np.arange(b - a + 1) * max(1, len(words)))
+                names = pa.array(keys, pa.binary()).take(pa.array(pairs % max(1, len(words))))
+                rest = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.StructArray.from_arrays([names, pa.array(n)], names=["key", "n"]))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(base_hot, pa.float64()), rest, *[pa.array(s, pa.float64()) for s in sums]],
+                    [batch.column(0).slice(a, b - a), pa.array(sizes + 1, pa.int64()), pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), rest, *map(pa.array, sums[2:])],
                     names=["id", "n_tokens", "n_known", "base", "rest", *_log_names(groups)],
                 )
     return run
@@ -414,8 +402,7 @@ def score(
     logs = _log_names(model.groups)
     top = scored.orderBy(F.desc("seen"), "key").limit(hot_words).toArrow()  # at most hot_words rows of short keys
     place = {k: i for i, k in enumerate(top.column("key").to_pylist())}
-    matrix = np.stack([top.column(c).to_numpy() for c in logs], axis=1).reshape(len(place), model.groups)
-    hot = spark.sparkContext.broadcast((place, top.column("known").to_numpy().astype(np.int64), top.column("base").to_numpy(), matrix))
+    hot = spark.sparkContext.broadcast((place, top.column("known").to_numpy().astype(float), top.column("base").to_numpy(), [top.column(c).to_numpy() for c in logs]))
     results = ", ".join(f"{c} double" for c in logs)
     read = docs.select(name(id_column).alias("id"), name(text).alias("text")).mapInArrow(
         _score_texts(hot, model.groups), f"id {docs.schema[id_column].dataType.simpleString()}, n_tokens long, n_known long, base double, "

@@ -15,7 +15,6 @@ repeated is one run of period 1; rows of equal id are worked on one by one; colu
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -169,15 +168,12 @@ def _worker(rewrite: Rewrite | None):
         for batch in batches:
             texts, ids = common.plain_text(batch.column(2)), batch.column(1)
             for a, b in common.text_slices(texts):
-                numbers: dict[bytes, int] = defaultdict()
-                numbers.default_factory = numbers.__len__
+                words, numbers = common.numbered_words(texts.slice(a, b - a))
                 parts, lengths = [], []
-                for k, (own_id, text) in enumerate(zip(ids.slice(a, b - a).to_pylist(), texts.slice(a, b - a).cast(pa.large_binary()))):
-                    own = [np.array(list(map(numbers.__getitem__, block)), np.int32) for block in common.word_blocks(text.as_buffer())]
-                    words = np.concatenate(own) if own else np.zeros(0, np.int32)
-                    shape = rewrite(own_id, len(words)) if rewrite else None
-                    parts += [words[repeated_from(len(words), *shape)] if shape else words, np.array([-1 - k], np.int32)]
-                    lengths.append(len(words))
+                for k, (own_id, own) in enumerate(zip(ids.slice(a, b - a).to_pylist(), numbers)):
+                    shape = rewrite(own_id, len(own)) if rewrite else None
+                    parts += [own[repeated_from(len(own), *shape)] if shape else own, np.array([-1 - k], np.int32)]
+                    lengths.append(len(own))
                 x, lengths = np.concatenate(parts), np.array(lengths)
                 starts = np.concatenate([[0], np.cumsum(lengths + 1)])
                 per_text: list[list[dict]] = [[] for _ in lengths]
@@ -188,7 +184,6 @@ def _worker(rewrite: Rewrite | None):
                     dropped[s + q] += 1
                     dropped[e] -= 1
                 kept = np.cumsum(dropped[:-1]) == 0
-                words = list(numbers)
                 collapsed = [
                     b" ".join(map(words.__getitem__, x[s : s + n][kept[s : s + n]].tolist()))
                     for s, n in zip(starts[:-1].tolist(), lengths.tolist())
