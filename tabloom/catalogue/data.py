@@ -17,6 +17,8 @@ f AS (
 
 ORDER_FEATURES = ["n_lines", "sum_qty", "sum_price", "avg_discount"]
 ORDER_TARGET = "o_totalprice"
+#: A target that the features explain.
+NET = "net"
 
 ORDER_SQL = """
 o AS (
@@ -50,7 +52,8 @@ def orders(spark: SparkSession, sf: str) -> DataFrame:
         F.avg("l_discount").alias("avg_discount"),
     )
     joined = table(spark, sf, "orders").join(per_order, F.col("o_orderkey") == F.col("l_orderkey"))
-    return joined.select("o_orderkey", "o_totalprice", *ORDER_FEATURES)
+    net = (F.col("sum_price") * (1 - F.col("avg_discount")) + 2 * F.col("n_lines")).alias(NET)
+    return joined.select("o_orderkey", "o_totalprice", *ORDER_FEATURES, net)
 
 
 def events(spark: SparkSession, sf: str) -> DataFrame:

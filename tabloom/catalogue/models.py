@@ -9,6 +9,7 @@ from tabloom.catalogue.data import (
     FEATURES,
     LINE_SQL,
     LINES,
+    NET,
     ORDER_FEATURES,
     ORDER_SQL,
     ORDER_TARGET,
@@ -23,6 +24,7 @@ from tabloom.operators.linear import LinearModel, collect_moments, fit_linear, l
 from tabloom.operators.metrics import axis_limits, histogram, metrics, residual_summary, with_residual
 from tabloom.operators.shapley import sampled_shapley, shap_summary
 from tabloom.operators.split import background_sample, with_fold, with_split
+from tabloom.operators.tree_shap import expected_value, tree_shap
 from tabloom.operators.trees import fit_trees, importances, learning_curve, top_k
 from tabloom.plans.evaluation import evaluate, reduction_sweep, run_report
 from tabloom.plans.search import (
@@ -126,16 +128,16 @@ def _spread_of(df, target):
     return df.agg(F.stddev_pop(target)).first()[0]
 
 
-def _plausible(error, df):
-    """Whether an error lies between nothing and a little over that of the mean; the target has no signal to find."""
-    return F.col(error).between(0.5 * _spread_of(df, ORDER_TARGET), 1.2 * _spread_of(df, ORDER_TARGET)).alias("plausible")
+def _beats_mean(error, df, target=NET):
+    """Whether an error is below half that of the mean, on a target that the features explain."""
+    return (F.col(error) < 0.5 * _spread_of(df, target)).alias("beats_mean")
 
 
 def _mixed_search(spark, sf):
     """Every family's cross-validated error against that of the mean."""
     df = with_fold(orders(spark, sf), ["o_orderkey"], 3)
-    scored = score_trials(trial_table(spark, MIXED), fold_scores(df, ORDER_FEATURES, ORDER_TARGET, MIXED))
-    return scored.select("trial", "family", _plausible("cv_rmse", df))
+    scored = score_trials(trial_table(spark, MIXED), fold_scores(df, ORDER_FEATURES, NET, MIXED))
+    return scored.select("trial", "family", _beats_mean("cv_rmse", df))
 
 
 def _trial_rows(spark, sf):
@@ -189,32 +191,62 @@ def _order_sides(spark, sf):
 
 
 def _forest(spark, sf):
-    model = fit_trees(orders(spark, sf), ORDER_FEATURES, ORDER_TARGET, "random_forest", FOREST)
+    model = fit_trees(orders(spark, sf), ORDER_FEATURES, NET, "random_forest", FOREST)
     shares = importances(model, spark)
-    return shares.agg(F.count("*").alias("n_features"), F.round(F.sum("importance"), 6).alias("total"), F.count_if(F.col("importance") >= 0).alias("n_shares"))
+    return shares.agg(F.count("*").alias("n_features"), F.round(F.sum("importance"), 6).alias("total"), F.count_if(F.col("importance") >= 0).alias("n_shares"),
+                      F.max_by("feature", "importance").alias("top"))
 
 
 def _boosted(spark, sf):
     train, test = _order_sides(spark, sf)
-    fitted = fit_winner(train, ORDER_FEATURES, ORDER_TARGET, Trial(0, "lightgbm", BOOSTED), 0.0, 1)
-    smaller = refit(fitted, train, ORDER_FEATURES[:2], ORDER_TARGET)
-    both = evaluate(fitted, test, ORDER_TARGET, "full").unionByName(evaluate(smaller, test, ORDER_TARGET, "top_k"))
-    return both.select("label", "n_samples", "n_left_out", _plausible("rmse", test))
+    fitted = fit_winner(train, ORDER_FEATURES, NET, Trial(0, "lightgbm", BOOSTED), 0.0, 1)
+    top = [r["feature"] for r in top_k(importances(fitted.model, spark), 2).collect()]
+    both = evaluate(fitted, test, NET, "full").unionByName(evaluate(refit(fitted, train, top, NET), test, NET, "top_k"))
+    return both.select("label", "n_samples", "n_left_out", _beats_mean("rmse", test))
 
 
 def _curve(spark, sf):
-    """Training error after each boosting round."""
+    """Training error after each boosting round: each round takes a tenth off what the mean leaves, at least."""
     train, _ = _order_sides(spark, sf)
-    curve = learning_curve(fit_trees(train, ORDER_FEATURES, ORDER_TARGET, "lightgbm", {**BOOSTED, "subsample": 1.0}), train, ORDER_TARGET)
-    before = F.coalesce(F.lag("rmse").over(Window.orderBy("round")), F.lit(_spread_of(train, ORDER_TARGET)))  # a row per round
-    return curve.select("round", (F.col("rmse") < before).alias("falls"))
+    curve = learning_curve(fit_trees(train, ORDER_FEATURES, NET, "lightgbm", {**BOOSTED, "subsample": 1.0, "colsample_bytree": 1.0}), train, NET)
+    limit = F.lit(_spread_of(train, NET)) * F.pow(F.lit(0.9), F.col("round"))
+    before = F.coalesce(F.lag("rmse").over(Window.orderBy("round")), F.lit(_spread_of(train, NET)))  # a row per round
+    return curve.select("round", ((F.col("rmse") < before) & (F.col("rmse") < limit)).alias("falls"))
 
 
 def _sweep_forest(spark, sf):
     train, test = _order_sides(spark, sf)
-    fitted = fit_winner(train, ORDER_FEATURES, ORDER_TARGET, Trial(0, "random_forest", SMALL_FOREST), 0.0, 1)
-    rows = reduction_sweep(fitted, train, test, ORDER_TARGET, [4, 3, 2])
-    return rows.select("n_features", _plausible("rmse", test))
+    fitted = fit_winner(train, ORDER_FEATURES, NET, Trial(0, "random_forest", SMALL_FOREST), 0.0, 1)
+    rows = reduction_sweep(fitted, train, test, NET, [4, 3, 2])
+    return rows.select("n_features", _beats_mean("rmse", test))
+
+
+REPLAYED = ["l_quantity", "p_size", "l_discount", "tax"]
+REPLAY = {"n_estimators": 3, "learning_rate": 0.5, "num_leaves": 3, "max_depth": 4, "min_child_samples": 20}
+
+
+def _replayed_trees(spark, sf):
+    """All nodes of three boosted trees of three leaves each; a column has gaps."""
+    df = lines(spark, sf).withColumn("tax", F.when(F.col("l_tax") != 0.05, F.col("l_tax")))
+    model = fit_trees(df, REPLAYED, "gross", "lightgbm", REPLAY)
+    scale = df.agg(F.var_pop("gross") * F.count("*")).first()[0]
+    names = F.array(*[F.lit(f) for f in REPLAYED])
+    inner = F.col("feature") >= 0
+    return model.nodes(spark).select(
+        "tree", "node", F.when(inner, F.get(names, F.greatest("feature", F.lit(0)))).alias("feature"), F.when(inner, F.col("threshold")).alias("threshold"),
+        F.when(inner, F.col("missing_left")).alias("missing_left"), F.when(inner, F.round(2 * F.col("gain") / scale, 8)).alias("gain_share"),
+        F.col("cover").cast("long").alias("n"), F.round("value", 4).alias("value"))
+
+
+def _tree_shap(spark, sf):
+    """Exact Shapley values of a forest of 100 trees: they add up to prediction minus mean for every test row."""
+    df = orders(spark, sf)
+    model = fit_trees(df, ORDER_FEATURES, NET, "random_forest", FOREST)
+    test = with_split(df, ["o_orderkey"]).where("split = 'test'")
+    phi = tree_shap(model.transform(test), ["o_orderkey", "prediction"], model)
+    sums = phi.groupBy("o_orderkey", "prediction").agg(F.sum("phi").alias("s"), F.count("*").alias("k"), F.max_by("feature", F.abs("phi")).alias("top"))
+    off = F.abs(F.col("s") + expected_value(model) - F.col("prediction")) > 1e-6 * F.greatest(F.lit(1.0), F.abs("prediction"))
+    return sums.agg(F.count("*").alias("n"), F.sum("k").alias("n_values"), F.count_if(off).alias("n_off"), F.mode("top").alias("top"))
 
 
 def _reloaded(spark, sf):
@@ -298,6 +330,8 @@ QUERIES = {
     "shap_summary": lambda s, sf: rounded(shap_summary(_linear_phi(s, sf)), 4),
     "sampled_shapley": lambda s, sf: rounded(_sampled(s, sf, ORDER_MODEL.transform)),
     "shapley_forest": _shapley_forest,
+    "boosted_trees": _replayed_trees,
+    "tree_shap": _tree_shap,
 }
 
 _HASH = "md5(concat_ws(':', '42', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR)))"
@@ -330,7 +364,54 @@ _SHAP_MEANS = "m AS (SELECT " + ", ".join(f"avg({f}) AS m_{f}" for f in FORMULA.
 _TRIALS_SQL = """t AS (SELECT CAST(p_size AS INT) AS trial, CASE WHEN CAST(p_size AS INT) % 7 <> 1
     THEN stddev_pop(l_extendedprice) / 10000 END AS cv_rmse FROM f GROUP BY p_size)"""
 
+def _replay_sql() -> str:
+    """Boosting in SQL: per tree the best cut of all rows, then of both sides, of which the better one is split."""
+    lr, least, out = REPLAY["learning_rate"], REPLAY["min_child_samples"], []
+    steps = [f"{LINE_SQL}, d AS (SELECT l_quantity, p_size, l_discount, nullif(l_tax, 0.05) AS tax, gross AS y FROM f)",
+             "p0 AS (SELECT *, (SELECT avg(y) FROM d) AS pred FROM d)"]
+
+    def value(alias: str, f: str) -> str:
+        return "CASE " + " ".join(f"WHEN {alias}.{f} = {i} THEN {c}" for i, c in enumerate(REPLAYED)) + " END"
+
+    def cuts(to: str, source: str) -> None:
+        """Best cut per side of `source`, with a column side and g."""
+        steps.append(f"{to}l AS (" + " UNION ALL ".join(f"SELECT side, {i} AS fi, {c} AS v, g FROM {source}" for i, c in enumerate(REPLAYED)) + ")")
+        steps.append(f"""{to}t AS (SELECT side, fi, sum(g) AS tg, count(*) AS tn, coalesce(sum(g) FILTER (WHERE v IS NULL), 0) AS mg,
+            count(*) FILTER (WHERE v IS NULL) AS mn FROM {to}l GROUP BY side, fi)""")
+        steps.append(f"""{to}c AS (SELECT side, fi, v, sum(sum(g)) OVER w AS cg, sum(count(*)) OVER w AS cn FROM {to}l WHERE v IS NOT NULL
+            GROUP BY side, fi, v WINDOW w AS (PARTITION BY side, fi ORDER BY v))""")
+        steps.append(f"""{to}s AS (SELECT side, fi, v, gap_left, tg, tn, cg + CASE WHEN gap_left THEN mg ELSE 0 END AS lg,
+            cn + CASE WHEN gap_left THEN mn ELSE 0 END AS ln FROM {to}c JOIN {to}t USING (side, fi), (VALUES (false), (true)) o(gap_left)
+            WHERE NOT gap_left OR mn > 0)""")
+        steps.append(f"""{to} AS (SELECT *, tg - lg AS rg, tn - ln AS rn FROM (SELECT *,
+            0.5 * (lg * lg / ln + (tg - lg) * (tg - lg) / (tn - ln) - tg * tg / tn) AS gain FROM {to}s WHERE least(ln, tn - ln) >= {least})
+            QUALIFY row_number() OVER (PARTITION BY side ORDER BY gain DESC, fi, gap_left, v) = 1)""")
+
+    for k in range(REPLAY["n_estimators"]):
+        steps.append(f"g{k} AS (SELECT *, pred - y AS g, 0 AS side FROM p{k})")
+        cuts(f"a{k}", f"g{k}")
+        goes = f"coalesce({value('a', 'fi')} <= a.v, a.gap_left)"
+        steps.append(f"h{k} AS (SELECT g.* EXCLUDE (side), CASE WHEN {goes} THEN 1 ELSE 2 END AS side FROM g{k} g, a{k} a)")
+        cuts(f"b{k}", f"h{k}")
+        steps.append(f"m{k} AS (SELECT * FROM b{k} ORDER BY gain DESC LIMIT 1)")
+        below = f"coalesce({value('m', 'fi')} <= m.v, m.gap_left)"
+        steps.append(f"i{k} AS (SELECT h.*, CASE WHEN h.side <> m.side THEN h.side WHEN {below} THEN 3 ELSE 4 END AS leaf FROM h{k} h, m{k} m)")
+        steps.append(f"v{k} AS (SELECT leaf, -{lr} * sum(g) / count(*) AS w FROM i{k} GROUP BY leaf)")
+        steps.append(f"p{k + 1} AS (SELECT l_quantity, p_size, l_discount, tax, y, pred + w AS pred FROM i{k} JOIN v{k} USING (leaf))")
+        feature = "CASE fi " + " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(REPLAYED)) + " END"
+        share = "round(2 * gain / (SELECT var_pop(y) * count(*) FROM d), 8)"
+        split = f"{feature} AS feature, v AS threshold, gap_left AS missing_left, {share} AS gain_share, tn AS n, round(-{lr} * tg / tn, 4) AS value"
+        out += [f"SELECT {k} AS tree, 0 AS node, {split} FROM a{k}", f"SELECT {k}, side, {split} FROM m{k}"]
+        out.append(f"SELECT {k}, side, NULL, NULL, NULL, NULL, count(*), round(-{lr} * sum(g) / count(*), 4) FROM h{k} WHERE side <> (SELECT side FROM m{k}) GROUP BY side")
+        out.append(f"SELECT {k}, leaf, NULL, NULL, NULL, NULL, count(*), round(-{lr} * sum(g) / count(*), 4) FROM i{k} WHERE leaf > 2 GROUP BY leaf")
+    rows = " UNION ALL ".join(out)
+    return f"WITH {', '.join(steps)} SELECT * REPLACE (CAST(n AS BIGINT) AS n) FROM ({rows})"
+
+
 ORACLE = {
+    "boosted_trees": _replay_sql(),
+    "tree_shap": f"""WITH {ORDER_SQL} SELECT count(*) AS n, CAST(4 * count(*) AS BIGINT) AS n_values, CAST(0 AS BIGINT) AS n_off, 'sum_price' AS top
+        FROM o WHERE {_TEST_ORDER}""",
     "ridge_fit": f"""WITH {LINE_SQL}, r AS ({_ridge_sql('f', str(ALPHA))})
         SELECT 'l_quantity' AS term, round(w1, 6) AS coefficient FROM r
         UNION ALL SELECT 'p_retailprice', round(w2, 6) FROM r
@@ -390,15 +471,15 @@ ORACLE = {
         UNION ALL SELECT 'l_discount', 'l_tax', round(corr(l_discount, l_tax), 5) FROM f
         UNION ALL SELECT 'l_discount', 'l_quantity', round(corr(l_discount, l_quantity), 5) FROM f
         UNION ALL SELECT 'l_tax', 'l_quantity', round(corr(l_tax, l_quantity), 5) FROM f""",
-    "mixed_search": """SELECT CAST(i AS INT) AS trial, family, count(*) > 0 AS plausible FROM orders,
+    "mixed_search": """SELECT CAST(i AS INT) AS trial, family, count(*) > 0 AS beats_mean FROM orders,
         (VALUES (0, 'linear'), (1, 'random_forest'), (2, 'lightgbm'), (3, 'xgboost')) t(i, family) GROUP BY ALL""",
-    "forest_importances": """SELECT CAST(4 AS BIGINT) AS n_features, CAST(1 AS DOUBLE) AS total, CAST(4 AS BIGINT) AS n_shares
+    "forest_importances": """SELECT CAST(4 AS BIGINT) AS n_features, CAST(1 AS DOUBLE) AS total, CAST(4 AS BIGINT) AS n_shares, 'sum_price' AS top
         FROM orders HAVING count(*) > 0""",
     "boosted_metrics": f"""WITH {ORDER_SQL}, t AS (SELECT count(*) AS n FROM o WHERE {_TEST_ORDER})
-        SELECT unnest(['full', 'top_k']) AS label, n AS n_samples, CAST(0 AS BIGINT) AS n_left_out, true AS plausible FROM t""",
+        SELECT unnest(['full', 'top_k']) AS label, n AS n_samples, CAST(0 AS BIGINT) AS n_left_out, true AS beats_mean FROM t""",
     "learning_curve": f"""SELECT CAST(r AS INT) AS round, true AS falls
         FROM (SELECT unnest(range(1, {BOOSTED["n_estimators"] + 1})) AS r) WHERE EXISTS (SELECT 1 FROM orders)""",
-    "reduction_sweep_forest": """SELECT CAST(k AS INT) AS n_features, true AS plausible FROM (SELECT unnest([4, 3, 2]) AS k)
+    "reduction_sweep_forest": """SELECT CAST(k AS INT) AS n_features, true AS beats_mean FROM (SELECT unnest([4, 3, 2]) AS k)
         WHERE EXISTS (SELECT 1 FROM orders)""",
     "model_reload": f"""WITH {ORDER_SQL} SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_differ FROM o WHERE {_TEST_ORDER}""",
     "shapley_forest": f"""WITH {ORDER_SQL} SELECT count(*) AS n, CAST(4 * count(*) AS BIGINT) AS n_values, CAST(0 AS BIGINT) AS n_off

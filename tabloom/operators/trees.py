@@ -1,15 +1,13 @@
-"""Random forests and boosted trees on MLlib, and importances of any fitted model."""
+"""Forests and boosted trees by family, and importances of any fitted model."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabloom.operators.boosting import Spec, TreeModel, binned, errors_by_round, fit_models
 from tabloom.operators.frames import as_double, name
 from tabloom.operators.linear import LinearModel
 from tabloom.session import small_table
@@ -17,78 +15,30 @@ from tabloom.session import small_table
 BOOSTED = ("lightgbm", "xgboost")
 
 
-DEEPEST = 30  # fixed by MLlib
-
-
-def _depth(params: dict) -> int:
-    depth = int(params["max_depth"])
-    if not 0 <= depth <= DEEPEST:
-        raise ValueError(f"max_depth {depth} is outside 0 to {DEEPEST}")
-    return depth
-
-
-def tree_estimator(family: str, params: dict, target: str, prediction: str = "prediction", seed: int = 42):
-    """The MLlib learner nearest to a family's parameters.
-
-    MLlib has no leaf count for boosting and no minimum split size; those two are not passed on.
-    """
-    common = {"featuresCol": "features", "labelCol": target, "predictionCol": prediction, "seed": seed}
-    if family == "random_forest":
-        return RandomForestRegressor(
-            numTrees=int(params["n_estimators"]),
-            maxDepth=_depth(params),
-            featureSubsetStrategy=params.get("max_features", "sqrt"),
-            minInstancesPerNode=int(params.get("min_samples_leaf", 1)),
-            maxMemoryInMB=512,
-            **common,
-        )
-    if family in BOOSTED:
-        return GBTRegressor(
-            maxIter=int(params["n_estimators"]),
-            stepSize=float(params["learning_rate"]),
-            maxDepth=_depth(params),
-            subsamplingRate=float(params.get("subsample", 1.0)),
-            featureSubsetStrategy=str(float(params.get("colsample_bytree", 1.0))),
-            minInfoGain=float(params.get("gamma", 0.0)),
-            maxMemoryInMB=512,
-            **common,
-        )
-    raise ValueError(f"unknown model family '{family}'")
-
-
-def assembler(features: Sequence[str]) -> VectorAssembler:
-    return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
-
-
-def fit_trees(df: DataFrame, features: Sequence[str], target: str, family: str, params: dict, seed: int = 42):
-    """Fit on the rows without missing values, as the linear models are."""
-    stages = [assembler(features), tree_estimator(family, params, target, seed=seed)]
-    return Pipeline(stages=stages).fit(complete_rows(df, features, target))
+def fit_trees(df: DataFrame, features: Sequence[str], target: str, family: str, params: dict, seed: int = 42) -> TreeModel:
+    """Fit on the rows that have a target; missing features go the side that the fit learns for them."""
+    return fit_models(binned(df, features, target), [Spec(family, params)], seed)[0]
 
 
 def complete_rows(df: DataFrame, features: Sequence[str], target: str, *others: str) -> DataFrame:
-    """The columns of a fit as doubles, rows without a missing value only: one rule for every family."""
+    """The columns of a fit as doubles, rows without a missing value only: what families are compared on."""
     columns = [*features, target]
     return df.select(*[as_double(c).alias(c) for c in columns], *[name(c) for c in others]).dropna(subset=columns)
 
 
-def learning_curve(model: PipelineModel, df: DataFrame, target: str) -> DataFrame:
-    """`(round, rmse)` of a boosted model after each of its rounds, on the complete rows of `df`."""
-    boosted = model.stages[-1]
-    if not hasattr(boosted, "evaluateEachIteration"):
-        raise AttributeError(f"a model of type {type(boosted).__name__} is not fitted in rounds")
-    features = model.stages[0].getInputCols()
-    ready = model.stages[0].transform(complete_rows(df, features, target))
-    errors = boosted.evaluateEachIteration(ready, "squared")
-    return small_table(df.sparkSession, [(i + 1, e ** 0.5) for i, e in enumerate(errors)], "round int, rmse double")
+def learning_curve(model: TreeModel, df: DataFrame, target: str) -> DataFrame:
+    """`(round, rmse)` of a boosted model after each of its rounds."""
+    if not isinstance(model, TreeModel) or not model.boosted:
+        raise AttributeError(f"a model of type {type(model).__name__} is not fitted in rounds")
+    return errors_by_round(model, df, target)
 
 
 def importances(model, spark) -> DataFrame:
-    """`(position, feature, importance)` by falling importance: a tree model's own, or |coefficients|."""
+    """`(position, feature, importance)` by falling importance: shares of the gains of trees, or |coefficients|."""
     if isinstance(model, LinearModel):
         names, values = list(model.features), [abs(w) for w in model.coefficients]
-    elif isinstance(model, PipelineModel) and hasattr(model.stages[-1], "featureImportances"):
-        names, values = model.stages[0].getInputCols(), model.stages[-1].featureImportances.toArray().tolist()
+    elif isinstance(model, TreeModel):
+        names, values = model.features, model.importances().tolist()
     else:
         raise AttributeError(f"a model of type {type(model).__name__} has no importances or coefficients")
     rows = [(i, f, float(v)) for i, (f, v) in enumerate(zip(names, values))]

@@ -6,12 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
+from tabloom.operators.boosting import Spec, binned, fit_models
 from tabloom.operators.linear import collect_moments, fit_linear
 from tabloom.operators.metrics import metrics
 from tabloom.operators.trees import complete_rows, importances
-from tabloom.plans.search import FittedModel, fit_family
+from tabloom.plans.search import FittedModel
 from tabloom.session import small_table
 
 SWEEP_SCHEMA = "n_features int, rmse double"
@@ -32,8 +32,8 @@ def reduction_sweep(
 ) -> DataFrame:
     """`(n_features, rmse)`: the architecture refitted on the k most important features, scored on the test rows.
 
-    Linear models need one scan of each side for all counts; trees are refitted per count and score the
-    test rows together.
+    Linear models need one scan of each side for all counts; trees are refitted side by side for all
+    counts and score the test rows together.
     """
     spark = train.sparkSession
     order = list(order) if order is not None else ranked_features(fitted, spark)
@@ -55,13 +55,10 @@ def reduction_sweep(
             rows.append((int(k), (max(0.0, model.squared_error(held_out)) / held_out.n) ** 0.5))
         return small_table(spark, rows, SWEEP_SCHEMA)
     scored = test
-    kept = complete_rows(train, order, target).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        for k in counts:
-            model = fit_family(kept, order[:k], target, fitted.family, fitted.params, seed)
-            scored = model.transform(scored).withColumnRenamed("prediction", f"p{k}").drop("features")
-    finally:
-        kept.unpersist()
+    matrix = binned(complete_rows(train, order, target), order, target)
+    models = fit_models(matrix, [Spec(fitted.family, fitted.params, features=tuple(order[:k])) for k in counts], seed)
+    for k, model in zip(counts, models):
+        scored = model.transform(scored).withColumnRenamed("prediction", f"p{k}")
     errors = F.array(
         *[
             F.struct(

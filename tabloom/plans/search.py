@@ -8,24 +8,20 @@ import math
 import random
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
-from tabloom.operators.frames import name
+from tabloom.operators.boosting import Spec, TreeModel, binned, fit_models, from_nodes, growth_of, held_out_errors
 from tabloom.operators.linear import LinearModel, collect_moments, fit_linear, total
-from tabloom.operators.trees import assembler, complete_rows, fit_trees, tree_estimator
+from tabloom.operators.trees import complete_rows, fit_trees
 from tabloom.session import small_table
 
 log = logging.getLogger(__name__)
 
 FAMILIES = ("linear", "lightgbm", "xgboost", "random_forest")
 
-# The search space, without the parameters that the learners here do not have (leaf limit of boosting, minimum
-# split size). (low, high) ranges; "log" draws on a log scale, "int" whole numbers.
+# The search space. (low, high) ranges; "log" draws on a log scale, "int" whole numbers.
 BOOSTED_SPACE = {
     "n_estimators": ("int", 200, 1000),
     "learning_rate": ("log", 1e-3, 0.3),
@@ -34,12 +30,13 @@ BOOSTED_SPACE = {
     "colsample_bytree": ("float", 0.5, 1.0),
 }
 SPACES = {
-    "lightgbm": BOOSTED_SPACE,
+    "lightgbm": {**BOOSTED_SPACE, "num_leaves": ("int", 10, 200)},
     "xgboost": {**BOOSTED_SPACE, "gamma": ("float", 0.0, 5.0)},
     "random_forest": {
         "n_estimators": ("int", 100, 500),
         "max_depth": ("int", 5, 30),
         "max_features": ("choice", "sqrt", "log2"),
+        "min_samples_split": ("int", 2, 10),
         "min_samples_leaf": ("int", 1, 4),
     },
 }
@@ -101,41 +98,26 @@ def _linear_scores(df, features, target, fold, trials) -> list[tuple[int, int, f
     return rows
 
 
-def _tree_scores(df, features, target, fold, trials, seed, parallelism) -> list[tuple[int, int, float]]:
-    """Per fold: fit the trials side by side, then score the held-out rows with all of them in one pass.
+def _tree_scores(df, features, target, fold, trials, seed) -> list[tuple[int, int, float]]:
+    """All trials and folds are fitted side by side on one binned table, and scored in one pass.
 
-    A trial whose fit fails gets no error in any fold; the reason is logged.
+    A trial whose parameters a learner refuses gets no error in any fold; the reason is logged.
     """
-    ready = assembler(features).transform(complete_rows(df, features, target, fold)).select("features", target, fold)
-    ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
-    rows: list[tuple[int, int, float]] = []
-    failed: set[int] = set()
-    try:
-        folds = sorted(r[0] for r in ready.select(fold).distinct().collect())
-        for f in folds:
-            train = ready.where(name(fold) != f)
-
-            def fit(t: Trial):
-                try:
-                    return tree_estimator(t.family, dict(t.params), target, f"p{t.number}", seed).fit(train)
-                except Exception as error:  # whatever a learner refuses ends its trial only
-                    log.warning("trial %d failed: %s", t.number, error)
-                    failed.add(t.number)
-
-            left = [t for t in trials if t.number not in failed]
-            if not left:
-                break
-            with ThreadPool(min(parallelism, len(left))) as pool:
-                models = pool.map(fit, left)
-            done = [(t, m) for t, m in zip(left, models) if m is not None]
-            held_out = ready.where(name(fold) == f)
-            for _, m in done:
-                held_out = m.transform(held_out)
-            errors = [F.avg(F.pow(name(target) - name(f"p{t.number}"), 2)) for t, _ in done]
-            rows += [(t.number, f, e) for (t, _), e in zip(done, held_out.agg(*errors).first())] if done else []
-    finally:
-        ready.unpersist()
-    return [r for r in rows if r[0] not in failed]
+    good = []
+    for t in trials:
+        try:
+            growth_of(t.family, t.params)
+            good.append(t)
+        except (KeyError, TypeError, ValueError) as error:
+            log.warning("trial %d failed: %s", t.number, error)
+    if not good:
+        return []
+    matrix = binned(complete_rows(df, features, target, fold), features, target, fold)
+    folds = sorted(r[0] for r in matrix.rows.select("fold").distinct().collect())
+    pairs = [(t, f) for t in good for f in folds]
+    specs = [Spec(t.family, t.params, f) for t, f in pairs]
+    errors = held_out_errors(matrix, fit_models(matrix, specs, seed), specs)
+    return [(t.number, f, s / n) for (t, f), (s, n) in zip(pairs, errors)]
 
 
 def fold_scores(
@@ -145,16 +127,15 @@ def fold_scores(
     trials: Sequence[Trial],
     fold: str = "fold",
     seed: int = 42,
-    parallelism: int = 4,
 ) -> DataFrame:
-    """`(trial, fold, mse)`. All linear trials share one scan; tree trials are fitted per fold."""
+    """`(trial, fold, mse)`. All linear trials share one scan, and all tree trials every pass of their fits."""
     linear = [t for t in trials if t.family == "linear"]
     trees = [t for t in trials if t.family != "linear"]
     rows: list[tuple[int, int, float]] = []
     if linear:
         rows += _linear_scores(df, features, target, fold, linear)
     if trees:
-        rows += _tree_scores(df, features, target, fold, trees, seed, parallelism)
+        rows += _tree_scores(df, features, target, fold, trees, seed)
     return small_table(df.sparkSession, rows, "trial int, fold int, mse double")
 
 
@@ -193,7 +174,7 @@ class FittedModel:
     family: str
     params: dict
     features: tuple[str, ...]
-    model: LinearModel | PipelineModel
+    model: LinearModel | TreeModel
     cv_rmse: float | None
     n_trials: int
     train_rows: int
@@ -228,7 +209,9 @@ class FittedModel:
             text = json.dumps({"coefficients": self.model.coefficients, "intercept": self.model.intercept})
             small_table(spark, [(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/linear")
         else:
-            self.model.write().overwrite().save(f"{path}/trees")
+            head = [(self.model.base, self.model.boosted)]
+            small_table(spark, head, "base double, boosted boolean").coalesce(1).write.mode("overwrite").parquet(f"{path}/trees")
+            self.model.nodes(spark).write.mode("overwrite").parquet(f"{path}/nodes")
 
 
 def load_model(spark: SparkSession, path: str) -> FittedModel:
@@ -239,7 +222,8 @@ def load_model(spark: SparkSession, path: str) -> FittedModel:
         d = json.loads(spark.read.text(f"{path}/linear").first()[0])
         model = LinearModel(features, tuple(d["coefficients"]), d["intercept"])
     else:
-        model = PipelineModel.load(f"{path}/trees")
+        head = spark.read.parquet(f"{path}/trees").first()
+        model = from_nodes(features, head["base"], spark.read.parquet(f"{path}/nodes").collect(), head["boosted"])
     params = {k: v for k, v in (r.get("best_params") or {}).items() if v is not None}
     return FittedModel(
         r["model_type"], params, features, model, r.get("cv_rmse"), r["n_trials"], r["train_rows"], r["searched_features"]
@@ -261,11 +245,8 @@ def fit_winner(
         moments = collect_moments(train, features, target)[0]
         model, rows = _linear(moments, params), int(moments.n)
     else:
-        kept = complete_rows(train, features, target).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            model, rows = fit_trees(kept, features, target, trial.family, params, seed), kept.count()
-        finally:
-            kept.unpersist()
+        matrix = binned(complete_rows(train, features, target), features, target)
+        model, rows = fit_models(matrix, [Spec(trial.family, params)], seed)[0], matrix.rows.count()
     return FittedModel(trial.family, params, tuple(features), model, cv_rmse, n_trials, rows, len(features))
 
 

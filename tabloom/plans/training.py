@@ -66,7 +66,7 @@ def ingest(spark: SparkSession, cfg: Mapping) -> tuple[DataFrame, DataFrame, Dat
 
 
 def run_training(
-    spark: SparkSession, cfg: Mapping, n_trials: int | None = None, fit_on: str = "train", parallelism: int = 4
+    spark: SparkSession, cfg: Mapping, n_trials: int | None = None, fit_on: str = "train"
 ) -> dict:
     """Run all steps and keep their results below `artifacts.model_dir`.
 
@@ -97,7 +97,7 @@ def run_training(
     modeling = cfg["modeling"]
     n = n_trials or modeling["n_trials"]
     trials = draw_trials(n, modeling["search_space"], seed)
-    scores = fold_scores(train, features, target, trials, "fold", seed, parallelism)
+    scores = fold_scores(train, features, target, trials, "fold", seed)
     write_small(score_trials(trial_table(spark, trials), scores), f"{out}/trials")
     scored = spark.read.schema("trial int, family string, params map<string,string>, cv_rmse double").json(
         f"{out}/trials"
