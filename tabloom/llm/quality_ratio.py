@@ -2,15 +2,15 @@
 
 Words and word pairs are hashed to BUCKETS multinomial cells, once over trusted texts and once over all; a text's ratio is the mean
 log ratio of its cells. A text is kept if it passes the base rules and its ratio reaches a fixed low quantile of the trusted
-texts' own ratios: the same text always gets the same verdict. Only built-in functions run on the main path. Edge cases: null,
-empty and wordless texts have zero counts, ratio 0 and fail the base rule on length; without trusted texts the base rules decide
-alone; rows of one id are judged one by one.
+texts' own ratios: the same text always gets the same verdict. A fifth of the trusted texts, by hash of the id, gives the threshold
+and the others the target cells, all of both; where one side is empty, all trusted texts are on both. Only built-in functions run on
+the main path. Edge cases: null, empty and wordless texts have zero counts, ratio 0 and fail the base rule on length; without a
+trusted text long enough for the base rules these decide alone; rows of one id are judged one by one.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,10 +20,10 @@ from tabloom.operators.frames import name
 
 WHITE = r"[\x20\x09-\x0D]+"
 WHITE_CHARS = " \t\n\x0b\x0c\r"
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]"
 BUCKETS = 1 << 13
-#: Expected trusted texts that the target cells and the threshold come from; more are sampled by a hash of the id.
-TRUSTED_ROWS = 10_000
+#: Rank error of the threshold is one in this many trusted texts.
+ACCURACY = 100_000
 #: Share of trusted texts whose ratio lies below the threshold.
 LOW = 0.002
 LEAST_WORDS, MOST_REPEATED = 50, 50
@@ -31,22 +31,24 @@ RESULTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"
 
 
 def words(text: Column) -> Column:
-    return F.filter(F.split(text, WHITE), lambda w: w != "")
+    inner = F.btrim(text, F.lit(WHITE_CHARS))
+    return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, WHITE))
 
 
-def _without(text: Column, chars: str) -> Column:
-    return F.translate(text, chars, "")
+def staged(df: DataFrame, **columns: Column) -> DataFrame:
+    """`df` with columns worked out once a row: generated rows are a border that the optimiser moves no expression over."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
 
 
-def bind(value: Column, use: Callable[[Column], Column]) -> Column:
-    """`use(value)` with the value worked out once a row, wherever the optimiser moves the expression."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+def hashed(df: DataFrame, text: str) -> DataFrame:
+    """`df` with own_words and own_hashes, each word's 64-bit hash."""
+    own = staged(df, own_words=words(F.coalesce(name(text), F.lit(""))))
+    return staged(own, own_hashes=F.transform("own_words", lambda x: F.xxhash64(x)))
 
 
-def _repeated(w: Column) -> Column:
+def _repeated(w: Column, triples: Column) -> Column:
     """Words in 3-word windows that occur twice; windows are compared by text where hashes repeat."""
     starts = F.slice(w, F.lit(1), F.greatest(F.size(w) - 2, F.lit(0)))
-    hashes = F.transform(starts, lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)))
     texts = F.transform(starts, lambda x, i: F.struct(F.concat_ws(" ", x, F.get(w, i + 1), F.get(w, i + 2)).alias("t"), i.alias("i")))
 
     def covered(ranked: Column) -> Column:
@@ -56,71 +58,82 @@ def _repeated(w: Column) -> Column:
         equal = F.transform(ranked, lambda x, k: F.when((x["t"] == beside(k + 1)) | ((k > 0) & (x["t"] == beside(k - 1))), x["i"]))
         return F.size(F.array_distinct(F.flatten(F.transform(F.array_compact(equal), lambda i: F.array(i, i + 1, i + 2)))))
 
-    return bind(hashes, lambda h: F.when(F.size(F.array_distinct(h)) < F.size(h), bind(F.array_sort(texts), covered)).otherwise(F.lit(0)))
+    again = F.size(F.array_distinct(triples)) < F.size(triples)
+    return F.when(again, F.get(F.transform(F.array(F.array_sort(texts)), covered), F.lit(0))).otherwise(F.lit(0))
 
 
 def base_columns(docs: DataFrame, text: str, weights: list[float]) -> DataFrame:
     """All columns of `docs`, the counts, base_failed and ratio."""
     source = F.coalesce(name(text), F.lit(""))
-    lines = F.filter(F.split(source, "\n"), lambda x: F.length(_without(x, WHITE_CHARS)) > 0)
-    of_words = bind(words(source), lambda w: F.struct(F.size(w).alias("n"), _repeated(w).alias("again"), ratio(w, weights).alias("ratio")))
-    own = docs.withColumn("own_counts", of_words).select(
-        *[name(c) for c in docs.columns], F.col("own_counts.n").cast("long").alias("n_words"),
-        F.length(_without(source, WHITE_CHARS)).cast("long").alias("word_chars"),
-        (F.length(source) - F.length(_without(source, SYMBOLS))).cast("long").alias("n_symbols"),
-        bind(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-        F.col("own_counts.again").cast("long").alias("n_repeat_words"), F.col("own_counts.ratio").alias("ratio"),
+    hashes = F.col("own_hashes")
+    triples = F.transform(
+        F.slice(hashes, F.lit(1), F.greatest(F.size(hashes) - 2, F.lit(0))), lambda h, i: F.xxhash64(h, F.get(hashes, i + 1), F.get(hashes, i + 2))
     )
+    lines = F.filter(F.split(source, "\n"), lambda x: F.btrim(x, F.lit(WHITE_CHARS)) != "")
+    own = staged(hashed(docs, text), own_triples=triples, own_lines=lines)
+    own = staged(
+        own, n_words=F.size("own_words").cast("long"), word_chars=F.length(F.array_join("own_words", "")).cast("long"),
+        n_symbols=F.regexp_count(source, F.lit(SYMBOLS)).cast("long"),
+        n_dup_lines=(F.size("own_lines") - F.size(F.array_distinct("own_lines"))).cast("long"),
+        n_repeat_words=_repeated(F.col("own_words"), F.col("own_triples")).cast("long"), ratio=ratio(hashes, weights),
+    ).drop("own_words", "own_hashes", "own_triples", "own_lines")
     return own.withColumn("base_failed", (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")))
 
 
-def cells(own_words: Column) -> Column:
-    """Cells of a text's words, and of its pairs of neighbours (the last word stands alone)."""
-    one = F.transform(own_words, lambda x: F.pmod(F.xxhash64(x), F.lit(BUCKETS)).cast("int"))
-    two = F.transform(own_words, lambda x, i: F.pmod(F.xxhash64(x, F.get(own_words, i + 1)), F.lit(BUCKETS)).cast("int"))
-    return F.concat(one, two)
+def _cell(h: Column) -> Column:
+    return h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
 
 
-def _counts(texts: DataFrame, text: str) -> DataFrame:
-    """n-grams per cell; combined before the shuffle to at most BUCKETS rows a task."""
-    own = texts.select(words(F.coalesce(name(text), F.lit(""))).alias("own_words"))
-    return own.select(F.explode(cells(F.col("own_words"))).alias("cell")).groupBy("cell").agg(F.count("*").alias("n"))
+def pair_hash(hashes: Column, h: Column, i: Column) -> Column:
+    """Hash of a word and the next one; the last word stands alone."""
+    return F.xxhash64(h, F.get(hashes, i + 1))
 
 
-def trusted_texts(docs: DataFrame, labels: DataFrame, id_column: str, text: str, label: str = "quality", rows: int = TRUSTED_ROWS) -> DataFrame:
-    """About `rows` texts labelled 1, by hash of the id; the ids drawn are few and broadcast."""
-    good = labels.where(name(label) == 1).select(name(id_column).alias("trusted_id")).distinct()
-    total = good.count()
-    draw = F.pmod(F.xxhash64(F.col("trusted_id").cast("string"), F.lit(4)), F.lit(1 << 20))
-    drawn = good.where(draw < int(min(1.0, rows / max(1, total)) * (1 << 20)))
-    own = docs.select(name(id_column).alias("trusted_id"), name(text).alias("trusted_text")).join(F.broadcast(drawn), "trusted_id", "left_semi")
-    return own.withColumn("held", F.pmod(F.xxhash64(F.col("trusted_id").cast("string"), F.lit(5)), F.lit(5)) == 0)
+def trusted_ids(labels: DataFrame, id_column: str, label: str) -> DataFrame:
+    """Ids labelled 1, and whether their texts are held back for the threshold."""
+    good = labels.where(name(label) == 1).select(name(id_column).cast("long").alias("trusted_id")).where("trusted_id IS NOT NULL").distinct()
+    return good.withColumn("held", F.pmod(F.xxhash64(F.col("trusted_id").cast("string"), F.lit(5)), F.lit(5)) == 0)
 
 
-def ratio(own_words: Column, weights: list[float]) -> Column:
+def ratio(hashes: Column, weights: list[float]) -> Column:
     """Mean log ratio over a text's n-grams; rounded so that the sum's last bits decide nothing."""
     # one string that folds to an array, not a literal per cell
     table = F.expr("CAST(split('" + ",".join(map(repr, weights)) + "', ',') AS array<double>)")
-    total = F.aggregate(cells(own_words), F.lit(0.0), lambda t, c: t + F.get(table, c))
-    return F.when(F.size(own_words) > 0, F.round(total / (2 * F.size(own_words)), 9)).otherwise(0.0)
-
-
-def learn(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text") -> tuple[list[float], float | None]:
-    """Log ratios per cell (add-one smoothing) and the threshold; the raw side counts every document.
-
-    The threshold comes from a fifth of the trusted texts that the target cells have not seen.
-    """
-    trusted = trusted_texts(docs, labels, id_column, text)
-    raw = {r["cell"]: r["n"] for r in _counts(docs, text).collect()}  # BUCKETS rows at most
-    target = {r["cell"]: r["n"] for r in _counts(trusted.where("NOT held"), "trusted_text").collect()}
-    if not target:
+    both = F.transform(hashes, lambda h, i: F.get(table, _cell(h)) + F.get(table, _cell(pair_hash(hashes, h, i))))
+    total = F.aggregate(both, F.lit(0.0), lambda t, x: t + x)
+    return F.when(F.size(hashes) > 0, F.round(total / (2 * F.size(hashes)), 9)).otherwise(0.0)
+
+
+def learn(
+    docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text", label: str = "quality"
+) -> tuple[list[float], float | None]:
+    """Log ratios per cell (add-one smoothing) and the threshold; one scan counts every document and the target texts."""
+    good = trusted_ids(labels, id_column, label)
+    own = docs.select(name(id_column).cast("long").alias("trusted_id"), name(text).alias("trusted_text")).join(good, "trusted_id", "left")
+    hashes = F.col("own_hashes")
+    singles, pairs = F.transform(hashes, _cell_of_word), F.transform(hashes, lambda h, i: _cell(pair_hash(hashes, h, i)))
+    exploded = hashed(own, "trusted_text").select("held", F.explode(F.concat(singles, pairs)).alias("cell"))
+    counts = exploded.groupBy("cell").agg(
+        F.count("*").alias("raw"), F.count_if("held").alias("held"), F.count_if(~F.col("held")).alias("target")
+    ).collect()  # BUCKETS rows at most
+    sums = {k: sum(r[k] for r in counts) for k in ("raw", "held", "target")}
+    if not sums["held"] + sums["target"]:
         return [0.0] * BUCKETS, None
-    all_raw, all_target = sum(raw.values()) + BUCKETS, sum(target.values()) + BUCKETS
-    weights = [
-        math.log((target.get(c, 0) + 1) / all_target) - math.log((raw.get(c, 0) + 1) / all_raw) for c in range(BUCKETS)
-    ]
-    own = trusted.where("held").select(words(F.coalesce("trusted_text", F.lit(""))).alias("own_words")).where(F.size("own_words") >= LEAST_WORDS)
-    return weights, own.select(ratio(F.col("own_words"), weights).alias("r")).agg(F.percentile("r", F.lit(LOW)).alias("q")).first()["q"]
+    split = bool(sums["held"] and sums["target"])
+    raw = {r["cell"]: r["raw"] for r in counts}
+    target = {r["cell"]: r["target"] + (0 if split else r["held"]) for r in counts}
+    all_raw, all_target = sums["raw"] + BUCKETS, sum(target.values()) + BUCKETS
+    weights = [math.log((target.get(c, 0) + 1) / all_target) - math.log((raw.get(c, 0) + 1) / all_raw) for c in range(BUCKETS)]
+    judges = hashed(own.where(F.col("held") if split else F.col("held").isNotNull()), "trusted_text").where(F.size("own_words") >= LEAST_WORDS)
+    low = staged(judges, r=ratio(hashes, weights)).agg(F.percentile_approx("r", LOW, ACCURACY).alias("q")).first()["q"]
+    if low is None and split:  # no text held back is long enough
+        judges = hashed(own.where("held IS NOT NULL"), "trusted_text").where(F.size("own_words") >= LEAST_WORDS)
+        low = staged(judges, r=ratio(hashes, weights)).agg(F.percentile_approx("r", LOW, ACCURACY).alias("q")).first()["q"]
+    return weights, low
+
+
+def _cell_of_word(h: Column) -> Column:
+    return _cell(h)
 
 
 def judge(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
