@@ -3,7 +3,8 @@
 A shard is `shard-NNNNNN.bin` (ids) and `shard-NNNNNN.idx` (int64 pairs: document id, local offset; one closing pair with the
 shard's length). `shards.parquet` lists shards with `base`, the ids of all shards before, by prefix sums; base + local offset is
 a document's place in the corpus. Edge cases: a null text is empty and holds the end id only; a null document id is the smallest
-long and comes first; rows of one id follow each other by text; an empty table makes no shard.
+long and comes first; rows of one id follow each other by the hash of their text, empty ones first; an empty table makes no shard; columns other than id
+and text are not read. Shards are ranges of (id, hash, place), so rows of one id, copies too, may fill several.
 """
 
 from __future__ import annotations
@@ -20,20 +21,39 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabloom.llm import common
 from tabloom.operators.frames import name
 
 NO_ID = -(2**63)
-#: Words whose ids a worker remembers; later new words are encoded again each time.
-REMEMBERED = 600_000
+#: Words whose ids a worker remembers, and the characters of the longest such word; others are encoded each time.
+REMEMBERED, LONGEST = 600_000, 48
 _LONG_GAP = re.compile(r"\s{3}")
-_ONE_WORD = re.compile(r" ?\S+").fullmatch
 _MARKS = frozenset(",.;:!?")
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself where it is printable, else the next free one."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in set(printable)]
+    return {**{b: chr(b) for b in printable}, **{b: chr(256 + k) for k, b in enumerate(others)}}
+
+
+_LETTERS = _byte_letters()
+#: Below this character (Latin, Greek, Cyrillic) it has long been settled what a letter is.
+_SETTLED = "\u0530"
+_BLANK = _LETTERS[0x20]
+
+
+def _as_letters(word: str) -> str:
+    """A word, with a blank before it or not, in byte letters."""
+    if word.isascii():
+        return word.replace(" ", _BLANK)
+    return word.encode().decode("latin-1").translate(_LETTERS)
+
+
 class Encoder:
     """Ids of texts by a tokenizer file, as flat bytes.
 
@@ -48,12 +68,10 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else np.dtype("<u4")
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.by_word = self.tokenizer.normalizer is None and re.match(
+        self.by_word = self.tokenizer.normalizer is None and not getattr(self.tokenizer.model, "dropout", None) and re.match(
             r"ByteLevel\(add_prefix_space=False.*use_regex=True", str(self.tokenizer.pre_tokenizer)
         ) is not None
         self.known: dict[str, bytes] = {}
-        line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self.line_end = line_end if self.by_word and len(line_end) == 1 else []
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         code = "H" if self.dtype.itemsize == 2 else "I"
@@ -71,21 +89,21 @@ class Encoder:
         )
 
     def _encode_words(self, words: list[str]) -> list[bytes]:
-        """Words without inner gaps are encoded as the lines of one text: a line end is a token of its own between words."""
-        if not self.line_end:
-            return self._encode(words)
-        at = [i for i, w in enumerate(words) if _ONE_WORD(w)]
-        out = [b""] * len(words)
-        for first in range(0, len(at), 4096):
-            some = at[first : first + 4096]
-            ids = np.array(self.tokenizer.encode_batch_fast(["\n".join([words[i] for i in some])], add_special_tokens=False)[0].ids, self.dtype)
-            ends = np.flatnonzero(ids == self.line_end[0]) * self.dtype.itemsize
-            flat, low = ids.tobytes(), 0
-            for i, high in zip(some, [*ends.tolist(), len(flat)]):
-                out[i], low = flat[low:high], high + self.dtype.itemsize
-        rest = [i for i, w in enumerate(words) if not _ONE_WORD(w)]
-        for i, ids in zip(rest, self._encode([words[i] for i in rest])):
-            out[i] = ids
+        """A word of letters is one piece for the tokenizer's model; the others go through the whole tokenizer."""
+        out: list = [None] * len(words)
+        model, code = self.tokenizer.model, "H" if self.dtype.itemsize == 2 else "I"
+        for i, w in enumerate(words):
+            body = w[1:] if w[:1] == " " else w
+            if body.isalpha() and (body.isascii() or max(body) < _SETTLED):
+                ids = array(code, [t.id for t in model.tokenize(_as_letters(w))])
+                if sys.byteorder == "big":
+                    ids.byteswap()
+                out[i] = ids.tobytes()
+        rest = [i for i, ids in enumerate(out) if ids is None]
+        for first in range(0, len(rest), 4096):
+            some = rest[first : first + 4096]
+            for i, ids in zip(some, self._encode([words[i] for i in some])):
+                out[i] = ids
         return out
 
     def _learn(self, words: set[str]) -> dict[str, bytes]:
@@ -97,7 +115,7 @@ class Encoder:
         for w, stem in ended.items():
             fresh[w] = (fresh[stem] if stem in fresh else known[stem]) + (fresh[w[-1]] if w[-1] in fresh else known[w[-1]])
         if len(known) < REMEMBERED:
-            known.update(fresh)
+            known.update((w, ids) for w, ids in fresh.items() if len(w) <= LONGEST)
         return fresh
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -175,19 +193,19 @@ def write_tokens(
 ) -> DataFrame:
     """Write the token files of `docs` in ascending id order below `folder`; returns the table of shards with bases.
 
-    Range bounds come from quantiles of the ids alone, so texts are shuffled once and encoded once.
+    Texts are shuffled once and encoded once; the sample behind the ranges holds no text.
     """
     spark = docs.sparkSession
     parts = common.shuffle_partitions(spark)
-    own = docs.select(F.coalesce(name(id_column).cast("long"), F.lit(NO_ID)).alias("id"), F.coalesce(name(text), F.lit("")).alias("text"))
-    shares = [i / parts for i in range(1, parts)]
-    bounds = own.select("id").agg(F.percentile_approx("id", shares, 10 * parts).alias("b")).first()["b"] if shares else []
-    bounds = sorted(set(bounds or []))
-    range_number = _bucket(F.col("id"), bounds)
+    own_text = F.coalesce(name(text), F.lit(""))
+    own = docs.select(
+        F.coalesce(name(id_column).cast("long"), F.lit(NO_ID)).alias("id"), own_text.alias("text"),
+        F.when(own_text == "", NO_ID).otherwise(F.xxhash64(own_text)).alias("hash"), F.monotonically_increasing_id().alias("place"),
+    )
     system, root = _filesystem(folder)
     system.create_dir(root, recursive=True)
     shards = common.written(
-        own.repartitionById(len(bounds) + 1, range_number).sortWithinPartitions("id", "text")
+        own.repartitionByRange(parts, "id", "hash", "place").sortWithinPartitions("id", "hash", "place").select("id", "text")
         .mapInArrow(_writer(folder, tokenizer, end_id), "shard long, width int, n_docs long, n_ids long"), "shards",
     )
     ahead = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
@@ -196,16 +214,6 @@ def write_tokens(
     return spark.read.schema(table.schema).parquet(f"{folder}/shards.parquet")
 
 
-def _bucket(value: Column, bounds: list[int], low: int = 0) -> Column:
-    """How many of the sorted bounds lie at or below the value, by halving."""
-    if not bounds:
-        return F.lit(low)
-    middle = len(bounds) // 2
-    return F.when(value < F.lit(bounds[middle]), _bucket(value, bounds[:middle], low)).otherwise(
-        _bucket(value, bounds[middle + 1 :], low + middle + 1)
-    )
-
-
 def open_shard(folder: str, shard: int, width: int) -> tuple[np.ndarray, np.ndarray]:
     """The ids and the (id, local offset) rows of one shard: memory-mapped from a mounted folder, else read."""
     system, root = _filesystem(folder)
