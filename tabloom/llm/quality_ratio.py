@@ -24,6 +24,10 @@ SYMBOLS = "[#*$%&|<>]"
 BUCKETS = 1 << 13
 #: Rank error of the threshold is one in this many trusted texts.
 ACCURACY = 100_000
+#: Ids that are broadcast at most, 16 MB of them; more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
+#: A long holds 40 bits of a window's hash and its place below this.
+PLACES = 1 << 24
 #: Share of trusted texts whose ratio lies below the threshold.
 LOW = 0.002
 LEAST_WORDS, MOST_REPEATED = 50, 50
@@ -46,20 +50,43 @@ def hashed(df: DataFrame, text: str) -> DataFrame:
     return staged(own, own_hashes=F.transform("own_words", lambda x: F.xxhash64(x)))
 
 
-def _repeated(w: Column, triples: Column) -> Column:
-    """Words in 3-word windows that occur twice; windows are compared by text where hashes repeat."""
+def _twins(triples: Column) -> Column:
+    """Pairs (i, j) of neighbours in the order of hashes whose windows have 40 hash bits in common; each long holds hash and place."""
+    keys = F.sort_array(F.transform(triples, lambda h, i: h.bitwiseAND(F.lit(-PLACES)).bitwiseOR(i.cast("long"))))
+
+    def pairs(k: Column) -> Column:
+        n = F.greatest(F.size(k) - 1, F.lit(0))
+        place = lambda x: x.bitwiseAND(F.lit(PLACES - 1)).cast("int")
+        both = F.zip_with(
+            F.slice(k, F.lit(1), n), F.slice(k, F.lit(2), n),
+            lambda x, y: F.when(x.bitwiseXOR(y).bitwiseAND(F.lit(-PLACES)) == 0, F.struct(place(x).alias("i"), place(y).alias("j"))),
+        )
+        return F.filter(both, lambda x: x.isNotNull())
+
+    return F.get(F.transform(F.array(keys), pairs), F.lit(0))
+
+
+def _covered(places: Column) -> Column:
+    """Words in the 3-word windows that start at these places."""
+    return F.size(F.array_distinct(F.concat(places, F.transform(places, lambda i: i + 1), F.transform(places, lambda i: i + 2))))
+
+
+def _repeated(w: Column, twins: Column) -> Column:
+    """Words in 3-word windows that occur twice. Where hashes agree but words do not, all windows are compared as texts."""
+    unlike = F.exists(twins, lambda x: F.exists(F.array(F.lit(0), F.lit(1), F.lit(2)), lambda k: F.get(w, x["i"] + k) != F.get(w, x["j"] + k)))
+    places = F.concat(F.transform(twins, lambda x: x["i"]), F.transform(twins, lambda x: x["j"]))
     starts = F.slice(w, F.lit(1), F.greatest(F.size(w) - 2, F.lit(0)))
-    texts = F.transform(starts, lambda x, i: F.struct(F.concat_ws(" ", x, F.get(w, i + 1), F.get(w, i + 2)).alias("t"), i.alias("i")))
+    texts = F.sort_array(F.transform(starts, lambda x, i: F.struct(F.concat_ws(" ", x, F.get(w, i + 1), F.get(w, i + 2)).alias("t"), i.alias("i"))))
 
-    def covered(ranked: Column) -> Column:
+    def compared(ranked: Column) -> Column:
         def beside(k: Column) -> Column:
             return F.coalesce(F.get(ranked, k)["t"], F.lit(" "))  # no window is one blank
 
         equal = F.transform(ranked, lambda x, k: F.when((x["t"] == beside(k + 1)) | ((k > 0) & (x["t"] == beside(k - 1))), x["i"]))
-        return F.size(F.array_distinct(F.flatten(F.transform(F.array_compact(equal), lambda i: F.array(i, i + 1, i + 2)))))
+        return _covered(F.array_compact(equal))
 
-    again = F.size(F.array_distinct(triples)) < F.size(triples)
-    return F.when(again, F.get(F.transform(F.array(F.array_sort(texts)), covered), F.lit(0))).otherwise(F.lit(0))
+    by_text = F.get(F.transform(F.array(texts), compared), F.lit(0))
+    return F.when(F.size(w) >= PLACES, by_text).when(F.size(twins) == 0, 0).when(unlike, by_text).otherwise(_covered(places))
 
 
 def base_columns(docs: DataFrame, text: str, weights: list[float]) -> DataFrame:
@@ -70,13 +97,13 @@ def base_columns(docs: DataFrame, text: str, weights: list[float]) -> DataFrame:
         F.slice(hashes, F.lit(1), F.greatest(F.size(hashes) - 2, F.lit(0))), lambda h, i: F.xxhash64(h, F.get(hashes, i + 1), F.get(hashes, i + 2))
     )
     lines = F.filter(F.split(source, "\n"), lambda x: F.btrim(x, F.lit(WHITE_CHARS)) != "")
-    own = staged(hashed(docs, text), own_triples=triples, own_lines=lines)
+    own = staged(hashed(docs, text), own_twins=_twins(triples), own_lines=lines)
     own = staged(
         own, n_words=F.size("own_words").cast("long"), word_chars=F.length(F.array_join("own_words", "")).cast("long"),
         n_symbols=F.regexp_count(source, F.lit(SYMBOLS)).cast("long"),
         n_dup_lines=(F.size("own_lines") - F.size(F.array_distinct("own_lines"))).cast("long"),
-        n_repeat_words=_repeated(F.col("own_words"), F.col("own_triples")).cast("long"), ratio=ratio(hashes, weights),
-    ).drop("own_words", "own_hashes", "own_triples", "own_lines")
+        n_repeat_words=_repeated(F.col("own_words"), F.col("own_twins")).cast("long"), ratio=ratio(hashes, weights),
+    ).drop("own_words", "own_hashes", "own_twins", "own_lines")
     return own.withColumn("base_failed", (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")))
 
 
@@ -109,7 +136,8 @@ def learn(
 ) -> tuple[list[float], float | None]:
     """Log ratios per cell (add-one smoothing) and the threshold; one scan counts every document and the target texts."""
     good = trusted_ids(labels, id_column, label)
-    own = docs.select(name(id_column).cast("long").alias("trusted_id"), name(text).alias("trusted_text")).join(good, "trusted_id", "left")
+    side = F.broadcast(good) if good.count() <= BROADCAST_IDS else good
+    own = docs.select(name(id_column).cast("long").alias("trusted_id"), name(text).alias("trusted_text")).join(side, "trusted_id", "left")
     hashes = F.col("own_hashes")
     singles, pairs = F.transform(hashes, _cell_of_word), F.transform(hashes, lambda h, i: _cell(pair_hash(hashes, h, i)))
     exploded = hashed(own, "trusted_text").select("held", F.explode(F.concat(singles, pairs)).alias("cell"))

@@ -98,4 +98,36 @@ def test_long_words_are_not_remembered():
     texts = ["ab " + "x" * 5000 + " é" + "y" * 100 + " b,"]
     want = encoder.tokenizer.encode(texts[0], add_special_tokens=False).ids
     assert np.frombuffer(encoder.encode(texts)[0], encoder.dtype).tolist() == want
-    assert max(map(len, encoder.known)) <= token_files.LONGEST
+    assert max(map(len, encoder.young)) <= token_files.LONGEST
+
+
+def test_memory_of_words_and_parts_of_long_texts(monkeypatch):
+    """Forgetting words, and cutting long texts, changes no id."""
+    rng = random.Random(5)
+    texts = [" ".join("".join(rng.choice("abé,.\u4f605") for _ in range(rng.randint(1, 6))) for _ in range(rng.randint(0, 300))) for _ in range(40)]
+    whole = token_files.Encoder(byte_bpe())
+    want = [np.array(e.ids, whole.dtype).tobytes() for e in whole.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert whole.encode(texts) == want
+    monkeypatch.setattr(token_files, "REMEMBERED", 20)
+    monkeypatch.setattr(token_files, "PART", 64)
+    small = token_files.Encoder(byte_bpe())
+    assert small.encode(texts) == want and small.encode(texts[::-1]) == want[::-1] and len(small.young) < 20 + 64
+
+
+@pytest.mark.parametrize("places", [1 << 24, 1 << 60, 8])
+def test_repeated_windows_whatever_the_hash_bits(spark, monkeypatch, places):
+    """Few hash bits make windows collide, few places make texts too long; both are settled by the words."""
+    monkeypatch.setattr(quality_ratio, "PLACES", places)
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice("abcd") for _ in range(rng.randint(0, 60))) for _ in range(60)] + ["a a a a", "a b c d a b c", "x y z x y"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    own = quality_ratio.base_columns(docs, "text", [0.0] * quality_ratio.BUCKETS)
+    assert [r["n_repeat_words"] for r in own.orderBy("doc_id").collect()] == [op4_base(t)[4] for t in texts]
+
+
+def test_many_trusted_ids_are_joined_by_a_shuffle(spark, monkeypatch):
+    docs = spark.createDataFrame([(k, "some words " * (20 + k % 30)) for k in range(60)], "doc_id long, text string")
+    labels = docs.select("doc_id", (docs["doc_id"] % 2).cast("int").alias("quality"))
+    want = quality_ratio.learn(docs, labels)
+    monkeypatch.setattr(quality_ratio, "BROADCAST_IDS", 3)
+    assert quality_ratio.learn(docs, labels) == want
