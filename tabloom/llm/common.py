@@ -17,7 +17,7 @@ from tabloom.session import shared_dir
 WHITE = bytes([0x20, *range(0x09, 0x0E)])
 #: Bytes of text worked on at a time; bounds the arrays of a task.
 SLICE = 1 << 20
-#: Characters by which texts of one id are dealt to ranges; the sample behind the ranges holds no more of a text.
+#: Characters by which texts of one id are ordered before their digests decide; the sample behind the ranges holds no more of a text.
 PREFIX = 256
 
 _GAP = re.compile(rb"[\x20\x09-\x0D]")
@@ -74,7 +74,7 @@ def numbered(docs: DataFrame, id_column: str, text: str, parts: int) -> tuple[Da
     did is the id, null as the smallest long. Where ids repeat, copy tells the texts of one did apart and rises with them; `again`
     marks all rows but one of those with equal did and text. `row` is a struct of all columns, whatever their names, with the text
     left out: it is null there only if the text is. Texts are named by digest, so that rows of one id need not meet in one task;
-    only texts of repeated ids are ordered, one of each, and those of one id that agree in PREFIX characters by one task.
+    only texts of repeated ids are ordered, one of each, by their first PREFIX characters and then by digest, in ranges of both.
     """
     spark = docs.sparkSession
     rest = F.struct(*[
@@ -95,7 +95,8 @@ def numbered(docs: DataFrame, id_column: str, text: str, parts: int) -> tuple[Da
     texts = (
         own.join(repeated, "did", "left_semi").groupBy("did", known.alias("known"), "digest")
         .agg(F.min("place").alias("lead"), F.first("text").alias("text"))
-        .repartitionByRange(parts, "did", "known", F.substring("text", 1, PREFIX)).sortWithinPartitions("did", "known", "text")
+        .select("did", "known", F.substring("text", 1, PREFIX).alias("start"), "digest", "lead")
+        .repartitionByRange(parts, "did", "known", "start", "digest").sortWithinPartitions("did", "known", "start", "digest")
     )
     copies = written(texts.select("did", "digest", "lead", F.monotonically_increasing_id().alias("copy")), "copies")
     named = own.join(copies, ["did", "digest"], "left").select(

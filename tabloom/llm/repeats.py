@@ -8,7 +8,7 @@ where an exact matcher (a family of suffix arrays, or an FM-index) compares them
     2  fragments of these documents, dealt by anchor, equal ones of a batch once      -> matcher per shard
     3  repeated windows as item ranges per document                                    -> texts without them
 
-An anchor that a large share of all documents has is split: each of its windows travels by its own hash. Documents are named
+A hot anchor is split: each of its windows travels by its own hash. Documents are named
 (did, copy) as in `common.numbered`, and lists of anchors and of ranges belong to one document; where ids are unique, texts are dealt
 once, for steps 2 and 3 together. Rows that repeat id and text do not travel: they are asked about once and share the answer.
 """
@@ -33,10 +33,9 @@ from tabloom.operators.frames import name
 
 NO_ID = -(2**63)
 LOW40 = np.uint64((1 << 40) - 1)
-#: An anchor is hot when at least one in HOT_SHARE documents has it; there are at most HOT_SHARE times as many hot anchors as a
-#: document has anchors on average, whatever the size of the corpus.
-HOT_SHARE = 100
-HOT_LEAST = 2000
+#: Occurrences from which on an anchor may be hot, and the most hot anchors, the commonest ones: 8 MB of hashes are broadcast. An
+#: anchor that is not hot has at most 1 / HOT_MOST of all occurrences, or fewer than HOT_LEAST.
+HOT_LEAST, HOT_MOST = 2000, 1 << 20
 BLOB = "bucket int, blob binary"
 SPAN = "did long, copy long, first long, last long"
 
@@ -202,8 +201,8 @@ def _ask(unit: Unit, buckets: int, across: bool):
     return run
 
 
-def _answer(across: bool, hot: int):
-    """Step 1, per bucket: rows (hot, did, copy, at): anchors that occur elsewhere too, and the hashes of hot ones."""
+def _answer(across: bool):
+    """Step 1, per bucket: rows (hot, did, copy, at): anchors that occur elsewhere too, and hash and number of those that may be hot."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked = []
         for batch in batches:
@@ -229,9 +228,9 @@ def _answer(across: bool, hot: int):
         again = (did[new] < did[new + size - 1]) | (np.maximum.reduceat(times, new) > 1) if across else total > 1
         told = np.repeat(again, size) & (times == 1)
         yield rows(hot=np.zeros(int(told.sum()), bool), did=did[told], copy=copy[told].astype(np.int64), at=at[told])
-        many = h[new[total >= hot]].astype(np.int64)
-        none = np.zeros(len(many), np.int64)
-        yield rows(hot=np.ones(len(many), bool), did=many, copy=none, at=none)
+        many = total >= HOT_LEAST
+        often = total[many].astype(np.int64)
+        yield rows(hot=np.ones(len(often), bool), did=h[new[many]].astype(np.int64), copy=np.zeros(len(often), np.int64), at=often)
     return run
 
 
@@ -301,7 +300,7 @@ def _send(unit: Unit, buckets: int, across: bool, hot):
 
 
 def _match(unit: Unit, across: bool, matcher: Callable):
-    """Step 2, per shard: ranges of repeated windows. Equal fragments are one class; an anchor with one class needs no search."""
+    """Step 2, per shard: ranges of repeated windows. Equal fragments are one class of the index, owned by the first of them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent = []
         for batch in batches:
@@ -326,15 +325,12 @@ def _match(unit: Unit, across: bool, matcher: Callable):
         key, did, copy, start, count = (x[order] for x in (key, did, copy, start, count))
         _, lead = np.unique(group, return_index=True)  # classes are numbered by first occurrence
         later = did > did[lead][group] if across else np.arange(len(group)) != lead[group]
-        _, of_key, classes = np.unique(key[lead], return_inverse=True, return_counts=True)
-        searched = np.flatnonzero(classes[of_key] > 1)  # class numbers, in order of first occurrence
-        class_texts = list(number)
-        hits = dict(zip(searched.tolist(), matcher([class_texts[c] for c in searched.tolist()], count[lead[searched]], did[lead[searched]], unit)))
+        hits = matcher(list(number), count[lead], did[lead], unit)
         d, c, f, e = [], [], [], []
         whole = np.flatnonzero(later)
         for i in np.flatnonzero(~later).tolist():
-            hit = hits.get(int(group[i]))
-            if hit is not None and hit.any():
+            hit = hits[group[i]]
+            if hit.any():
                 edges = np.flatnonzero(np.diff(np.r_[False, hit, False].astype(np.int8)))
                 for x, y in zip(edges[::2].tolist(), edges[1::2].tolist()):
                     d.append(did[i])
@@ -357,12 +353,12 @@ def spans(docs: DataFrame, unit: Unit, across: bool, matcher: Callable, id_colum
     parts = common.shuffle_partitions(spark)
     shards = 2 * parts
     own, numbered, keys = common.numbered(docs, id_column, text, parts)
-    hot_from = max(HOT_LEAST, docs.count() // HOT_SHARE)
     answers = common.written(
         own.where("NOT again").select("did", "copy", "text").mapInArrow(_ask(unit, parts, across), BLOB).repartitionById(parts, F.col("bucket"))
-        .mapInArrow(_answer(across, hot_from), "hot boolean, did long, copy long, at long"), "anchors",
+        .mapInArrow(_answer(across), "hot boolean, did long, copy long, at long"), "anchors",
     )
-    hot = spark.sparkContext.broadcast(np.array(sorted(r["did"] for r in answers.where("hot").select("did").collect()), np.uint64))
+    commonest = answers.where("hot").orderBy(F.desc("at"), "did").limit(HOT_MOST).select("did").toArrow()
+    hot = spark.sparkContext.broadcast(np.sort(commonest.column("did").to_numpy().astype(np.uint64)))
     asked = answers.where("NOT hot").groupBy(*keys).agg(F.collect_list("at").alias("asked"))
     found = (
         # the id is read so that texts are dealt once, for this join and the one in `cut`

@@ -202,7 +202,6 @@ def test_rows_of_a_common_id_stay_separate(spark):
 
 def test_hot_anchors_are_split(spark, docs, rows, monkeypatch):
     monkeypatch.setattr(repeats, "HOT_LEAST", 2)
-    monkeypatch.setattr(repeats, "HOT_SHARE", 10**6)
     ordered = sorted(rows, key=lambda r: r[0])
     assert sorted(tuple(r) for r in suffix_levels.report(docs).collect()) == sorted(brute.op3(ordered))
     assert sorted(tuple(r) for r in substring_index.report(docs).collect()) == sorted(brute.op5(ordered))
