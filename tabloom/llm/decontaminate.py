@@ -20,6 +20,8 @@ from tabloom.operators.frames import name
 
 #: Bytes of benchmark text whose windows are broadcast at a time; a larger benchmark takes several scans.
 BROADCAST_BYTES = 16 << 20
+#: Bytes of one item that are dealt together; a longer item is cut into runs of words that overlap by a window less one word.
+PIECE_BYTES = 1 << 20
 FOUND = ("n_words", "hit_spans", "items")
 SPAN = T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("last", T.LongType())]))
 
@@ -104,14 +106,12 @@ def mark(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str =
     hits so far written to the shared folder.
     """
     spark = docs.sparkSession
-    tests = benchmark.select(name(item).cast("string").alias("item"), name(item_text).alias("words"))
-    total = tests.agg(F.sum(F.octet_length("words"))).first()[0] or 0
-    slices = -(-total // BROADCAST_BYTES) or 1
+    tests, slices = dealt(benchmark, item, item_text, width)
     out = common.nested(docs, text).select(
         "*", F.lit(0).cast("long").alias("n"), F.array().cast(SPAN).alias("spans"), F.array().cast("array<string>").alias("items"),
     )
     for k in range(slices):
-        some = tests if slices == 1 else tests.where(F.pmod(F.xxhash64("item", "words"), F.lit(slices)) == k)
+        some = tests.where(_slice(slices) == k).select("item", "words")  # within BROADCAST_BYTES
         window_set = spark.sparkContext.broadcast(WindowSet([tuple(r) for r in some.collect()], width))
         out = out.mapInArrow(_marker(window_set), out.schema)
         if k + 1 < slices:
@@ -119,6 +119,38 @@ def mark(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str =
     return common.unnested(out, docs, F.col("n"), F.col("spans"), F.col("items"), names=FOUND)
 
 
+def item_pieces(width: int):
+    """(item, words) to pieces of about PIECE_BYTES that share width - 1 words; every window lies whole in a piece."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
+                texts = [text]
+                if text is not None and len(text) > PIECE_BYTES:
+                    words = words_of(text)
+                    step = max(width, PIECE_BYTES * len(words) // len(text)) if words else 1
+                    texts = [b" ".join(words[k : k + step + width - 1]) for k in range(0, max(1, len(words) - width + 1), step)]
+                yield pa.RecordBatch.from_arrays([pa.array([item] * len(texts), pa.string()), pa.array(texts, pa.binary()).cast(pa.string())], names=["item", "words"])
+    return run
+
+
+def _slice(slices: int) -> Column:
+    return F.pmod(F.xxhash64("item", "words"), F.lit(slices))
+
+
+def dealt(benchmark: DataFrame, item: str, item_text: str, width: int) -> tuple[DataFrame, int]:
+    """The distinct pieces of a benchmark, and a number of slices none of which exceeds BROADCAST_BYTES (or two pieces)."""
+    own = benchmark.select(name(item).cast("string").alias("item"), name(item_text).alias("words")).distinct()
+    pieces = own.mapInArrow(item_pieces(width), "item string, words string").distinct()
+    total, longest = pieces.agg(F.coalesce(F.sum(F.octet_length("words")), F.lit(0)), F.coalesce(F.max(F.octet_length("words")), F.lit(0))).first()
+    slices = -(-total // BROADCAST_BYTES) or 1
+    while slices > 1:
+        largest = pieces.groupBy(_slice(slices)).agg(F.sum(F.octet_length("words")).alias("n")).agg(F.max("n")).first()[0]
+        if largest <= max(BROADCAST_BYTES, 2 * longest):
+            break
+        slices *= 2
+    return pieces, slices
+
+
 def _marker(window_set):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -157,31 +189,37 @@ def _marked(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options
     return mark(common.nested(docs, text), benchmark, text="own_text", **options)
 
 
-@F.udf(returnType=T.StringType(), useArrow=False)
-def _without(text: str | None, spans: list) -> str | None:
-    if text is None or not spans:
-        return text
-    raw = text.encode()
+def without(raw: bytes, spans: list[dict]) -> bytes:
+    """A text without hit runs of words, from the first to the last byte of each."""
+    if not spans:
+        return raw
     data = common.LOWER[np.frombuffer(raw, np.uint8)]
     starts, ends = common.runs(common.LOWER_ALNUM[data], np.zeros(0, np.int64))
     kept, at = [], 0
     for s in spans:
         kept.append(raw[at : starts[s["first"]]])
         at = int(ends[s["last"] - 1])
-    return b"".join([*kept, raw[at:]]).decode()
+    return b"".join([*kept, raw[at:]])
+
+
+def _cutter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts, spans = batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist()
+        kept = [None if t is None else without(t, s) for t, s in zip(texts, spans)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.binary()).cast(pa.string())], names=["row", "kept"])
 
 
 def drop_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """`docs` with every hit run of words, from its first to its last byte, cut out of the text."""
-    marked = _marked(docs, benchmark, text=text, **options)
-    cut = _without(F.col("own_text"), F.col("hit_spans"))
-    return marked.select(*[cut.alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns])
+    marked = _marked(docs, benchmark, text=text, **options).select("row", "own_text", "hit_spans")
+    cut = marked.mapInArrow(_cutter, marked.select("row", F.col("own_text").alias("kept")).schema)
+    return cut.select(*[F.col("kept").alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns])
 
 
-def report(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id") -> DataFrame:
+def report(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """One digest row per document of what `mark` found."""
-    marked = mark(docs.select(id_column, "text"), benchmark)
+    marked = mark(docs.select(name(id_column).alias(id_column), name(text).alias("own_text")), benchmark, text="own_text")
     return marked.select(
-        id_column, "n_words", hit_words().alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        name(id_column), "n_words", hit_words().alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join(F.array_sort("items"), ",").cast("binary"), 256).alias("items_sha256"), (F.size("hit_spans") > 0).alias("contaminated"),
     )

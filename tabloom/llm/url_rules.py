@@ -50,7 +50,7 @@ def judge(
         .where("rule_host != '' AND action IN ('allow', 'block')")
         .groupBy("rule_host", "rule_path").agg(F.max("action").alias("action"))
         .withColumn("rule", F.concat("rule_host", "rule_path"))
-        .withColumn("rule_digest", F.sha2("rule", 256))
+        .withColumn("rule_digest", F.sha2(F.concat(F.length("rule_path").cast("string"), F.lit(":"), "rule"), 256))  # the length tells host from path
         .withColumn("short", F.substring("rule_digest", 1, SHORT))
     )
     labels, width = F.size(F.split("rule_host", r"\.")), F.length("rule_path")
@@ -67,7 +67,7 @@ def judge(
         expressions = F.array_compact(F.array(*[
             F.when(
                 (F.size(parts) >= k) & (F.length("path") >= m),
-                F.concat(F.array_join(F.slice(parts, F.size(parts) - k + 1, F.lit(k)), "."), F.substring("path", 1, m)),
+                F.concat(F.lit(f"{m}:"), F.array_join(F.slice(parts, F.size(parts) - k + 1, F.lit(k)), "."), F.substring("path", 1, m)),
             )
             for k, m in sorted((s["k"], s["m"]) for s in shapes["s"])
         ]))
