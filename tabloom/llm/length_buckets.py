@@ -63,12 +63,13 @@ def token_counts(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", tex
 def pack(lengths: DataFrame, most: int = MOST, buckets: int = BUCKETS, budget: int = BUDGET) -> DataFrame:
     """Rows (id, piece, start, n_tokens, bound, batch, slot, padding) of a table (id, n_tokens).
 
-    The histogram has `most` rows at most. Batch numbers run on from bucket to bucket.
+    The histogram has `most` rows at most. Batch numbers run on from bucket to bucket. A column `row` of `lengths` is passed on.
     """
     spark = lengths.sparkSession
+    also = ["row"] if "row" in lengths.columns else []
     parts = common.shuffle_partitions(spark)
     pieces = (
-        lengths.where("n_tokens > 0").select("id", F.col("n_tokens").alias("whole"), F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n_tokens - 1) div {most}"))).alias("piece"))
+        lengths.where("n_tokens > 0").select("id", *also, F.col("n_tokens").alias("whole"), F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n_tokens - 1) div {most}"))).alias("piece"))
         .withColumn("start", F.col("piece") * most).withColumn("n_tokens", F.least(F.lit(most), F.col("whole") - F.col("start")))
     )
     histogram = {r["n_tokens"]: r["n"] for r in pieces.groupBy("n_tokens").agg(F.count("*").alias("n")).collect()}
@@ -91,11 +92,11 @@ def pack(lengths: DataFrame, most: int = MOST, buckets: int = BUCKETS, budget: i
     inside = Window.partitionBy("bound", "part").orderBy(F.col("id").asc_nulls_first(), "whole", "piece")
     ranked = placed.withColumn("place", F.row_number().over(inside) - 1).join(bases, ["bound", "part"]).withColumn("place", F.col("place") + F.col("base"))
     if not bounds:
-        return ranked.select("id", "piece", "start", "n_tokens", "bound", F.col("place").alias("batch"), F.col("place").alias("slot"), F.col("place").alias("padding"))
+        return ranked.select("id", *also, "piece", "start", "n_tokens", "bound", F.col("place").alias("batch"), F.col("place").alias("slot"), F.col("place").alias("padding"))
     size = F.create_map(*[F.lit(x) for b in bounds for x in (b, per_batch[b])])[F.col("bound").cast("int")]
     start = F.create_map(*[F.lit(x) for b in bounds for x in (b, first_batch[b])])[F.col("bound").cast("int")]
     return ranked.select(
-        "id", "piece", "start", "n_tokens", "bound", (F.floor(F.col("place") / size) + start).cast("long").alias("batch"),
+        "id", *also, "piece", "start", "n_tokens", "bound", (F.floor(F.col("place") / size) + start).cast("long").alias("batch"),
         F.pmod("place", size).cast("long").alias("slot"), (F.col("bound") - F.col("n_tokens")).alias("padding"),
     )
 
@@ -104,3 +105,30 @@ def report(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text: str
     """The batches of all documents' tokens."""
     lengths = common.written(token_counts(docs, tokenizer, id_column, text), "lengths")
     return pack(lengths).withColumnRenamed("id", id_column)
+
+
+def packed_tokens(
+    docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text: str = "text", most: int = MOST, buckets: int = BUCKETS, budget: int = BUDGET,
+) -> DataFrame:
+    """The rows of `pack` with the token ids of each piece: `ids`, little-endian unsigned, `width` bytes each.
+
+    Every text is encoded once into the shared folder, and a piece cuts its bytes out of its own row's, also where ids repeat.
+    """
+    own = encoder(tokenizer)
+    width, closing = own.dtype.itemsize, np.zeros(1, own.dtype).tobytes()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = encoder(tokenizer)
+        for batch in batches:
+            column = common.plain_text(batch.column(2))
+            for a, b in common.text_slices(column):
+                ids = [x + closing for x in own.encode(column.slice(a, b - a).to_pylist())]
+                n = pa.array([len(x) // width for x in ids], pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), n, pa.array(ids, pa.binary())], names=["row", "id", "n_tokens", "ids"])
+
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), name(id_column).cast("long").alias("id"), name(text))
+    encoded = common.written(rows.mapInArrow(run, "row long, id long, n_tokens long, ids binary"), "encoded")
+    placed = pack(encoded.select("row", "id", "n_tokens"), most, buckets, budget)
+    cut = F.substring("ids", (F.col("start") * width + 1).cast("int"), (F.col("n_tokens") * width).cast("int"))
+    joined = placed.join(encoded.select("row", "ids"), "row").withColumn("ids", cut).withColumn("width", F.lit(width))
+    return joined.drop("row").withColumnRenamed("id", id_column)
