@@ -31,6 +31,7 @@ from tabloom.plans.search import (
     Trial,
     best_so_far,
     best_trial,
+    draw_trials,
     fit_winner,
     fold_scores,
     load_model,
@@ -299,7 +300,21 @@ def _gappy_metrics(spark, sf):
     return rounded(metrics(df, TARGET, "prediction", ["split"]))
 
 
+def _drawn(spark, sf):
+    """Trials as the search draws them: within their ranges, repeatable, and the best of the linear ones beats the mean."""
+    trials = draw_trials(12, ("linear",), seed=5)
+    df = _folded(spark, sf)
+    scored = score_trials(trial_table(spark, trials), fold_scores(df, FEATURES[:-1], "gross", trials))
+    alpha = F.element_at("params", "alpha").cast("double")
+    sound = alpha.between(1e-4, 10.0) & F.element_at("params", "reg_type").isin("ridge", "lasso", "elasticnet")
+    same = F.lit(trials == draw_trials(12, ("linear",), seed=5))
+    return scored.agg(
+        F.count("*").alias("n_trials"), F.count_if(sound).alias("n_sound"), F.count("cv_rmse").alias("n_scored"),
+        (F.min("cv_rmse") < 0.5 * _spread_of(df, "gross")).alias("beats_mean"), F.bool_and(same).alias("repeatable"))
+
+
 QUERIES = {
+    "drawn_trials": _drawn,
     "ridge_fit": _ridge,
     "elasticnet_fit": _elastic,
     "ols_fit": _ols,
@@ -409,6 +424,8 @@ def _replay_sql() -> str:
 
 
 ORACLE = {
+    "drawn_trials": """SELECT CAST(12 AS BIGINT) AS n_trials, CAST(12 AS BIGINT) AS n_sound, CAST(12 AS BIGINT) AS n_scored, true AS beats_mean,
+        true AS repeatable FROM lineitem HAVING count(*) > 0""",
     "boosted_trees": _replay_sql(),
     "tree_shap": f"""WITH {ORDER_SQL} SELECT count(*) AS n, CAST(4 * count(*) AS BIGINT) AS n_values, CAST(0 AS BIGINT) AS n_off, 'sum_price' AS top
         FROM o WHERE {_TEST_ORDER}""",

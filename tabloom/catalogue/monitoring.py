@@ -10,13 +10,18 @@ from tabloom.operators.drift import drift_summary, ks_drift, ranked
 from tabloom.operators.profile import medians_dict, training_medians
 from tabloom.session import materialise, shared_dir
 from tabloom.sources.prediction_log import SCHEMA, flatten
-from tabloom.streaming.alarms import error_alarm, latency_alarm
-from tabloom.streaming.scorer import append_json, append_scores, captured, scored_log
+from tabloom.streaming.alarms import error_alarm, latency_alarm, live_alarms
+from tabloom.streaming.scorer import append_json, append_scores, captured, captured_pairs, scored_log
 from tabloom.streaming.windows import (
+    closed_series,
     drift_stream,
     event_counts,
     read_stream,
     run_to_table,
+    sketched_ks,
+    sketched_quantile,
+    sketched_windows,
+    timed_counts,
     value_counts,
     window_summary,
 )
@@ -136,6 +141,72 @@ def _capture(spark, sf):
     return run_to_table(stream, shared_dir(spark, "capture"), shared_dir(spark, "capture-state"))
 
 
+def _live(spark, sf, closed, limit, run):
+    """The stream in several micro-batches, one file each; rows as their micro-batch wrote them."""
+    stream = live_alarms(closed, limit, run, 3600)
+    return run_to_table(stream, shared_dir(spark, "live"), shared_dir(spark, "live-state"))
+
+
+def _by_day(spark, sf):
+    """The events as a stream of one file per five days, in order of time; a micro-batch reads one file."""
+    path = shared_dir(spark, "by-day")
+    e = events(spark, sf).withColumn("part", F.floor(F.dayofmonth("ts") / 5).cast("int"))
+    for part in sorted(r[0] for r in e.select("part").distinct().collect()):  # at most seven
+        e.where(F.col("part") == part).drop("part").coalesce(1).write.mode("append").parquet(path)
+    return read_stream(spark, path, events(spark, sf).schema, "parquet", files_per_batch=1)
+
+
+def _live_errors(spark, sf):
+    counts = timed_counts(_by_day(spark, sf), "ts", F.col("event_type") == "error", "1 hour")
+    return _live(spark, sf, closed_series(counts, F.lit("errors"), F.col("hits")), 3.0, 2).select(
+        "series", _at("window_start"), "value", "run", "alarm")
+
+
+def _live_p99(spark, sf):
+    """Alarms on the sketched 99th percentile: against the exact table form, only windows near the limit may differ."""
+    windows = sketched_windows(_by_day(spark, sf), "ts", ["value"], "1 hour")
+    live = _live(spark, sf, closed_series(windows, F.col("feature"), sketched_quantile("sketch", 0.99)), 25.0, 3)
+    return live.agg(F.count("*").alias("n_windows"), F.count_if("alarm").alias("n_alarms"))
+
+
+def _sketched_summary(spark, sf):
+    """Days from bounded state: counts, means and ends are exact, the median is right up to a share of the ranks."""
+    windows = sketched_windows(_event_stream(spark, sf), "ts", ["value"], "1 day")
+    kept = run_to_table(windows, shared_dir(spark, "sketched"), shared_dir(spark, "sketched-state"))
+    day = F.date_trunc("day", "ts").alias("window_start")
+    median = kept.select("window_start", sketched_quantile("sketch", 0.5).alias("p50"))
+    ranks = events(spark, sf).select(day, "value").join(median, "window_start").groupBy("window_start").agg(
+        (F.count_if(F.col("value") <= F.col("p50")) / F.count("*")).alias("r"))
+    out = kept.join(ranks, "window_start").select(
+        _at("window_start"), "feature", "n", "mean", "min", "max", (F.abs(F.col("r") - 0.5) < 0.02).alias("median_close"))
+    return rounded(out)
+
+
+def _sketched_drift(spark, sf):
+    """The largest gap between a day and all events, from sketches: within three hundredths of the exact one."""
+    reference = events(spark, sf).agg(F.kll_sketch_agg_double("value", F.lit(2000)).alias("sketch")).withColumn("feature", F.lit("value"))
+    windows = run_to_table(
+        sketched_windows(_event_stream(spark, sf), "ts", ["value"], "1 day"), shared_dir(spark, "sketched"), shared_dir(spark, "sketched-state"))
+    exact = _stream_drift(spark, sf).select("window_start", F.col("ks_statistic").alias("exact"))
+    near = sketched_ks(windows, reference).withColumn("window_start", _at("window_start")).join(exact, "window_start")
+    return near.select("window_start", "n", (F.abs(F.col("ks_statistic") - F.col("exact")) < 0.03).alias("close"))
+
+
+def _pairs(spark, sf):
+    """Requests and responses as two streams: answers in time, too late, and none."""
+    e = events(spark, sf).select(F.col("event_id").alias("request_id"), F.col("ts").alias("asked_at"), "value", "user_id")
+    asked, answered = shared_dir(spark, "asked"), shared_dir(spark, "answered")
+    e.write.parquet(asked)
+    minutes = F.when(F.col("request_id") % 11 == 0, 60).otherwise(F.col("request_id") % 10)
+    late = (F.col("asked_at") + F.make_interval(mins=minutes)).alias("answered_at")
+    e.where("request_id % 7 <> 3").select("request_id", late, (F.col("value") * 2).alias("prediction")).write.parquet(answered)
+    inputs = read_stream(spark, asked, "request_id long, asked_at timestamp, value double, user_id long")
+    outputs = read_stream(spark, answered, "request_id long, answered_at timestamp, prediction double")
+    pairs = captured_pairs(inputs, outputs, "10 minutes", percentage=60.0)
+    kept = run_to_table(pairs, shared_dir(spark, "pairs"), shared_dir(spark, "pairs-state"))
+    return kept.select("request_id", "value", "prediction", F.date_format("answered_at", "yyyy-MM-dd HH:mm:ss").alias("answered_at"))
+
+
 QUERIES = {
     "ks_drift": lambda s, sf: ks_drift(*_halves(s, sf)),
     "drift_by_flag": _flag_report,
@@ -152,6 +223,11 @@ QUERIES = {
     "stream_scorer": _stream_scorer,
     "stream_rejects": _stream_rejects,
     "capture_sample": _capture,
+    "alarm_errors_live": _live_errors,
+    "alarm_p99_live": _live_p99,
+    "stream_sketch_summary": _sketched_summary,
+    "stream_sketch_drift": _sketched_drift,
+    "capture_pairs": _pairs,
 }
 
 
@@ -245,4 +321,27 @@ ORACLE = {
         FROM events WHERE event_type NOT IN ('purchase', 'click', 'error')""",
     "capture_sample": """SELECT event_id, value FROM events
         WHERE substr(md5(concat_ws(':', '0', CAST(event_id AS VARCHAR))), 1, 8) < '66666666'""",
+    "alarm_errors_live": f"""WITH h AS (SELECT date_trunc('hour', ts) AS w, count(*) FILTER (WHERE event_type = 'error') AS hits
+          FROM events GROUP BY 1 HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= {_CLOSED}),
+        a AS (SELECT *, hits > 3 AS breach FROM h),
+        b AS (SELECT *, sum(CASE WHEN NOT breach OR p IS NULL OR p <> w - INTERVAL 1 HOUR THEN 1 ELSE 0 END) OVER (ORDER BY w) AS block
+              FROM (SELECT *, lag(w) OVER (ORDER BY w) AS p FROM a))
+        SELECT 'errors' AS series, strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, CAST(hits AS DOUBLE) AS value,
+               CAST(sum(CASE WHEN breach THEN 1 ELSE 0 END) OVER (PARTITION BY block ORDER BY w) AS INT) AS run,
+               sum(CASE WHEN breach THEN 1 ELSE 0 END) OVER (PARTITION BY block ORDER BY w) >= 2 AND breach AS alarm FROM b""",
+    "alarm_p99_live": f"""WITH h AS (SELECT date_trunc('hour', ts) AS w, quantile_disc(value, 0.99) AS p99
+          FROM events GROUP BY 1 HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= {_CLOSED}),
+        a AS (SELECT *, p99 > 25.0 AS breach FROM h)
+        SELECT count(*) AS n_windows, count(*) FILTER (WHERE {_alarm('a', 3, 'HOUR')}) AS n_alarms FROM a""",
+    "stream_sketch_summary": f"""SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS window_start, 'value' AS feature,
+        count(*) AS n, round(avg(value), 6) AS mean, min(value) AS min, max(value) AS max, true AS median_close
+        FROM events GROUP BY date_trunc('day', ts) HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= {_CLOSED}""",
+    "stream_sketch_drift": f"""SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS n, true AS close
+        FROM events GROUP BY date_trunc('day', ts) HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= {_CLOSED}""",
+    "capture_pairs": """WITH e AS (SELECT event_id AS request_id, ts, value, CASE WHEN event_id % 11 = 0 THEN 60 ELSE event_id % 10 END AS m
+          FROM events WHERE substr(md5(concat_ws(':', '0', CAST(event_id AS VARCHAR))), 1, 8) < '99999999'),
+        t AS (SELECT least(max(ts), max(ts + to_minutes(m)) FILTER (WHERE request_id % 7 <> 3)) - INTERVAL 1 HOUR AS mark FROM e)
+        SELECT request_id, value, CASE WHEN ok THEN value * 2 END AS prediction,
+               CASE WHEN ok THEN strftime(ts + to_minutes(m), '%Y-%m-%d %H:%M:%S') END AS answered_at
+        FROM (SELECT *, request_id % 7 <> 3 AND m <= 10 AS ok FROM e), t WHERE ok OR ts + INTERVAL 10 MINUTE < mark""",
 }

@@ -9,10 +9,10 @@ from tabloom.catalogue.data import events, rounded, table
 from tabloom.operators.linear import LinearModel
 from tabloom.operators.profile import medians_dict, training_medians
 from tabloom.operators.scoring import score_batch, score_requests, score_strict
-from tabloom.session import shared_dir
+from tabloom.session import shared_dir, small_table
 from tabloom.sources.codec import decode_requests, encode_responses
 from tabloom.sources.prediction_log import append_log, flatten, log_records, read_log, split_corrupt
-from tabloom.sources.tables import read_csv, write_csv
+from tabloom.sources.tables import read_csv, read_optional_csv, read_small, uri, write_csv, write_small
 
 MODEL = LinearModel(("k", "value", "bonus"), (0.5, 2.0, -1.0), 3.0)
 EXPECTED = list(MODEL.features)
@@ -169,7 +169,37 @@ def _csv_round_trip(spark, sf):
         F.count("*").alias("n"), F.sum("l_orderkey").alias("keys"), F.round(F.sum("l_extendedprice"), 2).alias("price"))
 
 
+def _optional(spark, sf):
+    """Nations as an optional CSV table; where none is named there is none."""
+    path = shared_dir(spark, "optional")
+    write_csv(table(spark, sf, "nation"), path)
+    if read_optional_csv(spark, None) is not None or read_optional_csv(spark, "") is not None:
+        raise AssertionError("a table that is not named was read")
+    return read_optional_csv(spark, path).groupBy(F.col("n_regionkey").cast("long").alias("region")).agg(
+        F.count("*").alias("n"), F.max("n_name").alias("last"))
+
+
+def _locations(spark, sf):
+    """Where the tables of every customer segment would lie, in an object store and in a folder."""
+    segments = sorted(r[0] for r in table(spark, sf, "customer").select("c_mktsegment").distinct().collect())
+    store = {"storage": {"backend": "s3", "s3_bucket": "lake", "s3_prefix": "runs/"}}
+    rows = [(s, uri(store, f"/raw/{s}.csv"), uri({}, f"raw/{s}.csv")) for s in segments]
+    return small_table(spark, rows, "segment string, stored string, local string")
+
+
+def _small_tables(spark, sf):
+    """A parameter table written as one JSON file and read back, with and without its schema."""
+    per_flag = table(spark, sf, "lineitem").groupBy("l_returnflag").agg(F.count("*").alias("n"), F.max("l_quantity").alias("most"))
+    path = shared_dir(spark, "small")
+    write_small(per_flag, path)
+    back = read_small(spark, path, per_flag.schema)
+    return back.join(read_small(spark, path).select("l_returnflag", F.col("most").alias("again")), "l_returnflag")
+
+
 QUERIES = {
+    "optional_table": _optional,
+    "table_locations": _locations,
+    "small_tables": _small_tables,
     "decode_requests": _decoded,
     "decode_rejects": lambda s, sf: decode_requests(_bodies(s, sf))[1],
     "encode_responses": _encoded,
@@ -187,6 +217,10 @@ _K = "CAST(json_extract(props, '$.k') AS DOUBLE)"
 _BONUS = "CASE WHEN event_type IN ('purchase', 'click', 'error') THEN CAST(user_id AS DOUBLE) END"
 
 ORACLE = {
+    "optional_table": "SELECT CAST(n_regionkey AS BIGINT) AS region, count(*) AS n, max(n_name) AS last FROM nation GROUP BY 1",
+    "table_locations": """SELECT DISTINCT c_mktsegment AS segment, 's3a://lake/runs/raw/' || c_mktsegment || '.csv' AS stored,
+        'raw/' || c_mktsegment || '.csv' AS local FROM customer""",
+    "small_tables": """SELECT l_returnflag, count(*) AS n, max(l_quantity) AS most, max(l_quantity) AS again FROM lineitem GROUP BY 1""",
     "decode_requests": f"""WITH e AS (SELECT event_id AS req_id, CASE WHEN event_id % 50000 = 17 THEN -1 ELSE event_id % 16 END AS s,
                                        value, {_K} AS k, user_id FROM events)
         SELECT req_id, 0 AS pos, 'value' AS name, value AS given FROM e WHERE s = 0

@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from tabloom.catalogue.data import FEATURES, LINE_SQL, LINES, TARGET, lines, rounded, table
 from tabloom.functions.columns import approximate_celsius, approximate_kelvin
-from tabloom.operators.binning import Bins, apply_bins, fit_categories, one_hot
+from tabloom.operators.binning import Bins, apply_bins, category_table, fit_categories, one_hot, one_hot_vector
 from tabloom.operators.correlation import Prune, correlated_features, correlation_pairs
 from tabloom.operators.frames import melt
 from tabloom.operators.mutual_info import mutual_information
+from tabloom.operators.neighbour_info import neighbour_information
 from tabloom.operators.powerlaw import BoxCox, fit_boxcox, log_likelihoods
 from tabloom.operators.scaling import fit_scaler, scale_stats
 from tabloom.operators.split import (
@@ -19,7 +20,7 @@ from tabloom.operators.split import (
     with_split,
     with_stratified_split,
 )
-from tabloom.plans.features import FeatureConfig, FeaturePlan, fit_features
+from tabloom.plans.features import FeatureConfig, FeaturePlan, fit_features, from_config
 
 SIZE_BINS = Bins("size", "size_bin", (("lte", 5, 6), ("gte", 45, 40)))
 LINE_BINS = Bins("line", "line_bin", (("eq", 1, 2), ("gte", 5, 4)))
@@ -132,7 +133,59 @@ def _temperature(spark, sf):
 
 GRID = [round(-2 + 0.1 * i, 1) for i in range(41)]
 
+def _sparse_categories(spark, sf):
+    """Part keys as sparse one-hot vectors; every fiftieth key was not seen when the categories were fitted."""
+    items = table(spark, sf, "lineitem").select("l_partkey")
+    categories = category_table(items.where("l_partkey % 50 <> 0"), "l_partkey")
+    vectors = one_hot_vector(items, "l_partkey", categories, "part").withColumn("v", F.unwrap_udt("part"))
+    return vectors.groupBy("l_partkey").agg(
+        F.count("*").alias("n"), F.max(F.get("v.indices", F.lit(0))).alias("index"), F.max("v.size").alias("size"),
+        F.max(F.get("v.values", F.lit(0))).alias("value"))
+
+
+SETTINGS = {
+    "feature_engineering": {
+        "target_column": TARGET, "engineered_target_column": "price_boxcox", "correlation_threshold": THRESHOLD,
+        "element_bins": {"column": "p_size", "low_threshold": 5, "low_value": 6, "high_threshold": 45, "high_value": 40},
+        "valence_bins": {"column": "line", "merge_zero_to": 2, "high_threshold": 5, "high_value": 4},
+        "protected_columns": [], "drop_low_mi_columns": ["l_tax"],
+    },
+    "preprocessing": {"columns_to_skip_scaling": []},
+}
+
+
+def _configured(spark, sf):
+    """Bins, one-hot columns and drops as a configuration names them, fitted and applied."""
+    df = lines(spark, sf).select("p_size", (F.col("l_linenumber") - 1).alias("line"), "l_quantity", "l_tax", TARGET)
+    config = from_config(SETTINGS)
+    binned = apply_bins(df, config.bins)
+    flags = one_hot(binned, config.one_hot_column, fit_categories(binned, config.one_hot_column), config.one_hot_prefix)
+    kept = flags.drop(*config.drop_raw, *config.drop_listed)
+    bins = [c for c in kept.columns if c not in ("l_quantity", TARGET)]
+    return kept.groupBy(*bins).agg(F.count("*").alias("n"), F.max("l_quantity").alias("most"))
+
+
+def _neighbours(spark, sf):
+    """Parts: what tells most about the price, by nearest neighbours."""
+    p = table(spark, sf, "part").select("p_partkey", F.col("p_size").cast("double").alias("p_size"), "p_retailprice")
+    p = p.withColumns({"mixed": F.col("p_retailprice") % 97 + F.col("p_size"), "key": F.col("p_partkey").cast("double")})
+    return rounded(neighbour_information(p, ["p_size", "mixed", "key"], "p_retailprice", ["p_partkey"]))
+
+
+def _psi(n: str) -> str:
+    m = f"(({n}) + 6.0)"
+    tail = " ".join(f"- 1 / (({n}) + {j}.0)" for j in range(6))
+    return f"(ln({m}) - 1 / (2 * {m}) - 1 / (12 * {m} * {m}) + 1 / (120 * {m} * {m} * {m} * {m}) - 1 / (252 * {m} * {m} * {m} * {m} * {m} * {m}) {tail})"
+
+
+def _jitter(salt: int) -> str:
+    return f"(CAST('0x' || substr(md5(concat_ws(':', '{salt}', CAST(p_partkey AS VARCHAR))), 1, 15) AS BIGINT) / 1152921504606846976.0 - 0.5) * 1e-10"
+
+
 QUERIES = {
+    "mi_neighbours": _neighbours,
+    "one_hot_sparse": _sparse_categories,
+    "configured_features": _configured,
     "bin_lte_gte": _bin_sizes,
     "bin_eq_chain": _bin_lines,
     "one_hot": _one_hot,
@@ -174,6 +227,30 @@ _FIT_SQL = """
     s AS (SELECT count(*) AS n, sum(ln(x)) AS sl FROM x)"""
 
 ORACLE = {
+    "one_hot_sparse": """WITH c AS (SELECT l_partkey, CAST(row_number() OVER (ORDER BY l_partkey) - 1 AS INT) AS i, CAST(count(*) OVER () AS INT) AS size
+          FROM (SELECT DISTINCT l_partkey FROM lineitem WHERE l_partkey % 50 <> 0)),
+        s AS (SELECT max(size) AS size FROM c)
+        SELECT l_partkey, count(*) AS n, max(i) AS index, max(s.size) AS size, CASE WHEN max(i) IS NOT NULL THEN CAST(1 AS DOUBLE) END AS value
+        FROM lineitem LEFT JOIN c USING (l_partkey), s GROUP BY l_partkey""",
+    "mi_neighbours": f"""WITH p AS (SELECT p_partkey, CAST(p_size AS DOUBLE) AS p_size, p_retailprice, p_retailprice % 97 + p_size AS mixed,
+            CAST(p_partkey AS DOUBLE) AS key FROM part),
+        s AS (SELECT stddev_pop(p_size) AS a, stddev_pop(mixed) AS b, stddev_pop(key) AS c, stddev_pop(p_retailprice) AS d FROM p),
+        l AS (SELECT 'p_size' AS feature, p_partkey, p_size / a + {_jitter(0)} AS x, p_retailprice / d + {_jitter(3)} AS y FROM p, s
+              UNION ALL SELECT 'mixed', p_partkey, mixed / b + {_jitter(1)}, p_retailprice / d + {_jitter(3)} FROM p, s
+              UNION ALL SELECT 'key', p_partkey, key / c + {_jitter(2)}, p_retailprice / d + {_jitter(3)} FROM p, s),
+        j AS (SELECT a.feature, a.p_partkey, abs(a.x - b.x) AS dx, abs(a.y - b.y) AS dy, a.p_partkey = b.p_partkey AS self
+              FROM l a JOIN l b USING (feature)),
+        r AS (SELECT feature, p_partkey, list_sort(min(greatest(dx, dy), 3) FILTER (WHERE NOT self))[3] AS r FROM j GROUP BY 1, 2),
+        c AS (SELECT feature, p_partkey, CAST(count(*) FILTER (WHERE dx < r) AS DOUBLE) AS nx, CAST(count(*) FILTER (WHERE dy < r) AS DOUBLE) AS ny
+              FROM j JOIN r USING (feature, p_partkey) GROUP BY 1, 2)
+        SELECT feature, round(greatest(0, {_psi('CAST(count(*) AS DOUBLE)')} + {_psi('3.0')} - avg({_psi('nx')}) - avg({_psi('ny')})), 6) AS mutual_information
+        FROM c GROUP BY feature""",
+    "configured_features": """WITH f AS (SELECT CAST(p_size AS DOUBLE) AS p_size, l_linenumber - 1 AS line, l_quantity FROM lineitem JOIN part ON l_partkey = p_partkey),
+        b AS (SELECT CASE WHEN p_size <= 5 THEN 6 WHEN p_size >= 45 THEN 40 ELSE p_size END AS num_elements_simplified,
+                     CASE WHEN line = 0 THEN 2 WHEN line >= 5 THEN 4 ELSE line END AS v, l_quantity FROM f)
+        SELECT num_elements_simplified, CAST(v = 1 AS INT) AS "rangeValence_1", CAST(v = 2 AS INT) AS "rangeValence_2",
+               CAST(v = 3 AS INT) AS "rangeValence_3", CAST(v = 4 AS INT) AS "rangeValence_4", count(*) AS n, max(l_quantity) AS most
+        FROM b GROUP BY 1, 2, 3, 4, 5""",
     "bin_lte_gte": """WITH p AS (SELECT p_partkey, nullif(p_size, 30) AS size FROM part),
         a AS (SELECT *, CASE WHEN size > 5 THEN size ELSE 6 END AS b FROM p)
         SELECT p_partkey, size, CASE WHEN b < 45 THEN b ELSE 40 END AS size_bin FROM a""",

@@ -7,10 +7,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.operators.frames import name
+from tabloom.session import materialise, small_table
 
 log = logging.getLogger(__name__)
 
@@ -68,3 +70,35 @@ def one_hot_columns(column: str, categories: Sequence, prefix: str) -> dict[str,
 def one_hot(df: DataFrame, column: str, categories: Sequence, prefix: str) -> DataFrame:
     """Replace `column` by its 0/1 columns, placed last."""
     return df.withColumns(one_hot_columns(column, categories, prefix)).drop(column)
+
+
+def category_table(df: DataFrame, column: str) -> DataFrame:
+    """`(value, index)` of the distinct values in order, for columns of any number of categories; null is none of them.
+
+    Values are dealt by range and numbered within their range; only the sizes of the ranges reach the driver.
+    """
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    seen = df.select(name(column).alias("value")).where("value IS NOT NULL").distinct()
+    own = seen.repartitionByRange(parts, "value").sortWithinPartitions("value").select(
+        "value", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("place")
+    )
+    kept = materialise(own, "categories")
+    sizes = {r["part"]: (r["n"], r["first"]) for r in kept.groupBy("part").agg(F.count("*").alias("n"), F.min("place").alias("first")).collect()}
+    rows, before = [], 0
+    for part in sorted(sizes):
+        n, first = sizes[part]
+        rows.append((part, before - first))
+        before += n
+    shifts = small_table(spark, rows, "part int, shift bigint")
+    return kept.join(shifts, "part").select("value", (F.col("place") + F.col("shift")).alias("index"))
+
+
+def one_hot_vector(df: DataFrame, column: str, categories: DataFrame, output: str) -> DataFrame:
+    """Add `output`, a sparse vector with a 1 at the value's index; a null or unseen value has none. Spark picks how to join."""
+    n = categories.count()
+    numbered = categories.select(F.col("value").alias("_value"), F.col("index").cast("double").alias("_index"))
+    joined = df.join(numbered, name(column) == F.col("_value"), "left").withColumn("_index", F.coalesce("_index", F.lit(float(n))))
+    sizes = small_table(df.sparkSession, [(float(max(0, n - 1)),)], "_index double")
+    encoder = OneHotEncoder(inputCol="_index", outputCol=output, handleInvalid="keep", dropLast=True).fit(sizes)
+    return encoder.transform(joined).drop("_value", "_index")

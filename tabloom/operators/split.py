@@ -46,7 +46,9 @@ def with_exact_split(
     # digests that share the cut's leading bits are few; among them the whole digest decides
     whole = row_digest(keys, seed)
     before = numbered.where(F.col("digest") < cut).count()
-    last = df.select(whole.alias("d"), number.alias("n")).where(F.col("n") == cut).orderBy("d").limit(k - before).agg(F.max("d")).first()[0]
+    tied = df.select(whole.alias("d"), number.alias("n")).where(F.col("n") == cut).groupBy("d").agg(F.count("*").alias("rows"))
+    upto = tied.select("d", F.sum("rows").over(Window.orderBy("d")).alias("upto"))  # a row per digest, however often its key repeats
+    last = upto.where(F.col("upto") >= k - before).agg(F.min("d")).first()[0]
     test = (number < F.lit(cut)) | ((number == F.lit(cut)) & (whole <= F.lit(last)))
     return df.withColumn("split", F.when(test, "test").otherwise("train"))
 

@@ -16,11 +16,12 @@ from tabloom.session import materialise, small_table
 @dataclass(frozen=True)
 class RankedReference:
     """Reference values with the number of values up to each, `(feature, bucket, value, n, upto)`; `starts` has a row per feature
-    and bucket: `(feature, bucket, earlier, n_ref)`.
+    and bucket: `(feature, bucket, earlier, n_ref)`, `spans` one per feature: `(feature, least, most, n_ref)`.
     """
 
     ranks: DataFrame
     starts: DataFrame
+    spans: DataFrame
     edges: Mapping[str, Sequence[float]]
 
 
@@ -40,7 +41,10 @@ def rank_reference(reference_counts: DataFrame, keep: bool = True) -> RankedRefe
         "feature", "bucket", F.coalesce(F.max("end").over(before), F.lit(0)).alias("earlier"),
         F.max("n_ref").over(Window.partitionBy("feature")).alias("n_ref"),
     )
-    return RankedReference(ranks, materialise(starts, "starts") if keep else starts, edges)
+    spans = ranks.groupBy("feature").agg(F.min("value").alias("least"), F.max("value").alias("most"), F.max("total").alias("n_ref"))
+    if keep:
+        starts, spans = materialise(starts, "starts"), materialise(spans, "spans")
+    return RankedReference(ranks, starts, spans, edges)
 
 
 def drift_of_windows(
@@ -49,9 +53,14 @@ def drift_of_windows(
     """`(window_start, feature, n_new, ks_statistic, p_value, drifted)` of `(window_start, feature, value, n)`.
 
     Between two new values the new distribution is flat and the reference one only rises, so the largest gap lies at a new value or
-    just before one. Each distinct new value finds its rank among the reference values of its bucket; other buckets are not read.
+    just before one. Each distinct new value finds its rank among the reference values of its bucket; other buckets are not read, and
+    values beyond the reference's range have their rank without a search. The windows' own running totals are cut at the edges of both
+    sides, so a window that lies where the reference has little is dealt to many buckets all the same.
     """
-    marks = with_bucket(window_counts.select("feature", "value").distinct(), reference.edges)
+    placed = window_counts.select("feature", "value").distinct().join(reference.spans, "feature")
+    above, below = F.col("value") > F.col("most"), F.col("value") < F.col("least")
+    beyond = placed.where(above | below).select("feature", "value", "n_ref", *[F.when(above, F.col("n_ref")).otherwise(0).alias(c) for c in ("upto", "before")])
+    marks = with_bucket(placed.where(~above & ~below).select("feature", "value"), reference.edges)
     touched = marks.select("feature", "bucket").distinct()
     held = reference.ranks.join(touched, ["feature", "bucket"], "left_semi").select(
         "feature", "bucket", "value", F.struct("value", "n", "upto").alias("known"), F.lit(False).alias("mark")
@@ -69,8 +78,11 @@ def drift_of_windows(
             F.when(last["value"] == F.col("value"), last["upto"] - last["n"]).otherwise(F.coalesce(last["upto"], "earlier")).alias("before"),
         )
     )
+    ranks = ranks.unionByName(beyond)
+    own = balanced_edges(window_counts.select("feature", "value"))
+    edges = {f: sorted({*reference.edges.get(f, ()), *own.get(f, ())}) for f in {*reference.edges, *own}}
     new = (
-        running_totals(window_counts, ["window_start", "feature"], "n", reference.edges)
+        running_totals(window_counts, ["window_start", "feature"], "n", edges)
         .withColumnRenamed("upto", "cum")
         .withColumnRenamed("total", "n_new")
     )

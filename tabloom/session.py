@@ -12,6 +12,10 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 
+#: State beyond the memory of an executor, and what processors with their own state need.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def get_session(app: str = "tabloom", master: str | None = None, **conf: object) -> SparkSession:
     """A session with the settings the jobs rely on; on a cluster the submit command names the rest."""
     builder = (
@@ -20,6 +24,7 @@ def get_session(app: str = "tabloom", master: str | None = None, **conf: object)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     )
     if master:
         builder = builder.master(master)

@@ -14,7 +14,6 @@ SCHEMA = (
     "prediction double, features map<string,double>"
 )
 RECORDS_PER_FILE = 400_000
-TASKS_PER_DAY = 8
 
 
 def log_records(scored: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -32,21 +31,19 @@ def log_records(scored: DataFrame, features: Sequence[str]) -> DataFrame:
 
 
 def append_log(
-    records: DataFrame, path: str, max_records: int = RECORDS_PER_FILE, tasks_per_day: int = TASKS_PER_DAY
+    records: DataFrame, path: str, max_records: int = RECORDS_PER_FILE, tasks_per_day: int | None = None
 ) -> None:
     """Append to the log, split by day; a file rolls over after `max_records` lines.
 
-    The records of a day go to at most `tasks_per_day` tasks, so a call leaves few files a day however many tasks made them.
+    Adaptive execution sizes the writing tasks by what a day holds: small days share a task, a large one is dealt to many.
+    `tasks_per_day` fixes the number for days whose size is known.
     """
-    salt = F.pmod(F.xxhash64("request_id", "prediction"), F.lit(tasks_per_day))
-    (
-        records.select(*FIELDS, F.to_date("timestamp").alias("date"))
-        .repartition("date", salt)
-        .write.mode("append")
-        .partitionBy("date")
-        .option("maxRecordsPerFile", max_records)
-        .json(path)
-    )
+    dated = records.select(*FIELDS, F.to_date("timestamp").alias("date"))
+    if tasks_per_day:
+        dated = dated.repartition("date", F.pmod(F.xxhash64("request_id", "prediction"), F.lit(tasks_per_day)))
+    else:
+        dated = dated.hint("rebalance", "date")
+    dated.write.mode("append").partitionBy("date").option("maxRecordsPerFile", max_records).json(path)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:

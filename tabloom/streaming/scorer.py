@@ -68,3 +68,25 @@ def append_scores(
 def captured(df: DataFrame, key: str = "request_id", percentage: float = 100.0) -> DataFrame:
     """The share of payloads to keep, chosen by request id."""
     return percent_sample(df, key, percentage)
+
+
+def captured_pairs(
+    inputs: DataFrame,
+    outputs: DataFrame,
+    wait: str = "10 minutes",
+    key: str = "request_id",
+    asked_at: str = "asked_at",
+    answered_at: str = "answered_at",
+    delay: str = "1 hour",
+    percentage: float = 100.0,
+) -> DataFrame:
+    """Captured requests with their responses: a watermarked join of two streams by id.
+
+    A response counts if it comes within `wait` of its request. A request without one leaves, with nulls, once the watermark has
+    passed the time it could still be answered; a response without a request is left out. Both sides take the same share of ids.
+    """
+    asked = captured(inputs, key, percentage).withColumn(asked_at, F.col(asked_at).cast("timestamp")).withWatermark(asked_at, delay)
+    answered = captured(outputs, key, percentage).withColumn(answered_at, F.col(answered_at).cast("timestamp")).withColumnRenamed(key, "answered_id")
+    answered = answered.withWatermark(answered_at, delay)
+    in_time = (F.col(answered_at) >= F.col(asked_at)) & (F.col(answered_at) <= F.col(asked_at) + F.expr(f"INTERVAL {wait}"))
+    return asked.join(answered, (F.col(key) == F.col("answered_id")) & in_time, "left_outer").drop("answered_id")

@@ -19,6 +19,8 @@ from tabloom.operators.frames import as_double, name
 from tabloom.operators.windowed_drift import drift_of_windows, rank_reference
 
 DELAY = "1 hour"
+#: Size of a window's quantile sketch: ranks are right up to about 0.7 % with k = 400.
+SKETCH_K = 400
 COUNTS = "window_start timestamp, feature string, value double, n bigint"
 
 
@@ -48,6 +50,64 @@ def event_counts(df: DataFrame, ts: str, condition: Column, width: str, delay: s
     )
 
 
+def sketched_windows(df: DataFrame, ts: str, features: Sequence[str], width: str, delay: str = DELAY, k: int = SKETCH_K) -> DataFrame:
+    """`(window_start, closed_at, feature, n, mean, min, max, sketch)` per tumbling window; batch or stream.
+
+    State is one row per open window and feature, whatever the number of rows or of distinct values: counts, sums and a mergeable
+    quantile sketch. `value_counts` is the exact form, whose state grows with the distinct values.
+    """
+    timed = event_time(df, ts, delay).select(name(ts), *[as_double(f).alias(f) for f in features])
+    long = timed.unpivot([name(ts)], [name(f) for f in features], "feature", "value").where("value is not null")
+    return (
+        long.groupBy(F.window(name(ts), width).alias("w"), "feature")
+        .agg(
+            F.count("*").alias("n"), F.avg("value").alias("mean"), F.min("value").alias("min"), F.max("value").alias("max"),
+            F.kll_sketch_agg_double("value", F.lit(k)).alias("sketch"),
+        )
+        .select(F.col("w.start").alias("window_start"), F.window_time("w").alias("closed_at"), "feature", "n", "mean", "min", "max", "sketch")
+    )
+
+
+def sketched_quantile(sketch: str, rank: float) -> Column:
+    return F.expr(f"kll_sketch_get_quantile_double({sketch}, {rank}D)")
+
+
+def sketched_ks(windows: DataFrame, reference: DataFrame, points: int = 200) -> DataFrame:
+    """`(window_start, feature, n, ks_statistic)` from sketches `(feature, sketch)` of a reference.
+
+    The two distributions are compared at `points` quantiles of the reference, which reach the driver, a few numbers per feature.
+    Between two of them the reference rises by 1 / points, so the statistic is right up to that and the rank errors of both sketches.
+    """
+    ranks = "array(" + ", ".join(f"{(i + 0.5) / points}D" for i in range(points)) + ")"
+    grids = {r["feature"]: r["q"] for r in reference.select("feature", F.expr(f"kll_sketch_get_quantile_double(sketch, {ranks})").alias("q")).collect()}
+
+    def at_grid(sketch: str) -> Column:
+        out = F.lit(None).cast("array<double>")
+        for f, grid in grids.items():
+            values = "array(" + ", ".join(f"{v!r}D" for v in sorted(set(grid))) + ")"
+            out = F.when(F.col("feature") == f, F.expr(f"kll_sketch_get_rank_double({sketch}, {values})")).otherwise(out)
+        return out
+
+    both = windows.join(reference.select("feature", F.col("sketch").alias("ref")), "feature")
+    gaps = F.zip_with(at_grid("sketch"), at_grid("ref"), lambda a, b: F.abs(a - b))
+    return both.select("window_start", "feature", "n", F.array_max(gaps).alias("ks_statistic"))
+
+
+def closed_series(windows: DataFrame, series: Column, value: Column) -> DataFrame:
+    """Closed windows of a stream as `(series, window_start, value)`, still with their watermark."""
+    return windows.select(series.cast("string").alias("series"), "window_start", value.cast("double").alias("value"), "closed_at")
+
+
+def timed_counts(df: DataFrame, ts: str, condition: Column, width: str, delay: str = DELAY) -> DataFrame:
+    """`event_counts` with `closed_at`, the time by which a window's watermark is known to a further step."""
+    return (
+        event_time(df, ts, delay)
+        .groupBy(F.window(name(ts), width).alias("w"))
+        .agg(F.count("*").alias("events"), F.count_if(condition).alias("hits"))
+        .select(F.col("w.start").alias("window_start"), F.window_time("w").alias("closed_at"), "events", "hits")
+    )
+
+
 def append_table(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> StreamingQuery:
     """Write all available input and stop; files and offsets are committed together."""
     return (
