@@ -3,13 +3,12 @@
 A wide table has p * (p + 1) / 2 column pairs, too many aggregate expressions for one plan (3,403 for 82 columns). Each task
 instead multiplies its Arrow batches as matrices, every batch about its own means, and merges the batches pairwise: counts, means
 and co-moments combine exactly whatever the level of the data, so no shift has to be known beforehand and the input is read once.
-A task emits one block per group; blocks merge in two levels. What is shuffled is tasks * groups blocks, whatever the rows.
+A task emits one block per group; blocks merge in two or three levels as they arrive, so a merging task holds one block. What is shuffled is tasks * groups blocks, whatever the rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -21,6 +20,8 @@ from tabloom.operators.frames import as_double, double_sql, name
 CELLS = ("n", "mx", "my", "cxx", "cyy", "cxy")
 #: A co-moment this small against the sums it came from has lost its digits and is summed again about its own mean.
 LOST = 1e-4
+#: Merging tasks up to which one further task per group takes all their blocks; more meet in the root of their number first.
+FEW_MERGES = 64
 
 
 def centre_and_span(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float, float]]:
@@ -79,13 +80,20 @@ def merge_blocks(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarr
     return cells, np.stack([*np.minimum(pe[:2], qe[:2]), centre])
 
 
-def _merged(batches: Iterator[pd.DataFrame], p: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """One block per group; blocks join in the order of the tasks they came from."""
-    held: dict[int, list] = {}
+def _merged(batches: Iterator[pd.DataFrame], p: int) -> Iterator[tuple[int, tuple[np.ndarray, np.ndarray], int]]:
+    """(group, block, least part) of rows sorted by group and part: blocks join as they come, in the order of their tasks."""
+    group, held, least = None, None, 0
     for batch in batches:
         for g, part, cells, ends in zip(batch["grp"], batch["part"], batch["cells"], batch["ends"]):
-            held.setdefault(int(g), []).append((int(part), (np.frombuffer(cells).reshape(6, p, p), np.frombuffer(ends).reshape(3, p))))
-    return {g: reduce(merge_blocks, [block for _, block in sorted(found, key=lambda f: f[0])]) for g, found in held.items()}
+            block = np.frombuffer(cells).reshape(6, p, p), np.frombuffer(ends).reshape(3, p)
+            if g == group:
+                held = merge_blocks(held, block)
+                continue
+            if held is not None:
+                yield group, held, least
+            group, held, least = int(g), block, int(part)
+    if held is not None:
+        yield group, held, least
 
 
 def _packed(blocks: dict[int, tuple[np.ndarray, np.ndarray]], part: int) -> pd.DataFrame:
@@ -119,12 +127,11 @@ def pair_moments(df: DataFrame, columns: Sequence[str], group: str | None = None
             yield _packed(held, part)
 
     def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        frames = [b for b in batches if len(b)]
-        if frames:
-            yield _packed(_merged(iter(frames), p), min(int(b["part"].min()) for b in frames))
+        for g, block, part in _merged(batches, p):
+            yield _packed({g: block}, part)
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for g, (block, ends) in _merged(batches, p).items():
+        for g, (block, ends), _ in _merged(batches, p):
             out = {"grp": np.full(len(upper[0]), g, dtype=np.int32), "i": upper[0].astype(np.int32), "j": upper[1].astype(np.int32)}
             out.update({c: block[m][upper] for m, c in enumerate(CELLS)})
             out["mx"], out["my"] = out["mx"] + ends[2][upper[0]], out["my"] + ends[2][upper[1]]
@@ -135,9 +142,12 @@ def pair_moments(df: DataFrame, columns: Sequence[str], group: str | None = None
 
     packed = "grp int, part int, cells binary, ends binary"
     merges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    first = narrow.mapInPandas(blocks, packed).repartitionById(merges, F.pmod("part", F.lit(merges))).mapInPandas(join, packed)
-    # a block per merging task and group is left, then one; bounds that are NaN become null
-    cells = first.repartition("grp").mapInPandas(spread, "grp int, i int, j int, " + ", ".join(f"{c} double" for c in (*CELLS, "lo", "hi")))
+    sums = narrow.mapInPandas(blocks, packed)
+    # the blocks of all tasks meet in `merges` tasks, many of these in the root of that, and what is left in one per group
+    for tasks in [merges, *([round(merges**0.5)] if merges > FEW_MERGES else [])]:
+        sums = sums.repartitionById(tasks, F.pmod("part", F.lit(tasks))).sortWithinPartitions("grp", "part").mapInPandas(join, packed)
+    last = sums.repartition("grp").sortWithinPartitions("grp", "part")
+    cells = last.mapInPandas(spread, "grp int, i int, j int, " + ", ".join(f"{c} double" for c in (*CELLS, "lo", "hi")))
     return cells.withColumns({c: F.expr(f"nanvl({c}, CAST(NULL AS double))") for c in ("lo", "hi")})
 
 

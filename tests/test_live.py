@@ -162,3 +162,17 @@ def test_very_many_categories(spark):
     got = {r["v"]: (r["h"]["size"], list(r["h"]["indices"]), list(r["h"]["values"])) for r in out}
     assert got == {0: (100_000, [0], [1.0]), 299_997: (100_000, [99_999], [1.0]), 1: (100_000, [], []), None: (100_000, [], [])}
     assert category_table(df.limit(0), "v").count() == 0
+
+
+def test_moments_merge_in_any_number_of_levels(spark, monkeypatch):
+    from tabloom.operators import moments
+
+    df = spark.range(4000).repartition(37).select(
+        (F.col("id") % 3).cast("int").alias("g"), *[(F.hash("id", F.lit(k)) % 1000 + 1e6 * k).cast("double").alias(f"c{k}") for k in range(4)])
+    names = [f"c{k}" for k in range(4)]
+    want = sorted(tuple(r) for r in moments.pair_moments(df, names, "g").collect())
+    monkeypatch.setattr(moments, "FEW_MERGES", 2)
+    got = sorted(tuple(r) for r in moments.pair_moments(df, names, "g").collect())
+    assert [g[:4] for g in got] == [w[:4] for w in want] and np.allclose([g[4:9] for g in got], [w[4:9] for w in want])
+    exact = df.where("g = 1").agg(F.covar_pop("c1", "c2") * F.count("*")).first()[0]
+    assert next(g for g in got if g[:3] == (1, 1, 2))[8] == pytest.approx(exact)
