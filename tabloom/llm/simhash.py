@@ -3,7 +3,8 @@
 Candidates come from segment keys and a ring filter: of `DISTANCE` differing bits, spread over the segments of a ring, some
 start has cumulative differences within its proportional budget for every chain length. Pairs that fail it are not checked
 in full. Edge cases: null and wordless texts have fingerprint zero and are linked like any other; a text with fewer words
-than a shingle is one shingle; rows of one id are all fingerprinted, and a component's id is the least non-null id in it.
+than a shingle is one shingle; rows of one id are all fingerprinted, and a component's id is the least non-null id in it;
+`keep_one` passes other columns through in one struct, so their names cannot clash.
 """
 
 from __future__ import annotations

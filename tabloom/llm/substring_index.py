@@ -3,7 +3,8 @@
 The index of a shard is the Burrows-Wheeler transform of its fragments (one symbol per word, a separator after each fragment) in a
 wavelet matrix of packed bit planes with popcount directories. Matching statistics are taken up to the window length: a window
 whose statistic reaches it has a suffix interval, and the least document of that interval decides. Edge cases: null texts have no
-words; texts shorter than a window stay whole; rows of one id never make each other's windows repeated; a null id is the smallest.
+words; texts shorter than a window stay whole; rows of one id never make each other's windows repeated; a null id is the smallest;
+other columns pass through `remove_repeats` in one struct, so their names cannot clash, and `report` reads id and text only.
 """
 
 from __future__ import annotations

@@ -4,7 +4,8 @@ Windows reach a shard in document order. Each batch of them gets its own suffix
 of the batch's fragments), is merge-scanned against every existing level, and becomes a level itself; levels of equal size class
 merge, so there are logarithmically many and each suffix moves logarithmically often. Whatever a level holds is earlier than the
 batch, so every match counts. Edge cases: null texts are empty; texts shorter than a window stay whole; rows of one id are
-separate documents in the order of their texts; null ids come first.
+separate documents in the order of their first characters, then of digests; null ids come first; other columns pass
+through `remove_repeats` in one struct, so their names cannot clash, and `report` reads id and text only.
 """
 
 from __future__ import annotations

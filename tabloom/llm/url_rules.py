@@ -2,7 +2,8 @@
 
 Only built-in functions run on the main path. Edge cases: a null url or one without `://` has an empty host and path and
 gets the default verdict; repeated rows are judged once and returned as often as they came; of two rules on one host and
-path `block` wins; an empty rule table leaves the default for all.
+path `block` wins; an empty rule table leaves the default for all; a url of any length gives as many expressions as there are shapes of
+rules; columns other than id and url are not read.
 """
 
 from __future__ import annotations
