@@ -14,9 +14,9 @@ import re
 import sys
 import zlib
 from array import array
-from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +28,8 @@ from tabloom.llm import common
 from tabloom.operators.frames import name
 
 NO_ID = -(2**63)
-#: Words whose ids a worker remembers twice over at most, and the characters of the longest such word; others are encoded each time.
-REMEMBERED, LONGEST = 600_000, 48
-#: Characters of texts that are numbered together.
-PART = 1 << 21
+#: Words whose ids a worker remembers, and the characters of the longest such word; others are encoded each time.
+REMEMBERED, LONGEST = 1_000_000, 48
 _LONG_GAP = re.compile(r"\s{3}")
 _MARKS = frozenset(",.;:!?")
 
@@ -73,13 +71,15 @@ class Encoder:
         self.by_word = self.tokenizer.normalizer is None and not getattr(self.tokenizer.model, "dropout", None) and re.match(
             r"ByteLevel\(add_prefix_space=False.*use_regex=True", str(self.tokenizer.pre_tokenizer)
         ) is not None
-        #: Words met lately and before; the older half is forgotten when the younger is full.
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.marks = {m: self._flat(self.tokenizer.encode(m, add_special_tokens=False).ids) for m in _MARKS}
+        self.known: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [self._flat(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        code = "H" if self.dtype.itemsize == 2 else "I"
+        flat = [array(code, e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        if sys.byteorder == "big":
+            for ids in flat:
+                ids.byteswap()
+        return [ids.tobytes() for ids in flat]
 
     def _whole(self, text: str) -> bool:
         tail = text[-2:]
@@ -88,48 +88,35 @@ class Encoder:
             or any(a in text for a in self.added)
         )
 
-    def _flat(self, ids: list[int]) -> bytes:
-        """Ids as bytes: the collector need not look into them."""
-        own = array("H" if self.dtype.itemsize == 2 else "I", ids)
-        if sys.byteorder == "big":
-            own.byteswap()
-        return own.tobytes()
-
-    def _new(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of words not remembered. A word of letters is one piece for the tokenizer's model; others go through the whole tokenizer."""
-        tokenize, flat = self.tokenizer.model.tokenize, self._flat
-        out, rest = {}, []
-        for w in words:
-            body = w[1:] if w[0] == " " else w
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """A word of letters is one piece for the tokenizer's model; the others go through the whole tokenizer."""
+        out: list = [None] * len(words)
+        model, code = self.tokenizer.model, "H" if self.dtype.itemsize == 2 else "I"
+        for i, w in enumerate(words):
+            body = w[1:] if w[:1] == " " else w
             if body.isalpha() and (body.isascii() or max(body) < _SETTLED):
-                out[w] = flat([t.id for t in tokenize(_as_letters(w))])
-            else:
-                rest.append(w)
+                ids = array(code, [t.id for t in model.tokenize(_as_letters(w))])
+                if sys.byteorder == "big":
+                    ids.byteswap()
+                out[i] = ids.tobytes()
+        rest = [i for i, ids in enumerate(out) if ids is None]
         for first in range(0, len(rest), 4096):
             some = rest[first : first + 4096]
-            out.update(zip(some, self._encode(some)))
+            for i, ids in zip(some, self._encode([words[i] for i in some])):
+                out[i] = ids
         return out
 
-    def _ids(self, words: list[str]) -> list[bytes]:
-        """Ids of distinct words; one sign after a letter is a token of its own, so `word,` needs `word` and `,` only."""
-        young, old = self.young, self.old
-        found = [young.get(w) or old.get(w) for w in words]
-        missing = [k for k, ids in enumerate(found) if ids is None]
-        stems = {k: w[:-1] for k in missing if len(w := words[k]) > 1 and w[-1] in _MARKS and w[-2].isalpha()}
-        ask = {words[k] for k in missing if k not in stems and words[k]}
-        ask.update(w for w in stems.values() if w not in young and w not in old)
-        fresh = self._new(list(ask))
-        for k in missing:
-            w = words[k]
-            if k in stems:
-                stem = stems[k]
-                found[k] = (fresh.get(stem) or young.get(stem) or old[stem]) + self.marks[w[-1]]
-            else:
-                found[k] = fresh[w] if w else b""
-        young.update((w, ids) for w, ids in zip(words, found) if len(w) <= LONGEST)
-        if len(young) >= REMEMBERED:
-            self.young, self.old = {}, young
-        return found
+    def _learn(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of new words; one sign after a letter is a token of its own, so `word,` needs `word` and `,` only."""
+        known = self.known
+        ended = {w: w[:-1] for w in words if len(w) > 1 and w[-1] in _MARKS and w[-2].isalpha()}
+        order = [w for w in {*(w for w in words if w not in ended), *ended.values(), *_MARKS} if w not in known]
+        fresh = dict(zip(order, self._encode_words(order)))
+        for w, stem in ended.items():
+            fresh[w] = (fresh[stem] if stem in fresh else known[stem]) + (fresh[w[-1]] if w[-1] in fresh else known[w[-1]])
+        if len(known) < REMEMBERED:
+            known.update((w, ids) for w, ids in fresh.items() if len(w) <= LONGEST)
+        return fresh
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list = [None] * len(texts)
@@ -137,49 +124,20 @@ class Encoder:
         for i, ids in zip(whole, self._encode([texts[i] for i in whole])):
             out[i] = ids
         split = [i for i, ids in enumerate(out) if ids is None]
-        for first, last in _batches([len(texts[i]) for i in split]):
-            for i, ids in zip(split[first:last], self._encode_split([texts[i] for i in split[first:last]])):
-                out[i] = ids
+        words = [texts[i].replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") for i in split]
+        flat = list(chain.from_iterable(words))
+        ids = list(map(self.known.get, flat))
+        new = [i for i, x in enumerate(ids) if x is None]
+        if new:
+            fresh = self._learn({flat[i] for i in new})
+            for i in new:
+                ids[i] = fresh[flat[i]]
+        at = 0
+        for i, w in zip(split, words):
+            out[i] = b"".join(ids[at : at + len(w)])
+            at += len(w)
         return out
 
-    def _encode_split(self, texts: list[str]) -> list[bytes]:
-        """Texts cut to words; a very long one is cut before blanks and worked on part by part."""
-        if len(texts) == 1 and len(texts[0]) > 2 * PART:
-            text, at, out = texts[0], 0, []
-            while at < len(text):
-                end = text.find(" ", at + PART)
-                end = len(text) if end < 0 else end
-                out += self._encode_split([text[at:end]])
-                at = end
-            return [b"".join(out)]
-        numbers: dict[str, int] = defaultdict()
-        numbers.default_factory = numbers.__len__
-        parts = []
-        for text in texts:
-            words = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
-            parts.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
-        ids = self._ids(list(numbers))
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
-        flat = np.frombuffer(b"".join(ids), self.dtype)
-        word = np.concatenate(parts)
-        n = size[word]
-        ends = np.cumsum(n)
-        stream = flat[np.repeat((np.cumsum(size) - size)[word] - (ends - n), n) + np.arange(int(n.sum()))]
-        cuts = np.r_[0, ends][np.cumsum([0, *map(len, parts)])].tolist()
-        return [stream[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
-
-
-def _batches(sizes: list[int]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of PART characters or so; a longer text stands alone."""
-    first, total = 0, 0
-    for i, n in enumerate(sizes):
-        if i > first and total + n > PART:
-            yield first, i
-            first, total = i, 0
-        total += n
-    if sizes:
-        yield first, len(sizes)
-
 
 @lru_cache(2)
 def encoder(path: str) -> Encoder:
