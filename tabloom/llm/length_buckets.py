@@ -20,6 +20,8 @@ from tabloom.llm.token_files import encoder
 from tabloom.operators.frames import name
 
 MOST, BUCKETS, BUDGET = 2048, 8, 16_384
+#: Words whose ids a worker remembers: fewer than for token files alone, as packing shares its workers with other stages.
+REMEMBERED = 300_000
 
 
 def optimal_bounds(histogram: dict[int, int], buckets: int) -> list[int]:
@@ -50,7 +52,7 @@ def optimal_bounds(histogram: dict[int, int], buckets: int) -> list[int]:
 def token_counts(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows (id, n_tokens): tokens of the whole text and an end id."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(tokenizer)
+        own = encoder(tokenizer, REMEMBERED)
         for batch in batches:
             column, counts = common.plain_text(batch.column(1)), []
             for a, b in common.text_slices(column):
@@ -114,11 +116,11 @@ def packed_tokens(
 
     Every text is encoded once into the shared folder, and a piece cuts its bytes out of its own row's, also where ids repeat.
     """
-    own = encoder(tokenizer)
+    own = encoder(tokenizer, REMEMBERED)
     width, closing = own.dtype.itemsize, np.zeros(1, own.dtype).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(tokenizer)
+        own = encoder(tokenizer, REMEMBERED)
         for batch in batches:
             column = common.plain_text(batch.column(2))
             for a, b in common.text_slices(column):

@@ -61,7 +61,7 @@ class Encoder:
     word is given to the tokenizer once. Texts with longer gaps are encoded as a whole.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, remembered: int | None = None) -> None:
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -72,6 +72,7 @@ class Encoder:
             r"ByteLevel\(add_prefix_space=False.*use_regex=True", str(self.tokenizer.pre_tokenizer)
         ) is not None
         self.known: dict[str, bytes] = {}
+        self.remembered = REMEMBERED if remembered is None else remembered
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         code = "H" if self.dtype.itemsize == 2 else "I"
@@ -114,7 +115,7 @@ class Encoder:
         fresh = dict(zip(order, self._encode_words(order)))
         for w, stem in ended.items():
             fresh[w] = (fresh[stem] if stem in fresh else known[stem]) + (fresh[w[-1]] if w[-1] in fresh else known[w[-1]])
-        if len(known) < REMEMBERED:
+        if len(known) < self.remembered:
             known.update((w, ids) for w, ids in fresh.items() if len(w) <= LONGEST)
         return fresh
 
@@ -140,9 +141,9 @@ class Encoder:
 
 
 @lru_cache(2)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, remembered: int | None = None) -> Encoder:
     """One encoder per worker and file, with its remembered words, for all tasks of the worker."""
-    return Encoder(path)
+    return Encoder(path, remembered)
 
 
 def _filesystem(folder: str) -> tuple[pafs.FileSystem, str]:
