@@ -8,7 +8,7 @@ from tabloom.catalogue.data import FEATURES, LINE_SQL, events, lines, rounded
 from tabloom.catalogue.serving import EXPECTED, MODEL, _log, _requests
 from tabloom.operators.drift import drift_summary, ks_drift, ranked
 from tabloom.operators.profile import medians_dict, training_medians
-from tabloom.session import materialise, shared_dir
+from tabloom.session import materialise, rocksdb_state, shared_dir
 from tabloom.sources.prediction_log import SCHEMA, flatten
 from tabloom.streaming.alarms import error_alarm, latency_alarm, live_alarms
 from tabloom.streaming.scorer import append_json, append_scores, captured, captured_pairs, scored_log
@@ -144,7 +144,8 @@ def _capture(spark, sf):
 def _live(spark, sf, closed, limit, run):
     """The stream in several micro-batches, one file each; rows as their micro-batch wrote them."""
     stream = live_alarms(closed, limit, run, 3600)
-    return run_to_table(stream, shared_dir(spark, "live"), shared_dir(spark, "live-state"))
+    with rocksdb_state(spark):
+        return run_to_table(stream, shared_dir(spark, "live"), shared_dir(spark, "live-state"))
 
 
 def _by_day(spark, sf):

@@ -98,7 +98,8 @@ class RunOfBreaches(StatefulProcessor):
 def live_alarms(closed: DataFrame, limit: float, run: int, period_seconds: int = PERIOD_SECONDS) -> DataFrame:
     """Alarms of a stream of closed windows `(series, window_start, value)`: rows leave in the micro-batch that closes their window.
 
-    `closed` has a watermark that its windows have passed (see `windows.closed_series`). `alarm` is that of `alarm_states`.
+    `closed` has a watermark that its windows have passed (see `windows.closed_series`). `alarm` is that of `alarm_states`. The state
+    needs RocksDB: where the session does not set it, start the stream within `session.rocksdb_state`.
     """
     return closed.groupBy("series").transformWithStateInPandas(
         RunOfBreaches(limit, run, period_seconds), LIVE, outputMode="Append", timeMode="EventTime"

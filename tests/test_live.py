@@ -7,9 +7,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tabloom.catalogue.monitoring import _live_errors, _live_p99
 from tabloom.operators.binning import category_table, one_hot_vector
 from tabloom.operators.neighbour_info import digamma, nearest, neighbour_information
 from tabloom.operators.split import with_exact_split
+from tabloom.session import ROCKSDB, STATE_STORE
 from tabloom.streaming import windows
 from tabloom.streaming.alarms import alarm_states, live_alarms
 from tabloom.streaming.scorer import captured_pairs
@@ -60,6 +62,23 @@ def test_live_alarms_equal_the_table_form(spark, feed, tmp_path):
     assert by_minute[6] == 3 and by_minute[8] == 1 and by_minute[9] == 2 and by_minute[13] == 1
 
 
+@pytest.mark.parametrize("query, column", [(_live_errors, "alarm"), (_live_p99, "n_alarms")])
+def test_live_alarms_in_any_session(spark, tmp_path, query, column):
+    """A session that keeps state in memory starts the stream all the same, and keeps its setting."""
+    at = [START + dt.timedelta(hours=h, minutes=m) for h in range(160) for m in range(0, 60, 10)]
+    rows = [(i, t, 1, "error" if t.hour < 12 else "view", 30.0 if t.hour < 12 else 1.0, "{}") for i, t in enumerate(at)]
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    memory = ROCKSDB.replace("RocksDBStateStoreProvider", "HDFSBackedStateStoreProvider")
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, memory)
+    try:
+        assert any(r[column] for r in query(spark, str(tmp_path)).collect())
+        assert spark.conf.get(STATE_STORE) == memory
+    finally:
+        spark.conf.set(STATE_STORE, before)
+
+
 def test_bounded_windows(spark, tmp_path):
     """State is a row per window and feature, whatever the rows; ranks are right up to the sketch's error."""
     rng = np.random.default_rng(4)
