@@ -1,8 +1,8 @@
 """Mutual information of each feature with the target from nearest neighbours (Kraskov, Stoegbauer and Grassberger, 2004).
 
 For every row the distance to its k-th neighbour in (feature, target) is found, then how many rows lie nearer along each axis alone.
-Rows are dealt to strips by ranges of the feature's value. A strip finds the neighbours of its own rows by walking outwards in the
-order of values; a row whose distance reaches over the strip's edge asks the strips it reaches into (their halo) for nearer rows. Counts along
+Rows are dealt to strips by ranges of the feature's value. A strip halves its rows along both axes down to small leaves and looks only into
+those that a row's distance reaches, so equal values along one axis cost no more than others; a row whose distance reaches over the strip's edge asks the strips it reaches into (their halo) for nearer rows. Counts along
 an axis are differences of two ranks, each answered by the one strip of sorted values that the bound falls into. So no task holds more
 than a strip and its questions, and all features share every pass.
 
@@ -23,6 +23,8 @@ from tabloom.operators.frames import as_double, name
 from tabloom.session import materialise
 
 JITTER = 1e-10
+#: Points of a leaf at most, and questions or pairs of question and leaf looked at together.
+LEAF, CHUNK = 32, 1 << 16
 STRIP = "strip int, feature int, rid long, x double, y double, near array<double>"
 ASK = "strip int, feature int, kind int, rid long, at double, other double, r double"
 
@@ -43,22 +45,70 @@ def long_rows(df: DataFrame, features: Sequence[str], target: str, keys: Sequenc
     return wide.select("rid", "y", F.inline("pairs")).where("x IS NOT NULL").select("feature", "rid", "x", "y")
 
 
+class Halves:
+    """Points of a strip, halved along the wider side until a leaf has at most LEAF; the last leaves may be partly empty (NaN)."""
+
+    def __init__(self, x: np.ndarray, y: np.ndarray) -> None:
+        n, levels = len(x), 0
+        while n > LEAF << levels:
+            levels += 1
+        groups, size = 1, -(-n >> levels) << levels
+        self.at = np.arange(size).reshape(1, size)
+        self.x, self.y = (np.r_[c, np.full(size - n, np.nan)].reshape(1, size) for c in (x, y))
+        self.boxes = []
+        for level in range(levels + 1):
+            box = [f.reduce(c, axis=1) for c in (self.x, self.y) for f in (np.fmin, np.fmax)]
+            self.boxes.append(box)
+            if level < levels:
+                wide = (box[1] - box[0] >= box[3] - box[2])[:, None]
+                order = np.argpartition(np.where(wide, self.x, self.y), size // 2, axis=1)
+                groups, size = groups * 2, size // 2
+                self.at, self.x, self.y = (np.take_along_axis(c, order, axis=1).reshape(groups, size) for c in (self.at, self.x, self.y))
+
+    def own_reach(self, k: int) -> np.ndarray:
+        """Per point the k-th least distance to others of its leaf, no less than that to others at all."""
+        reach = np.full(self.at.size, np.inf)
+        if self.at.shape[1] > k:
+            for a in range(0, len(self.at), CHUNK // LEAF):
+                x, y = self.x[a : a + CHUNK // LEAF], self.y[a : a + CHUNK // LEAF]
+                d = np.maximum(np.abs(x[:, :, None] - x[:, None]), np.abs(y[:, :, None] - y[:, None]))
+                d[:, np.arange(d.shape[1]), np.arange(d.shape[1])] = np.inf
+                reach[self.at[a : a + len(x)].reshape(-1)] = np.partition(np.where(np.isnan(d), np.inf, d), k - 1, axis=2)[:, :, k - 1].reshape(-1)
+        return reach
+
+    def nearer(self, x: np.ndarray, y: np.ndarray, r: np.ndarray, k: int, itself: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(question, distance) of up to k points nearer than r to each question, nearest first; with `itself` question i is point i."""
+        for a in range(0, len(x), CHUNK):
+            q, node = np.arange(a, min(len(x), a + CHUNK)), np.zeros(min(len(x), a + CHUNK) - a, np.int64)
+            for level, (x0, x1, y0, y1) in enumerate(self.boxes):
+                if level:
+                    q, node = np.repeat(q, 2), np.stack([2 * node, 2 * node + 1], axis=1).reshape(-1)
+                apart = np.maximum(np.maximum(x0[node] - x[q], x[q] - x1[node]), np.maximum(y0[node] - y[q], y[q] - y1[node]))
+                q, node = q[apart < r[q]], node[apart < r[q]]
+            asked, found = [], []
+            for b in range(0, len(q), CHUNK):
+                i, leaf = q[b : b + CHUNK], node[b : b + CHUNK]
+                d = np.maximum(np.abs(self.x[leaf] - x[i][:, None]), np.abs(self.y[leaf] - y[i][:, None]))
+                row, column = np.nonzero((d < r[i][:, None]) & (self.at[leaf] != i[:, None]) if itself else d < r[i][:, None])
+                asked.append(i[row])
+                found.append(d[row, column])
+            if asked:
+                i, d = np.concatenate(asked), np.concatenate(found)
+                order = np.lexsort((d, i))
+                i, d = i[order], d[order]
+                first = np.searchsorted(i, i) if len(i) else i
+                kept = np.arange(len(i)) - first < k
+                yield i[kept], d[kept]
+
+
 def nearest(x: np.ndarray, y: np.ndarray, k: int) -> np.ndarray:
-    """The k least distances (the greater of both differences) from each point to others; `x` is sorted."""
-    n = len(x)
-    best = np.full((n, k), np.inf)
-    for side in (1, -1):
-        open_, step = np.arange(n), 1
-        while len(open_):
-            other = open_ + side * step
-            open_ = open_[(other >= 0) & (other < n)]
-            other = open_ + side * step
-            dx = np.abs(x[other] - x[open_])
-            on = dx < best[open_, -1]  # further ones along x cannot be nearer
-            open_, other, dx = open_[on], other[on], dx[on]
-            best[open_, -1] = np.minimum(best[open_, -1], np.maximum(dx, np.abs(y[other] - y[open_])))
-            best[open_] = np.sort(best[open_], axis=1)
-            step += 1
+    """The k least distances (the greater of both differences) from each point to others, infinite where there are no more."""
+    best = np.full((len(x), k), np.inf)
+    if len(x):
+        halves = Halves(x, y)
+        reach = np.nextafter(halves.own_reach(k)[: len(x)], np.inf)
+        for i, d in halves.nearer(x, y, reach, k, itself=True):
+            best[i, np.arange(len(i)) - np.searchsorted(i, i)] = d
     return best
 
 
@@ -134,15 +184,9 @@ def _nearer(k: int):
     def answer(_, feature, values, asks):
         x, y = values[4], values[5]
         rid, at, other, r = asks[3:]
-        low, high = np.searchsorted(x, at - r), np.searchsorted(x, at + r, side="right")
-        out_rid, out_d = [], []
-        for i in range(len(rid)):
-            d = np.maximum(np.abs(x[low[i] : high[i]] - at[i]), np.abs(y[low[i] : high[i]] - other[i]))
-            d = np.sort(d[d < r[i]])[:k]
-            out_rid.append(np.full(len(d), rid[i]))
-            out_d.append(d)
-        rids = np.concatenate(out_rid)
-        return np.full(len(rids), feature, np.int32), rids, np.concatenate(out_d)
+        near = list(Halves(x, y).nearer(at, other, r, k)) if len(x) else []
+        rids = np.concatenate([rid[:0], *[rid[i] for i, _ in near]])
+        return np.full(len(rids), feature, np.int32), rids, np.concatenate([r[:0], *[d for _, d in near]])
     return answer
 
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+import time
 
 import numpy as np
 import pytest
@@ -156,6 +157,29 @@ def test_nearest_by_walking():
     assert np.isinf(nearest(x[:2], y[:2], 3)[:, 1:]).all()
 
 
+@pytest.mark.parametrize("n", [0, 1, 33, 700])
+def test_nearest_among_ties(monkeypatch, n):
+    """Many rows of one value, told apart by less than 1e-10: as all pairs give, and no pair is looked at in vain too often."""
+    rng = np.random.default_rng(3)
+    x, y = (rng.integers(0, c, n) + rng.uniform(-1, 1, n) * 1e-10 for c in (4, 9))
+    d = np.maximum(np.abs(x[:, None] - x[None]), np.abs(y[:, None] - y[None]))
+    np.fill_diagonal(d, np.inf)
+    want = np.sort(d, axis=1)[:, :3]
+    got = nearest(x, y, 3)
+    assert np.array_equal(got[:, : want.shape[1]], want) and np.isinf(got[:, want.shape[1] :]).all()
+
+
+def test_nearest_grows_with_the_rows():
+    """Every row has one value along x: walking along it would compare all pairs of 120,000 rows."""
+    rng = np.random.default_rng(5)
+    n = 120_000
+    x, y = 1.0 + rng.uniform(-1, 1, n) * 1e-10, rng.permutation(n).astype(float)
+    begun = time.process_time()
+    got = nearest(x, y, 3)
+    assert time.process_time() - begun < 60
+    assert got[(y > 2) & (y < n - 3)].max() < 2.001 and got.min() > 0.999
+
+
 def test_digamma(spark):
     got = [r[0] for r in spark.range(1, 60).select(digamma(F.col("id").cast("double"))).collect()]
     want = [-np.euler_gamma + math.fsum(1 / j for j in range(1, n)) for n in range(1, 60)]
