@@ -2,8 +2,9 @@
 
 A feature that is not known takes both sides of a split in the shares of the training weight that went there. A leaf's value then
 depends, per feature on its path, only on whether the row fits all splits on that feature; so a leaf with D features on its path has
-2^D cases, whose Shapley values are worked out once, and a row only looks up its case. Per row the values add up to its prediction
-minus the weighted mean prediction of the training rows.
+2^D cases, whose Shapley values are worked out once, and a row only looks up its case. Rows between the same thresholds of a tree have
+equal values in it, so each worker works out a row per such cell of a tree, and a data row adds up one cell per tree. Per row the values
+add up to its prediction minus the weighted mean prediction of the training rows.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.operators.boosting import TreeModel
+from tabloom.operators.boosting import MISSING, Columns, TreeModel, cell_numbers, encoded
 from tabloom.operators.frames import as_double, name
 
 #: Features on a path up to which all cases are worked out ahead; longer paths work out those of the rows.
@@ -100,10 +101,44 @@ def shap_matrix(paths: Sequence[Path], values: np.ndarray) -> np.ndarray:
     return out
 
 
+class Cells:
+    """The Shapley values of each tree's cells, made where they are first used; trees with too many cells keep their leaves' paths."""
+
+    def __init__(self, model: TreeModel) -> None:
+        self.model, self.trees, self.edges = model, None, []
+
+    def __getstate__(self) -> dict:
+        return {"model": self.model, "trees": None, "edges": []}
+
+    def _work_out(self) -> None:
+        model, self.trees = self.model, []
+        self.edges, cut = model.recut() or ([], model.trees)
+        for t in cut:
+            paths, cells = leaf_paths(TreeModel(model.features, 0.0, [t], model.boosted)), t.cells() if self.edges else None
+            if cells:
+                used, steps, bins = cells
+                values = np.zeros((len(bins), len(model.features)))
+                for f in used:  # no value lies beyond an infinite threshold: that bin is a gap's
+                    edges = self.edges[f]
+                    values[:, f] = np.r_[edges, np.nan if np.isinf(edges[-1]) else np.inf, np.full(MISSING - len(edges), np.nan)][bins[:, f]]
+                cells = used, steps, shap_matrix(paths, values)
+            self.trees.append((cells, paths))
+
+    def matrix(self, values: np.ndarray) -> np.ndarray:
+        """`shap_matrix` of all leaves."""
+        if self.trees is None:
+            self._work_out()
+        out = np.zeros(values.shape)
+        columns = Columns(encoded(values, self.edges)) if self.edges else None
+        for cells, paths in self.trees:
+            out += cells[2][cell_numbers(cells, columns)] if cells else shap_matrix(paths, values)
+        return out
+
+
 def tree_shap(df: DataFrame, ids: Sequence[str], model: TreeModel) -> DataFrame:
     """`(ids..., feature, value, phi)` of every row, in one projection over batches."""
     ids, features = list(ids), list(model.features)
-    shared = df.sparkSession.sparkContext.broadcast(leaf_paths(model))
+    shared = df.sparkSession.sparkContext.broadcast(Cells(model))
     own = df.select(F.struct(*[name(c) for c in ids]).alias("ids"), *[as_double(f).alias(f"x{i}") for i, f in enumerate(features)])
     lists = F.lit(None).cast("array<double>")
     schema = own.select("ids", lists.alias("value"), lists.alias("phi")).schema
@@ -112,7 +147,7 @@ def tree_shap(df: DataFrame, ids: Sequence[str], model: TreeModel) -> DataFrame:
         for batch in batches:
             values = np.stack([batch.column(1 + i).to_numpy(zero_copy_only=False) for i in range(len(features))], axis=1)
             offsets = pa.array(np.arange(len(values) + 1) * len(features), pa.int32())
-            lists = [pa.ListArray.from_arrays(offsets, pa.array(x.reshape(-1), from_pandas=True)) for x in (values, shap_matrix(shared.value, values))]
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(x.reshape(-1), from_pandas=True)) for x in (values, shared.value.matrix(values))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *lists], names=["ids", "value", "phi"])
 
     parts = [F.struct(F.lit(f).alias("feature"), F.get("value", F.lit(i)).alias("value"), F.get("phi", F.lit(i)).alias("phi")) for i, f in enumerate(features)]

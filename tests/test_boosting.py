@@ -1,6 +1,7 @@
 """Trees on binned columns against a plain grower, and exact Shapley values against all subsets."""
 
 import heapq
+import math
 from itertools import combinations
 from math import factorial
 
@@ -192,3 +193,32 @@ def test_tree_shap_as_a_table(spark, data):
     gaps = rows.where("feature = 'b'").agg(F.count_if(F.col("value").isNull())).first()[0]
     assert gaps == np.isnan(x[:, 1]).sum()
     assert tree_shap.tree_shap(df.limit(0), ["fold"], model).count() == 0
+
+
+@pytest.mark.parametrize("most", [1, boosting.MOST_CELLS])
+def test_cells_hold_what_the_walk_finds(monkeypatch, data, most):
+    """Bins by the table of a tree's cells and by walking; the cells of Shapley values against the leaves' paths, gaps and infinite thresholds included."""
+    monkeypatch.setattr(boosting, "MOST_CELLS", most)
+    rng = np.random.default_rng(2)
+    trees = []
+    for _ in range(6):
+        t = boosting.Tree()
+        for v in range(7):
+            t.feature[v], t.cut[v], t.missing_left[v] = int(rng.integers(0, 3)), int(rng.integers(0, 9)), bool(rng.integers(0, 2))
+            t.threshold[v] = float(t.cut[v]) if t.cut[v] < 8 else math.inf
+            t.left[v], t.right[v] = t.add(), t.add()
+        t.value = list(rng.normal(0, 1, len(t.feature)))
+        t.cover = [0.0] * len(t.feature)
+        for v in reversed(range(len(t.feature))):
+            t.cover[v] = t.cover[t.left[v]] + t.cover[t.right[v]] if t.feature[v] >= 0 else float(rng.integers(1, 9))
+        trees.append(t)
+    values = rng.integers(-1, 12, (500, 3)).astype(float)
+    values[rng.random(values.shape) < 0.2] = np.nan
+    model = boosting.TreeModel(("a", "b", "c"), 1.5, trees)
+    walked = 1.5 + sum(np.array(t.value)[t.leaf_of_values(values)] for t in trees)
+    assert all((t.cells() is None) == (most == 1) for t in trees)
+    assert np.allclose(model.scores(values), walked, rtol=0, atol=1e-12)
+    bins = boosting.encoded(values, [np.arange(8.0)] * 3)
+    for t in trees:
+        assert np.array_equal(boosting.Lookup(t, np.arange(len(t.feature))).of(boosting.Columns(bins)), t.leaf_of_bins(bins))
+    assert np.allclose(tree_shap.Cells(model).matrix(values), tree_shap.shap_matrix(tree_shap.leaf_paths(model), values))
