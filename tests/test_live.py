@@ -68,6 +68,7 @@ def test_live_alarms_in_any_session(spark, tmp_path, query, column):
     """A session that keeps state in memory starts the stream all the same, and keeps its setting."""
     at = [START + dt.timedelta(hours=h, minutes=m) for h in range(160) for m in range(0, 60, 10)]
     rows = [(i, t, 1, "error" if t.hour < 12 else "view", 30.0 if t.hour < 12 else 1.0, "{}") for i, t in enumerate(at)]
+    rows.append((len(rows), None, 1, "error", 30.0, "{}"))
     schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
     spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
     memory = ROCKSDB.replace("RocksDBStateStoreProvider", "HDFSBackedStateStoreProvider")
