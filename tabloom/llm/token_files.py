@@ -146,6 +146,11 @@ def encoder(path: str, remembered: int | None = None) -> Encoder:
     return Encoder(path, remembered)
 
 
+def forget() -> None:
+    """Let go of this worker's encoders and their words: called by stages that share workers with encoding ones and encode nothing."""
+    encoder.cache_clear()
+
+
 def _filesystem(folder: str) -> tuple[pafs.FileSystem, str]:
     """The file system of a folder that all tasks reach, by its URI; a plain path is a shared mount."""
     return pafs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (pafs.LocalFileSystem(), folder)

@@ -20,7 +20,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.llm import common
+from tabloom.llm import common, token_files
 from tabloom.operators.frames import name
 
 #: Expected labelled rows that the model is fitted on; more are sampled by a hash of the id.
@@ -61,6 +61,7 @@ def stems_of(words: list[bytes]) -> list[bytes]:
 
 def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct words and stems of each text with its label."""
+    token_files.forget()
     for batch in batches:
         for label, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
             words, _ = words_of(text or b"")
@@ -99,6 +100,7 @@ def with_features(docs: DataFrame, lexicon, text: str) -> DataFrame:
     schema = docs.select(*[name(c) for c in kept], F.array(F.lit(0.0)).alias("features")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        token_files.forget()
         for batch in batches:
             texts = common.plain_text(batch.column(batch.schema.names.index(text)))
             for a, b in common.text_slices(texts):

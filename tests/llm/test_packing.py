@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from tabloom.llm import length_buckets
+from tabloom.llm import length_buckets, token_files, toxicity
 from tabloom.llm.catalogue import byte_bpe
 
 
@@ -50,3 +50,11 @@ def test_pieces_hold_their_tokens(spark):
     total = sum(len(tokenizer.encode(t or "", add_special_tokens=False).ids) + 1 for _, t in rows)
     assert sum(r["n_tokens"] for r in out) == total and len({(r["batch"], r["slot"]) for r in out}) == len(out)
     assert length_buckets.packed_tokens(docs.where("doc_id > 500"), byte_bpe()).count() == 0
+
+
+def test_stages_that_encode_nothing_let_go_of_words():
+    """Workers are shared by the stages of a pipeline: what packing remembered does not stay beside the next toxicity stage."""
+    token_files.encoder(byte_bpe(), length_buckets.REMEMBERED).encode(["some words to remember"])
+    assert token_files.encoder.cache_info().currsize
+    assert list(toxicity.entries(iter(()))) == []
+    assert not token_files.encoder.cache_info().currsize
