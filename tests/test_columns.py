@@ -54,6 +54,60 @@ def test_digests(spark, tmp_path):
     assert file_digests(spark, str(p)).first()["sha256"] == hashlib.sha256(b"a,b\n1,2\n").hexdigest()
 
 
+def test_large_files_are_hashed_range_by_range(spark, tmp_path):
+    import hashlib
+
+    rng = np.random.default_rng(3)
+    sizes = {"short": 7, "one range": 640, "one more": 641, "two%20ranges": 1280, "many+\u00e4": 6_789}
+    for file, n in sizes.items():
+        (tmp_path / file).write_bytes(rng.bytes(n))
+    want = sorted((n, hashlib.sha256((tmp_path / file).read_bytes()).hexdigest()) for file, n in sizes.items())
+    for size in (640, 6_400):
+        got = file_digests(spark, str(tmp_path), size)
+        assert sorted(map(tuple, got.select("length", "sha256").collect())) == want
+        assert {r["path"] for r in got.collect()} == {r["path"] for r in file_digests(spark, str(tmp_path)).collect()}
+    with pytest.raises(ValueError, match="multiple of 64"):
+        file_digests(spark, str(tmp_path), 100)
+
+
+def test_no_range_is_longer_than_asked_for(tmp_path):
+    from tabloom.functions.running_sha256 import START, advance
+    from tabloom.operators.validate import _range
+
+    p = tmp_path / "t"
+    p.write_bytes(bytes(range(200)))
+    assert [b"".join(_range(f"file:{p}", 200, at, 64)) for at in (0, 64, 192)] == [
+        bytes(range(64)), bytes(range(64, 128)), bytes(range(192, 200))
+    ]
+    with pytest.raises(OSError, match="200 now"):
+        list(_range(f"file:{p}", 300, 0, 64))
+    with pytest.raises(ValueError, match="inside a block"):
+        advance(START, 0, [b"a"], last=False)
+    with pytest.raises(ValueError, match="whole blocks"):
+        advance(START, 65, [b"a"], last=True)
+
+
+def test_files_that_cannot_be_opened_by_range_are_rows(spark, tmp_path, monkeypatch):
+    import hashlib
+
+    from tabloom.operators import validate as module
+
+    (tmp_path / "t").write_bytes(b"x" * 1000)
+    monkeypatch.setattr(module, "_opens", lambda uri, length: False)
+    assert file_digests(spark, str(tmp_path), 64).first()["sha256"] == hashlib.sha256(b"x" * 1000).hexdigest()
+
+
+def test_a_file_over_two_gigabytes_has_a_digest(spark, tmp_path):
+    import hashlib
+
+    p = tmp_path / "t"
+    with open(p, "wb") as f:
+        f.truncate(2**31 + 5)
+    with open(p, "rb") as f:
+        want = hashlib.file_digest(f, "sha256").hexdigest()
+    assert [tuple(r) for r in file_digests(spark, str(p)).select("length", "sha256").collect()] == [(2**31 + 5, want)]
+
+
 def test_row_fingerprint_ignores_order_but_not_copies(spark):
     df = spark.range(100)
     a = row_fingerprint(df).first()
