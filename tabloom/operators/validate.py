@@ -134,25 +134,35 @@ def _digests_by_range(spark: SparkSession, files: list[tuple[str, int]], size: i
     return digests
 
 
+def _listed(files: DataFrame, longer_than: int) -> list[tuple]:
+    large = files.where(F.col("length") > longer_than).select("path", "length", "modificationTime")
+    return [tuple(r) for r in large.collect()]
+
+
 def file_digests(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """`(path, length, sha256)` per file.
 
     SHA-256 goes from block to block, so files over `range_bytes` are hashed range by range, one task after the other, when this is
-    called. That needs OpenSSL's library and a store that `pyarrow.fs` opens by URI; without them such a file is one row as well,
-    which Spark refuses beyond 2 GB.
+    called; a file that changes meanwhile is refused. That needs OpenSSL's library and a store that `pyarrow.fs` opens by URI; without
+    them such a file is one row as well, which Spark refuses beyond 2 GB.
     """
     if range_bytes < running_sha256.BLOCK or range_bytes % running_sha256.BLOCK:
         raise ValueError(f"range_bytes is a multiple of {running_sha256.BLOCK}, not {range_bytes}")
     files = spark.read.format("binaryFile").load(path)
     whole = files.select("path", "length", F.sha2("content", 256).alias("sha256"))
-    large = [tuple(r) for r in files.where(F.col("length") > range_bytes).select("path", "length").collect()]
+    large = _listed(files, range_bytes)
     if not large:
         return whole
-    if not (running_sha256.available() and _opens(*large[0])):
+    if not (running_sha256.available() and _opens(*large[0][:2])):
         log.warning("%d files of more than %d bytes are read whole", len(large), range_bytes)
         return whole
-    digests = spark.createDataFrame(_digests_by_range(spark, large, range_bytes), "path string, length long, sha256 string")
-    return whole.where(F.col("length") <= range_bytes).unionByName(digests)
+    digests = _digests_by_range(spark, [f[:2] for f in large], range_bytes)
+    changed = {*large} - {*_listed(spark.read.format("binaryFile").load(path), range_bytes)}
+    if changed:
+        raise OSError(f"{min(changed)[0]} changed while it was hashed")
+    return whole.where(F.col("length") <= range_bytes).unionByName(
+        spark.createDataFrame(digests, "path string, length long, sha256 string")
+    )
 
 
 def row_fingerprint(df: DataFrame) -> DataFrame:

@@ -97,6 +97,24 @@ def test_files_that_cannot_be_opened_by_range_are_rows(spark, tmp_path, monkeypa
     assert file_digests(spark, str(tmp_path), 64).first()["sha256"] == hashlib.sha256(b"x" * 1000).hexdigest()
 
 
+def test_a_file_that_changes_between_its_ranges_is_refused(spark, tmp_path, monkeypatch):
+    import os
+
+    from tabloom.operators import validate as module
+
+    p = tmp_path / "t"
+    p.write_bytes(b"x" * 1000)
+    advance = module._next_ranges
+
+    def changing(todo, size):
+        os.utime(p, (1_000_000, 1_000_000 + todo[0][2]))
+        return advance(todo, size)
+
+    monkeypatch.setattr(module, "_next_ranges", changing)
+    with pytest.raises(OSError, match="changed while"):
+        file_digests(spark, str(tmp_path), 640)
+
+
 def test_a_file_over_two_gigabytes_has_a_digest(spark, tmp_path):
     import hashlib
 
